@@ -17,10 +17,16 @@ _FX_RE = re.compile(r"\bfx_\w+\b")
 def with_fixtures(sql: str) -> str:
     """Prepend the ``fx_*`` recipes referenced by ``sql`` as CTEs."""
     body = sql.strip().rstrip(";")
-    names = []
-    for n in _FX_RE.findall(body):
-        if n in RECIPES and n not in names:
-            names.append(n)
+    names: list[str] = []
+
+    def visit(text: str) -> None:
+        for n in _FX_RE.findall(text):
+            if n in RECIPES and n not in names:
+                visit(RECIPES[n])  # dependencies first
+                if n not in names:
+                    names.append(n)
+
+    visit(body)
     if not names:
         return body
     ctes = ",\n".join(f"{n} AS ({RECIPES[n]})" for n in names)

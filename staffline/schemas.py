@@ -83,12 +83,35 @@ TABLES: dict[str, StructType] = {
 }
 
 
+# Column defaults declared by the DDL (applied when an input lacks the column).
+DEFAULTS: dict[str, dict] = {
+    "network_users": {"is_primary_acct": True, "is_non_user": False, "is_disabled": False, "is_deleted": False},
+    "employees": {"is_deleted": False},
+    "adp_api_log": {"is_success": False},
+}
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Add declared columns missing from ``df`` as typed NULLs (existing
-    columns keep their type); extra columns are kept at the end."""
+    """Add declared columns missing from ``df`` (their DDL default, else a
+    typed NULL; existing columns keep their type); extra columns are kept at
+    the end."""
     schema = TABLES[table]
     have = set(df.columns)
-    cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+    defaults = DEFAULTS.get(table, {})
+    cols = [F.col(f.name) if f.name in have else F.lit(defaults.get(f.name)).cast(f.dataType).alias(f.name)
             for f in schema.fields]
     extra = [F.col(c) for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols, *extra)
+
+
+_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN", "date": "DATE",
+         "timestamp": "TIMESTAMP", "decimal(6,2)": "DECIMAL(6,2)"}
+
+
+def sql_default(table: str, col: str) -> str:
+    """SQL literal of a missing column (DDL default or typed NULL), for oracles."""
+    f = TABLES[table][col]
+    d = DEFAULTS.get(table, {}).get(col)
+    if d is None:
+        return f"CAST(NULL AS {_DUCK[f.dataType.simpleString()]})"
+    return "TRUE" if d is True else "FALSE" if d is False else repr(d)

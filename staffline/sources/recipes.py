@@ -79,3 +79,43 @@ RECIPES.update({
         "FROM customer"
     ),
 })
+
+RECIPES.update({
+    # Full worker staging rows (the flattened HR snapshot), derived from
+    # fx_workers_snapshot: some payroll ids change (id % 29), some titles are new (id % 7),
+    # some workers are re-hired under a new aoid (id % 31).
+    "fx_adp_workers": (
+        "SELECT CAST(CASE WHEN w.id % 29 = 0 THEN w.id + 100000 ELSE w.id END AS INT) AS id, "
+        "CASE WHEN w.id % 31 = 0 THEN concat('H', substr(w.aoid, 2)) ELSE w.aoid END AS aoid, "
+        "w.location_id, w.location, w.department_id, w.department, "
+        "CASE WHEN w.id % 9 = 0 THEN NULL ELSE CAST(w.id % 50 AS INT) END AS reports_to_id, w.job_title_id, "
+        "CASE WHEN w.id % 7 = 0 AND jt.job_title IS NOT NULL THEN concat(jt.job_title, ' II') ELSE jt.job_title END AS job_title, "
+        "c.c_mktsegment AS legal_first_name, w.legal_middle_name, concat('Name', CAST(c.c_custkey AS STRING)) AS legal_last_name, "
+        "CAST(NULL AS STRING) AS preferred_first_name, CAST(NULL AS STRING) AS preferred_middle_name, "
+        "CAST(NULL AS STRING) AS preferred_last_name, CASE WHEN c.c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender, "
+        "CAST(NULL AS STRING) AS pronouns, concat(' ', c.c_mktsegment, '.', CAST(c.c_custkey AS STRING), '@Example.org') AS work_email, "
+        "CAST(NULL AS STRING) AS personal_email, CAST(NULL AS STRING) AS personal_mobile, w.status, "
+        "CASE WHEN c.c_custkey % 2 = 0 THEN 'Full Time' ELSE 'Part Time' END AS employment_type, "
+        "DATE '1995-01-01' + CAST(c.c_custkey % 1500 AS INT) AS hire_date, "
+        "CAST(date_trunc('month', DATE '1995-01-01' + CAST(c.c_custkey % 1500 AS INT)) AS DATE) AS start_date, "
+        "CAST(NULL AS DATE) AS evaluation_date, CASE WHEN w.status = 'Terminated' THEN DATE '2000-06-30' END AS termination_date, "
+        "CAST(NULL AS DECIMAL(6,2)) AS hired_fte, c.c_custkey % 10 = 0 AS is_manager, "
+        "DATE '1970-01-01' + CAST(c.c_custkey % 9000 AS INT) AS dob, concat(CAST(c.c_custkey AS STRING), ' Main St') AS address_line_1, "
+        "CAST(NULL AS STRING) AS address_line_2, 'Davis' AS city, 'CA' AS state, '95616' AS zip_code "
+        "FROM fx_workers_snapshot w JOIN customer c ON w.id = c.c_custkey "
+        "LEFT JOIN (SELECT job_title_id, MIN(job_title) AS job_title FROM fx_job_titles GROUP BY job_title_id) jt "
+        "ON w.job_title_id = jt.job_title_id"
+    ),
+    # Stored employee_info rows (some aoids missing, some cities differ).
+    "fx_employee_info": (
+        "SELECT CAST(c_custkey AS INT) AS id, concat('G', lpad(CAST(c_custkey AS STRING), 15, '0')) AS aoid, "
+        "DATE '1970-01-01' + CAST(c_custkey % 9000 AS INT) AS dob, concat(CAST(c_custkey AS STRING), ' Main St') AS address_line_1, "
+        "CAST(NULL AS STRING) AS address_line_2, CASE WHEN c_custkey % 5 = 0 THEN 'Woodland' ELSE 'Davis' END AS city, "
+        "'CA' AS state, '95616' AS zip_code FROM customer WHERE c_custkey % 7 <> 0"
+    ),
+    # Stored timecard dates.
+    "fx_timecard_dates": (
+        "SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start, CAST(o_orderdate AS DATE) AS date "
+        "FROM orders"
+    ),
+})

@@ -16,7 +16,7 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
-_TABLE_RE = re.compile(r"\b(" + "|".join(BASE_TABLES) + r")\b")
+_TABLE_RE = re.compile(r"\b(" + "|".join(BASE_TABLES) + r"|fx_\w+)\b")
 
 
 def _placeholder_sql(sql: str) -> tuple[str, list[str]]:
@@ -25,6 +25,8 @@ def _placeholder_sql(sql: str) -> tuple[str, list[str]]:
     used: list[str] = []
 
     def repl(m: re.Match) -> str:
+        if m.group(1).startswith("fx_") and m.group(1) not in RECIPES:
+            return m.group(1)
         if m.group(1) not in used:
             used.append(m.group(1))
         return "{" + m.group(1) + "}"
@@ -49,7 +51,7 @@ class Catalog:
         key = name if name.startswith("fx_") else f"fx_{name}"
         if key not in self._cache:
             sql, used = _placeholder_sql(RECIPES[key])
-            self._cache[key] = self.spark.sql(sql, **{t: self.table(t) for t in used})
+            self._cache[key] = self.spark.sql(sql, **{t: self[t] for t in used})
         return self._cache[key]
 
     def __getitem__(self, name: str) -> DataFrame:
