@@ -109,16 +109,17 @@ def update_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
                        {c: sref(c) for c in ("work_minutes", "paid_minutes", "regular_minutes")})
 
 
-def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None) -> DataFrame:
-    """Hours rows take the title of the history interval containing their date
-    (latest start wins, then the larger history id), when it differs.
+def containing_interval(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None) -> DataFrame:
+    """(employee_id, date, history_id, history_job_title_id): for each hours
+    row, the history interval containing its date (latest start wins, then
+    the larger history id); rows inside no interval are absent.
 
     Range join as an equi-join on (employee, month): each history interval is
     expanded to the months it covers, clipped to the months the hours rows
     span (a one-row aggregate), so only rows of the same employee and month
-    are compared.
+    are compared; the best interval per row is a partial aggregate.
     """
-    h = conform(hours, "employee_hours")
+    h = hours.select("employee_id", "date")
     hist = conform(history, "employee_job_history").select(
         F.col("id").alias("__hid"), F.col("employee_id").alias("__eid"), F.col("job_title_id").alias("__tid"),
         F.col("start_date").alias("__s"), F.coalesce("end_date", F.lit(dt.date.fromisoformat(OPEN_END_DATE))).alias("__e"))
@@ -130,14 +131,24 @@ def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame |
               .filter(F.col("__m0") <= F.col("__m1"))
               .withColumn("__month", F.explode(F.sequence("__m0", "__m1", F.expr("INTERVAL 1 MONTH"))))
               .drop("__lo", "__hi", "__m0", "__m1"))
-    cand = (h.select("employee_id", "date", F.trunc("date", "month").alias("__hm"))
+    cand = (h.withColumn("__hm", F.trunc("date", "month"))
             .join(months, (F.col("employee_id") == F.col("__eid")) & (F.col("__hm") == F.col("__month")))
             .filter((F.col("date") >= F.col("__s")) & (F.col("date") <= F.col("__e"))))
     best = first_by(cand.select("employee_id", "date", "__s", "__hid", "__tid"), ["employee_id", "date"],
-                    [("__s", "desc"), ("__hid", "desc")], cols=["__tid"])
+                    [("__s", "desc"), ("__hid", "desc")], cols=["__hid", "__tid"])
+    return best.select("employee_id", "date", F.col("__hid").alias("history_id"),
+                       F.col("__tid").alias("history_job_title_id"))
+
+
+def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None) -> DataFrame:
+    """Hours rows take the title of the history interval containing their date
+    when it differs (see ``containing_interval``)."""
+    h = conform(hours, "employee_hours")
+    best = containing_interval(h, history, data_range)
+    t = F.col("history_job_title_id")
     out = (h.join(best, ["employee_id", "date"], "left")
-           .withColumn("job_title_id", F.when(F.col("__tid").isNotNull() & (F.col("__tid") != F.col("job_title_id")),
-                                              F.col("__tid")).otherwise(F.col("job_title_id"))))
+           .withColumn("job_title_id", F.when(t.isNotNull() & (t != F.col("job_title_id")), t)
+                       .otherwise(F.col("job_title_id"))))
     return out.select(*h.columns)
 
 
@@ -157,4 +168,4 @@ def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) ->
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",
            "daily_minutes", "unmapped_paycodes", "new_timecard_dates", "per_day", "hours_change_count",
-           "update_hours", "retitle_hours", "insert_hours", "upsert_hours"]
+           "update_hours", "containing_interval", "retitle_hours", "insert_hours", "upsert_hours"]

@@ -1,6 +1,6 @@
 """Query keys: each module registers Spark builders and DuckDB oracle SQL."""
 
-from staffline.plans import identity_q, reconcile_q, views_q  # noqa: F401  (registers keys)
+from staffline.plans import flatten_q, identity_q, reconcile_q, timecard_q, views_q  # noqa: F401  (registers keys)
 from staffline.plans.registry import ORACLES, QUERIES, StaffTables, query
 
 __all__ = ["ORACLES", "QUERIES", "StaffTables", "query"]

@@ -80,24 +80,26 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
     title = job_titles.groupBy("job_title_id").agg(F.min("job_title").alias("__title"))
     c = customer.join(title, (k % 50).cast("int") == F.col("job_title_id"), "left")
     primary = F.struct(
-        F.lit(True).alias("primaryIndicator"), F.lpad(k.cast("string"), 6, "0").alias("payrollFileNumber"),
+        F.lit(True).alias("primaryIndicator"), F.format_string("%06d", k).alias("payrollFileNumber"),
         F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (k % 1500).cast("int")), "yyyy-MM-dd").alias("hireDate"),
         F.struct(F.struct(F.col("c_nationkey").cast("string").alias("codeValue"),
                           F.concat(F.lit("Site "), F.col("c_nationkey").cast("string")).alias("shortName")).alias("nameCode"))
         .alias("homeWorkLocation"),
-        F.array(F.struct(F.struct(F.lit("1").alias("codeValue")).alias("nameCode")),
+        F.array(F.struct(F.struct(F.lit("1").alias("codeValue"), F.lit(None).cast("string").alias("longName")).alias("nameCode")),
                 F.struct(F.struct((k % 12).cast("string").alias("codeValue"),
                                   F.concat((k % 12).cast("string"), F.lit(" - Department "), (k % 12).cast("string")).alias("longName"))
                          .alias("nameCode"))).alias("assignedOrganizationalUnits"),
-        F.when(k % 9 != 0, F.array(F.struct(F.concat(F.lit("S3600"), F.lpad((k % 50).cast("string"), 6, "0")).alias("positionID"))))
+        F.when(k % 9 != 0, F.array(F.struct(F.concat(F.lit("S3600"), F.format_string("%06d", k % 50)).alias("positionID"))))
         .alias("reportsTo"),
-        F.struct((k % 50).cast("string").alias("codeValue"), F.col("__title").alias("longName")).alias("jobCode"),
+        F.struct((k % 50).cast("string").alias("codeValue"),
+                 F.coalesce(F.col("__title"), F.concat(F.lit("Title "), (k % 50).cast("string"))).alias("longName")).alias("jobCode"),
         F.struct(F.when(k % 2 == 0, "Full Time").alias("longName"), F.lit("FT").alias("shortName")).alias("workerTypeCode"),
         (F.col("c_acctbal") / 10000).alias("fullTimeEquivalenceRatio"),
         (k % 10 == 0).alias("managementPositionIndicator"))
-    other = F.struct(F.lit(False).alias("primaryIndicator"), F.lit("999999").alias("payrollFileNumber"))
+    # A secondary assignment (same shape, not primary) that the extractors must skip.
+    other = primary.withField("primaryIndicator", F.lit(False)).withField("payrollFileNumber", F.lit("999999"))
     worker = F.struct(
-        F.concat(F.lit("G"), F.lpad(k.cast("string"), 15, "0")).alias("associateOID"),
+        F.concat(F.lit("G"), F.format_string("%015d", k)).alias("associateOID"),
         F.array(other, primary).alias("workAssignments"),
         F.struct(F.struct(seg.alias("givenName"), F.when(k % 3 != 0, F.lit("Quinn")).alias("middleName"),
                           F.concat(F.lit("Name"), k.cast("string")).alias("familyName1")).alias("legalName"),
@@ -125,7 +127,7 @@ def timecard_documents_from_tables(lineitem: DataFrame, orders: DataFrame) -> Da
            .when(F.col("l_linenumber") == 5, "UNPAID").otherwise("ZZZ"))
     q = F.col("l_quantity").cast("int")
     card = F.struct(
-        F.concat(F.lit("G"), F.lpad(F.col("o_custkey").cast("string"), 15, "0")).alias("associateOID"),
+        F.concat(F.lit("G"), F.format_string("%015d", F.col("o_custkey"))).alias("associateOID"),
         F.struct(F.date_format(F.trunc(F.col("l_shipdate").cast("date"), "month"), "yyyy-MM-dd").alias("startDate")).alias("timePeriod"),
         F.array(F.struct(
             F.when(F.col("l_linenumber") != 7, F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd")).alias("entryDate"),
@@ -162,7 +164,6 @@ def directory_entries_from_tables(customer: DataFrame) -> DataFrame:
         F.when(k % 6 != 0, F.array(F.concat(F.lit("smtp:alias"), k.cast("string"), F.lit("@x.org")),
                                    F.concat(F.lit("SMTP:Primary."), k.cast("string"), F.lit("@Example.org"))))
         .alias("proxyAddresses"),
-        (F.lit("2000-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k % 3600).cast("decimal(8,6)") + F.lit(0.5)))
-        .alias("whenCreated"),
+        F.timestamp_seconds(F.lit(946684800) + (k % 3600) + F.lit(0.5)).alias("whenCreated"),
         F.when(k % 3 == 0, 512).when(k % 3 == 1, 66048).otherwise(514).alias("userAccountControl"),
         src.alias("source"))
