@@ -41,9 +41,12 @@ def orphan_ids(workforce_map: DataFrame, entities: DataFrame, kind: str) -> Data
     return wm.filter(F.col(col).isNotNull()).select(col).subtract(entities.select(F.col("id").alias(col)))
 
 
-def unmapped_ehr(providers: DataFrame, workforce_map: DataFrame) -> DataFrame:
-    """EHR user ids of providers (with encounters, when given) not in the map."""
-    users = providers.filter(F.col("user_id").isNotNull()).select(F.col("user_id").cast("string").alias("user_id")).distinct()
+def unmapped_ehr(providers: DataFrame, workforce_map: DataFrame, encounters: DataFrame | None = None) -> DataFrame:
+    """EHR user ids of providers (that have encounters, when given) not in the map."""
+    p = providers.filter(F.col("user_id").isNotNull())
+    if encounters is not None:
+        p = p.join(encounters.select(F.col("visit_prov_id").alias("__v")), F.col("prov_id") == F.col("__v"), "left_semi")
+    users = p.select(F.col("user_id").cast("string").alias("user_id")).distinct()
     wm = conform(workforce_map, "workforce_map")
     return users.subtract(wm.filter(F.col("epic_id").isNotNull()).select(F.col("epic_id").cast("string")))
 

@@ -9,8 +9,6 @@ from staffline.plans.reconcile_q import FX_COLS, col_sql, cols
 from staffline.plans.registry import query
 from staffline.schemas import sql_default
 
-FX_COLS.setdefault("fx_workforce_map", ["id", "network_id", "employee_id", "contractor_id", "learner_id",
-                                        "volunteer_id", "epic_id", "ecw_ids"])
 
 _ORG = "'%organizationname.org%'"
 _DUP_KEYS = {

@@ -33,6 +33,8 @@ FX_COLS = {
     "fx_network_snapshot": ["guid", "source", "first_name", "last_name", "common_name", "network_email",
                             "email", "job_title", "created_at", "is_disabled"],
     "fx_job_titles": ["id", "job_title_id", "job_title", "uds_line", "hcai_line", "has_clinical_admin_time"],
+    "fx_workforce_map": ["id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
+                         "epic_id", "ecw_ids"],
 }
 
 
