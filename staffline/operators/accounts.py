@@ -16,6 +16,7 @@ from staffline.operators.ordering import first_by
 from staffline.operators.reconcile import (anti_join, assign_ids, count_changed, join_update,
                                            snapshot_diff, soft_delete, sref, tref, undelete)
 from staffline.schemas import conform
+from staffline.session import cut_lineage
 
 # The 20 compared / copied directory columns.
 AD_COLUMNS = ["guid", "source", "first_name", "last_name", "common_name", "display_name",
@@ -108,7 +109,8 @@ def reconcile_accounts(users: DataFrame, snapshot: DataFrame, as_of: dt.datetime
     ``short_circuit=True`` reproduces the reference's early exit (no diff rows
     means no deletes or undeletes either); it costs one extra small job.
     """
-    diff = account_diff(snapshot, users)
+    # The diff feeds the update and the insert: stage it once.
+    diff = cut_lineage(account_diff(snapshot, users))
     if short_circuit and diff.isEmpty():
         return conform(users, "network_users")
     out = update_accounts(users, diff, as_of, clear_disabled_at)

@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from staffline.operators.ordering import first_by
 from staffline.operators.reconcile import assign_ids, snapshot_diff
 from staffline.schemas import conform
+from staffline.session import cut_lineage
 
 
 def insert_positions(history: DataFrame, employees: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -76,8 +77,12 @@ def drop_realignments(history: DataFrame) -> DataFrame:
 
 
 def update_history(history: DataFrame, employees: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """One history run: insert, close terminated, close previous, drop realignments."""
-    h = insert_positions(history, employees, as_of)
+    """One history run: insert, close terminated, close previous, drop realignments.
+
+    The table after the insert is written to the checkpoint folder once; the
+    three updates then read it instead of recomputing the insert.
+    """
+    h = cut_lineage(insert_positions(history, employees, as_of))
     h = close_terminated(h, employees)
     h = close_previous(h)
     return drop_realignments(h)

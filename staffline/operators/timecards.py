@@ -17,6 +17,7 @@ from staffline.operators.reconcile import assign_ids, count_changed, join_update
 from staffline.params import (OPEN_END_DATE, PAID_EXTRA_CODES, REGULAR_CODES, UNPAID_CODES,
                               WORK_EXTRA_CODES)
 from staffline.schemas import conform
+from staffline.session import cut_lineage
 
 WORK_CODES = REGULAR_CODES + WORK_EXTRA_CODES
 PAID_CODES = WORK_CODES + PAID_EXTRA_CODES
@@ -162,8 +163,14 @@ def insert_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
 
 
 def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) -> DataFrame:
-    """The hours transaction: update, re-title by history, insert."""
-    return insert_hours(retitle_hours(update_hours(hours, timecards), history), timecards)
+    """The hours transaction: update, re-title by history, insert.
+
+    The staged timecards feed two statements; they are written once to the
+    checkpoint folder (as the reference stages them in a table) so the pull is
+    not recomputed and a lost executor restarts from the staged rows.
+    """
+    staged = cut_lineage(timecards)
+    return insert_hours(retitle_hours(update_hours(hours, staged), history), staged)
 
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",

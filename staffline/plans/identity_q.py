@@ -71,7 +71,7 @@ def q_dup_priority(t):
 @query("dup_all", None)
 def q_dup_all(t):
     """The directory run's resolver sequence (email, primary e-mail, network e-mail, common name)."""
-    return D.resolve_all(t["network_users"])
+    return D.resolve_all(t["network_users"], checkpoint_between=True)
 
 
 def _n(x: str) -> str:

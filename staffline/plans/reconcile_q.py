@@ -18,6 +18,7 @@ from staffline.operators.reconcile import assign_ids
 from staffline.operators.runlog import run_log_row
 from staffline.plans.registry import query
 from staffline.schemas import TABLES, conform, sql_default
+from staffline.session import cut_lineage
 
 AS_OF = dt.datetime(2000, 7, 15, 10, 30, 0)
 TS = "TIMESTAMP '2000-07-15 10:30:00'"
@@ -288,8 +289,9 @@ def q_job_rank(t):
 
 @query("hist_update", None)
 def q_hist_update(t):
-    """DML-10..11c chained: one full history run on the updated employees."""
-    emp = E.update_employees(t["employees"], t["adp_workers"], t["employee_job_titles"])
+    """DML-10..11c chained: one full history run on the updated employees
+    (the employees table is written first, as the reference commits it)."""
+    emp = cut_lineage(E.update_employees(t["employees"], t["adp_workers"], t["employee_job_titles"]))
     return HI.update_history(t["employee_job_history"], emp, AS_OF)
 
 

@@ -41,11 +41,23 @@ TABLE_FIXTURES = {
 }
 
 
+_CATALOGS: dict[tuple, Catalog] = {}
+
+
+def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
+    """One catalog per (session, data folder): base tables and fixtures are
+    analyzed once and their lazy DataFrames reused by every query."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CATALOGS:
+        _CATALOGS[key] = Catalog(spark, sf_dir)
+    return _CATALOGS[key]
+
+
 class StaffTables(Mapping):
     """Lazy mapping: logical table name -> DataFrame of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.cat = Catalog(spark, sf_dir)
+        self.cat = catalog_for(spark, sf_dir)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLE_FIXTURES:
