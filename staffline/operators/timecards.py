@@ -48,13 +48,14 @@ def flatten_timecards(docs: DataFrame) -> DataFrame:
 def classify_minutes(rows: DataFrame) -> DataFrame:
     """Adds ``minutes`` and the regular / work / paid minute columns plus an
     ``unmapped`` flag for codes in no list (paid 0, the run goes on)."""
-    m = iso_duration_minutes("time_duration")
     code = F.col("pay_code")
-    return (rows.withColumn("minutes", m)
-            .withColumn("regular_minutes", F.when(code.isin(*REGULAR_CODES), m).otherwise(0))
-            .withColumn("work_minutes", F.when(code.isin(*WORK_CODES), m).otherwise(0))
-            .withColumn("paid_minutes", F.when(code.isin(*PAID_CODES), m).otherwise(0))
-            .withColumn("unmapped", ~F.coalesce(code.isin(*KNOWN_CODES), F.lit(False))))
+    m = F.col("minutes")  # parsed once, referenced by the three classes
+    return (rows.withColumn("minutes", iso_duration_minutes("time_duration"))
+            .select("*",
+                    F.when(code.isin(*REGULAR_CODES), m).otherwise(0).alias("regular_minutes"),
+                    F.when(code.isin(*WORK_CODES), m).otherwise(0).alias("work_minutes"),
+                    F.when(code.isin(*PAID_CODES), m).otherwise(0).alias("paid_minutes"),
+                    (~F.coalesce(code.isin(*KNOWN_CODES), F.lit(False))).alias("unmapped")))
 
 
 def lookup_employees(rows: DataFrame, eligible: DataFrame) -> DataFrame:
@@ -110,29 +111,34 @@ def update_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
                        {c: sref(c) for c in ("work_minutes", "paid_minutes", "regular_minutes")})
 
 
-def containing_interval(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None) -> DataFrame:
+def containing_interval(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None,
+                        bucket: str = "year") -> DataFrame:
     """(employee_id, date, history_id, history_job_title_id): for each hours
     row, the history interval containing its date (latest start wins, then
     the larger history id); rows inside no interval are absent.
 
-    Range join as an equi-join on (employee, month): each history interval is
-    expanded to the months it covers, clipped to the months the hours rows
-    span (a one-row aggregate), so only rows of the same employee and month
-    are compared; the best interval per row is a partial aggregate.
+    Range join as an equi-join on (employee, bucket): each history interval is
+    expanded to the buckets (``year`` or ``month``) it covers, clipped to the
+    buckets the hours rows span (a one-row aggregate), so only rows of the
+    same employee and bucket are compared; the best interval per row is a
+    partial aggregate. Years suit long positions (few buckets per interval,
+    few intervals per bucket); months suit short ones.
     """
+    step = F.expr("INTERVAL 1 YEAR") if bucket == "year" else F.expr("INTERVAL 1 MONTH")
+    unit = "year" if bucket == "year" else "month"
     h = hours.select("employee_id", "date")
     hist = conform(history, "employee_job_history").select(
         F.col("id").alias("__hid"), F.col("employee_id").alias("__eid"), F.col("job_title_id").alias("__tid"),
         F.col("start_date").alias("__s"), F.coalesce("end_date", F.lit(dt.date.fromisoformat(OPEN_END_DATE))).alias("__e"))
     span = data_range if data_range is not None else h.agg(
-        F.trunc(F.min("date"), "month").alias("__lo"), F.trunc(F.max("date"), "month").alias("__hi"))
+        F.trunc(F.min("date"), unit).alias("__lo"), F.trunc(F.max("date"), unit).alias("__hi"))
     months = (hist.crossJoin(F.broadcast(span))  # one row
-              .withColumn("__m0", F.greatest(F.trunc("__s", "month"), F.col("__lo")))
-              .withColumn("__m1", F.least(F.trunc("__e", "month"), F.col("__hi")))
+              .withColumn("__m0", F.greatest(F.trunc("__s", unit), F.col("__lo")))
+              .withColumn("__m1", F.least(F.trunc("__e", unit), F.col("__hi")))
               .filter(F.col("__m0") <= F.col("__m1"))
-              .withColumn("__month", F.explode(F.sequence("__m0", "__m1", F.expr("INTERVAL 1 MONTH"))))
+              .withColumn("__month", F.explode(F.sequence("__m0", "__m1", step)))
               .drop("__lo", "__hi", "__m0", "__m1"))
-    cand = (h.withColumn("__hm", F.trunc("date", "month"))
+    cand = (h.withColumn("__hm", F.trunc("date", unit))
             .join(months, (F.col("employee_id") == F.col("__eid")) & (F.col("__hm") == F.col("__month")))
             .filter((F.col("date") >= F.col("__s")) & (F.col("date") <= F.col("__e"))))
     best = first_by(cand.select("employee_id", "date", "__s", "__hid", "__tid"), ["employee_id", "date"],
