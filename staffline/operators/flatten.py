@@ -97,11 +97,12 @@ def flatten_workers(docs: DataFrame, mode: str = "failfast", **kw):
     if mode == "quarantine":
         bad = flat.filter(F.size("__errors") > 0).withColumnRenamed("__errors", "errors")
         return flat.filter(F.size("__errors") == 0).drop("__errors"), bad
-    checked = flat.withColumn("__ok", F.when(
-        F.size("__errors") > 0,
-        F.raise_error(F.concat(F.lit("worker document error: "), F.coalesce(F.col("aoid"), F.lit("?")),
-                               F.lit(": "), F.array_join("__errors", ", ")))))
-    return checked.drop("__errors", "__ok")
+    # A filter predicate (not a dropped column, which the optimizer would prune)
+    # so every row is checked.
+    ok = F.when(F.size("__errors") > 0,
+                F.raise_error(F.concat(F.lit("worker document error: "), F.coalesce(F.col("aoid"), F.lit("?")),
+                                       F.lit(": "), F.array_join("__errors", ", ")))).otherwise(F.lit(True))
+    return flat.filter(ok).drop("__errors")
 
 
 def flatten_directory(entries: DataFrame, source_col: str = "source", offsets: dict | None = None) -> DataFrame:

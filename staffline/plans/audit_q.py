@@ -25,16 +25,16 @@ def q_aud_unmapped_employee(t):
 def _register_entity(kind: str):
     col = AU.MAP_COLUMNS[kind]
     if kind != "employee":
-        @query(f"aud_unmapped_{kind}", f"SELECT id FROM {_ENTITY[kind]} EXCEPT SELECT {col} FROM fx_workforce_map")
         def q_unmapped(t):
             return AU.unmapped_entities(t[_TABLE[kind]], t["workforce_map"], kind)
         q_unmapped.__doc__ = f"AUD-3..7: {kind}s missing from the map."
+        query(f"aud_unmapped_{kind}", f"SELECT id FROM {_ENTITY[kind]} EXCEPT SELECT {col} FROM fx_workforce_map")(q_unmapped)
 
-    @query(f"aud_orphan_{kind}",
-           f"SELECT {col} FROM fx_workforce_map WHERE {col} IS NOT NULL EXCEPT SELECT id FROM {_ENTITY[kind]}")
     def q_orphan(t):
         return AU.orphan_ids(t["workforce_map"], t[_TABLE[kind]], kind)
     q_orphan.__doc__ = f"AUD-2..8: mapped {kind} ids that do not exist."
+    query(f"aud_orphan_{kind}",
+          f"SELECT {col} FROM fx_workforce_map WHERE {col} IS NOT NULL EXCEPT SELECT id FROM {_ENTITY[kind]}")(q_orphan)
 
 
 for _k in _ENTITY:
@@ -101,11 +101,11 @@ def q_aud_dup_network(t):
 def _register_dup(name: str, col: str):
     expr = col_sql("fx_workforce_map", "workforce_map", col, "m")
 
-    @query(f"aud_dup_{name}", f"SELECT {expr} AS {col}, COUNT(*) AS count FROM fx_workforce_map m "
-                              f"WHERE {expr} IS NOT NULL GROUP BY {expr} HAVING COUNT(*) > 1")
     def q(t):
         return AU.duplicate_ids(t["workforce_map"], col)
     q.__doc__ = f"AUD-13..18: {col} used by several people."
+    query(f"aud_dup_{name}", f"SELECT {expr} AS {col}, COUNT(*) AS count FROM fx_workforce_map m "
+                             f"WHERE {expr} IS NOT NULL GROUP BY {expr} HAVING COUNT(*) > 1")(q)
 
 
 for _name, _col in [("employee", "employee_id"), ("contractor", "contractor_id"), ("learner", "learner_id"),

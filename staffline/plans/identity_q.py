@@ -49,12 +49,11 @@ def _dup_sql(name: str) -> str:
 
 
 def _register_dup(name: str):
-    @query(f"dup_{name}", _dup_sql(name))
     def q(t):
         return D.resolve_duplicates(t["network_users"], name)
 
     q.__doc__ = f"DML-24..29: duplicate accounts by {name} demoted to secondary."
-    return q
+    return query(f"dup_{name}", _dup_sql(name))(q)
 
 
 for _name in D.RESOLVERS:
