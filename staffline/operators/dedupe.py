@@ -76,8 +76,12 @@ def resolve_duplicates(users: DataFrame, name: str, domain: str = ORG_DOMAIN) ->
 
 
 def resolve_all(users: DataFrame, sequence=DEFAULT_SEQUENCE, domain: str = ORG_DOMAIN,
-                checkpoint_between: bool = False) -> DataFrame:
-    """Run resolvers in order, each seeing the previous one's result."""
+                checkpoint_between: bool = True) -> DataFrame:
+    """Run resolvers in order, each seeing the previous one's result.
+
+    Each pass reads its input twice (winners, then the join back), so chained
+    passes would multiply the plan; by default every pass is written to the
+    checkpoint folder (as each UPDATE commits in the reference)."""
     from staffline.session import cut_lineage
     out = users
     for name in sequence:
