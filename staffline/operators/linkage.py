@@ -26,15 +26,18 @@ KIND_RANK = {"email": 0, "full_name": 1, "first_last": 2}
 
 
 def _keys(df: DataFrame, id_col: str, entries: list[tuple[str, Column, Column | None]], extra=()) -> DataFrame:
-    """One row per (id, kind, k1, k2) for every non-blank key of a row."""
+    """One row per non-blank key of a row: (id, kind, k1, k2).
+
+    A row may repeat a key (same e-mail in two columns); every consumer
+    reduces with ``min``, so repeats are harmless and no distinct (shuffle)
+    is needed here."""
     arr = F.array(*[F.struct(F.lit(kind).alias("kind"), k1.alias("k1"),
                              (k2 if k2 is not None else F.lit("")).alias("k2"))
                     for kind, k1, k2 in entries])
     return (df.select(F.col(id_col).alias("__id"), *extra, F.explode(arr).alias("__k"))
             .select("__id", *[F.col(c) for c in extra], "__k.kind", "__k.k1", "__k.k2")
             .filter(F.col("k1").isNotNull() & (F.col("k1") != "") & F.col("k2").isNotNull()
-                    & ~((F.col("kind") == "first_last") & (F.col("k2") == "")))
-            .distinct())
+                    & ~((F.col("kind") == "first_last") & (F.col("k2") == ""))))
 
 
 def _email_keys(df: DataFrame, id_col: str, cols=("network_email", "email", "primary_email")) -> DataFrame:
