@@ -415,6 +415,19 @@ def q_net_reconcile(t):
     return A.reconcile_accounts(t["network_users"], t["network_snapshot"], AS_OF)
 
 
+@query("net_reconcile_short_circuit", None)
+def q_net_reconcile_short_circuit(t):
+    """DML-19: the run with the reference's early exit (no diff rows: no deletes / undeletes either)."""
+    return A.reconcile_accounts(t["network_users"], t["network_snapshot"], AS_OF, short_circuit=True)
+
+
+@query("emp_upsert", None)
+def q_emp_upsert(t):
+    """DML-5..9 chained: update, insert, soft delete of employees in one run."""
+    emp, _ = E.upsert_employees(t["employees"], t["employee_info"], t["adp_workers"], t["employee_job_titles"], AS_OF)
+    return emp
+
+
 @query("run_log", f"""
 WITH d AS ({_DIFF_SQL}),
 c AS ({_net_count_sql()})

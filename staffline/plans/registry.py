@@ -79,6 +79,10 @@ def query(key: str, oracle: str | None = None):
             raise ValueError(f"duplicate query key {key}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Reports are computed in UTC whatever the caller's session zone is
+            # (timestamps of the snapshots are wall-clock values).
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(StaffTables(spark, sf_dir))
 
         run.__name__ = f"q_{key}"
