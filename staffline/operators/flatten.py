@@ -31,8 +31,11 @@ def _date(c: Column) -> Column:
     return c.try_cast("date")
 
 
+PA = "__pa"  # the primary assignment, extracted once per row
+
+
 def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = POSITION_PREFIX) -> list[tuple]:
-    pa = primary_assignment()
+    pa = F.col(PA)
     unit = F.get(pa["assignedOrganizationalUnits"], 1)["nameCode"]
     person = _w("person")
     dates = _w("customFieldGroup.dateFields")
@@ -89,9 +92,10 @@ def flatten_workers(docs: DataFrame, mode: str = "failfast", **kw):
     """One staging row per worker. ``docs`` has a ``workers`` array column (a
     landed page) or one worker struct per row in column ``w``."""
     rows = docs.select(F.explode("workers").alias(W)) if "workers" in docs.columns else docs
+    rows = rows.select(W, primary_assignment().alias(PA))
     spec = worker_columns(**kw)
     errors = F.array_compact(F.array(
-        F.when(primary_assignment().isNull(), F.lit("no primary assignment")),
+        F.when(F.col(PA).isNull(), F.lit("no primary assignment")),
         *[F.when(expr.isNull(), F.lit(name)) for name, expr, policy in spec if policy == "R"]))
     flat = rows.select(*[expr.alias(name) for name, expr, _ in spec], errors.alias("__errors"))
     if mode == "quarantine":
