@@ -119,8 +119,10 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
 
 
 def timecard_documents_from_tables(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """One timecard JSON document per line item (one card, one daily total):
-    a projection after the order join, no grouping."""
+    """One timecard JSON document per order, one time card per line.
+
+    JSON cost is per document, so cards are grouped; a group is bounded by
+    the lines of one order."""
     pay = (F.when(F.col("l_linenumber") == 1, "REGULAR").when(F.col("l_linenumber") == 2, "REGSAL")
            .when(F.col("l_linenumber") == 3, "OVERTIME").when(F.col("l_linenumber") == 4, "PTO")
            .when(F.col("l_linenumber") == 5, "UNPAID").otherwise("ZZZ"))
@@ -133,7 +135,8 @@ def timecard_documents_from_tables(lineitem: DataFrame, orders: DataFrame) -> Da
             F.concat(F.lit("PT"), (q % 12).cast("string"), F.lit("H"), q.cast("string"), F.lit("M")).alias("timeDuration"),
             F.struct(pay.alias("codeValue"), F.lower(pay).alias("shortName")).alias("payCode"))).alias("dailyTotals"))
     lines = lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.select(F.to_json(F.struct(F.array(card).alias("timeCards"))).alias("doc"))
+    return (lines.groupBy("l_orderkey").agg(F.collect_list(card).alias("timeCards"))
+            .select(F.to_json(F.struct("timeCards")).alias("doc")))
 
 
 def directory_entries_from_tables(customer: DataFrame) -> DataFrame:
