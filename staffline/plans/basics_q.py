@@ -148,12 +148,12 @@ def q_join_inner(t):
     return t["employees"].join(tt, F.col("job_title_id") == F.col("__tid")).select("id", "job_title")
 
 
-@query("join_compound", """SELECT w.aoid, t.id AS title_sk FROM fx_adp_workers w
+@query("join_compound", """SELECT w.aoid, t.id AS title_sk FROM fx_worker_staging w
 JOIN fx_job_titles t ON w.job_title_id = t.job_title_id AND w.job_title = t.job_title""")
 def q_join_compound(t):
     """JOIN-2: inner join on (job_title_id, job_title)."""
     tt = t["employee_job_titles"].select(F.col("id").alias("title_sk"), "job_title_id", "job_title")
-    return t["adp_workers"].join(tt, ["job_title_id", "job_title"]).select("aoid", "title_sk")
+    return t["worker_staging"].join(tt, ["job_title_id", "job_title"]).select("aoid", "title_sk")
 
 
 @query("anti_join", f"""SELECT d.employee_id, d.date FROM ({_DAILY}) d
@@ -254,10 +254,10 @@ def q_agg_string(t):
     return rows.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("source")), " | ").alias("sources"))
 
 
-@query("agg_distinct", "SELECT DISTINCT department_id, department FROM fx_adp_workers")
+@query("agg_distinct", "SELECT DISTINCT department_id, department FROM fx_worker_staging")
 def q_agg_distinct(t):
     """AGG-8: SELECT DISTINCT."""
-    return t["adp_workers"].select("department_id", "department").distinct()
+    return t["worker_staging"].select("department_id", "department").distinct()
 
 
 @query("agg_expr_group", "SELECT concat_ws(' ', first_name, last_name) AS name, COUNT(*) AS n FROM fx_network_users GROUP BY 1")

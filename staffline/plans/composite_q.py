@@ -47,7 +47,7 @@ def _emp_chain() -> str:
     new = {"job_title_id": "s.title_sk", "inserted_at": TS, "is_deleted": "FALSE",
            "deleted_at": "CAST(NULL AS TIMESTAMP)"}
     new_sel = ", ".join(f"{new.get(c, 's.' + c)} AS {c}" for c in all_cols)
-    gone = "(x.aoid NOT IN (SELECT aoid FROM fx_adp_workers WHERE aoid IS NOT NULL) AND x.is_deleted = FALSE)"
+    gone = "(x.aoid NOT IN (SELECT aoid FROM fx_worker_staging WHERE aoid IS NOT NULL) AND x.is_deleted = FALSE)"
     final = ", ".join(
         f"CASE WHEN {gone} THEN TRUE ELSE x.is_deleted END AS is_deleted" if c == "is_deleted" else
         f"CASE WHEN {gone} THEN {TS} ELSE x.deleted_at END AS deleted_at" if c == "deleted_at" else f"x.{c}"
@@ -55,7 +55,7 @@ def _emp_chain() -> str:
     return f"""
 WITH s1 AS ({_emp_update_sql()}),
 s2 AS (SELECT * FROM s1 UNION ALL
-       SELECT {new_sel} FROM (SELECT w.*, jt.id AS title_sk FROM fx_adp_workers w JOIN fx_job_titles jt
+       SELECT {new_sel} FROM (SELECT w.*, jt.id AS title_sk FROM fx_worker_staging w JOIN fx_job_titles jt
          ON w.job_title_id = jt.job_title_id AND w.job_title = jt.job_title) s
        WHERE s.aoid NOT IN (SELECT aoid FROM s1 WHERE aoid IS NOT NULL))
 SELECT {final} FROM s2 x"""

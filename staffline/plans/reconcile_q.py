@@ -56,30 +56,30 @@ def conformed_sql(fx: str, table: str, alias: str = "x") -> str:
 @query("dim_departments", """
 SELECT id, name FROM fx_departments
 UNION ALL
-SELECT department_id AS id, MIN(department) AS name FROM fx_adp_workers
+SELECT department_id AS id, MIN(department) AS name FROM fx_worker_staging
 WHERE department_id IS NOT NULL AND department_id NOT IN (SELECT id FROM fx_departments)
 GROUP BY department_id
 """)
 def q_dim_departments(t):
     """DML-1: departments seen for the first time."""
-    return E.new_departments(t["adp_workers"], t["departments"])
+    return E.new_departments(t["worker_staging"], t["departments"])
 
 
 @query("dim_locations", """
 SELECT id, location, CAST(NULL AS VARCHAR) AS epic_location_id, epic_location, CAST(NULL AS VARCHAR) AS county
 FROM fx_locations
 UNION ALL
-SELECT location_id, MIN(location), NULL, NULL, NULL FROM fx_adp_workers
+SELECT location_id, MIN(location), NULL, NULL, NULL FROM fx_worker_staging
 WHERE location_id IS NOT NULL AND location_id NOT IN (SELECT id FROM fx_locations)
 GROUP BY location_id
 """)
 def q_dim_locations(t):
     """DML-2: locations seen for the first time."""
-    return E.new_locations(t["adp_workers"], t["locations"])
+    return E.new_locations(t["worker_staging"], t["locations"])
 
 
 @query("dim_job_titles", f"""
-WITH new AS (SELECT job_title_id, job_title FROM fx_adp_workers
+WITH new AS (SELECT job_title_id, job_title FROM fx_worker_staging
              WHERE job_title_id IS NOT NULL AND job_title IS NOT NULL
              EXCEPT SELECT job_title_id, job_title FROM fx_job_titles)
 SELECT {conformed_sql('fx_job_titles', 'employee_job_titles')} FROM fx_job_titles x
@@ -89,11 +89,11 @@ SELECT CAST((SELECT MAX(id) FROM fx_job_titles) + ROW_NUMBER() OVER (ORDER BY jo
 """)
 def q_dim_job_titles(t):
     """DML-3: new (job_title_id, job_title) pairs with the next surrogate ids."""
-    return E.new_job_titles(t["adp_workers"], t["employee_job_titles"], AS_OF)
+    return E.new_job_titles(t["worker_staging"], t["employee_job_titles"], AS_OF)
 
 
 # ------------------------------------------------------------------ employees
-_S_TITLED = """SELECT w.*, jt.id AS title_sk FROM fx_adp_workers w
+_S_TITLED = """SELECT w.*, jt.id AS title_sk FROM fx_worker_staging w
   JOIN fx_job_titles jt ON w.job_title_id = jt.job_title_id AND w.job_title = jt.job_title
   QUALIFY ROW_NUMBER() OVER (PARTITION BY w.aoid ORDER BY w.id, jt.id) = 1"""
 
@@ -123,35 +123,35 @@ def _emp_count_sql() -> str:
     return f"""
 SELECT COUNT(CASE WHEN {_diff_pred(pairs, False)} THEN 1 END) AS changed_reference,
        COUNT(CASE WHEN {_diff_pred(pairs, True)} THEN 1 END) AS changed
-FROM fx_adp_workers w JOIN fx_employees e ON w.aoid = e.aoid JOIN fx_employee_info i ON w.aoid = i.aoid
+FROM fx_worker_staging w JOIN fx_employees e ON w.aoid = e.aoid JOIN fx_employee_info i ON w.aoid = i.aoid
   JOIN fx_job_titles jt ON w.job_title_id = jt.job_title_id AND w.job_title = jt.job_title"""
 
 
 @query("emp_change_count", _emp_count_sql())
 def q_emp_change_count(t):
     """DML-4: matched employees with a change (NULL-unsafe and NULL-safe counts)."""
-    return E.employee_change_count(t["adp_workers"], t["employees"], t["employee_info"], t["employee_job_titles"])
+    return E.employee_change_count(t["worker_staging"], t["employees"], t["employee_info"], t["employee_job_titles"])
 
 
 @query("emp_update", _emp_update_sql())
 def q_emp_update(t):
     """DML-5: employees overwritten from the snapshot (24 columns incl. id)."""
-    return E.update_employees(t["employees"], t["adp_workers"], t["employee_job_titles"])
+    return E.update_employees(t["employees"], t["worker_staging"], t["employee_job_titles"])
 
 
-_INFO_UPSERT_SQL = ("WITH s AS (SELECT * FROM fx_adp_workers QUALIFY ROW_NUMBER() OVER (PARTITION BY aoid ORDER BY id) = 1) "
+_INFO_UPSERT_SQL = ("WITH s AS (SELECT * FROM fx_worker_staging QUALIFY ROW_NUMBER() OVER (PARTITION BY aoid ORDER BY id) = 1) "
                     "SELECT " + ", ".join(
                         "i.aoid AS aoid" if c == "aoid" else f"CASE WHEN s.aoid IS NOT NULL THEN s.{c} ELSE i.{c} END AS {c}"
                         for c in cols("employee_info"))
                     + " FROM fx_employee_info i LEFT JOIN s ON i.aoid = s.aoid UNION ALL SELECT "
                     + ", ".join(cols("employee_info"))
-                    + " FROM fx_adp_workers WHERE aoid NOT IN (SELECT aoid FROM fx_employee_info)")
+                    + " FROM fx_worker_staging WHERE aoid NOT IN (SELECT aoid FROM fx_employee_info)")
 
 
 @query("emp_info_upsert", _INFO_UPSERT_SQL)
 def q_emp_info_upsert(t):
     """DML-6 + DML-8: employee_info updated and new aoids inserted."""
-    return E.upsert_employee_info(t["employee_info"], t["adp_workers"])
+    return E.upsert_employee_info(t["employee_info"], t["worker_staging"])
 
 
 def _emp_insert_sql() -> str:
@@ -169,7 +169,7 @@ def _emp_insert_sql() -> str:
             new_cols.append(f"s.{c}")
     return (f"SELECT {conformed_sql('fx_employees', 'employees', 'e')} FROM fx_employees e UNION ALL "
             f"SELECT {', '.join(new_cols)} FROM ("
-            "SELECT w.*, jt.id AS title_sk FROM fx_adp_workers w JOIN fx_job_titles jt "
+            "SELECT w.*, jt.id AS title_sk FROM fx_worker_staging w JOIN fx_job_titles jt "
             "ON w.job_title_id = jt.job_title_id AND w.job_title = jt.job_title) s "
             "WHERE s.aoid NOT IN (SELECT aoid FROM fx_employees)")
 
@@ -177,7 +177,7 @@ def _emp_insert_sql() -> str:
 @query("emp_insert", _emp_insert_sql())
 def q_emp_insert(t):
     """DML-7: new workers (known title, new aoid) appended to employees."""
-    return E.insert_employees(t["employees"], t["adp_workers"], t["employee_job_titles"], AS_OF)
+    return E.insert_employees(t["employees"], t["worker_staging"], t["employee_job_titles"], AS_OF)
 
 
 def _soft_delete_sql(fx: str, table: str, key: str, present: str) -> str:
@@ -194,10 +194,10 @@ def _soft_delete_sql(fx: str, table: str, key: str, present: str) -> str:
     return f"SELECT {', '.join(out)} FROM {fx} x"
 
 
-@query("emp_soft_delete", _soft_delete_sql("fx_employees", "employees", "aoid", "fx_adp_workers"))
+@query("emp_soft_delete", _soft_delete_sql("fx_employees", "employees", "aoid", "fx_worker_staging"))
 def q_emp_soft_delete(t):
     """DML-9: employees absent from the snapshot are flagged deleted."""
-    return E.soft_delete_employees(t["employees"], t["adp_workers"], AS_OF)
+    return E.soft_delete_employees(t["employees"], t["worker_staging"], AS_OF)
 
 
 @query("emp_key_cascade", f"""
@@ -208,16 +208,16 @@ FROM fx_job_history h LEFT JOIN ch ON h.employee_id = ch.old_id
 """)
 def q_emp_key_cascade(t):
     """DML-5b: job history re-keyed where the update changed employee ids."""
-    changes = E.employee_id_changes(t["employees"], t["adp_workers"], t["employee_job_titles"])
+    changes = E.employee_id_changes(t["employees"], t["worker_staging"], t["employee_job_titles"])
     return E.cascade_employee_ids({"employee_job_history": t["employee_job_history"]}, changes)["employee_job_history"]
 
 
 @query("new_employee_count", """
-SELECT COUNT(*) AS new_employees FROM (SELECT aoid FROM fx_adp_workers EXCEPT SELECT aoid FROM fx_employees)
+SELECT COUNT(*) AS new_employees FROM (SELECT aoid FROM fx_worker_staging EXCEPT SELECT aoid FROM fx_employees)
 """)
 def q_new_employee_count(t):
     """DML-7 count: ``aoid`` EXCEPT (can exceed the inserts, which need a title)."""
-    return E.new_employee_count(t["employees"], t["adp_workers"])
+    return E.new_employee_count(t["employees"], t["worker_staging"])
 
 
 # -------------------------------------------------------------------- history
@@ -236,7 +236,7 @@ SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY s
 """)
 def q_hist_insert(t):
     """DML-10: new positions of the updated employees appended to the history."""
-    emp = E.update_employees(t["employees"], t["adp_workers"], t["employee_job_titles"])
+    emp = E.update_employees(t["employees"], t["worker_staging"], t["employee_job_titles"])
     return HI.insert_positions(t["employee_job_history"], emp, AS_OF)
 
 
@@ -291,7 +291,7 @@ def q_job_rank(t):
 def q_hist_update(t):
     """DML-10..11c chained: one full history run on the updated employees
     (the employees table is written first, as the reference commits it)."""
-    emp = cut_lineage(E.update_employees(t["employees"], t["adp_workers"], t["employee_job_titles"]))
+    emp = cut_lineage(E.update_employees(t["employees"], t["worker_staging"], t["employee_job_titles"]))
     return HI.update_history(t["employee_job_history"], emp, AS_OF)
 
 
@@ -424,7 +424,7 @@ def q_net_reconcile_short_circuit(t):
 @query("emp_upsert", None)
 def q_emp_upsert(t):
     """DML-5..9 chained: update, insert, soft delete of employees in one run."""
-    emp, _ = E.upsert_employees(t["employees"], t["employee_info"], t["adp_workers"], t["employee_job_titles"], AS_OF)
+    emp, _ = E.upsert_employees(t["employees"], t["employee_info"], t["worker_staging"], t["employee_job_titles"], AS_OF)
     return emp
 
 

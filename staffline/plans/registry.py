@@ -35,7 +35,7 @@ TABLE_FIXTURES = {
     "analytics_users": "fx_analytics_users",
     "clinical_users": "fx_clinical_users",
     "clinical_providers": "fx_clinical_providers",
-    "adp_workers": "fx_adp_workers",
+    "worker_staging": "fx_worker_staging",
     "employee_info": "fx_employee_info",
     "timecard_dates": "fx_timecard_dates",
 }

@@ -15,14 +15,14 @@ from staffline.plans.timecard_q import _CLASSIFIED, _DAILY, _daily, _rows
 @query("run_log_workers", f"""
 WITH c AS ({_emp_count_sql()})
 SELECT CAST(NULL AS INTEGER) AS id, 'workers' AS query_type, {TS} AS logged_at,
-  (SELECT COUNT(*) FROM fx_adp_workers) AS query_count, c.changed_reference AS update_count,
-  (SELECT COUNT(*) FROM (SELECT aoid FROM fx_adp_workers EXCEPT SELECT aoid FROM fx_employees)) AS insert_count,
+  (SELECT COUNT(*) FROM fx_worker_staging) AS query_count, c.changed_reference AS update_count,
+  (SELECT COUNT(*) FROM (SELECT aoid FROM fx_worker_staging EXCEPT SELECT aoid FROM fx_employees)) AS insert_count,
   CAST(NULL AS VARCHAR) AS failure_step, CAST(NULL AS VARCHAR) AS warnings, TRUE AS is_success
 FROM c
 """)
 def q_run_log_workers(t):
     """SNK-2: log row of a worker run (snapshot size, changed, new), counted before the change."""
-    w = t["adp_workers"]
+    w = t["worker_staging"]
     counts = (w.agg(F.count(F.lit(1)).alias("query_count"))
               .crossJoin(E.employee_change_count(w, t["employees"], t["employee_info"], t["employee_job_titles"]))
               .crossJoin(E.new_employee_count(t["employees"], w)))

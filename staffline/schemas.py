@@ -77,7 +77,7 @@ TABLES: dict[str, StructType] = {
                                    ("hcai_line", S), ("hours", DEC62), ("inserted_at", TS),
                                    ("pre_graduate", S), ("post_graduate", S), ("workforce_role", S)),
     "holidays": _schema(("holiday", S), ("date", S)),
-    "adp_api_log": _schema(("id", I), ("query_type", S), ("logged_at", TS), ("query_count", L),
+    "run_log": _schema(("id", I), ("query_type", S), ("logged_at", TS), ("query_count", L),
                            ("update_count", L), ("insert_count", L), ("failure_step", S),
                            ("warnings", S), ("is_success", B)),
 }
@@ -87,7 +87,7 @@ TABLES: dict[str, StructType] = {
 DEFAULTS: dict[str, dict] = {
     "network_users": {"is_primary_acct": True, "is_non_user": False, "is_disabled": False, "is_deleted": False},
     "employees": {"is_deleted": False},
-    "adp_api_log": {"is_success": False},
+    "run_log": {"is_success": False},
 }
 
 

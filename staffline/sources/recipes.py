@@ -84,7 +84,7 @@ RECIPES.update({
     # Full worker staging rows (the flattened HR snapshot), derived from
     # fx_workers_snapshot: some payroll ids change (id % 29), some titles are new (id % 7),
     # some workers are re-hired under a new aoid (id % 31).
-    "fx_adp_workers": (
+    "fx_worker_staging": (
         "SELECT CAST(CASE WHEN w.id % 29 = 0 THEN w.id + 100000 ELSE w.id END AS INT) AS id, "
         "CASE WHEN w.id % 31 = 0 THEN concat('H', substr(w.aoid, 2)) ELSE w.aoid END AS aoid, "
         "w.location_id, w.location, w.department_id, w.department, "
