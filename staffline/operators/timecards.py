@@ -77,6 +77,20 @@ def daily_minutes(rows: DataFrame) -> DataFrame:
             .withColumnRenamed("entry_date", "date"))
 
 
+def daily_minutes_prereduced(classified: DataFrame, eligible: DataFrame) -> DataFrame:
+    """``daily_minutes(lookup_employees(classified, eligible))`` with the minutes
+    summed per (aoid, period, date) before the lookup join, so the join and its
+    shuffle see one row per person-day instead of one per pay-code entry; the
+    second sum merges aoids that share an employee id, as the per-row form does."""
+    keys = ["associate_oid", "period_start", "entry_date"]
+    pre = (classified.filter(F.col("associate_oid").isNotNull() & F.col("period_start").isNotNull()
+                             & F.col("entry_date").isNotNull())
+           .groupBy(*keys)
+           .agg(F.sum("work_minutes").alias("work_minutes"), F.sum("paid_minutes").alias("paid_minutes"),
+                F.sum("regular_minutes").alias("regular_minutes")))
+    return daily_minutes(lookup_employees(pre, eligible))
+
+
 def unmapped_paycodes(rows: DataFrame) -> DataFrame:
     """Pay codes in no list, with how many rows carry them."""
     return (rows.filter(F.col("unmapped")).groupBy("pay_code")
@@ -180,5 +194,5 @@ def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) ->
 
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",
-           "daily_minutes", "unmapped_paycodes", "new_timecard_dates", "per_day", "hours_change_count",
+           "daily_minutes", "daily_minutes_prereduced", "unmapped_paycodes", "new_timecard_dates", "per_day", "hours_change_count",
            "update_hours", "containing_interval", "retitle_hours", "insert_hours", "upsert_hours"]

@@ -50,8 +50,7 @@ def _rows(t):
 
 
 def _daily(t):
-    rows = TC.lookup_employees(TC.classify_minutes(_rows(t)), TC.eligible_employees(t["employees"], AS_OF))
-    return TC.daily_minutes(rows)
+    return TC.daily_minutes_prereduced(TC.classify_minutes(_rows(t)), TC.eligible_employees(t["employees"], AS_OF))
 
 
 @query("timecard_flatten", """
