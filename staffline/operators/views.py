@@ -33,54 +33,91 @@ def _email_chain(*cols):
     return F.coalesce("nu_primary_email", "nu_email", "nu_network_email", *cols)
 
 
+def _by_map_id(wm: DataFrame, key: str, entity: DataFrame, entity_key: str = "id") -> DataFrame:
+    """Entity columns keyed by map ``id``: the narrow (id, key) pairs of the
+    map rows that have the key, joined to the entity. NULL keys never enter the
+    join (no hot NULL partition), and only the narrow attribute rows are
+    shuffled back to the map's partitioning on ``id``."""
+    pairs = wm.filter(F.col(key).isNotNull()).select(F.col("id").alias("__mid"), F.col(key).alias("__k"))
+    return (pairs.join(entity.withColumnRenamed(entity_key, "__k"), "__k")
+            .drop("__k").withColumnRenamed("__mid", "id"))
+
+
+def _identity_frames(t: dict, with_titles: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """The map and, keyed by map id, the account / employee / contractor /
+    learner / volunteer columns used by the people views."""
+    wm = conform(t["workforce_map"], "workforce_map")
+    emp = conform(t["employees"], "employees")
+    con = conform(t["contractors"], "contractors")
+    lrn = conform(t["learners"], "learners")
+    vol = conform(t["volunteers"], "volunteers")
+    base = ["first_name", "last_name", "email"]
+    extra = ["job_title", "uds_line", "hcai_line"] if with_titles else []
+    e_cols = ["id", "legal_first_name", "legal_last_name", "work_email"]
+    if with_titles:
+        e_cols += ["job_title_id", "status", "hire_date", "start_date", "termination_date"]
+    e = _pref(emp, "e_", e_cols).withColumnRenamed("e_id", "id")
+    c = _pref(con, "c_", ["id"] + base + extra).withColumnRenamed("c_id", "id")
+    lr = _pref(lrn, "l_", ["id"] + base + extra).withColumnRenamed("l_id", "id")
+    v = _pref(vol, "v_", ["id"] + base + extra).withColumnRenamed("v_id", "id")
+    if with_titles:
+        titles = conform(t["employee_job_titles"], "employee_job_titles")
+        jt = _pref(titles, "t_", ["id", "job_title", "uds_line", "hcai_line"])
+        e = e.join(jt, F.col("e_job_title_id") == F.col("t_id"), "left").drop("t_id")
+        for df_name, hours_name, pfx in (("c", "contractor_job_hours", "c"), ("l", "learner_job_hours", "l"),
+                                          ("v", "volunteer_job_hours", "v")):
+            key = {"c": "contractor_id", "l": "learner_id", "v": "volunteer_id"}[pfx]
+            h = conform(t[hours_name], hours_name)
+            first = (h.groupBy(F.col(key).alias(f"_{pfx}d_id"), F.col("job_title").alias(f"_{pfx}d_t"))
+                     .agg(F.min("start_date").alias(f"{pfx}_start")))
+            frame = {"c": c, "l": lr, "v": v}[df_name]
+            frame = (frame.join(first, (F.col("id") == F.col(f"_{pfx}d_id"))
+                                & (F.col(f"{pfx}_job_title") == F.col(f"_{pfx}d_t")), "left")
+                     .drop(f"_{pfx}d_id", f"_{pfx}d_t"))
+            if df_name == "c":
+                c = frame
+            elif df_name == "l":
+                lr = frame
+            else:
+                v = frame
+    nu = _network(t["network_users"]).withColumnRenamed("nu_id", "id")
+    frames = [_by_map_id(wm, "network_id", nu), _by_map_id(wm, "employee_id", e),
+              _by_map_id(wm, "contractor_id", c), _by_map_id(wm, "learner_id", lr),
+              _by_map_id(wm, "volunteer_id", v)]
+    return wm, frames
+
+
+def _staff_name():
+    return (F.when(F.col("employee_id").isNotNull(), tsql_concat("e_legal_first_name", F.lit(" "), "e_legal_last_name"))
+            .when(looks_like_person("nu_common_name"), F.col("nu_common_name"))
+            .when(F.col("contractor_id").isNotNull(), tsql_concat("c_first_name", F.lit(" "), "c_last_name"))
+            .when(F.col("learner_id").isNotNull(), tsql_concat("l_first_name", F.lit(" "), "l_last_name"))
+            .when(F.col("volunteer_id").isNotNull(), tsql_concat("v_first_name", F.lit(" "), "v_last_name")))
+
+
 def view_people(t: dict, params: Params) -> DataFrame:
     """One row per mapped person (VW-1).
 
-    Learner / volunteer hour rows are collapsed to the earliest start date per
-    person instead of fanning out one row per hour row (VW-l re-aimed).
+    Every lookup is joined on the map's unique ``id`` (see ``_by_map_id``), so
+    the map is partitioned once. Learner / volunteer hour rows are collapsed
+    to the earliest start date per (person, title) instead of fanning out one
+    row per hour row (VW-l re-aimed).
     """
-    y = params.reporting_year
-    wm = conform(t["workforce_map"], "workforce_map")
+    wm, frames = _identity_frames(t, with_titles=True)
     emp = conform(t["employees"], "employees")
     titles = conform(t["employee_job_titles"], "employee_job_titles")
-    con = conform(t["contractors"], "contractors")
-    lrn = conform(t["learners"], "learners")
-    vol = conform(t["volunteers"], "volunteers")
     cjh = conform(t["contractor_job_hours"], "contractor_job_hours")
     ljh = conform(t["learner_job_hours"], "learner_job_hours")
     vjh = conform(t["volunteer_job_hours"], "volunteer_job_hours")
-
     rows = H.workforce_hours(wm, emp, t["employee_hours"], titles, cjh, ljh, vjh, params)
     ftes = H.calendar_year_ftes(rows, params)
-
-    c_dates = (cjh.groupBy(F.col("contractor_id").alias("_cd_id"), F.col("job_title").alias("_cd_t"))
-               .agg(F.min("start_date").alias("c_start")))
-    l_dates = (ljh.groupBy(F.col("learner_id").alias("_ld_id"), F.col("job_title").alias("_ld_t"))
-               .agg(F.min("start_date").alias("l_start")))
-    v_dates = (vjh.groupBy(F.col("volunteer_id").alias("_vd_id"), F.col("job_title").alias("_vd_t"))
-               .agg(F.min("start_date").alias("v_start")))
-    clin = t["clinical_providers"].select(F.col("user_id").alias("epic_id"), F.col("prov_id").alias("epic_prov_id"))
-
-    e = _pref(emp, "e_", ["id", "legal_first_name", "legal_last_name", "work_email", "job_title_id",
-                          "status", "hire_date", "start_date", "termination_date"])
-    jt = _pref(titles, "t_", ["id", "job_title", "uds_line", "hcai_line"])
-    c = _pref(con, "c_", ["id", "first_name", "last_name", "email", "job_title", "uds_line", "hcai_line"])
-    lr = _pref(lrn, "l_", ["id", "first_name", "last_name", "email", "job_title", "uds_line", "hcai_line"])
-    v = _pref(vol, "v_", ["id", "first_name", "last_name", "email", "job_title", "uds_line", "hcai_line"])
-
-    j = (wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
-                   F.col("epic_id").cast("string").alias("epic_id"), "ecw_ids")
-         .join(_network(t["network_users"]), F.col("network_id") == F.col("nu_id"), "left")
-         .join(ftes, "id", "left")
-         .join(e, F.col("employee_id") == F.col("e_id"), "left")
-         .join(jt, F.col("e_job_title_id") == F.col("t_id"), "left")
-         .join(c, F.col("contractor_id") == F.col("c_id"), "left")
-         .join(c_dates, (F.col("c_id") == F.col("_cd_id")) & (F.col("c_job_title") == F.col("_cd_t")), "left")
-         .join(lr, F.col("learner_id") == F.col("l_id"), "left")
-         .join(l_dates, (F.col("l_id") == F.col("_ld_id")) & (F.col("l_job_title") == F.col("_ld_t")), "left")
-         .join(v, F.col("volunteer_id") == F.col("v_id"), "left")
-         .join(v_dates, (F.col("v_id") == F.col("_vd_id")) & (F.col("v_job_title") == F.col("_vd_t")), "left")
-         .join(clin, "epic_id", "left"))
+    clin = _by_map_id(wm.withColumn("epic_id", F.col("epic_id").cast("string")), "epic_id",
+                      t["clinical_providers"].select(F.col("user_id").alias("id"),
+                                                     F.col("prov_id").alias("epic_prov_id")))
+    j = wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
+                  F.col("epic_id").cast("string").alias("epic_id"), "ecw_ids")
+    for f in frames + [ftes, clin]:
+        j = j.join(f, "id", "left")
 
     staff_type = F.coalesce(
         F.col("calendar_year_hours_source"),
@@ -88,11 +125,6 @@ def view_people(t: dict, params: Params) -> DataFrame:
         .when(F.col("contractor_id").isNotNull(), "Contractor")
         .when(F.col("learner_id").isNotNull(), "Learner")
         .when(F.col("volunteer_id").isNotNull(), "Volunteer"))
-    staff_name = (F.when(F.col("employee_id").isNotNull(), tsql_concat("e_legal_first_name", F.lit(" "), "e_legal_last_name"))
-                  .when(looks_like_person("nu_common_name"), F.col("nu_common_name"))
-                  .when(F.col("contractor_id").isNotNull(), tsql_concat("c_first_name", F.lit(" "), "c_last_name"))
-                  .when(F.col("learner_id").isNotNull(), tsql_concat("l_first_name", F.lit(" "), "l_last_name"))
-                  .when(F.col("volunteer_id").isNotNull(), tsql_concat("v_first_name", F.lit(" "), "v_last_name")))
     status = (F.when((F.col("e_status") == "Terminated") | F.col("nu_is_deleted"), "Terminated")
               .when((F.col("e_status") == "Inactive") | F.col("nu_is_disabled"), "Inactive")
               .otherwise("Active"))
@@ -103,7 +135,7 @@ def view_people(t: dict, params: Params) -> DataFrame:
                      F.col("nu_deleted_at").cast("timestamp"))
     return j.select(
         "id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
-        staff_type.alias("staff_type"), staff_name.alias("staff_name"),
+        staff_type.alias("staff_type"), _staff_name().alias("staff_name"),
         _email_chain("e_work_email", "c_email", "l_email", "v_email").alias("email"),
         F.coalesce("t_job_title", "c_job_title", "l_job_title", "v_job_title", "nu_job_title").alias("job_title"),
         F.coalesce("t_uds_line", "c_uds_line", "l_uds_line", "v_uds_line").alias("current_uds_line"),
@@ -117,23 +149,11 @@ def view_people(t: dict, params: Params) -> DataFrame:
 
 def _person_names(t: dict) -> DataFrame:
     """id, full_name, email of every mapped person (the inner view of VW-2)."""
-    wm = conform(t["workforce_map"], "workforce_map")
-    emp = _pref(conform(t["employees"], "employees"), "e_", ["id", "legal_first_name", "legal_last_name", "work_email"])
-    c = _pref(conform(t["contractors"], "contractors"), "c_", ["id", "first_name", "last_name", "email"])
-    lr = _pref(conform(t["learners"], "learners"), "l_", ["id", "first_name", "last_name", "email"])
-    v = _pref(conform(t["volunteers"], "volunteers"), "v_", ["id", "first_name", "last_name", "email"])
-    j = (wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id")
-         .join(_network(t["network_users"]), F.col("network_id") == F.col("nu_id"), "left")
-         .join(emp, F.col("employee_id") == F.col("e_id"), "left")
-         .join(c, F.col("contractor_id") == F.col("c_id"), "left")
-         .join(lr, F.col("learner_id") == F.col("l_id"), "left")
-         .join(v, F.col("volunteer_id") == F.col("v_id"), "left"))
-    name = (F.when(F.col("employee_id").isNotNull(), tsql_concat("e_legal_first_name", F.lit(" "), "e_legal_last_name"))
-            .when(looks_like_person("nu_common_name"), F.col("nu_common_name"))
-            .when(F.col("contractor_id").isNotNull(), tsql_concat("c_first_name", F.lit(" "), "c_last_name"))
-            .when(F.col("learner_id").isNotNull(), tsql_concat("l_first_name", F.lit(" "), "l_last_name"))
-            .when(F.col("volunteer_id").isNotNull(), tsql_concat("v_first_name", F.lit(" "), "v_last_name")))
-    return j.select("id", name.alias("full_name"),
+    wm, frames = _identity_frames(t, with_titles=False)
+    j = wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id")
+    for f in frames:
+        j = j.join(f, "id", "left")
+    return j.select("id", _staff_name().alias("full_name"),
                     _email_chain("e_work_email", "c_email", "l_email", "v_email").alias("email"))
 
 
