@@ -108,11 +108,10 @@ def json_name_check(workforce_map: DataFrame, network_users: DataFrame, clinical
     nu = conform(network_users, "network_users").select(
         F.col("id").alias("__nid"), "common_name", "first_name", "last_name", "primary_email", "network_email",
         F.col("email").alias("email_alias"))
-    ids = json_ids(workforce_map, tuple(clinical))
     parts = []
     for source, users in clinical.items():
         u = users.select(F.col("uid").alias("__uid"), "uemail", "ufname", "ulname", "usertype")
-        p = (ids.filter(F.col("source") == source)
+        p = (json_ids(workforce_map, (source,))
              .join(nu, F.col("network_id") == F.col("__nid"), "left")
              .join(u, F.col("ecw_id") == F.col("__uid"), "left")
              .filter(F.col("usertype").isin(*user_types))

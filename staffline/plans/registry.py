@@ -47,7 +47,7 @@ _CATALOGS: dict[tuple, Catalog] = {}
 def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
     """One catalog per (session, data folder): base tables and fixtures are
     analyzed once and their lazy DataFrames reused by every query."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
     if key not in _CATALOGS:
         _CATALOGS[key] = Catalog(spark, sf_dir)
     return _CATALOGS[key]

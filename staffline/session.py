@@ -32,7 +32,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -43,15 +46,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the launcher sets it to shared storage; only when it is
     unset (tests, local runs) do we pick a scratch folder of our own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None and hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="staffline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
