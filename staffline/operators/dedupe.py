@@ -45,10 +45,19 @@ def priority_order(key: Column, org_first: bool, domain: str = ORG_DOMAIN) -> li
     return order
 
 
-def duplicate_winners(users: DataFrame, name: str, domain: str = ORG_DOMAIN) -> DataFrame:
+def _key(name: str, collation: str | None) -> Column:
+    """The resolver's key; with a collation (e.g. ``UTF8_LCASE``) keys that
+    differ only in case group together, as a case-insensitive SQL collation
+    would compare them."""
+    key = RESOLVERS[name][0]()
+    return F.collate(key, collation) if collation else key
+
+
+def duplicate_winners(users: DataFrame, name: str, domain: str = ORG_DOMAIN,
+                      collation: str | None = None) -> DataFrame:
     """(key, winner_id, winner_guid) for every duplicated key of one resolver."""
-    key_fn, org_first = RESOLVERS[name]
-    nu = conform(users, "network_users").withColumn("__key", key_fn())
+    _, org_first = RESOLVERS[name]
+    nu = conform(users, "network_users").withColumn("__key", _key(name, collation))
     ranked = nu.filter(_valid_key(name, F.col("__key")) & (F.col("is_non_user") == F.lit(False)))
     order = priority_order(F.col("__key"), org_first, domain)
     return (ranked.groupBy("__key").agg(
@@ -59,13 +68,13 @@ def duplicate_winners(users: DataFrame, name: str, domain: str = ORG_DOMAIN) ->
             .select("__key", F.col("__w.id").alias("__winner_id"), F.col("__w.guid").alias("__winner_guid")))
 
 
-def resolve_duplicates(users: DataFrame, name: str, domain: str = ORG_DOMAIN) -> DataFrame:
+def resolve_duplicates(users: DataFrame, name: str, domain: str = ORG_DOMAIN,
+                       collation: str | None = None) -> DataFrame:
     """Apply one resolver; returns the whole table with demotions applied."""
-    key_fn, _ = RESOLVERS[name]
-    winners = duplicate_winners(users, name, domain)
+    winners = duplicate_winners(users, name, domain, collation)
     nu = conform(users, "network_users")
     cols = users.columns
-    j = (nu.withColumn("__key", key_fn())
+    j = (nu.withColumn("__key", _key(name, collation))
          .join(winners, "__key", "left"))
     demote = (F.col("__winner_id").isNotNull() & (F.col("is_non_user") == F.lit(False))
               & (F.col("id") != F.col("__winner_id")))
@@ -76,7 +85,7 @@ def resolve_duplicates(users: DataFrame, name: str, domain: str = ORG_DOMAIN) ->
 
 
 def resolve_all(users: DataFrame, sequence=DEFAULT_SEQUENCE, domain: str = ORG_DOMAIN,
-                checkpoint_between: bool = True) -> DataFrame:
+                checkpoint_between: bool = True, collation: str | None = None) -> DataFrame:
     """Run resolvers in order, each seeing the previous one's result.
 
     Each pass reads its input twice (winners, then the join back), so chained
@@ -85,7 +94,7 @@ def resolve_all(users: DataFrame, sequence=DEFAULT_SEQUENCE, domain: str = ORG_D
     from staffline.session import cut_lineage
     out = users
     for name in sequence:
-        out = resolve_duplicates(out, name, domain)
+        out = resolve_duplicates(out, name, domain, collation)
         if checkpoint_between:
             out = cut_lineage(out)
     return out

@@ -121,3 +121,14 @@ def test_history_run_leaves_one_open_row(spark):
     out = sorted(HI.update_history(hist, emp, NOW).collect(), key=lambda r: r.id)
     assert [r.id for r in out] == [2, 3]
     assert out[0].end_date == dt.date(2022, 2, 28) and out[1].end_date is None
+
+
+def test_dedupe_case_insensitive_collation(spark):
+    users = spark.createDataFrame([
+        (1, "g1", "g1", "Ann Lee", T0, False, False, True, False),
+        (2, "g2", "g2", "ANN LEE", dt.datetime(2021, 1, 1), False, False, True, False),
+    ], "id int, guid string, primary_guid string, common_name string, created_at timestamp, "
+       "is_disabled boolean, is_deleted boolean, is_primary_acct boolean, is_non_user boolean")
+    binary = D.resolve_duplicates(users, "common_name").filter("is_primary_acct").count()
+    lcase = D.resolve_duplicates(users, "common_name", collation="UTF8_LCASE").filter("is_primary_acct").count()
+    assert (binary, lcase) == (2, 1)
