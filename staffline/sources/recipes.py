@@ -106,12 +106,14 @@ RECIPES.update({
         "LEFT JOIN (SELECT job_title_id, MIN(job_title) AS job_title FROM fx_job_titles GROUP BY job_title_id) jt "
         "ON w.job_title_id = jt.job_title_id"
     ),
-    # Stored employee_info rows (some aoids missing, some cities differ).
+    # Stored employee_info rows: every 7th carries a stale aoid (so its worker is
+    # inserted), some cities differ.
     "fx_employee_info": (
-        "SELECT CAST(c_custkey AS INT) AS id, concat('G', lpad(CAST(c_custkey AS STRING), 15, '0')) AS aoid, "
+        "SELECT CAST(c_custkey AS INT) AS id, "
+        "concat(CASE WHEN c_custkey % 7 = 0 THEN 'R' ELSE 'G' END, lpad(CAST(c_custkey AS STRING), 15, '0')) AS aoid, "
         "DATE '1970-01-01' + CAST(c_custkey % 9000 AS INT) AS dob, concat(CAST(c_custkey AS STRING), ' Main St') AS address_line_1, "
         "CAST(NULL AS STRING) AS address_line_2, CASE WHEN c_custkey % 5 = 0 THEN 'Woodland' ELSE 'Davis' END AS city, "
-        "'CA' AS state, '95616' AS zip_code FROM customer WHERE c_custkey % 7 <> 0"
+        "'CA' AS state, '95616' AS zip_code FROM customer"
     ),
     # Stored timecard dates.
     "fx_timecard_dates": (
