@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffline.functions import looks_like_person, norm_key, tsql_concat
-from staffline.operators.reconcile import anti_join, not_in
+from staffline.operators.reconcile import not_in
 from staffline.params import CLINICAL_USER_TYPES, ECW_INSTANCES
 from staffline.schemas import conform
 
@@ -129,5 +129,4 @@ def json_name_check(workforce_map: DataFrame, network_users: DataFrame, clinical
 
 
 __all__ = ["unmapped_entities", "unmapped_employees", "orphan_ids", "unmapped_ehr", "orphan_ehr",
-           "unmapped_accounts", "duplicate_ids", "json_ids", "duplicate_json_ids", "json_name_check",
-           "anti_join"]
+           "unmapped_accounts", "duplicate_ids", "json_ids", "duplicate_json_ids", "json_name_check"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staffline.operators import audit as AU
-from staffline.plans.reconcile_q import FX_COLS, col_sql
+from staffline.plans.reconcile_q import col_sql
 from staffline.plans.registry import query
 
 _ENTITY = {"employee": "fx_employees", "contractor": "fx_contractors", "learner": "fx_learners",
@@ -153,5 +153,3 @@ def q_aud_json_names(t):
     return AU.json_name_check(t["workforce_map"], t["network_users"],
                               {"ecw instance 1": t["clinical_users"], "ecw instance 2": t["clinical_users"]})
 
-
-__all__ = ["FX_COLS"]

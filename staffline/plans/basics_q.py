@@ -8,13 +8,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from staffline.functions import (changed_null_safe, changed_null_unsafe, full_name_with_initial, has_digit,
-                                 in_year, is_org_email, iso_duration_minutes, looks_like_person,
-                                 name_last_first, overlaps_year, round2, title_case, tsql_concat)
+                                 in_year, is_org_email, iso_duration_minutes, name_last_first, overlaps_year,
+                                 round2, title_case, tsql_concat)
 from staffline.functions.dates import clip_end, clip_start
 from staffline.operators import audit as AU
 from staffline.operators import hours as H
-from staffline.operators import timecards as TC
-from staffline.operators.ordering import first_by
 from staffline.operators.reconcile import anti_join, not_in, semi_join
 from staffline.params import Params
 from staffline.plans.oracle import in_year as sql_in_year
@@ -385,5 +383,3 @@ def q_fn_openjson(t):
     """SCA-22: OPENJSON(col, '$.key') as from_json + explode."""
     return AU.json_ids(t["workforce_map"], ("ecw instance 1",)).select("id", "source", "ecw_id")
 
-
-__all__ = ["first_by", "looks_like_person", "TC"]

@@ -7,7 +7,6 @@ transaction applies them one after another.
 from __future__ import annotations
 
 from staffline.operators import accounts as A
-from staffline.operators import employees as E
 from staffline.plans.identity_q import _USER_COLS, _dup_sql
 from staffline.plans.oracle import with_fixtures
 from staffline.plans.reconcile_q import (_DIFF_SQL, TS, _emp_update_sql, cols, conformed_sql)
@@ -126,5 +125,3 @@ ORACLES.update({
     "net_reconcile_short_circuit": with_fixtures(_net_chain(short_circuit=True)),
     "dup_all": with_fixtures(_dup_chain()),
 })
-
-__all__ = ["E"]

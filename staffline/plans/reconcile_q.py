@@ -17,7 +17,7 @@ from staffline.operators import history as HI
 from staffline.operators.reconcile import assign_ids
 from staffline.operators.runlog import run_log_row
 from staffline.plans.registry import query
-from staffline.schemas import TABLES, conform, sql_default
+from staffline.schemas import TABLES, sql_default
 from staffline.session import cut_lineage
 
 AS_OF = dt.datetime(2000, 7, 15, 10, 30, 0)
@@ -443,5 +443,3 @@ def q_run_log(t):
     return run_log_row(counts, "directory", AS_OF, query_count="diff_rows", update_count="changed_reference",
                        insert_count="inserted")
 
-
-__all__ = ["AS_OF", "conform"]
