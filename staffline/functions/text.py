@@ -12,9 +12,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Python's str.isspace(): Unicode white space plus the ASCII separators 0x1c-0x1f.
+_WS = r"[\s\x1c-\x1f]"
+
+
 def strip(x) -> Column:
-    """Python ``str.strip()``: remove all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove all leading/trailing white space (Unicode
+    included), not only spaces."""
+    return F.regexp_replace(_c(x), r"(?U)^" + _WS + r"+|" + _WS + r"+$", "")
 
 
 def strip_lower(x) -> Column:
@@ -29,13 +34,15 @@ def norm_key(x) -> Column:
 def title_case(x) -> Column:
     """Python ``str.strip().title()``.
 
-    Every run of letters gets an upper-case first letter and lower-case rest;
-    any non-letter starts a new word (``smith-jones`` -> ``Smith-Jones``),
-    unlike ``initcap`` which only splits on spaces.
+    Every run of cased letters (upper, lower, title case) gets an upper-case
+    first letter and lower-case rest; anything else starts a new word
+    (``smith-jones`` -> ``Smith-Jones``), unlike ``initcap`` which only splits
+    on spaces.
     """
-    parts = F.regexp_extract_all(F.lower(strip(x)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    cased = F.transform(parts, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
-    return F.when(_c(x).isNotNull(), F.array_join(cased, ""))
+    cased = r"\p{Lu}\p{Ll}\p{Lt}"
+    parts = F.regexp_extract_all(F.lower(strip(x)), F.lit(f"([{cased}]+|[^{cased}]+)"), 1)
+    capped = F.transform(parts, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
+    return F.when(_c(x).isNotNull(), F.array_join(capped, ""))
 
 
 def primary_email(proxy_addresses) -> Column:

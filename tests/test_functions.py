@@ -69,3 +69,23 @@ def test_round2_half_up_on_decimal(spark):
 def test_year_fraction(spark):
     df = spark.createDataFrame([(dt.date(2023, 12, 22), dt.date(2024, 1, 10))], "s date, e date")
     assert abs(df.select(year_fraction("s", "e", 2024)).first()[0] - 10 / 20) < 1e-12
+
+
+def test_title_case_and_strip_property(spark):
+    """Spark expressions equal Python on random names (letters incl. accents,
+    digits, punctuation, Unicode spaces)."""
+    from hypothesis import given, settings, strategies as st
+    alphabet = st.sampled_from(list("abcxyzABCXYZéÉñÑøÖ0129 -'._,\t  \x1c"))
+    samples = []
+
+    @settings(max_examples=300, database=None, derandomize=True)
+    @given(st.text(alphabet=alphabet, max_size=12))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    got = spark.createDataFrame([(s,) for s in samples], "s string") \
+        .select(title_case("s").alias("t"), strip_lower("s").alias("l")).collect()
+    for s, r in zip(samples, got):
+        assert r.t == s.strip().title(), (s, r.t)
+        assert r.l == s.strip().lower(), (s, r.l)
