@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,16 +42,38 @@ def _latest_state(spark: SparkSession, table_path: str, initial: DataFrame | Non
 
 
 def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, run_id: str,
-                     as_of: dt.datetime, initial: DataFrame | None = None) -> None:
-    """One run: flatten the export, reconcile, resolve duplicates, write ``run=<id>``."""
+                     as_of: dt.datetime, initial: DataFrame | None = None,
+                     log_path: str | None = None) -> dict:
+    """One run: flatten the export, reconcile, resolve duplicates, write ``run=<id>``.
+
+    Run metrics are observed while the state is written (no extra job):
+    rows, inserted, soft-deleted and newly disabled accounts of this run. With
+    ``log_path`` they are appended as a run-log row.
+    """
     users = _latest_state(spark, table_path, initial)
     snapshot = flatten_directory(export)
     out = resolve_all(reconcile_accounts(users, snapshot, as_of), checkpoint_between=True)
+    ts = F.lit(as_of).cast("timestamp")
+    obs = Observation(f"directory-run-{run_id}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col("inserted_at") == ts).alias("inserted"),
+                      F.count_if(F.col("deleted_at") == ts).alias("deleted"),
+                      F.count_if(F.col("disabled_at") == ts).alias("disabled"))
     out.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(table_path)
+    metrics = dict(obs.get)
+    if log_path:
+        row = spark.createDataFrame(
+            [(run_id, as_of, int(metrics["rows"]), int(metrics["inserted"]), int(metrics["deleted"]),
+              int(metrics["disabled"]))],
+            "run string, logged_at timestamp, query_count long, insert_count long, delete_count long, "
+            "disabled_count long")
+        row.write.mode("append").parquet(log_path)
+    return metrics
 
 
 def start_directory_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                           initial: DataFrame | None = None, as_of_from_run=None) -> StreamingQuery:
+                           initial: DataFrame | None = None, as_of_from_run=None,
+                           log_path: str | None = None) -> StreamingQuery:
     """Process every export landed since the last call, then stop."""
     as_of_from_run = as_of_from_run or (lambda run_id: dt.datetime.now())
 
@@ -60,7 +82,7 @@ def start_directory_ingest(spark: SparkSession, landing_dir: str, table_path: st
         runs = sorted(r[0] for r in batch.select("export").distinct().collect())
         for run_id in runs:
             reconcile_export(spark, batch.filter(F.col("export") == run_id), table_path, run_id,
-                             as_of_from_run(run_id), initial)
+                             as_of_from_run(run_id), initial, log_path)
 
     stream = spark.readStream.schema(LANDING_SCHEMA).json(landing_dir)
     return (stream.writeStream.foreachBatch(each_batch)

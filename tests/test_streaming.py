@@ -32,8 +32,12 @@ def test_two_exports_match_batch(spark):
     _land(first, landing, "2024-01-01")
     _land(second, landing, "2024-02-01")
     as_of = lambda run: dt.datetime.fromisoformat(run)
-    start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of).awaitTermination()
+    log = os.path.join(work, "log")
+    start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of, log_path=log).awaitTermination()
     got = spark.read.parquet(table).filter("run = '2024-02-01'").drop("run")
+    logs = {r.run: r for r in spark.read.parquet(log).collect()}
+    assert logs["2024-01-01"].insert_count == customer.count()  # first run inserts everyone
+    assert logs["2024-02-01"].delete_count == customer.filter(F.col("c_custkey") % 7 == 0).count()
 
     # The same two runs in batch form.
     state = spark.createDataFrame([], got.schema)
