@@ -45,7 +45,7 @@ SELECT CAST({_K} AS INTEGER) AS id, concat('G', printf('%015d', {_K})) AS aoid,
   CAST(NULL AS DATE) AS actual_seniority_date, CAST(NULL AS DATE) AS seniority_date, CAST(NULL AS DATE) AS original_hire_date,
   DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS hire_date,
   DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS ultimate_hire_date,
-  CAST(NULL AS DATE) AS start_date, CAST(NULL AS DATE) AS evaluation_date,
+  DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS start_date, CAST(NULL AS DATE) AS evaluation_date,
   CASE WHEN c.c_acctbal < 0 THEN DATE '2000-06-30' END AS termination_date,
   CAST(c.c_acctbal / 10000 AS DECIMAL(6,2)) AS hired_fte, {_K} % 10 = 0 AS is_manager,
   DATE '1970-01-01' + CAST({_K} % 9000 AS INTEGER) AS dob, concat(CAST({_K} AS VARCHAR), ' Main St') AS address_line_1,

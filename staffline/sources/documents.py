@@ -82,6 +82,7 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
     primary = F.struct(
         F.lit(True).alias("primaryIndicator"), F.format_string("%06d", k).alias("payrollFileNumber"),
         F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (k % 1500).cast("int")), "yyyy-MM-dd").alias("hireDate"),
+        F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (k % 1500).cast("int")), "yyyy-MM-dd").alias("actualStartDate"),
         F.struct(F.struct(F.col("c_nationkey").cast("string").alias("codeValue"),
                           F.concat(F.lit("Site "), F.col("c_nationkey").cast("string")).alias("shortName")).alias("nameCode"))
         .alias("homeWorkLocation"),
