@@ -102,7 +102,7 @@ def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_i
     dates = st["timecard_dates"].select("period_start", "date").unionByName(
         TC.new_timecard_dates(daily, conform(st["timecard_dates"], "timecard_dates")))
     _write(spark, dates, root, "timecard_dates", run_id)
-    _write(spark, TC.upsert_hours(st["employee_hours"], daily, st["employee_job_history"]), root,
+    _write(spark, TC.upsert_hours(st["employee_hours"], daily, st["employee_job_history"], stage=False), root,
            "employee_hours", run_id)
     _log(spark, log, root, run_id)
 

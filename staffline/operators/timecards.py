@@ -182,14 +182,15 @@ def insert_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
     return h.unionByName(conform(new, "employee_hours").select(*h.columns))
 
 
-def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) -> DataFrame:
+def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame, stage: bool = True) -> DataFrame:
     """The hours transaction: update, re-title by history, insert.
 
     The staged timecards feed two statements; they are written once to the
     checkpoint folder (as the reference stages them in a table) so the pull is
-    not recomputed and a lost executor restarts from the staged rows.
+    not recomputed and a lost executor restarts from the staged rows
+    (``stage=False`` when the caller has staged them already).
     """
-    staged = cut_lineage(timecards)
+    staged = cut_lineage(timecards) if stage else timecards
     return insert_hours(retitle_hours(update_hours(hours, staged), history), staged)
 
 
