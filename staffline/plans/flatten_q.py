@@ -109,7 +109,13 @@ def q_dn_group(t):
     return _directory(t).select("guid", "source", "active_dir_group")
 
 
-@query("worker_quarantine", None)
+# A derived document fails a required-field check only where its source column
+# is NULL: the given name (market segment) is the only nullable source of a
+# required field; all others derive from the key or constants.
+@query("worker_quarantine", """
+SELECT concat('G', printf('%015d', c_custkey)) AS aoid, 'legal_first_name' AS errors
+FROM customer WHERE c_mktsegment IS NULL
+""")
 def q_worker_quarantine(t):
     """2.2 quarantine mode: rows failing a required-field check, with their errors."""
     docs = DOC.parse(DOC.worker_documents_from_tables(t["customer"], t["employee_job_titles"]), "doc",
