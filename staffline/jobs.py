@@ -30,13 +30,15 @@ from staffline.operators.reconcile import assign_ids
 from staffline.operators.runlog import run_log_row
 from staffline.schemas import TABLES, conform
 from staffline.session import cut_lineage
-from staffline.sources.sinks import read_latest, write_state
+from staffline.sources.sinks import read_latest, read_run, write_state
 
 
-def state(spark: SparkSession, root: str, table: str, initial: DataFrame | None = None) -> DataFrame:
-    """Newest stored state of ``table``; ``initial`` (or an empty table) before the first run."""
+def state(spark: SparkSession, root: str, table: str, initial: DataFrame | None = None,
+          before: str | None = None) -> DataFrame:
+    """Newest stored state of ``table`` (before run ``before``: a retried run
+    starts from the same state); ``initial`` (or an empty table) before the first run."""
     try:
-        return read_latest(spark, f"{root}/{table}")
+        return read_latest(spark, f"{root}/{table}", before)
     except Exception:  # nothing written yet
         if initial is not None:
             return initial
@@ -46,13 +48,14 @@ def state(spark: SparkSession, root: str, table: str, initial: DataFrame | None
 def _write(spark: SparkSession, df: DataFrame, root: str, table: str, run_id: str) -> DataFrame:
     write_state(df, f"{root}/{table}", run_id)
     try:
-        return read_latest(spark, f"{root}/{table}")
+        return read_run(spark, f"{root}/{table}", run_id)
     except Exception:  # an empty state writes no files
         return spark.createDataFrame([], df.schema)
 
 
-def _log(spark: SparkSession, row: DataFrame, root: str, run_id: str) -> None:
-    write_state(row, f"{root}/run_log", run_id)
+def _log(spark: SparkSession, row: DataFrame, root: str, run_id: str, job: str) -> None:
+    """One run-log row per (job, run); a retried run replaces its own row."""
+    write_state(row, f"{root}/run_log", f"{run_id}.{job}")
 
 
 def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id: str, as_of: dt.datetime,
@@ -64,7 +67,7 @@ def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id:
     else:
         workers = flatten_workers(worker_pages)
     workers = cut_lineage(workers)  # the staging table of the run
-    st = {t: state(spark, root, t, init.get(t)) for t in
+    st = {t: state(spark, root, t, init.get(t), before=run_id) for t in
           ("departments", "locations", "employee_job_titles", "employees", "employee_info", "employee_job_history")}
     _write(spark, EM.new_departments(workers, st["departments"]), root, "departments", run_id)
     _write(spark, EM.new_locations(workers, st["locations"]), root, "locations", run_id)
@@ -80,14 +83,14 @@ def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id:
     emp = _write(spark, emp, root, "employees", run_id)
     _write(spark, info, root, "employee_info", run_id)
     _write(spark, HI.update_history(st["employee_job_history"], emp, as_of), root, "employee_job_history", run_id)
-    _log(spark, log, root, run_id)
+    _log(spark, log, root, run_id, "workers")
 
 
 def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_id: str, as_of: dt.datetime,
                  initial: dict | None = None) -> None:
     init = initial or {}
-    st = {t: state(spark, root, t, init.get(t)) for t in
-          ("employees", "employee_hours", "employee_job_history", "timecard_dates")}
+    st = {t: state(spark, root, t, init.get(t)) for t in ("employees", "employee_job_history")}
+    st.update({t: state(spark, root, t, init.get(t), before=run_id) for t in ("employee_hours", "timecard_dates")})
     rows = TC.classify_minutes(TC.flatten_timecards(timecard_docs))
     daily = cut_lineage(TC.daily_minutes_prereduced(rows, TC.eligible_employees(conform(st["employees"], "employees"),
                                                                                   as_of)))
@@ -104,25 +107,25 @@ def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_i
     _write(spark, dates, root, "timecard_dates", run_id)
     _write(spark, TC.upsert_hours(st["employee_hours"], daily, st["employee_job_history"], stage=False), root,
            "employee_hours", run_id)
-    _log(spark, log, root, run_id)
+    _log(spark, log, root, run_id, "timecards")
 
 
 def directory_run(spark: SparkSession, entries: DataFrame, root: str, run_id: str, as_of: dt.datetime,
                   initial: DataFrame | None = None) -> None:
-    users = state(spark, root, "network_users", initial)
+    users = state(spark, root, "network_users", initial, before=run_id)
     snapshot = cut_lineage(flatten_directory(entries))
     counts = A.account_counts(users, snapshot)
     log = cut_lineage(run_log_row(counts, "directory", as_of, query_count="diff_rows",
                                   update_count="changed_reference", insert_count="inserted"))
     out = D.resolve_all(A.reconcile_accounts(users, snapshot, as_of))
     _write(spark, out, root, "network_users", run_id)
-    _log(spark, log, root, run_id)
+    _log(spark, log, root, run_id, "directory")
 
 
 def linkage_run(spark: SparkSession, root: str, run_id: str, analytics_users: DataFrame, ehr_users: DataFrame,
                 initial_map: DataFrame | None = None) -> None:
     """Insert new account <-> employee links, then set analytics and EHR ids."""
-    wm = conform(state(spark, root, "workforce_map", initial_map), "workforce_map")
+    wm = conform(state(spark, root, "workforce_map", initial_map, before=run_id), "workforce_map")
     users = state(spark, root, "network_users")
     employees = state(spark, root, "employees")
     links = LK.link_employees(users, employees, wm)

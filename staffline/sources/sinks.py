@@ -10,23 +10,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from staffline.operators import views as V
 from staffline.params import Params
 
 
 def write_state(df: DataFrame, table_path: str, run_id: str) -> None:
-    """Append the table's new full state as ``run=<run_id>`` (SNK-1)."""
-    df.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(table_path)
+    """Write the table's new full state as ``run=<run_id>`` (SNK-1).
 
+    Dynamic partition overwrite: a retried run replaces its own partition
+    instead of appending a second copy, so runs are idempotent."""
+    (df.withColumn("run", F.lit(run_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(table_path))
 
-def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest state of a table written by ``write_state``."""
-    stored = spark.read.parquet(table_path)
+
+def read_runs(spark: SparkSession, table_path: str) -> DataFrame:
+    """All runs of a table, with ``run`` kept as the string it was written as
+    (partition discovery would otherwise turn ids like 2024-01-01 into dates)."""
+    inferred = spark.read.parquet(table_path).schema
+    schema = StructType([StructField("run", StringType()) if f.name == "run" else f for f in inferred.fields])
+    return spark.read.schema(schema).parquet(table_path)
+
+
+def read_latest(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
+    """The newest state of a table written by ``write_state`` (the newest
+    before run ``before`` when given: what a retried run must start from)."""
+    stored = read_runs(spark, table_path)
+    if before is not None:
+        stored = stored.filter(F.col("run") < before)
     last = stored.agg(F.max("run")).first()[0]  # one value
+    if last is None:
+        raise FileNotFoundError(f"no state of {table_path} before {before}")
     return stored.filter(F.col("run") == last).drop("run")
 
 
+def read_run(spark: SparkSession, table_path: str, run_id: str) -> DataFrame:
+    """The state written by one run."""
+    return read_runs(spark, table_path).filter(F.col("run") == run_id).drop("run")
+
+
 def register_reporting_views(tables: dict, params: Params, prefix: str = "") -> list[str]:
     """``CREATE VIEW`` x7 as temp views over lazy plans (SNK-4)."""
     views = {

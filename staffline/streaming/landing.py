@@ -8,7 +8,8 @@ neither skips nor repeats an export). ``foreachBatch`` reconciles each new
 export, in run order, against the latest stored state and writes the next
 state as ``<table>/run=<run id>``. Each export is a complete snapshot, so an
 export is never split across runs: all of its files are read in the batch
-that first sees it.
+that first sees it. A batch replayed after a failure starts from the state
+before its run and overwrites its own run partition, so replays are harmless.
 """
 
 from __future__ import annotations
@@ -24,21 +25,19 @@ from staffline.operators.dedupe import resolve_all
 from staffline.operators.flatten import flatten_directory
 from staffline.schemas import TABLES
 from staffline.sources.documents import DIRECTORY_SCHEMA
+from staffline.sources.sinks import read_latest, write_state
 
 LANDING_SCHEMA = DIRECTORY_SCHEMA + ", export string, source string"
 
 
-def _latest_state(spark: SparkSession, table_path: str, initial: DataFrame | None) -> DataFrame:
+def _latest_state(spark: SparkSession, table_path: str, initial: DataFrame | None, before: str) -> DataFrame:
+    """Newest state before run ``before`` (a replayed batch starts from the same state)."""
     try:
-        stored = spark.read.parquet(table_path)
-    except Exception:  # no run written yet
-        stored = None
-    if stored is None:
+        return read_latest(spark, table_path, before)
+    except Exception:  # no earlier run written
         if initial is None:
             return spark.createDataFrame([], TABLES["network_users"])
         return initial
-    last = stored.agg(F.max("run")).first()[0]  # one value: the newest run id
-    return stored.filter(F.col("run") == last).drop("run")
 
 
 def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, run_id: str,
@@ -50,7 +49,7 @@ def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, ru
     rows, inserted, soft-deleted and newly disabled accounts of this run. With
     ``log_path`` they are appended as a run-log row.
     """
-    users = _latest_state(spark, table_path, initial)
+    users = _latest_state(spark, table_path, initial, run_id)
     snapshot = flatten_directory(export)
     out = resolve_all(reconcile_accounts(users, snapshot, as_of), checkpoint_between=True)
     ts = F.lit(as_of).cast("timestamp")
@@ -59,7 +58,7 @@ def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, ru
                       F.count_if(F.col("inserted_at") == ts).alias("inserted"),
                       F.count_if(F.col("deleted_at") == ts).alias("deleted"),
                       F.count_if(F.col("disabled_at") == ts).alias("disabled"))
-    out.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(table_path)
+    write_state(out, table_path, run_id)  # idempotent: a replayed batch overwrites its own run
     metrics = dict(obs.get)
     if log_path:
         row = spark.createDataFrame(
@@ -67,7 +66,7 @@ def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, ru
               int(metrics["disabled"]))],
             "run string, logged_at timestamp, query_count long, insert_count long, delete_count long, "
             "disabled_count long")
-        row.write.mode("append").parquet(log_path)
+        write_state(row.drop("run"), log_path, run_id)
     return metrics
 
 

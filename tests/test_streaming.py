@@ -11,6 +11,7 @@ from staffline.operators.dedupe import resolve_all
 from staffline.operators.flatten import flatten_directory
 from staffline.session import cut_lineage
 from staffline.sources.documents import directory_entries_from_tables
+from staffline.sources.sinks import read_runs
 from staffline.streaming import start_directory_ingest
 
 SF = "/root/testdata/sf0.001"
@@ -34,8 +35,8 @@ def test_two_exports_match_batch(spark):
     as_of = lambda run: dt.datetime.fromisoformat(run)
     log = os.path.join(work, "log")
     start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of, log_path=log).awaitTermination()
-    got = spark.read.parquet(table).filter("run = '2024-02-01'").drop("run")
-    logs = {r.run: r for r in spark.read.parquet(log).collect()}
+    got = read_runs(spark, table).filter("run = '2024-02-01'").drop("run")
+    logs = {r.run: r for r in read_runs(spark, log).collect()}
     assert logs["2024-01-01"].insert_count == customer.count()  # first run inserts everyone
     assert logs["2024-02-01"].delete_count == customer.filter(F.col("c_custkey") % 7 == 0).count()
 
@@ -51,4 +52,4 @@ def test_two_exports_match_batch(spark):
 
     # A second call finds nothing new and writes nothing.
     start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of).awaitTermination()
-    assert spark.read.parquet(table).select("run").distinct().count() == 2
+    assert read_runs(spark, table).select("run").distinct().count() == 2
