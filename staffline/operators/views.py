@@ -221,12 +221,18 @@ def view_employees(t: dict, params: Params) -> DataFrame:
     prev = H.employee_minutes(eh, y - 1).select(
         F.col("employee_id").alias("_prev_id"),
         round2(F.col("paid_minutes").cast("double") / (60 * params.fte_year_hours)).alias("previous_year_fte"))
-    mgr = emp.select(F.col("id").alias("_mgr_id"), F.col("legal_first_name").alias("_mf"),
-                     F.col("legal_middle_name").alias("_mm"), F.col("legal_last_name").alias("_ml"))
+    # Manager names keyed by the employee's primary key: the (employee, manager)
+    # pairs without NULLs meet the manager rows, then join back on the unique id,
+    # so employees without a manager never gather in one partition.
+    mgr = (emp.filter(F.col("reports_to_id").isNotNull())
+           .select(F.col("id").alias("_mgr_of"), F.col("reports_to_id").alias("_rid"))
+           .join(emp.select(F.col("id").alias("_rid"), F.col("legal_first_name").alias("_mf"),
+                            F.col("legal_middle_name").alias("_mm"), F.col("legal_last_name").alias("_ml")), "_rid")
+           .drop("_rid"))
     wm = conform(t["workforce_map"], "workforce_map").select(F.col("id").alias("map_id"), F.col("employee_id").alias("_map_emp"))
     e = emp.alias("e")
     return (e.join(wm, F.col("e.id") == F.col("_map_emp"), "left")
-            .join(mgr, F.col("e.reports_to_id") == F.col("_mgr_id"), "left")
+            .join(mgr, F.col("e.id") == F.col("_mgr_of"), "left")
             .join(deps.select(F.col("id").alias("_dep_id"), F.col("name").alias("department")),
                   F.col("e.department_id") == F.col("_dep_id"), "left")
             .join(locs.select(F.col("id").alias("_loc_id"), F.coalesce("epic_location", "location").alias("location")),
