@@ -4,6 +4,7 @@ text column, word boundaries and hashes computed with numpy over a whole slice.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,16 @@ LOWER[65:91] += 32
 
 _M = (1 << 64) - 1
 _ODD = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
+
+
+class _Local(dict):
+    """Arrays made once per process; sent to a worker empty."""
+
+    def __reduce__(self):
+        return _Local, ()
+
+
+_powers = _Local()
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,6 +140,17 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((acc[end] - acc[start]) * _power("down", n)[start] + (end - start).astype(np.uint64))
 
 
+_classes = _Local()
+
+
+def code_point_class(test: str) -> np.ndarray:
+    """For every code point whether ``str.<test>`` holds of it."""
+    if test not in _classes:
+        _classes[test] = np.fromiter((getattr(chr(i), test)() for i in range(sys.maxunicode + 1)), bool,
+                                     sys.maxunicode + 1)
+    return _classes[test]
+
+
 BLOOM_BITS = 1 << 24
 
 
@@ -151,3 +172,52 @@ def bloom_of(df: DataFrame, column: str) -> np.ndarray:
 def in_bloom(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = hashes.view(np.int64) & np.int64(BLOOM_BITS - 1)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+
+class Table:
+    """A hash table of non-negative int64 keys and int32 values, looked up and
+    filled whole arrays at a time (open addressing, linear probing)."""
+
+    def __init__(self, keys: np.ndarray | None = None, values: np.ndarray | None = None):
+        self.size, self.held = 1 << 10, 0
+        self.key, self.value = np.full(self.size, -1, np.int64), np.zeros(self.size, np.int32)
+        if keys is not None:
+            self.put(keys, values)
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        h = keys.astype(np.uint64) * np.uint64(_ODD)
+        return (h >> np.uint64(65 - self.size.bit_length())).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values of ``keys``, -1 for a key that is not held."""
+        at = self._at(keys)
+        held = self.key[at]
+        out = np.where(held == keys, self.value[at], np.int32(-1))
+        left = np.flatnonzero((held != keys) & (held != -1))
+        where = (at[left] + 1) & (self.size - 1)
+        while len(left):
+            held, want = self.key[where], keys[left]
+            hit = held == want
+            out[left[hit]] = self.value[where[hit]]
+            on = ~hit & (held != -1)
+            left, where = left[on], (where[on] + 1) & (self.size - 1)
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are distinct and not held yet."""
+        if 4 * (self.held + len(keys)) > self.size:
+            on = self.key != -1
+            keys, values = np.r_[self.key[on], keys], np.r_[self.value[on], values]
+            self.size = 1 << (4 * len(keys) - 1).bit_length()
+            self.key, self.value = np.full(self.size, -1, np.int64), np.zeros(self.size, np.int32)
+            self.held = 0
+        self.held += len(keys)
+        at = self._at(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.key[at[left]] == -1]
+            _, one = np.unique(at[free], return_index=True)
+            put = free[one]
+            self.key[at[put]], self.value[at[put]] = keys[put], values[put]
+            left = left[self.key[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & (self.size - 1)

@@ -3,13 +3,17 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, packing, secrets
-from staffline.llm.common import bound_batches, read
+from staffline.llm import ann, langid, packing, pii, secrets, spm_fst, wordpiece
+from staffline.llm.common import bound_batches, crc_remainder, read
+
+#: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
+PIECE_MODEL = os.environ.get("STAFFLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +50,15 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+@query("op2_langid")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them by a
+    linear-chain field over words."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)))
+    model = langid.train(langid.training_sample(docs.where(~F.col("held_out"))))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
 def token_length(text="text"):
     """Words and one end of text; NULL for a NULL text."""
     return F.when(F.col(text).isNotNull(), F.regexp_count(text, F.lit(r"\S+")).cast("long") + 1)
@@ -119,3 +132,24 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, weak parts only where they complete a credential."""
     rows, spans = secrets.find_secrets(read(spark, sf_dir, "documents"))
     return secrets.span_report(rows, spans, secrets.KINDS, secrets.BASE)
+
+
+@query("op5_pieces")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return spm_fst.encode_texts(read(spark, sf_dir, "documents"), spm_fst.load_model(PIECE_MODEL))
+
+
+@query("op8_token_counts")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    automaton = wordpiece.compile_pieces(wordpiece.read_pieces(PIECE_MODEL))
+    return wordpiece.count_tokens(read(spark, sf_dir, "documents"), automaton)
+
+
+@query("op10_pii")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the base patterns, and what a
+    semi-Markov field learned from them adds."""
+    docs = read(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.train(pii.training_texts(docs)))
