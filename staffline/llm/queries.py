@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, langid, packing, pii, secrets, spm_fst, wordpiece
+from staffline.llm import ann, dart_minhash, langid, packing, pii, secrets, spm_fst, wordpiece
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
@@ -153,3 +153,9 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     semi-Markov field learned from them adds."""
     docs = read(spark, sf_dir, "documents")
     return pii.find_pii(docs, pii.train(pii.training_texts(docs)))
+
+
+@query("op6_near_dups")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return dart_minhash.near_duplicates(read(spark, sf_dir, "documents"))
