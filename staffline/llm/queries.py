@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, dart_minhash, langid, packing, pii, secrets, spm_fst, wordpiece
+from staffline.llm import ann, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
@@ -111,9 +111,9 @@ w AS MATERIALIZED (
     SELECT 1 FROM p b WHERE b.rid = a.rid AND b.kind < 3 AND b.ini < a.fin AND a.ini < b.fin)),
 has AS (
   SELECT w.*, EXISTS (SELECT 1 FROM p b WHERE b.rid = w.rid AND b.kind IN (1, 4)
-                        AND b.ini < w.fin + {secrets.SCOPE} AND w.ini < b.fin + {secrets.SCOPE}) AS ident,
+                        AND b.ini < w.fin + {credentials.SCOPE} AND w.ini < b.fin + {credentials.SCOPE}) AS ident,
          EXISTS (SELECT 1 FROM p b WHERE b.rid = w.rid AND b.kind IN (0, 2, 3)
-                   AND b.ini < w.fin + {secrets.SCOPE} AND w.ini < b.fin + {secrets.SCOPE}) AS secret
+                   AND b.ini < w.fin + {credentials.SCOPE} AND w.ini < b.fin + {credentials.SCOPE}) AS secret
   FROM w),
 f AS (
   SELECT rid, kind, ini, fin FROM p WHERE kind < 3
@@ -130,8 +130,8 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_a
 FROM d LEFT JOIN g USING (rid)""")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, weak parts only where they complete a credential."""
-    rows, spans = secrets.find_secrets(read(spark, sf_dir, "documents"))
-    return secrets.span_report(rows, spans, secrets.KINDS, secrets.BASE)
+    rows, spans = credentials.find_secrets(read(spark, sf_dir, "documents"))
+    return credentials.span_report(rows, spans, credentials.KINDS, credentials.BASE)
 
 
 @query("op5_pieces")
@@ -159,3 +159,11 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return dart_minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op4_lm_scores")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a log-bilinear model learned
+    from six sevenths of them, and under add-one unigrams."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_remainder("doc_id", 7) == 2, F.lit(False)))
+    return lbl.score_documents(docs, docs.where(~F.col("held_out")), keep=("held_out",))
