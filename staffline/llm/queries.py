@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
+from staffline.llm import ann, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
@@ -167,3 +167,10 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from six sevenths of them, and under add-one unigrams."""
     docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_remainder("doc_id", 7) == 2, F.lit(False)))
     return lbl.score_documents(docs, docs.where(~F.col("held_out")), keep=("held_out",))
+
+
+@query("op7_search")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every document whose id is divisible by 20."""
+    docs = read(spark, sf_dir, "documents")
+    return bm25.search(docs, docs.where(F.col("doc_id") % 20 == 0), k=10)
