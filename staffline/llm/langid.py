@@ -344,3 +344,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
                     names=[*rest, lang_out, score_out])
 
     return slim.mapInArrow(scan, schema)
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text gets a language with at least
+    ``min_score``; all columns stay as they are. Texts that are NULL, empty or without a
+    letter go."""
+    place = docs.columns.index(text_col)
+
+    def scan(batches):
+        for batch in batches:
+            for part in text_slices(batch, text_col):
+                lang, score = classify(model, ["" if t is None else t for t in part.column(place).to_pylist()])
+                keep = [a != UNKNOWN and s >= min_score for a, s in zip(lang, score)]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)

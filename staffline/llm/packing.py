@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffline.llm.common import cut_lineage
@@ -25,6 +25,12 @@ OVERHEAD = 32
 GROUP_PIECES = 20_000
 
 
+def token_length(text_col: str = "text") -> Column:
+    """Words and one end of text; NULL for a NULL text."""
+    words = F.regexp_count(text_col, F.lit(r"\S+")).cast("long")
+    return F.when(F.col(text_col).isNotNull(), words + 1)
+
+
 def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int,
          opened: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
     """Bin number of each length (given longest first), the offset in its bin,

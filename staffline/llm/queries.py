@@ -59,16 +59,11 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model)
 
 
-def token_length(text="text"):
-    """Words and one end of text; NULL for a NULL text."""
-    return F.when(F.col(text).isNotNull(), F.regexp_count(text, F.lit(r"\S+")).cast("long") + 1)
-
-
 @query("op3_pack")
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 512 to 8192 tokens."""
     docs = read(spark, sf_dir, "documents")
-    return packing.best_fit_pack(docs.select("doc_id", token_length().alias("length")))
+    return packing.best_fit_pack(docs.select("doc_id", packing.token_length().alias("length")))
 
 
 _ASSIGN_SQL = (r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""
