@@ -139,9 +139,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, id_c
     n_rb, n_qb = max(1, -(-n_rows // row_block)), max(1, -(-n_asked // query_block))
 
     def dealt(df: DataFrame, own: str, n: int, other: str, m: int, asks: bool) -> DataFrame:
-        return df.select("id", "v", F.size("v").alias("dim"), F.lit(asks).alias("asks"),
-                         F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int").alias(own),
-                         F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+        # Dealt before the copies are made: all copies of a row keep its block.
+        return (df.select("id", "v", F.size("v").alias("dim"), F.lit(asks).alias("asks"),
+                          F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int").alias(own))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))))
 
     tiles = dealt(asked, "qb", n_qb, "rb", n_rb, True).unionByName(dealt(rows, "rb", n_rb, "qb", n_qb, False))
 
