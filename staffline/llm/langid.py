@@ -26,6 +26,8 @@ from staffline.llm.common import _power, code_point_class, mix, text_slices
 DOCS_PER_LANG = 300
 SPLICE = 48
 SPLICES = 2400
+#: Longer words are left out of the fitting sample (never out of a text that is judged).
+SAMPLE_WORD = 60
 LEXICON = 400
 BITS = 17
 BLOCK = 64
@@ -199,6 +201,8 @@ def train(samples: list[tuple[str, str]], epochs: int = 4, batch: int = 60, seed
     if L < 2:
         return model
     w = find_words([t for _, t in samples])
+    short = w.end - w.start <= SAMPLE_WORD
+    w = Words(w.code, w.start[short], w.end[short], w.row[short])
     label_of = np.array([langs.index(lang) for lang, _ in samples])
     feats = features(w)
     hashes = feats[3]
@@ -226,7 +230,7 @@ def train(samples: list[tuple[str, str]], epochs: int = 4, batch: int = 60, seed
             words.append(np.arange(a, a + run))
             n += run
         chains.append(np.concatenate(words))
-    gram_at = np.r_[feats[1], len(feats[0])]
+    letters = w.end - w.start
     square = np.full(model.weights.shape, 1e-4, np.float32)
     square_t, square_x = np.full((L, L), 1e-4), np.full(model.lex_weights.shape, 1e-4)
     for _ in range(epochs):
@@ -234,9 +238,9 @@ def train(samples: list[tuple[str, str]], epochs: int = 4, batch: int = 60, seed
             part = chains[at:at + batch]
             ids = np.concatenate(part)
             chain = np.repeat(np.arange(len(part)), [len(c) for c in part])
-            size = gram_at[ids + 1] - gram_at[ids]
+            size = letters[ids]
             first = np.cumsum(size) - size
-            flat = np.arange(size.sum()) - np.repeat(first, size) + np.repeat(gram_at[ids], size)
+            flat = np.arange(size.sum()) - np.repeat(first, size) + np.repeat(feats[1][ids], size)
             sub = (feats[0][flat], first, feats[2][ids], hashes[ids])
             y = label[ids]
             post, pairs = _marginals(emissions(model, sub), model.transition, chain)
