@@ -1,9 +1,10 @@
 """Landed documents -> staging rows (workers, directory entries).
 
 The worker flattener is table-driven: each output column is
-``(name, expression, policy)`` where policy ``R`` = required (a NULL is an
+``(name, expression, policy[, code or date text])`` where policy ``R`` = required (a NULL is an
 error), ``N`` = missing gives NULL, ``D`` = missing gives a default (built
-into the expression). A document without a primary assignment is an error.
+into the expression). A document without a primary assignment is an error, as
+are a page that does not parse and a code or date that is there but unreadable.
 ``mode='failfast'`` raises on the first error row (the reference aborts the
 run); ``mode='quarantine'`` returns (good rows, error rows) instead.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from staffline.functions import dn_group, manager_cn, primary_email, strip, strip_lower, title_case
 from staffline.params import DN_GROUP_OFFSET, ENABLED_UAC, HIRE_SENTINEL, POSITION_PREFIX
+from staffline.sources.documents import unparsed
 
 W = "w"  # struct column holding one worker document
 
@@ -38,6 +40,13 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
     pa = F.col(PA)
     unit = F.get(pa["assignedOrganizationalUnits"], 1)["nameCode"]
     person = _w("person")
+    site = pa["homeWorkLocation"]["nameCode"]["codeValue"]
+    position = F.get(pa["reportsTo"], 0)["positionID"]
+    reports = F.nullif(F.regexp_extract(position, position_prefix + r"(\d+)", 1), F.lit("")).try_cast("int")
+
+    def unread(text: Column, kind: str) -> Column:
+        return text.isNotNull() & text.try_cast(kind).isNull()
+
     dates = _w("customFieldGroup.dateFields")
     hire = _date(pa["hireDate"])
     actual_seniority = _date(F.get(dates, 2)["dateValue"])
@@ -46,13 +55,12 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
     return [
         ("id", pa["payrollFileNumber"].try_cast("int"), "R"),
         ("aoid", _w("associateOID"), "R"),
-        ("location_id", F.coalesce(pa["homeWorkLocation"]["nameCode"]["codeValue"].try_cast("int"), F.lit(0)), "D"),
+        ("location_id", F.coalesce(site.try_cast("int"), F.lit(0)), "D", unread(site, "int")),
         ("location", F.coalesce(pa["homeWorkLocation"]["nameCode"]["shortName"], F.lit("Unassigned")), "D"),
-        ("department_id", F.coalesce(unit["codeValue"].try_cast("int"), F.lit(0)), "D"),
+        ("department_id", F.coalesce(unit["codeValue"].try_cast("int"), F.lit(0)), "D", unread(unit["codeValue"], "int")),
         ("department", F.coalesce(F.regexp_replace(F.coalesce(unit["shortName"], unit["longName"]), r"\d+ - (.*)", "$1"),
                                   F.lit("Unassigned")), "D"),
-        ("reports_to_id", F.nullif(F.regexp_extract(F.get(pa["reportsTo"], 0)["positionID"],
-                                                    position_prefix + r"(\d+)", 1), F.lit("")).try_cast("int"), "N"),
+        ("reports_to_id", reports, "N", position.isNotNull() & reports.isNull()),
         ("job_title_id", pa["jobCode"]["codeValue"].try_cast("int"), "R"),
         ("job_title", F.coalesce(pa["jobCode"]["longName"], pa["jobCode"]["shortName"]), "R"),
         ("legal_first_name", person["legalName"]["givenName"], "R"),
@@ -68,15 +76,15 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
         ("personal_mobile", F.get(person["communication"]["mobiles"], 0)["formattedNumber"], "N"),
         ("status", _w("workerStatus.statusCode.codeValue"), "N"),
         ("employment_type", F.coalesce(pa["workerTypeCode"]["longName"], pa["workerTypeCode"]["shortName"]), "N"),
-        ("actual_seniority_date", actual_seniority, "N"),
-        ("seniority_date", seniority, "N"),
-        ("original_hire_date", original, "N"),
-        ("hire_date", hire, "N"),
+        ("actual_seniority_date", actual_seniority, "N", unread(F.get(dates, 2)["dateValue"], "date")),
+        ("seniority_date", seniority, "N", unread(pa["seniorityDate"], "date")),
+        ("original_hire_date", original, "N", unread(_w("workerDates.originalHireDate"), "date")),
+        ("hire_date", hire, "N", unread(pa["hireDate"], "date")),
         ("ultimate_hire_date", F.when(hire == F.lit(hire_sentinel).cast("date"),
                                       F.coalesce(actual_seniority, seniority, original)).otherwise(hire), "N"),
-        ("start_date", _date(pa["actualStartDate"]), "N"),
-        ("evaluation_date", _date(F.get(dates, 1)["dateValue"]), "N"),
-        ("termination_date", _date(_w("workerDates.terminationDate")), "N"),
+        ("start_date", _date(pa["actualStartDate"]), "N", unread(pa["actualStartDate"], "date")),
+        ("evaluation_date", _date(F.get(dates, 1)["dateValue"]), "N", unread(F.get(dates, 1)["dateValue"], "date")),
+        ("termination_date", _date(_w("workerDates.terminationDate")), "N", unread(_w("workerDates.terminationDate"), "date")),
         ("hired_fte", pa["fullTimeEquivalenceRatio"].cast("decimal(6,2)"), "N"),
         ("is_manager", pa["managementPositionIndicator"], "N"),
         ("dob", _date(person["birthDate"]), "R"),
@@ -91,22 +99,40 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
 def flatten_workers(docs: DataFrame, mode: str = "failfast", **kw):
     """One staging row per worker. ``docs`` has a ``workers`` array column (a
     landed page) or one worker struct per row in column ``w``."""
-    rows = docs.select(F.explode("workers").alias(W)) if "workers" in docs.columns else docs
+    pages = docs if "workers" in docs.columns else None
+    if pages is not None:
+        bad_page = unparsed(pages, "workers")
+        workers = F.col("workers")
+        if mode != "quarantine":
+            # Inside the exploded expression: a filter before it would come after the NULL check that Spark infers.
+            workers = F.when(bad_page, F.raise_error(F.lit("worker page does not parse"))).otherwise(workers)
+        else:
+            workers = F.when(~bad_page, workers)
+        rows = pages.select(F.explode(workers).alias(W))
+    else:
+        rows = docs
     rows = rows.select(W, primary_assignment().alias(PA))
     spec = worker_columns(**kw)
     errors = F.array_compact(F.array(
         F.when(F.col(PA).isNull(), F.lit("no primary assignment")),
-        *[F.when(expr.isNull(), F.lit(name)) for name, expr, policy in spec if policy == "R"]))
-    flat = rows.select(*[expr.alias(name) for name, expr, _ in spec], errors.alias("__errors"))
+        *[F.when(expr.isNull(), F.lit(name)) for name, expr, policy, *_ in spec if policy == "R"],
+        *[F.when(unread[0], F.lit(name)) for name, _, _, *unread in spec if unread]))
+    # The row number keeps the optimizer from copying the long error expression into a filter further down
+    # (and from there into every constraint it infers): predicates are not moved below it.
+    flat = rows.select(*[expr.alias(name) for name, expr, *_ in spec], errors.alias("__errors"),
+                       F.monotonically_increasing_id().alias("__row"))
+    counted = F.col("__row") >= 0
     if mode == "quarantine":
-        bad = flat.filter(F.size("__errors") > 0).withColumnRenamed("__errors", "errors")
-        return flat.filter(F.size("__errors") == 0).drop("__errors"), bad
-    # A filter predicate (not a dropped column, which the optimizer would prune)
-    # so every row is checked.
-    ok = F.when(F.size("__errors") > 0,
-                F.raise_error(F.concat(F.lit("worker document error: "), F.coalesce(F.col("aoid"), F.lit("?")),
-                                       F.lit(": "), F.array_join("__errors", ", ")))).otherwise(F.lit(True))
-    return flat.filter(ok).drop("__errors")
+        bad = flat.filter(counted & (F.size("__errors") > 0)).withColumnRenamed("__errors", "errors").drop("__row")
+        if pages is not None:
+            lost = pages.filter(bad_page).select(F.array(F.lit("page does not parse")).alias("errors"))
+            bad = bad.unionByName(lost, allowMissingColumns=True)
+        return flat.filter(counted & (F.size("__errors") == 0)).drop("__errors", "__row"), bad
+    # A filter predicate (not a dropped column, which the optimizer would prune) so every row is checked.
+    said = F.filter(F.array(F.array_join("__errors", ", ")), lambda e: e != "")
+    ok = F.forall(said, lambda e: F.raise_error(F.concat(F.lit("worker document error: "),
+                                                         F.coalesce(F.col("aoid"), F.lit("?")), F.lit(": "), e)).isNull())
+    return flat.filter(counted & ok).drop("__errors", "__row")
 
 
 def flatten_directory(entries: DataFrame, source_col: str = "source", offsets: dict | None = None) -> DataFrame:

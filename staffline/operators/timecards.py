@@ -18,6 +18,7 @@ from staffline.params import (OPEN_END_DATE, PAID_EXTRA_CODES, REGULAR_CODES, UN
                               WORK_EXTRA_CODES)
 from staffline.schemas import conform
 from staffline.session import cut_lineage
+from staffline.sources.documents import unparsed
 
 WORK_CODES = REGULAR_CODES + WORK_EXTRA_CODES
 PAID_CODES = WORK_CODES + PAID_EXTRA_CODES
@@ -32,8 +33,12 @@ def eligible_employees(employees: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def flatten_timecards(docs: DataFrame) -> DataFrame:
-    """``timeCards[] x dailyTotals[]`` rows that have an entry date."""
-    cards = docs.select(F.explode("timeCards").alias("tc"))
+    """``timeCards[] x dailyTotals[]`` rows that have an entry date; a document
+    that does not parse, or an unreadable date, aborts the run."""
+    # Inside the exploded expression: a filter before it would come after the NULL check that Spark infers.
+    checked = F.when(unparsed(docs, "timeCards"), F.raise_error(F.lit("timecard document does not parse"))) \
+        .otherwise(F.col("timeCards"))
+    cards = docs.select(F.explode(checked).alias("tc"))
     days = cards.select(F.col("tc.associateOID").alias("associate_oid"),
                         F.col("tc.timePeriod.startDate").cast("date").alias("period_start"),
                         F.explode("tc.dailyTotals").alias("d"))

@@ -26,6 +26,9 @@ def _directory(t):
 
 
 _K = "c.c_custkey"
+_ACTUAL = f"CASE WHEN {_K} % 9 = 0 THEN DATE '1992-01-01' + CAST({_K} % 900 AS INTEGER) END"
+_SENIOR = f"CASE WHEN {_K} % 5 <> 0 THEN DATE '1994-06-01' + CAST({_K} % 1400 AS INTEGER) END"
+_ORIGINAL = f"CASE WHEN {_K} % 4 <> 0 THEN DATE '1993-01-01' + CAST({_K} % 1100 AS INTEGER) END"
 WORKER_SQL = f"""
 WITH jt AS (SELECT job_title_id, MIN(job_title) AS title FROM fx_job_titles GROUP BY job_title_id)
 SELECT CAST({_K} AS INTEGER) AS id, concat('G', printf('%015d', {_K})) AS aoid,
@@ -35,21 +38,25 @@ SELECT CAST({_K} AS INTEGER) AS id, concat('G', printf('%015d', {_K})) AS aoid,
   CAST({_K} % 50 AS INTEGER) AS job_title_id, COALESCE(jt.title, concat('Title ', CAST({_K} % 50 AS VARCHAR))) AS job_title,
   c.c_mktsegment AS legal_first_name, CASE WHEN {_K} % 3 <> 0 THEN 'Quinn' END AS legal_middle_name,
   concat('Name', CAST({_K} AS VARCHAR)) AS legal_last_name,
-  CAST(NULL AS VARCHAR) AS preferred_first_name, CAST(NULL AS VARCHAR) AS preferred_middle_name,
-  CAST(NULL AS VARCHAR) AS preferred_last_name, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS pronouns,
+  CASE WHEN {_K} % 6 = 0 THEN concat('Pref', CAST({_K} AS VARCHAR)) END AS preferred_first_name,
+  CASE WHEN {_K} % 12 = 0 THEN 'Mid' END AS preferred_middle_name,
+  CASE WHEN {_K} % 18 = 0 THEN 'Last' END AS preferred_last_name,
+  CASE WHEN {_K} % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender, CASE WHEN {_K} % 7 = 0 THEN 'they/them' END AS pronouns,
   lower(concat(c.c_mktsegment, '.', CAST({_K} AS VARCHAR), '@Example.org')) AS work_email,
   CASE WHEN {_K} % 4 <> 0 THEN lower(concat('P', CAST({_K} AS VARCHAR), '@Mail.example')) END AS personal_email,
-  CAST(NULL AS VARCHAR) AS personal_mobile,
+  CASE WHEN {_K} % 3 = 0 THEN concat('(530) 555-', lpad(CAST({_K} % 10000 AS VARCHAR), 4, '0')) END AS personal_mobile,
   CASE WHEN c.c_acctbal < 0 THEN 'Terminated' ELSE 'Active' END AS status,
   CASE WHEN {_K} % 2 = 0 THEN 'Full Time' ELSE 'FT' END AS employment_type,
-  CAST(NULL AS DATE) AS actual_seniority_date, CAST(NULL AS DATE) AS seniority_date, CAST(NULL AS DATE) AS original_hire_date,
-  DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS hire_date,
-  DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS ultimate_hire_date,
-  DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS start_date, CAST(NULL AS DATE) AS evaluation_date,
+  {_ACTUAL} AS actual_seniority_date, {_SENIOR} AS seniority_date, {_ORIGINAL} AS original_hire_date,
+  CASE WHEN {_K} % 17 = 0 THEN DATE '2023-10-01' ELSE DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) END AS hire_date,
+  CASE WHEN {_K} % 17 = 0 THEN COALESCE({_ACTUAL}, {_SENIOR}, {_ORIGINAL})
+       ELSE DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) END AS ultimate_hire_date,
+  DATE '1995-01-01' + CAST({_K} % 1500 AS INTEGER) AS start_date,
+  CASE WHEN {_K} % 3 = 1 THEN DATE '2001-01-01' + CAST({_K} % 300 AS INTEGER) END AS evaluation_date,
   CASE WHEN c.c_acctbal < 0 THEN DATE '2000-06-30' END AS termination_date,
   CAST(c.c_acctbal / 10000 AS DECIMAL(6,2)) AS hired_fte, {_K} % 10 = 0 AS is_manager,
   DATE '1970-01-01' + CAST({_K} % 9000 AS INTEGER) AS dob, concat(CAST({_K} AS VARCHAR), ' Main St') AS address_line_1,
-  CAST(NULL AS VARCHAR) AS address_line_2, 'Davis' AS city, 'CA' AS state,
+  CASE WHEN {_K} % 8 = 0 THEN concat('Apt ', CAST({_K} AS VARCHAR)) END AS address_line_2, 'Davis' AS city, 'CA' AS state,
   concat('95', lpad(CAST({_K} % 1000 AS VARCHAR), 3, '0')) AS zip_code
 FROM customer c LEFT JOIN jt ON CAST({_K} % 50 AS INTEGER) = jt.job_title_id
 """
@@ -113,12 +120,22 @@ def q_dn_group(t):
 # is NULL: the given name (market segment) is the only nullable source of a
 # required field; all others derive from the key or constants.
 @query("worker_quarantine", """
-SELECT concat('G', printf('%015d', c_custkey)) AS aoid, 'legal_first_name' AS errors
-FROM customer WHERE c_mktsegment IS NULL
+SELECT CASE WHEN c_custkey % 10 <> 3 THEN concat('G', printf('%015d', c_custkey)) END AS aoid,
+  CASE c_custkey % 10 WHEN 1 THEN 'no primary assignment, id, job_title_id, job_title' WHEN 3 THEN 'page does not parse'
+       WHEN 4 THEN 'dob, hire_date' WHEN 5 THEN 'location_id' ELSE 'zip_code' END AS errors
+FROM customer WHERE c_custkey % 10 IN (1, 3, 4, 5, 6)
 """)
 def q_worker_quarantine(t):
     """2.2 quarantine mode: rows failing a required-field check, with their errors."""
-    docs = DOC.parse(DOC.worker_documents_from_tables(t["customer"], t["employee_job_titles"]), "doc",
-                     DOC.WORKER_PAGE_SCHEMA)
+    docs = DOC.worker_documents_from_tables(t["customer"], t["employee_job_titles"])
+    # Damage by the last digit of the worker's number: no primary assignment, a page cut off, unreadable dates,
+    # an unreadable code, a required field gone.
+    doc, last = F.col("doc"), F.regexp_extract("doc", r'"associateOID":"G\d*(\d)"', 1)
+    docs = docs.withColumn("doc", F.when(last == "1", F.replace(doc, F.lit('"primaryIndicator":true'), F.lit('"primaryIndicator":false')))
+                           .when(last == "3", F.left(doc, F.lit(100)))
+                           .when(last == "4", F.regexp_replace(doc, r'"(hireDate|birthDate)":"', '"$1":"x'))
+                           .when(last == "5", F.regexp_replace(doc, r'"homeWorkLocation":\{"nameCode":\{"codeValue":"', '$0N/A'))
+                           .when(last == "6", F.replace(doc, F.lit('"postalCode"'), F.lit('"gone"'))).otherwise(doc))
+    docs = DOC.parse(docs, "doc", DOC.WORKER_PAGE_SCHEMA)
     good, bad = FL.flatten_workers(docs, mode="quarantine")
     return bad.select("aoid", F.array_join("errors", ", ").alias("errors"))

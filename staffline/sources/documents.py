@@ -11,6 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
+
+#: Column that holds the text of a document that does not parse; flattening fails on it or quarantines it.
+CORRUPT = "_corrupt_record"
 
 _NAME_CODE = "struct<codeValue: string, shortName: string, longName: string>"
 WORKER_SCHEMA = (
@@ -44,13 +48,25 @@ DIRECTORY_SCHEMA = (
     "whenCreated timestamp, userAccountControl int")
 
 
-def read_worker_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed worker pages (``{"workers": [...]}`` per line)."""
-    return spark.read.schema(_ddl(WORKER_PAGE_SCHEMA)).json(path)
+def _with_corrupt(struct_type: str) -> StructType:
+    """The fixed schema plus the column for text that does not parse."""
+    return DataType.fromDDL(struct_type).add(CORRUPT, "string")
+
+
+def _read(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
+    return (spark.read.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multi_line).json(path))
+
+
+def read_worker_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed worker pages (``{"workers": [...]}``), one per line, or one per
+    file with ``multi_line``. A page that does not parse keeps its text in ``_corrupt_record``."""
+    return _read(spark, path, WORKER_PAGE_SCHEMA, multi_line)
 
 
-def read_timecards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_ddl(TIMECARD_SCHEMA)).json(path)
+def read_timecards(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed timecard documents (``{"timeCards": [...]}``), read like worker pages."""
+    return _read(spark, path, TIMECARD_SCHEMA, multi_line)
 
 
 def read_directory(spark: SparkSession, paths: dict) -> DataFrame:
@@ -62,15 +78,17 @@ def read_directory(spark: SparkSession, paths: dict) -> DataFrame:
     return out
 
 
-def _ddl(struct_type: str) -> str:
-    """``struct<a: t, ...>`` -> ``a t, ...`` for ``DataFrameReader.schema``."""
-    inner = struct_type[len("struct<"):-1]
-    return inner
+def parse(docs: DataFrame, text_col: str, schema: str) -> DataFrame:
+    """Parse JSON text (one document per row) with a fixed schema; text that
+    does not parse is kept in ``_corrupt_record``."""
+    parsed = F.from_json(text_col, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    return docs.select(parsed.alias("__d")).select("__d.*")
 
 
-def parse(docs: DataFrame, text_col: str, schema: str) -> DataFrame:
-    """Parse JSON text (one document per row) with a fixed schema."""
-    return docs.select(F.from_json(text_col, schema).alias("__d")).select("__d.*")
+def unparsed(docs: DataFrame, list_col: str):
+    """Whether a landed document is unusable: text that does not parse, or no list where one belongs."""
+    bad = F.col(list_col).isNull()
+    return (F.col(CORRUPT).isNotNull() | bad) if CORRUPT in docs.columns else bad
 
 
 def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) -> DataFrame:
@@ -79,9 +97,13 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
     seg = F.col("c_mktsegment")
     title = job_titles.groupBy("job_title_id").agg(F.min("job_title").alias("__title"))
     c = customer.join(title, (k % 50).cast("int") == F.col("job_title_id"), "left")
+
+    def day(first: str, spread: int):
+        return F.date_format(F.date_add(F.lit(first).cast("date"), (k % spread).cast("int")), "yyyy-MM-dd")
+
     primary = F.struct(
         F.lit(True).alias("primaryIndicator"), F.format_string("%06d", k).alias("payrollFileNumber"),
-        F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (k % 1500).cast("int")), "yyyy-MM-dd").alias("hireDate"),
+        F.when(k % 17 == 0, F.lit("2023-10-01")).otherwise(day("1995-01-01", 1500)).alias("hireDate"),
         F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (k % 1500).cast("int")), "yyyy-MM-dd").alias("actualStartDate"),
         F.struct(F.struct(F.col("c_nationkey").cast("string").alias("codeValue"),
                           F.concat(F.lit("Site "), F.col("c_nationkey").cast("string")).alias("shortName")).alias("nameCode"))
@@ -96,7 +118,8 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
                  F.coalesce(F.col("__title"), F.concat(F.lit("Title "), (k % 50).cast("string"))).alias("longName")).alias("jobCode"),
         F.struct(F.when(k % 2 == 0, "Full Time").alias("longName"), F.lit("FT").alias("shortName")).alias("workerTypeCode"),
         (F.col("c_acctbal") / 10000).alias("fullTimeEquivalenceRatio"),
-        (k % 10 == 0).alias("managementPositionIndicator"))
+        (k % 10 == 0).alias("managementPositionIndicator"),
+        F.when(k % 5 != 0, day("1994-06-01", 1400)).alias("seniorityDate"))
     # A secondary assignment (same shape, not primary) that the extractors must skip.
     other = primary.withField("primaryIndicator", F.lit(False)).withField("payrollFileNumber", F.lit("999999"))
     worker = F.struct(
@@ -104,10 +127,18 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
         F.array(other, primary).alias("workAssignments"),
         F.struct(F.struct(seg.alias("givenName"), F.when(k % 3 != 0, F.lit("Quinn")).alias("middleName"),
                           F.concat(F.lit("Name"), k.cast("string")).alias("familyName1")).alias("legalName"),
+                 F.struct(F.when(k % 6 == 0, F.concat(F.lit("Pref"), k.cast("string"))).alias("givenName"),
+                          F.when(k % 12 == 0, F.lit("Mid")).alias("middleName"),
+                          F.when(k % 18 == 0, F.lit("Last")).alias("familyName1")).alias("preferredName"),
+                 F.struct(F.when(k % 2 == 0, "Female").otherwise("Male").alias("longName")).alias("genderCode"),
+                 F.struct(F.when(k % 7 == 0, F.lit("they/them")).alias("shortName")).alias("preferredGenderPronounCode"),
                  F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), (k % 9000).cast("int")), "yyyy-MM-dd").alias("birthDate"),
                  F.struct(F.when(k % 4 != 0, F.array(F.struct(F.concat(F.lit("P"), k.cast("string"), F.lit("@Mail.example")).alias("emailUri"))))
-                          .alias("emails")).alias("communication"),
-                 F.struct(F.concat(k.cast("string"), F.lit(" Main St")).alias("lineOne"), F.lit("Davis").alias("cityName"),
+                          .alias("emails"),
+                          F.when(k % 3 == 0, F.array(F.struct(F.concat(F.lit("(530) 555-"), F.lpad((k % 10000).cast("string"), 4, "0"))
+                                                              .alias("formattedNumber")))).alias("mobiles")).alias("communication"),
+                 F.struct(F.concat(k.cast("string"), F.lit(" Main St")).alias("lineOne"),
+                          F.when(k % 8 == 0, F.concat(F.lit("Apt "), k.cast("string"))).alias("lineTwo"), F.lit("Davis").alias("cityName"),
                           F.struct(F.lit("CA").alias("codeValue")).alias("countrySubdivisionLevel1"),
                           F.concat(F.lit("95"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit("-1234")).alias("postalCode"))
                  .alias("legalAddress")).alias("person"),
@@ -115,7 +146,12 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
                  .alias("emails")).alias("businessCommunication"),
         F.struct(F.struct(F.when(F.col("c_acctbal") < 0, "Terminated").otherwise("Active").alias("codeValue"))
                  .alias("statusCode")).alias("workerStatus"),
-        F.struct(F.when(F.col("c_acctbal") < 0, F.lit("2000-06-30")).alias("terminationDate")).alias("workerDates"))
+        F.struct(F.when(k % 4 != 0, day("1993-01-01", 1100)).alias("originalHireDate"),
+                 F.when(F.col("c_acctbal") < 0, F.lit("2000-06-30")).alias("terminationDate")).alias("workerDates"),
+        F.struct(F.array(F.struct(F.lit(None).cast("string").alias("dateValue")),
+                         F.struct(F.when(k % 3 == 1, day("2001-01-01", 300)).alias("dateValue")),
+                         F.struct(F.when(k % 9 == 0, day("1992-01-01", 900)).alias("dateValue"))).alias("dateFields"))
+        .alias("customFieldGroup"))
     return c.select(F.to_json(F.struct(F.array(worker).alias("workers"))).alias("doc"))
 
 
