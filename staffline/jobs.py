@@ -14,7 +14,10 @@ lineage. Counts for the run log are taken before the change.
 
 from __future__ import annotations
 
+import contextvars
 import datetime as dt
+import functools
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +33,9 @@ from staffline.operators.reconcile import assign_ids
 from staffline.operators.runlog import run_log_row
 from staffline.schemas import TABLES, conform
 from staffline.session import cut_lineage
-from staffline.sources.sinks import read_latest, read_run, write_state
+from staffline.sources.sinks import NoState, read_latest, read_run, write_state
+
+_STEPS: contextvars.ContextVar[list[str]] = contextvars.ContextVar("steps")
 
 
 def state(spark: SparkSession, root: str, table: str, initial: DataFrame | None = None,
@@ -39,18 +44,16 @@ def state(spark: SparkSession, root: str, table: str, initial: DataFrame | None
     starts from the same state); ``initial`` (or an empty table) before the first run."""
     try:
         return read_latest(spark, f"{root}/{table}", before)
-    except Exception:  # nothing written yet
+    except NoState:  # nothing written yet; any other failure to read ends the run
         if initial is not None:
             return initial
         return spark.createDataFrame([], TABLES[table])
 
 
 def _write(spark: SparkSession, df: DataFrame, root: str, table: str, run_id: str) -> DataFrame:
+    _step(f"write {table}")
     write_state(df, f"{root}/{table}", run_id)
-    try:
-        return read_run(spark, f"{root}/{table}", run_id)
-    except Exception:  # an empty state writes no files
-        return spark.createDataFrame([], df.schema)
+    return read_run(spark, f"{root}/{table}", run_id)
 
 
 def _log(spark: SparkSession, row: DataFrame, root: str, run_id: str, job: str) -> None:
@@ -58,9 +61,38 @@ def _log(spark: SparkSession, row: DataFrame, root: str, run_id: str, job: str)
     write_state(row, f"{root}/run_log", f"{run_id}.{job}")
 
 
+def _logged(job: str):
+    """Write a run-log row with the failed step when a run ends in an error (the
+    error goes on to the caller). The step is the last statement that began."""
+    def deco(run):
+        @functools.wraps(run)
+        def inner(spark, *args, **kw):
+            call = inspect.signature(run).bind(spark, *args, **kw).arguments
+            steps: list[str] = ["start"]
+            token = _STEPS.set(steps)
+            try:
+                return run(spark, *args, **kw)
+            except Exception as ex:
+                one = spark.range(1).select(F.lit(str(ex).split("\n")[0][:500]).alias("w"))
+                as_of = call.get("as_of") or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                _log(spark, run_log_row(one, job, as_of, warnings="w", failure_step=steps[-1]), call["root"],
+                     call["run_id"], f"{job}.failed")
+                raise
+            finally:
+                _STEPS.reset(token)
+        return inner
+    return deco
+
+
+def _step(name: str) -> None:
+    _STEPS.get().append(name)
+
+
+@_logged("workers")
 def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id: str, as_of: dt.datetime,
                initial: dict | None = None, mode: str = "failfast") -> None:
     init = initial or {}
+    _step("flatten workers")
     if mode == "quarantine":
         workers, bad = flatten_workers(worker_pages, mode="quarantine")
         write_state(bad.withColumn("errors", F.array_join("errors", ", ")), f"{root}/worker_quarantine", run_id)
@@ -68,7 +100,8 @@ def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id:
         workers = flatten_workers(worker_pages)
     workers = cut_lineage(workers)  # the staging table of the run
     st = {t: state(spark, root, t, init.get(t), before=run_id) for t in
-          ("departments", "locations", "employee_job_titles", "employees", "employee_info", "employee_job_history")}
+          ("departments", "locations", "employee_job_titles", "employees", "employee_info", "employee_job_history",
+           "employee_hours", "workforce_map")}
     _write(spark, EM.new_departments(workers, st["departments"]), root, "departments", run_id)
     _write(spark, EM.new_locations(workers, st["locations"]), root, "locations", run_id)
     titles = _write(spark, EM.new_job_titles(workers, st["employee_job_titles"], as_of), root,
@@ -79,18 +112,28 @@ def worker_run(spark: SparkSession, worker_pages: DataFrame, root: str, run_id:
     log = run_log_row(counts, "workers", as_of, query_count="query_count", update_count="changed_reference",
                       insert_count="new_employees")
     log = cut_lineage(log)  # counts of the pre-state
-    emp, info = EM.upsert_employees(st["employees"], st["employee_info"], workers, titles, as_of)
+    # Ids that change take their history, hours, map and info rows along (ON UPDATE CASCADE).
+    _step("cascade employee ids")
+    changes = cut_lineage(EM.employee_id_changes(st["employees"], workers, titles))
+    kept = EM.cascade_employee_ids({t: conform(st[t], t) for t in
+                                    ("employee_job_history", "employee_hours", "workforce_map", "employee_info")}, changes)
+    emp, info = EM.upsert_employees(st["employees"], kept["employee_info"], workers, titles, as_of)
     emp = _write(spark, emp, root, "employees", run_id)
     _write(spark, info, root, "employee_info", run_id)
-    _write(spark, HI.update_history(st["employee_job_history"], emp, as_of), root, "employee_job_history", run_id)
+    if not changes.isEmpty():
+        for t in ("employee_hours", "workforce_map"):
+            _write(spark, kept[t], root, t, f"{run_id}.rekeyed")
+    _write(spark, HI.update_history(kept["employee_job_history"], emp, as_of), root, "employee_job_history", run_id)
     _log(spark, log, root, run_id, "workers")
 
 
+@_logged("timecards")
 def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_id: str, as_of: dt.datetime,
                  initial: dict | None = None) -> None:
     init = initial or {}
     st = {t: state(spark, root, t, init.get(t)) for t in ("employees", "employee_job_history")}
     st.update({t: state(spark, root, t, init.get(t), before=run_id) for t in ("employee_hours", "timecard_dates")})
+    _step("flatten timecards")
     rows = TC.classify_minutes(TC.flatten_timecards(timecard_docs))
     daily = cut_lineage(TC.daily_minutes_prereduced(rows, TC.eligible_employees(conform(st["employees"], "employees"),
                                                                                   as_of)))
@@ -110,9 +153,11 @@ def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_i
     _log(spark, log, root, run_id, "timecards")
 
 
+@_logged("directory")
 def directory_run(spark: SparkSession, entries: DataFrame, root: str, run_id: str, as_of: dt.datetime,
                   initial: DataFrame | None = None) -> None:
     users = state(spark, root, "network_users", initial, before=run_id)
+    _step("flatten directory")
     snapshot = cut_lineage(flatten_directory(entries))
     counts = A.account_counts(users, snapshot)
     log = cut_lineage(run_log_row(counts, "directory", as_of, query_count="diff_rows",
@@ -122,12 +167,14 @@ def directory_run(spark: SparkSession, entries: DataFrame, root: str, run_id: st
     _log(spark, log, root, run_id, "directory")
 
 
+@_logged("linkage")
 def linkage_run(spark: SparkSession, root: str, run_id: str, analytics_users: DataFrame, ehr_users: DataFrame,
                 initial_map: DataFrame | None = None) -> None:
     """Insert new account <-> employee links, then set analytics and EHR ids."""
     wm = conform(state(spark, root, "workforce_map", initial_map, before=run_id), "workforce_map")
     users = state(spark, root, "network_users")
     employees = state(spark, root, "employees")
+    _step("link employees")
     links = LK.link_employees(users, employees, wm)
     base = wm.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(links.crossJoin(F.broadcast(base)), ["network_id", "employee_id"], start_after=F.col("__base"))

@@ -23,7 +23,3 @@ def run_log_row(counts: DataFrame, query_type: str, as_of: dt.datetime, query_co
         F.lit(failure_step).cast("string").alias("failure_step"),
         (F.col(warnings) if warnings else F.lit(None)).cast("string").alias("warnings"),
         F.lit(failure_step is None).alias("is_success"))
-
-
-def append_run_log(row: DataFrame, path: str) -> None:
-    row.write.mode("append").parquet(path)

@@ -1,53 +1,85 @@
 """Sinks: table states per run, run-log appends, reporting views.
 
-A stored table is a Parquet folder partitioned by ``run``; a run appends the
-table's next full state and readers take the newest run. (No MERGE-capable
-table format is installed; a full state per run is what the reference's
-statements leave behind after each transaction.)
+A stored table is a folder with one full state per run, ``run=<id>``. After a
+state is written, an empty file ``_runs/<sequence>.<run id>`` marks it complete; the
+sequence counts up, so that the order of runs is the order of writing, whatever
+their ids. Readers list that folder (no data file is opened) and read one run's
+folder only. A state without a mark is half written and never read.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from staffline.operators import views as V
 from staffline.params import Params
 
+_RUN_ID = re.compile(r"[A-Za-z0-9._-]+")
 
-def write_state(df: DataFrame, table_path: str, run_id: str) -> None:
-    """Write the table's new full state as ``run=<run_id>`` (SNK-1).
 
-    Dynamic partition overwrite: a retried run replaces its own partition
-    instead of appending a second copy, so runs are idempotent."""
-    (df.withColumn("run", F.lit(run_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(table_path))
+class NoState(FileNotFoundError):
+    """A table has no complete state (before the run asked about)."""
 
 
-def read_runs(spark: SparkSession, table_path: str) -> DataFrame:
-    """All runs of a table, with ``run`` kept as the string it was written as
-    (partition discovery would otherwise turn ids like 2024-01-01 into dates)."""
-    inferred = spark.read.parquet(table_path).schema
-    schema = StructType([StructField("run", StringType()) if f.name == "run" else f for f in inferred.fields])
-    return spark.read.schema(schema).parquet(table_path)
+def _files(spark: SparkSession, path: str):
+    """File system and path object, for any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def read_latest(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
-    """The newest state of a table written by ``write_state`` (the newest
-    before run ``before`` when given: what a retried run must start from)."""
-    stored = read_runs(spark, table_path)
-    if before is not None:
-        stored = stored.filter(F.col("run") < before)
-    last = stored.agg(F.max("run")).first()[0]  # one value
-    if last is None:
-        raise FileNotFoundError(f"no state of {table_path} before {before}")
-    return stored.filter(F.col("run") == last).drop("run")
+def runs_of(spark: SparkSession, table_path: str) -> list[str]:
+    """Run ids of a table's complete states, in the order they were written."""
+    fs, p = _files(spark, f"{table_path}/_runs")
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return [n.split(".", 1)[1] for n in sorted(n for n in names if re.match(r"\d+\.", n))]
+
+
+def write_state(df: DataFrame, table_path: str, run_id: str) -> None:
+    """Write the table's full state of a run (SNK-1) and mark it complete.
+
+    A retried run replaces its own state and keeps its place among the runs."""
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"run id {run_id!r}: letters, digits, '.', '_' and '-' only")
+    spark = df.sparkSession
+    known = runs_of(spark, table_path)
+    df.write.mode("overwrite").parquet(f"{table_path}/run={run_id}")
+    if run_id not in known:
+        fs, p = _files(spark, f"{table_path}/_runs/{len(known):012d}.{run_id}")
+        fs.create(p, False).close()
 
 
 def read_run(spark: SparkSession, table_path: str, run_id: str) -> DataFrame:
     """The state written by one run."""
-    return read_runs(spark, table_path).filter(F.col("run") == run_id).drop("run")
+    if run_id not in runs_of(spark, table_path):
+        raise NoState(f"no complete state {run_id} of {table_path}")
+    return spark.read.parquet(f"{table_path}/run={run_id}")
+
+
+def read_runs(spark: SparkSession, table_path: str) -> DataFrame:
+    """All complete states of a table, with their ``run`` id as text."""
+    out = None
+    for run_id in runs_of(spark, table_path):
+        one = read_run(spark, table_path, run_id).withColumn("run", F.lit(run_id))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    if out is None:
+        raise NoState(f"no complete state of {table_path}")
+    return out
+
+
+def read_latest(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
+    """The newest state of a table; with ``before`` the newest that was written
+    before that run (what a retried run must start from; a new run comes last)."""
+    runs = runs_of(spark, table_path)
+    if before in runs:
+        runs = runs[:runs.index(before)]
+    if not runs:
+        raise NoState(f"no complete state of {table_path}" + (f" before {before}" if before else ""))
+    return read_run(spark, table_path, runs[-1])
 
 
 def register_reporting_views(tables: dict, params: Params, prefix: str = "") -> list[str]:

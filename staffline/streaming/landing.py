@@ -1,15 +1,18 @@
 """Incremental runs over a landing folder with Structured Streaming.
 
 The extraction step lands one full directory export per run under
-``<landing>/export=<run id>/source=<server>/*.json``. A file stream with
-``trigger(availableNow=True)`` picks up every export not processed yet
-(the stream checkpoint remembers which files were seen, so a restarted job
-neither skips nor repeats an export). ``foreachBatch`` reconciles each new
-export, in run order, against the latest stored state and writes the next
-state as ``<table>/run=<run id>``. Each export is a complete snapshot, so an
-export is never split across runs: all of its files are read in the batch
-that first sees it. A batch replayed after a failure starts from the state
-before its run and overwrites its own run partition, so replays are harmless.
+``<landing>/export=<run id>/source=<server>/*.json`` and, when all of its files are
+there, one line ``{"export": <run id>, "files": <count>}`` as a file under
+``<landing>/complete/``. The file stream reads only these markers, so a
+half-landed export is never taken for a full snapshot. ``foreachBatch`` reads the
+whole export that a marker names, checks the number of its files, reconciles it
+against the latest stored state and writes the next state as
+``<table>/run=<run id>``.
+
+A batch replayed after a failure, and a marker written again for the newest run,
+start from the state before that run and replace its own state. A marker for an
+older run is an error: later states were built on it. Files that come after their
+export's marker change nothing until a new marker names them.
 """
 
 from __future__ import annotations
@@ -25,16 +28,16 @@ from staffline.operators.dedupe import resolve_all
 from staffline.operators.flatten import flatten_directory
 from staffline.schemas import TABLES
 from staffline.sources.documents import DIRECTORY_SCHEMA
-from staffline.sources.sinks import read_latest, write_state
+from staffline.sources.sinks import NoState, read_latest, runs_of, write_state
 
-LANDING_SCHEMA = DIRECTORY_SCHEMA + ", export string, source string"
+MARKER_SCHEMA = "export string, files long"
 
 
 def _latest_state(spark: SparkSession, table_path: str, initial: DataFrame | None, before: str) -> DataFrame:
     """Newest state before run ``before`` (a replayed batch starts from the same state)."""
     try:
         return read_latest(spark, table_path, before)
-    except Exception:  # no earlier run written
+    except NoState:  # no earlier run; any other failure to read ends the run
         if initial is None:
             return spark.createDataFrame([], TABLES["network_users"])
         return initial
@@ -70,20 +73,35 @@ def reconcile_export(spark: SparkSession, export: DataFrame, table_path: str, ru
     return metrics
 
 
+def read_export(spark: SparkSession, landing_dir: str, run_id: str, files: int) -> DataFrame:
+    """All entries of one landed export, tagged with their ``source``; an error
+    if it has not as many files as its marker says."""
+    export = (spark.read.schema(DIRECTORY_SCHEMA + ", source string").option("basePath", f"{landing_dir}/export={run_id}")
+              .json(f"{landing_dir}/export={run_id}"))
+    found = len(export.inputFiles())
+    if found != files:
+        raise ValueError(f"export {run_id} has {found} files, its marker says {files}")
+    return export
+
+
 def start_directory_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
                            initial: DataFrame | None = None, as_of_from_run=None,
                            log_path: str | None = None) -> StreamingQuery:
-    """Process every export landed since the last call, then stop."""
-    as_of_from_run = as_of_from_run or (lambda run_id: dt.datetime.now())
+    """Process every export completed since the last call, in order of run id
+    within a batch, then stop. The default time of a run is the current time in UTC."""
+    as_of_from_run = as_of_from_run or (lambda run_id: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        # Run ids of this batch: one small value per landed export.
-        runs = sorted(r[0] for r in batch.select("export").distinct().collect())
-        for run_id in runs:
-            reconcile_export(spark, batch.filter(F.col("export") == run_id), table_path, run_id,
-                             as_of_from_run(run_id), initial, log_path)
+        # One small marker per completed export.
+        markers = {r.export: r.files for r in batch.groupBy("export").agg(F.max("files").alias("files")).collect()}
+        for run_id in sorted(markers):
+            stored = runs_of(spark, table_path)
+            if run_id in stored[:-1] and not set(stored[stored.index(run_id) + 1:]) <= set(markers):
+                raise ValueError(f"export {run_id} is older than the stored state")
+            export = read_export(spark, landing_dir, run_id, markers[run_id])
+            reconcile_export(spark, export, table_path, run_id, as_of_from_run(run_id), initial, log_path)
 
-    stream = spark.readStream.schema(LANDING_SCHEMA).json(landing_dir)
+    stream = spark.readStream.schema(MARKER_SCHEMA).json(f"{landing_dir}/complete")
     return (stream.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())

@@ -1,8 +1,13 @@
 """Landing-folder ingestion: two exports, two runs, same result as batch."""
 
 import datetime as dt
+import glob
+import json
 import os
 import tempfile
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -11,16 +16,26 @@ from staffline.operators.dedupe import resolve_all
 from staffline.operators.flatten import flatten_directory
 from staffline.session import cut_lineage
 from staffline.sources.documents import directory_entries_from_tables
-from staffline.sources.sinks import read_runs
+from staffline.sources.sinks import read_run, read_runs, runs_of
 from staffline.streaming import start_directory_ingest
+from staffline.streaming.landing import read_export
 
 SF = "/root/testdata/sf0.001"
 
 
-def _land(entries, root, export):
+def _land(entries, root, export, complete=True, mode="overwrite"):
     for src in ("server1", "server2"):
         (entries.filter(F.col("source") == src).drop("source")
-         .write.mode("overwrite").json(os.path.join(root, f"export={export}", f"source={src}")))
+         .write.mode(mode).json(os.path.join(root, f"export={export}", f"source={src}")))
+    if complete:
+        _mark(root, export)
+
+
+def _mark(root, export):
+    files = len(glob.glob(os.path.join(root, f"export={export}", "*", "*.json")))
+    os.makedirs(os.path.join(root, "complete"), exist_ok=True)
+    with open(os.path.join(root, "complete", f"{export}-{time.time_ns()}.json"), "w") as f:
+        f.write(json.dumps({"export": export, "files": files}))
 
 
 def test_two_exports_match_batch(spark):
@@ -53,3 +68,40 @@ def test_two_exports_match_batch(spark):
     # A second call finds nothing new and writes nothing.
     start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of).awaitTermination()
     assert read_runs(spark, table).select("run").distinct().count() == 2
+
+
+def test_half_landed_and_late_files(spark):
+    work = tempfile.mkdtemp(prefix="staffline-late-")
+    landing, table, ckpt = (os.path.join(work, d) for d in ("landing", "table", "ckpt"))
+    customer = spark.read.parquet(f"{SF}/customer.parquet")
+    entries = directory_entries_from_tables(customer)
+    few = entries.limit(1)
+    as_of = lambda run: dt.datetime(2024, 1, 1)
+
+    def ingest():
+        start_directory_ingest(spark, landing, table, ckpt, as_of_from_run=as_of).awaitTermination()
+        return {r: read_run(spark, table, r).count() for r in runs_of(spark, table)}
+
+    os.makedirs(os.path.join(landing, "complete"))
+    _land(entries, landing, "1", complete=False)
+    assert ingest() == {}                                    # half landed: nothing happens
+    _mark(landing, "1")
+    assert ingest() == {"1": customer.count()}
+    _land(few, landing, "1", complete=False, mode="append")  # a late file without a marker changes nothing
+    assert ingest() == {"1": customer.count()}
+    _mark(landing, "1")                                      # with one, the whole export is read again
+    assert ingest() == {"1": customer.count()}
+    assert read_run(spark, table, "1").filter("is_deleted").count() == 0
+    _land(entries, landing, "2")
+    assert list(ingest()) == ["1", "2"]
+    _mark(landing, "1")
+    with pytest.raises(Exception, match="older than the stored state"):
+        ingest()
+
+
+def test_marker_with_wrong_count_fails(spark):
+    work = tempfile.mkdtemp(prefix="staffline-count-")
+    landing = os.path.join(work, "landing")
+    _land(directory_entries_from_tables(spark.read.parquet(f"{SF}/customer.parquet")), landing, "a")
+    with pytest.raises(ValueError, match="its marker says"):
+        read_export(spark, landing, "a", 10_000)
