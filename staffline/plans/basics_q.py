@@ -13,7 +13,7 @@ from staffline.functions import (changed_null_safe, changed_null_unsafe, full_na
 from staffline.functions.dates import clip_end, clip_start
 from staffline.operators import audit as AU
 from staffline.operators import hours as H
-from staffline.operators.reconcile import anti_join, not_in, semi_join
+from staffline.operators.reconcile import anti_join, not_in, semi_join, spread_nulls
 from staffline.params import Params
 from staffline.plans.oracle import in_year as sql_in_year
 from staffline.plans.oracle import rnd
@@ -168,7 +168,8 @@ def q_manager_lookup(t):
     """JOIN-6: self join to the manager row."""
     m = t["employees"].select(F.col("id").alias("__mid"), F.col("legal_first_name").alias("__f"),
                               F.col("legal_middle_name").alias("__m"), F.col("legal_last_name").alias("__l"))
-    return (t["employees"].join(m, F.col("reports_to_id") == F.col("__mid"), "left")
+    return (t["employees"].withColumn("__boss", spread_nulls("reports_to_id"))
+            .join(m, F.col("__boss") == F.col("__mid"), "left")
             .select("id", "reports_to_id", full_name_with_initial("__f", "__m", "__l").alias("manager")))
 
 
@@ -362,8 +363,8 @@ def q_fn_case(t):
     """SCA-17 / VW-i: CASE status with NULL-aware fall-through."""
     nu = t["network_users"].select(F.col("id").alias("__nid"), "is_deleted", "is_disabled")
     e = t["employees"].select(F.col("id").alias("__eid"), "status")
-    j = (t["workforce_map"].join(nu, F.col("network_id") == F.col("__nid"), "left")
-         .join(e, F.col("employee_id") == F.col("__eid"), "left"))
+    j = (t["workforce_map"].withColumns({"__n": spread_nulls("network_id"), "__e": spread_nulls("employee_id")})
+         .join(nu, F.col("__n") == F.col("__nid"), "left").join(e, F.col("__e") == F.col("__eid"), "left"))
     return j.select("id", F.when((F.col("status") == "Terminated") | F.col("is_deleted"), "Terminated")
                     .when((F.col("status") == "Inactive") | F.col("is_disabled"), "Inactive")
                     .otherwise("Active").alias("status"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from staffline.operators import accounts as A
 from staffline.plans.identity_q import _USER_COLS, _dup_sql
 from staffline.plans.oracle import with_fixtures
-from staffline.plans.reconcile_q import (_DIFF_SQL, TS, _emp_update_sql, cols, conformed_sql)
+from staffline.plans.reconcile_q import (_DIFF_SQL, _REKEYED, TS, _emp_update_sql, cols, conformed_sql)
 from staffline.plans.registry import ORACLES
 
 _HIST = "id, employee_id, job_title_id, start_date, end_date, inserted_at"
@@ -17,11 +17,12 @@ _HIST = "id, employee_id, job_title_id, start_date, end_date, inserted_at"
 
 def _hist_chain() -> str:
     return f"""
-WITH emp AS ({_emp_update_sql()}),
+WITH {_REKEYED},
+emp AS ({_emp_update_sql()}),
 new AS (SELECT id AS employee_id, job_title_id, start_date FROM emp
         WHERE id IS NOT NULL AND job_title_id IS NOT NULL AND start_date IS NOT NULL
-        EXCEPT SELECT employee_id, job_title_id, start_date FROM fx_job_history),
-h1 AS (SELECT {_HIST} FROM fx_job_history
+        EXCEPT SELECT employee_id, job_title_id, start_date FROM jh),
+h1 AS (SELECT {_HIST} FROM jh
        UNION ALL
        SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS INTEGER),
               employee_id, job_title_id, start_date, CAST(NULL AS DATE), {TS} FROM new),

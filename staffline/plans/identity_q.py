@@ -7,14 +7,13 @@ from staffline.operators import dedupe as D
 from staffline.operators import linkage as LK
 from staffline.plans.reconcile_q import FX_COLS, col_sql, cols
 from staffline.plans.registry import query
-from staffline.schemas import sql_default
 
 
 _ORG = "'%organizationname.org%'"
 _DUP_KEYS = {
-    "email": ("u.email", True), "primary_email": (sql_default("network_users", "primary_email"), True),
+    "email": ("u.email", True), "primary_email": ("u.primary_email", True),
     "network_email": ("u.network_email", True), "common_name": ("u.common_name", False),
-    "display_name": (sql_default("network_users", "display_name"), False),
+    "display_name": ("u.display_name", False),
     "concat_name": ("concat_ws(' ', u.first_name, u.last_name)", False),
 }
 _USER_COLS = FX_COLS["fx_network_users"]
@@ -79,7 +78,7 @@ def _n(x: str) -> str:
 
 def _email_match(cand: str) -> str:
     return (f"({_n(cand)} <> '' AND ({_n(cand)} = {_n('u.network_email')} OR {_n(cand)} = {_n('u.email')} "
-            f"OR {_n(cand)} = {_n(sql_default('network_users', 'primary_email'))}))")
+            f"OR {_n(cand)} = {_n('u.primary_email')}))")
 
 
 @query("email_link", f"""
@@ -87,8 +86,9 @@ WITH users AS (SELECT * FROM fx_network_users WHERE is_non_user = FALSE AND is_p
                AND id NOT IN (SELECT network_id FROM fx_workforce_map WHERE network_id IS NOT NULL)),
 emps AS (SELECT * FROM fx_employees WHERE id NOT IN (SELECT employee_id FROM fx_workforce_map WHERE employee_id IS NOT NULL)),
 pairs AS (SELECT u.id AS network_id, e.id AS employee_id FROM users u JOIN emps e ON {_email_match('e.work_email')}),
-per_emp AS (SELECT employee_id, MIN(network_id) AS network_id FROM pairs GROUP BY employee_id)
-SELECT network_id, MIN(employee_id) AS employee_id FROM per_emp GROUP BY network_id
+links AS (SELECT MIN(network_id) AS network_id, employee_id FROM pairs GROUP BY employee_id
+          UNION SELECT network_id, MIN(employee_id) FROM pairs GROUP BY network_id)
+SELECT network_id, employee_id FROM links
 """)
 def q_email_link(t):
     """DML-30 / JOIN-7: new account <-> employee links by e-mail (exploded-key equi-join)."""
@@ -105,12 +105,11 @@ def _map_out(col: str, expr: str) -> str:
 
 @query("analytics_link", f"""
 WITH free AS (SELECT * FROM fx_analytics_users
-              WHERE id NOT IN (SELECT analytics_id FROM (SELECT {sql_default('workforce_map', 'analytics_id')} AS analytics_id
-                                FROM fx_workforce_map) WHERE analytics_id IS NOT NULL)),
+              WHERE id NOT IN (SELECT analytics_id FROM fx_workforce_map WHERE analytics_id IS NOT NULL)),
 pairs AS (SELECT u.id AS network_id, a.id AS aid FROM free a JOIN fx_network_users u ON {_email_match('a.email')}),
 per_user AS (SELECT network_id, MIN(aid) AS aid FROM pairs GROUP BY network_id),
 upd AS (SELECT m.id, p.aid FROM fx_workforce_map m JOIN per_user p ON m.network_id = p.network_id)
-SELECT {_map_out('analytics_id', f"CASE WHEN upd.id IS NOT NULL THEN upd.aid ELSE {sql_default('workforce_map', 'analytics_id')} END")}
+SELECT {_map_out('analytics_id', f"CASE WHEN upd.id IS NOT NULL THEN upd.aid ELSE m.analytics_id END")}
 FROM fx_workforce_map m LEFT JOIN upd ON m.id = upd.id
 """)
 def q_analytics_link(t):

@@ -29,13 +29,14 @@ FX_COLS = {
                      "legal_first_name", "legal_middle_name", "legal_last_name", "work_email", "status",
                      "hire_date", "termination_date", "is_manager"],
     "fx_network_users": ["id", "guid", "primary_guid", "source", "first_name", "last_name", "common_name",
-                         "network_email", "email", "job_title", "created_at", "is_disabled", "is_deleted",
+                         "display_name", "network_email", "primary_email", "email", "job_title", "created_at",
+                         "is_disabled", "is_deleted",
                          "is_primary_acct", "is_non_user"],
-    "fx_network_snapshot": ["guid", "source", "first_name", "last_name", "common_name", "network_email",
-                            "email", "job_title", "created_at", "is_disabled"],
+    "fx_network_snapshot": ["guid", "source", "first_name", "last_name", "common_name", "display_name",
+                            "network_email", "primary_email", "email", "job_title", "created_at", "is_disabled"],
     "fx_job_titles": ["id", "job_title_id", "job_title", "uds_line", "hcai_line", "has_clinical_admin_time"],
     "fx_workforce_map": ["id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
-                         "epic_id", "ecw_ids"],
+                         "relevant_id", "analytics_id", "epic_id", "ecw_ids"],
 }
 
 
@@ -208,8 +209,7 @@ FROM fx_job_history h LEFT JOIN ch ON h.employee_id = ch.old_id
 """)
 def q_emp_key_cascade(t):
     """DML-5b: job history re-keyed where the update changed employee ids."""
-    changes = E.employee_id_changes(t["employees"], t["worker_staging"], t["employee_job_titles"])
-    return E.cascade_employee_ids({"employee_job_history": t["employee_job_history"]}, changes)["employee_job_history"]
+    return _rekeyed_history(t)
 
 
 @query("new_employee_count", """
@@ -224,12 +224,25 @@ def q_new_employee_count(t):
 _HIST = "id, employee_id, job_title_id, start_date, end_date, inserted_at"
 
 
+# The history after employee ids changed (ON UPDATE CASCADE), as the run has it before new positions are added.
+_REKEYED = f"""s AS ({_S_TITLED}),
+ch AS (SELECT e.id AS old_id, s.id AS new_id FROM fx_employees e JOIN s ON e.aoid = s.aoid WHERE e.id IS DISTINCT FROM s.id),
+jh AS (SELECT h.id, COALESCE(ch.new_id, h.employee_id) AS employee_id, h.job_title_id, h.start_date, h.end_date, h.inserted_at
+       FROM fx_job_history h LEFT JOIN ch ON h.employee_id = ch.old_id)"""
+
+
+def _rekeyed_history(t):
+    changes = E.employee_id_changes(t["employees"], t["worker_staging"], t["employee_job_titles"])
+    return E.cascade_employee_ids({"employee_job_history": t["employee_job_history"]}, changes)["employee_job_history"]
+
+
 @query("hist_insert", f"""
-WITH emp AS ({_emp_update_sql()}),
+WITH {_REKEYED},
+emp AS ({_emp_update_sql()}),
 new AS (SELECT id AS employee_id, job_title_id, start_date FROM emp
         WHERE id IS NOT NULL AND job_title_id IS NOT NULL AND start_date IS NOT NULL
-        EXCEPT SELECT employee_id, job_title_id, start_date FROM fx_job_history)
-SELECT {_HIST} FROM fx_job_history
+        EXCEPT SELECT employee_id, job_title_id, start_date FROM jh)
+SELECT {_HIST} FROM jh
 UNION ALL
 SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS INTEGER),
        employee_id, job_title_id, start_date, CAST(NULL AS DATE), {TS} FROM new
@@ -237,7 +250,7 @@ SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY s
 def q_hist_insert(t):
     """DML-10: new positions of the updated employees appended to the history."""
     emp = E.update_employees(t["employees"], t["worker_staging"], t["employee_job_titles"])
-    return HI.insert_positions(t["employee_job_history"], emp, AS_OF)
+    return HI.insert_positions(_rekeyed_history(t), emp, AS_OF)
 
 
 @query("hist_terminate", """
@@ -292,7 +305,7 @@ def q_hist_update(t):
     """DML-10..11c chained: one full history run on the updated employees
     (the employees table is written first, as the reference commits it)."""
     emp = cut_lineage(E.update_employees(t["employees"], t["worker_staging"], t["employee_job_titles"]))
-    return HI.update_history(t["employee_job_history"], emp, AS_OF)
+    return HI.update_history(_rekeyed_history(t), emp, AS_OF)
 
 
 @query("assign_ids", """

@@ -77,7 +77,7 @@ WITH dates AS (SELECT contractor_id, MIN(start_date) AS start_date, MAX(end_date
               WHERE {in_year('start_date', 1999)} GROUP BY contractor_id)
 SELECT m.id AS id, c.id AS contractor_id, concat_ws(' ', c.first_name, c.last_name) AS contractor,
        nu.common_name AS full_name,
-       COALESCE(CAST(NULL AS VARCHAR), nu.email, nu.network_email, c.email) AS email,
+       COALESCE(nu.primary_email, nu.email, nu.network_email, c.email) AS email,
        CAST(NULL AS VARCHAR) AS vendor, c.job_title, CAST(NULL AS VARCHAR) AS uds_line,
        CAST(NULL AS VARCHAR) AS hcai_line, dates.start_date, dates.end_date,
        {rnd(_pooled('cur.h', 'cur.contractor_id'))} AS current_year_hours,
@@ -108,7 +108,7 @@ _LHOURS = f"CASE WHEN {_OK} THEN {rnd(_FRAC + ' * CAST(COALESCE(h.hours, 0) AS D
 
 VIEW_LEARNERS_SQL = f"""
 SELECT m.id AS id, l.id AS learner_id, concat_ws(' ', l.first_name, l.last_name) AS full_name,
-       COALESCE(CAST(NULL AS VARCHAR), nu.email, nu.network_email, l.email) AS email,
+       COALESCE(nu.primary_email, nu.email, nu.network_email, l.email) AS email,
        l.job_title, CAST(NULL AS VARCHAR) AS site, CAST(NULL AS VARCHAR) AS supervisor,
        CAST(NULL AS VARCHAR) AS uds_line, CAST(NULL AS VARCHAR) AS hcai_line,
        h.start_date, h.end_date, CAST(NULL AS VARCHAR) AS pre_graduate,
@@ -132,7 +132,7 @@ def q_view_learners(t):
 
 VIEW_VOLUNTEERS_SQL = f"""
 SELECT m.id AS id, v.id AS volunteer_id, concat_ws(' ', v.first_name, v.last_name) AS full_name,
-       COALESCE(CAST(NULL AS VARCHAR), nu.email, nu.network_email, v.email) AS email,
+       COALESCE(nu.primary_email, nu.email, nu.network_email, v.email) AS email,
        v.job_title, CAST(NULL AS VARCHAR) AS supervisor, v.is_event_only,
        CAST(NULL AS VARCHAR) AS uds_line, CAST(NULL AS VARCHAR) AS hcai_line,
        h.start_date, h.end_date, CAST(NULL AS VARCHAR) AS pre_graduate,
@@ -196,7 +196,7 @@ SELECT m.id, m.network_id, m.employee_id, m.contractor_id, m.learner_id, m.volun
     WHEN m.contractor_id IS NOT NULL THEN concat(c.first_name, ' ', c.last_name)
     WHEN m.learner_id IS NOT NULL THEN concat(l.first_name, ' ', l.last_name)
     WHEN m.volunteer_id IS NOT NULL THEN concat(v.first_name, ' ', v.last_name) END AS staff_name,
-  COALESCE(CAST(NULL AS VARCHAR), nu.email, nu.network_email, e.work_email, c.email, l.email, v.email) AS email,
+  COALESCE(nu.primary_email, nu.email, nu.network_email, e.work_email, c.email, l.email, v.email) AS email,
   COALESCE(t.job_title, c.job_title, l.job_title, v.job_title, nu.job_title) AS job_title,
   COALESCE(t.uds_line, CAST(NULL AS VARCHAR)) AS current_uds_line,
   COALESCE(t.hcai_line, CAST(NULL AS VARCHAR)) AS current_hcai_line,
@@ -242,7 +242,7 @@ def _names_sql() -> str:
       WHEN m.contractor_id IS NOT NULL THEN concat(c.first_name, ' ', c.last_name)
       WHEN m.learner_id IS NOT NULL THEN concat(l.first_name, ' ', l.last_name)
       WHEN m.volunteer_id IS NOT NULL THEN concat(v.first_name, ' ', v.last_name) END AS full_name,
-    COALESCE(CAST(NULL AS VARCHAR), nu.email, nu.network_email, e.work_email, c.email, l.email, v.email) AS email
+    COALESCE(nu.primary_email, nu.email, nu.network_email, e.work_email, c.email, l.email, v.email) AS email
   FROM fx_workforce_map m
     LEFT JOIN fx_network_users nu ON m.network_id = nu.id
     LEFT JOIN fx_employees e ON m.employee_id = e.id

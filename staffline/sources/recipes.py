@@ -9,7 +9,7 @@ from __future__ import annotations
 
 RECIPES: dict[str, str] = {
     "fx_job_titles": (
-        'SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey % 40 AS INT) AS job_title_id, p_name AS job_title, p_brand AS uds_line, CAST(p_size AS STRING) AS hcai_line, p_size > 25 AS has_clinical_admin_time FROM part WHERE p_partkey < 50'
+        'SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey AS INT) AS job_title_id, p_name AS job_title, p_brand AS uds_line, CAST(p_size AS STRING) AS hcai_line, p_size > 25 AS has_clinical_admin_time FROM part'
     ),
     "fx_employees": (
         "SELECT CAST(c_custkey AS INT) AS id, concat('G', lpad(CAST(c_custkey AS STRING), 15, '0')) AS aoid, c_nationkey AS location_id, CAST(c_custkey % 12 AS INT) AS department_id, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(c_custkey % 50 AS INT) END AS reports_to_id, CAST(c_custkey % 50 AS INT) AS job_title_id, c_mktsegment AS legal_first_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Quinn' END AS legal_middle_name, concat('Name', CAST(c_custkey AS STRING)) AS legal_last_name, concat(' ', c_mktsegment, '.', CAST(c_custkey AS STRING), '@Example.org') AS work_email, CASE WHEN c_acctbal < 0 THEN 'Terminated' WHEN c_acctbal < 1000 THEN 'Inactive' ELSE 'Active' END AS status, DATE '1995-01-01' + CAST(c_custkey % 1500 AS INT) AS hire_date, CASE WHEN c_acctbal < 0 THEN DATE '2000-06-30' END AS termination_date, c_custkey % 10 = 0 AS is_manager FROM customer"
@@ -24,13 +24,13 @@ RECIPES: dict[str, str] = {
         "SELECT CAST(o_orderkey AS INT) AS id, CAST(o_custkey AS INT) AS employee_id, CAST(o_orderkey % 50 AS INT) AS job_title_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date, o_orderdate AS inserted_at FROM orders"
     ),
     "fx_network_users": (
-        "SELECT CAST(c_custkey AS INT) AS id, concat('g-', CAST(c_custkey AS STRING)) AS guid, concat('g-', CAST(c_custkey AS STRING)) AS primary_guid, CASE WHEN c_custkey % 2 = 0 THEN 'server1' ELSE 'server2' END AS source, c_mktsegment AS first_name, concat('Name', CAST(c_custkey AS STRING)) AS last_name, concat(c_mktsegment, ' Name', CAST(c_custkey % 300 AS STRING)) AS common_name, concat(lower(c_mktsegment), '.', CAST(c_custkey AS STRING), '@example.org') AS network_email, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('u', CAST(c_custkey % 97 AS STRING), CASE WHEN c_custkey % 3 = 0 THEN '@organizationname.org' ELSE '@example.org' END) END AS email, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS job_title, TIMESTAMP '2000-01-01 00:00:00' AS created_at, c_custkey % 19 = 0 AS is_disabled, c_custkey % 11 = 0 AS is_deleted, TRUE AS is_primary_acct, c_custkey % 23 = 0 AS is_non_user FROM customer WHERE c_custkey % 17 <> 0"
+        "SELECT CAST(c_custkey AS INT) AS id, concat('g-', CAST(c_custkey AS STRING)) AS guid, concat('g-', CAST(c_custkey AS STRING)) AS primary_guid, CASE WHEN c_custkey % 2 = 0 THEN 'server1' ELSE 'server2' END AS source, c_mktsegment AS first_name, concat('Name', CAST(CASE WHEN c_custkey % 12 = 0 THEN c_custkey % 36 ELSE c_custkey END AS STRING)) AS last_name, concat(c_mktsegment, ' Name', CAST(c_custkey % 300 AS STRING)) AS common_name, concat(c_mktsegment, ' D', CAST(c_custkey % 60 AS STRING)) AS display_name, CASE WHEN c_custkey % 10 = 0 THEN concat('team', CAST(c_custkey % 30 AS STRING), '@example.org') ELSE concat(lower(c_mktsegment), '.', CAST(c_custkey AS STRING), '@example.org') END AS network_email, CASE WHEN c_custkey % 6 <> 0 THEN concat('primary.', CAST(c_custkey % 70 AS STRING), '@example.org') END AS primary_email, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('u', CAST(c_custkey % 97 AS STRING), CASE WHEN c_custkey % 3 = 0 THEN '@organizationname.org' ELSE '@example.org' END) END AS email, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS job_title, TIMESTAMP '2000-01-01 00:00:00' AS created_at, c_custkey % 19 = 0 AS is_disabled, c_custkey % 11 = 0 AS is_deleted, TRUE AS is_primary_acct, c_custkey % 23 = 0 AS is_non_user FROM customer WHERE c_custkey % 17 <> 0"
     ),
     "fx_network_snapshot": (
-        "SELECT concat('g-', CAST(c_custkey AS STRING)) AS guid, CASE WHEN c_custkey % 2 = 0 THEN 'server1' ELSE 'server2' END AS source, c_mktsegment AS first_name, concat('Name', CAST(c_custkey AS STRING)) AS last_name, concat(c_mktsegment, ' Name', CAST(c_custkey % 300 AS STRING)) AS common_name, concat(lower(c_mktsegment), '.', CAST(c_custkey AS STRING), '@example.org') AS network_email, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('u', CAST(c_custkey % 97 AS STRING), CASE WHEN c_custkey % 3 = 0 THEN '@organizationname.org' ELSE '@example.org' END) END AS email, CASE WHEN c_custkey % 14 = 0 THEN 'CHANGED' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS job_title, TIMESTAMP '2000-01-01 00:00:00' AS created_at, c_custkey % 38 = 0 AS is_disabled FROM customer WHERE c_custkey % 13 <> 0"
+        "SELECT concat('g-', CAST(c_custkey AS STRING)) AS guid, CASE WHEN c_custkey % 2 = 0 THEN 'server1' ELSE 'server2' END AS source, c_mktsegment AS first_name, concat('Name', CAST(CASE WHEN c_custkey % 12 = 0 THEN c_custkey % 36 ELSE c_custkey END AS STRING)) AS last_name, concat(c_mktsegment, ' Name', CAST(c_custkey % 300 AS STRING)) AS common_name, concat(c_mktsegment, ' D', CAST(c_custkey % 60 AS STRING)) AS display_name, CASE WHEN c_custkey % 10 = 0 THEN concat('team', CAST(c_custkey % 30 AS STRING), '@example.org') ELSE concat(lower(c_mktsegment), '.', CAST(c_custkey AS STRING), '@example.org') END AS network_email, CASE WHEN c_custkey % 6 <> 0 THEN concat('primary.', CAST(c_custkey % 70 AS STRING), '@example.org') END AS primary_email, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('u', CAST(c_custkey % 97 AS STRING), CASE WHEN c_custkey % 3 = 0 THEN '@organizationname.org' ELSE '@example.org' END) END AS email, CASE WHEN c_custkey % 14 = 0 THEN 'CHANGED' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS job_title, TIMESTAMP '2000-01-01 00:00:00' AS created_at, c_custkey % 38 = 0 AS is_disabled FROM customer WHERE c_custkey % 13 <> 0"
     ),
     "fx_workforce_map": (
-        'SELECT CAST(c_custkey AS INT) AS id, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey AS INT) END AS network_id, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS INT) END AS employee_id, CASE WHEN c_custkey % 3 = 1 THEN CAST(c_custkey % 100 AS INT) END AS contractor_id, CASE WHEN c_custkey % 3 = 2 THEN CAST(c_custkey % 150 AS INT) END AS learner_id, CASE WHEN c_custkey % 10 = 2 THEN CAST(c_custkey % 150 AS INT) END AS volunteer_id, CASE WHEN c_custkey % 4 = 0 THEN CAST(c_custkey % 700 AS INT) END AS epic_id, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE concat(\'{"ecw instance 1":["\', CAST(c_custkey % 900 AS STRING), \'","\', CAST(c_custkey % 31 AS STRING), \'"],"ecw instance 2":["\', CAST(c_custkey % 800 AS STRING), \'"]}\') END AS ecw_ids FROM customer'
+        'SELECT CAST(c_custkey AS INT) AS id, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey AS INT) END AS network_id, CASE WHEN c_custkey % 51 = 0 THEN CAST(c_custkey + 1000000 AS INT) WHEN c_custkey % 33 = 0 THEN CAST(c_custkey - 3 AS INT) WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS INT) END AS employee_id, CASE WHEN c_custkey % 19 = 0 AND c_custkey % 3 = 1 THEN CAST(c_custkey + 2000000 AS INT) WHEN c_custkey % 3 = 1 THEN CAST(c_custkey % 50 * 2 AS INT) END AS contractor_id, CASE WHEN c_custkey % 47 = 0 AND c_custkey % 3 = 2 THEN CAST(c_custkey + 3000000 AS INT) WHEN c_custkey % 3 = 2 THEN CAST(c_custkey % 150 AS INT) END AS learner_id, CASE WHEN c_custkey % 30 = 12 THEN CAST(c_custkey + 4000000 AS INT) WHEN c_custkey % 10 = 2 THEN CAST(c_custkey % 150 AS INT) END AS volunteer_id, CASE WHEN c_custkey % 8 = 0 THEN CAST(c_custkey % 40 AS INT) END AS relevant_id, CASE WHEN c_custkey % 16 = 0 THEN CAST(c_custkey + 100000 AS INT) WHEN c_custkey % 16 = 2 THEN 7 END AS analytics_id, CASE WHEN c_custkey % 4 = 0 THEN CAST(c_custkey % 700 AS INT) END AS epic_id, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE concat(\'{"ecw instance 1":["\', CAST(c_custkey % 900 AS STRING), \'","\', CAST(c_custkey % 31 AS STRING), \'"],"ecw instance 2":["\', CAST(c_custkey % 800 AS STRING), \'"]}\') END AS ecw_ids FROM customer'
     ),
     "fx_contractors": (
         "SELECT CAST(s_suppkey AS INT) AS id, s_name AS first_name, CAST(s_nationkey AS STRING) AS last_name, concat('c', CAST(s_suppkey AS STRING), '@vendor.example') AS email, CASE WHEN s_suppkey % 2 = 0 THEN 'MD' ELSE 'RN' END AS job_title FROM supplier"
@@ -51,22 +51,22 @@ RECIPES: dict[str, str] = {
         "SELECT n_nationkey AS id, n_name AS location, CASE WHEN n_nationkey % 2 = 0 THEN concat('Clinic ', n_name) END AS epic_location FROM nation"
     ),
     "fx_departments": (
-        "SELECT CAST(s_suppkey AS INT) AS id, concat('Department ', CAST(s_suppkey AS STRING)) AS name FROM supplier WHERE s_suppkey < 10"
+        "SELECT CAST(s_suppkey AS INT) AS id, concat('Department ', CAST(s_suppkey AS STRING)) AS name FROM supplier"
     ),
     "fx_workers_snapshot": (
         "SELECT CAST(c_custkey AS INT) AS id, concat('G', lpad(CAST(c_custkey AS STRING), 15, '0')) AS aoid, c_nationkey AS location_id, concat('Site ', CAST(c_nationkey AS STRING)) AS location, CAST(c_custkey % 12 AS INT) AS department_id, concat('Department ', CAST(c_custkey % 12 AS STRING)) AS department, CASE WHEN c_custkey % 8 = 0 THEN 'Rivera' WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Quinn' END AS legal_middle_name, CASE WHEN c_custkey % 20 = 0 THEN 'Terminated' ELSE 'Active' END AS status, CAST(c_custkey % 50 AS INT) AS job_title_id FROM customer WHERE c_custkey % 13 <> 0"
     ),
     "fx_learners": (
-        "SELECT CAST(c_custkey AS INT) AS id, c_mktsegment AS first_name, concat('Learner', CAST(c_custkey AS STRING)) AS last_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('l', CAST(c_custkey AS STRING), '@school.example') END AS email, CASE WHEN c_custkey % 2 = 0 THEN 'Intern' ELSE 'Resident' END AS job_title FROM customer WHERE c_custkey < 150"
+        "SELECT CAST(c_custkey AS INT) AS id, c_mktsegment AS first_name, concat('Learner', CAST(c_custkey AS STRING)) AS last_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('l', CAST(c_custkey AS STRING), '@school.example') END AS email, CASE WHEN c_custkey % 2 = 0 THEN 'Intern' ELSE 'Resident' END AS job_title FROM customer"
     ),
     "fx_volunteers": (
-        "SELECT CAST(c_custkey AS INT) AS id, c_mktsegment AS first_name, concat('Volunteer', CAST(c_custkey AS STRING)) AS last_name, concat('v', CAST(c_custkey AS STRING), '@home.example') AS email, 'Volunteer' AS job_title, c_custkey % 4 = 0 AS is_event_only FROM customer WHERE c_custkey < 150"
+        "SELECT CAST(c_custkey AS INT) AS id, c_mktsegment AS first_name, concat('Volunteer', CAST(c_custkey AS STRING)) AS last_name, concat('v', CAST(c_custkey AS STRING), '@home.example') AS email, 'Volunteer' AS job_title, c_custkey % 4 = 0 AS is_event_only FROM customer"
     ),
     "fx_analytics_users": (
         "SELECT CAST(c_custkey + 100000 AS INT) AS id, c_mktsegment AS first_name, concat('Name', CAST(c_custkey AS STRING)) AS last_name, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE concat(' ', upper(c_mktsegment), '.', CAST(c_custkey AS STRING), '@example.org ') END AS email FROM customer WHERE c_custkey % 2 = 0"
     ),
     "fx_clinical_users": (
-        "SELECT CAST(c_custkey AS STRING) AS uid, concat(' U', CAST(c_custkey AS STRING), '@Example.org') AS uemail, c_mktsegment AS ufname, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat('Name', CAST(c_custkey AS STRING)) END AS ulname, CAST(c_custkey % 12 AS INT) AS usertype FROM customer WHERE c_custkey < 900"
+        "SELECT CAST(c_custkey AS STRING) AS uid, concat(' U', CAST(c_custkey AS STRING), '@Example.org') AS uemail, c_mktsegment AS ufname, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat('Name', CAST(c_custkey AS STRING)) END AS ulname, CAST(c_custkey % 12 AS INT) AS usertype FROM customer"
     ),
 }
 
