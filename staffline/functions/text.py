@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from staffline.params import ORG_DOMAIN
 
+# Length argument of a substring that goes on to the end.
+END = 2**31 - 1
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -41,7 +44,7 @@ def title_case(x) -> Column:
     """
     cased = r"\p{Lu}\p{Ll}\p{Lt}"
     parts = F.regexp_extract_all(F.lower(strip(x)), F.lit(f"([{cased}]+|[^{cased}]+)"), 1)
-    capped = F.transform(parts, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
+    capped = F.transform(parts, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, END)))
     return F.when(_c(x).isNotNull(), F.array_join(capped, ""))
 
 
@@ -58,7 +61,7 @@ def dn_group(distinguished_name, offset_from_right) -> Column:
     minus its 3-character ``OU=`` prefix."""
     off = offset_from_right if isinstance(offset_from_right, Column) else F.lit(offset_from_right)
     part = F.try_element_at(F.split(_c(distinguished_name), ","), -off)
-    return F.substring(part, 4, 1 << 30)
+    return F.substring(part, 4, END)
 
 
 def manager_cn(manager_dn) -> Column:
@@ -98,7 +101,7 @@ def name_last_first(name) -> tuple[Column, Column]:
     n = _c(name)
     pos = F.instr(n, ",")
     has = pos > 0
-    first = F.when(has, F.lower(F.trim(F.substring(n, pos + 1, 1 << 30))))
+    first = F.when(has, F.lower(F.trim(F.substring(n, pos + 1, END))))
     last = F.when(has, F.lower(F.substring(n, F.lit(1), pos - 1)))
     return first, last
 

@@ -26,6 +26,9 @@ AD_COLUMNS = ["guid", "source", "first_name", "last_name", "common_name", "displ
 # Columns the change count compares (no guid, no source).
 COUNTED = AD_COLUMNS[2:]
 
+# Which row of a guid counts when an export lists it more than once.
+DIFF_ORDER = [("created_at", "desc"), ("source", "asc"), ("account_name", "asc")]
+
 
 def _snap(snapshot: DataFrame) -> DataFrame:
     return conform(snapshot, "network_users").select(*AD_COLUMNS)
@@ -50,7 +53,7 @@ def update_accounts(users: DataFrame, diff: DataFrame, as_of: dt.datetime,
     """
     nu = conform(users, "network_users")
     # One diff row per guid (a guid twice in one export would make the update non-deterministic).
-    src = first_by(diff, ["guid"], [("created_at", "desc"), ("source", "asc"), ("account_name", "asc")])
+    src = first_by(diff, ["guid"], DIFF_ORDER)
     turned = (tref("is_disabled") == F.lit(False)) & (sref("is_disabled") == F.lit(True))
     if clear_disabled_at:
         disabled_at = F.when(turned, F.lit(as_of).cast("timestamp"))
@@ -71,9 +74,10 @@ def soft_delete_accounts(users: DataFrame, snapshot: DataFrame, as_of: dt.dateti
 
 
 def insert_accounts(users: DataFrame, diff: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Diff rows with a new guid; ids continue after the largest id, in guid order."""
+    """One diff row per new guid (the one the update would take, when both
+    servers list it); ids continue after the largest id, in guid order."""
     nu = conform(users, "network_users")
-    new = anti_join(diff, nu, "guid")
+    new = first_by(anti_join(diff, nu, "guid"), ["guid"], DIFF_ORDER)
     base = nu.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(new.crossJoin(F.broadcast(base)), ["guid"], start_after=F.col("__base"))
     ts = F.lit(as_of).cast("timestamp")

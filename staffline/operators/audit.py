@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffline.functions import looks_like_person, norm_key, tsql_concat
-from staffline.operators.reconcile import not_in
+from staffline.operators.reconcile import not_in, spread_nulls
 from staffline.params import CLINICAL_USER_TYPES, ECW_INSTANCES
 from staffline.schemas import conform
 
@@ -111,10 +111,11 @@ def json_name_check(workforce_map: DataFrame, network_users: DataFrame, clinical
     parts = []
     for source, users in clinical.items():
         u = users.select(F.col("uid").alias("__uid"), "uemail", "ufname", "ulname", "usertype")
+        # The filter on the clinical side makes its join an inner one.
         p = (json_ids(workforce_map, (source,))
-             .join(nu, F.col("network_id") == F.col("__nid"), "left")
-             .join(u, F.col("ecw_id") == F.col("__uid"), "left")
-             .filter(F.col("usertype").isin(*user_types))
+             .join(u.filter(F.col("usertype").isin(*user_types)), F.col("ecw_id") == F.col("__uid"))
+             .withColumn("__net_key", spread_nulls("network_id"))
+             .join(nu, F.col("__net_key") == F.col("__nid"), "left")
              .select("id", F.lit(source).alias("source"), F.col("__uid").alias("ecw_id"),
                      F.coalesce("email_alias", "primary_email", "network_email").alias("network_email"),
                      norm_key("uemail").alias("ecw_email"),

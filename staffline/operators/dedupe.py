@@ -19,6 +19,7 @@ from staffline.functions import is_org_email
 from staffline.operators.ordering import sort_struct
 from staffline.params import ORG_DOMAIN
 from staffline.schemas import conform
+from staffline.session import cut_lineage
 
 # Key column (or expression) of each resolver, and whether an org e-mail ranks first.
 RESOLVERS = {
@@ -32,6 +33,11 @@ RESOLVERS = {
 # Resolvers the directory run applies, in order, each on the last one's result.
 DEFAULT_SEQUENCE = ("email", "primary_email", "network_email", "common_name")
 
+# The columns that keys, ranking and demotion read.
+NARROW = ["id", "guid", "email", "primary_email", "network_email", "common_name", "display_name", "first_name",
+          "last_name", "created_at", "inserted_at", "is_disabled", "is_deleted", "is_non_user", "is_primary_acct",
+          "primary_guid"]
+
 
 def _valid_key(name: str, key: Column) -> Column:
     return key != "" if name == "concat_name" else key.isNotNull()
@@ -71,16 +77,26 @@ def duplicate_winners(users: DataFrame, name: str, domain: str = ORG_DOMAIN,
 def resolve_duplicates(users: DataFrame, name: str, domain: str = ORG_DOMAIN,
                        collation: str | None = None) -> DataFrame:
     """Apply one resolver; returns the whole table with demotions applied."""
-    winners = duplicate_winners(users, name, domain, collation)
     nu = conform(users, "network_users")
-    cols = users.columns
-    j = (nu.withColumn("__key", _key(name, collation))
-         .join(winners, "__key", "left"))
-    demote = (F.col("__winner_id").isNotNull() & (F.col("is_non_user") == F.lit(False))
-              & (F.col("id") != F.col("__winner_id")))
-    demote = F.coalesce(demote, F.lit(False))
-    out = (j.withColumn("is_primary_acct", F.when(demote, F.lit(False)).otherwise(F.col("is_primary_acct")))
-           .withColumn("primary_guid", F.when(demote, F.col("__winner_guid")).otherwise(F.col("primary_guid"))))
+    return _apply(nu, demotions(nu, name, domain, collation), users.columns)
+
+
+def demotions(nu: DataFrame, name: str, domain: str = ORG_DOMAIN, collation: str | None = None) -> DataFrame:
+    """(id, winner's guid) of the accounts that one resolver demotes. Rows
+    without a key are filtered before the join, so they meet in no task."""
+    winners = duplicate_winners(nu, name, domain, collation)
+    keyed = nu.withColumn("__key", _key(name, collation)).filter(
+        _valid_key(name, F.col("__key")) & (F.col("is_non_user") == F.lit(False)))
+    return (keyed.select("id", "__key").join(winners, "__key").filter(F.col("id") != F.col("__winner_id"))
+            .select(F.col("id").alias("__id"), F.col("__winner_guid").alias("__guid")))
+
+
+def _apply(nu: DataFrame, demoted: DataFrame, cols: list[str]) -> DataFrame:
+    """The table with the demoted accounts' two columns set."""
+    hit = F.col("__id").isNotNull()
+    out = (nu.join(demoted, F.col("id") == F.col("__id"), "left")
+           .withColumn("is_primary_acct", F.when(hit, F.lit(False)).otherwise(F.col("is_primary_acct")))
+           .withColumn("primary_guid", F.when(hit, F.col("__guid")).otherwise(F.col("primary_guid"))))
     return out.select(*[c for c in nu.columns if c in cols or c in ("is_primary_acct", "primary_guid")])
 
 
@@ -88,13 +104,22 @@ def resolve_all(users: DataFrame, sequence=DEFAULT_SEQUENCE, domain: str = ORG_D
                 checkpoint_between: bool = True, collation: str | None = None) -> DataFrame:
     """Run resolvers in order, each seeing the previous one's result.
 
-    Each pass reads its input twice (winners, then the join back), so chained
-    passes would multiply the plan; by default every pass is written to the
-    checkpoint folder (as each UPDATE commits in the reference)."""
-    from staffline.session import cut_lineage
-    out = users
+    Only what the resolvers read goes through the passes (id, guid, keys, flags
+    and order columns); each pass reads its input twice, so by default the narrow
+    table is written to the checkpoint folder after each one (as each UPDATE
+    commits in the reference). The two changed columns are joined back once."""
+    nu = conform(users, "network_users")
+    narrow = nu.select(*NARROW)
+    last = None
     for name in sequence:
-        out = resolve_duplicates(out, name, domain, collation)
+        demoted = demotions(narrow, name, domain, collation)
+        if checkpoint_between:
+            demoted = cut_lineage(demoted)
+        # The last resolver that demotes an account names its guid.
+        step = demoted.toDF("__id", "__new")
+        last = (step.select("__id", F.col("__new").alias("__guid")) if last is None else
+                last.join(step, "__id", "full").select("__id", F.coalesce("__new", "__guid").alias("__guid")))
+        narrow = _apply(narrow, demoted, NARROW)
         if checkpoint_between:
-            out = cut_lineage(out)
-    return out
+            narrow, last = cut_lineage(narrow), cut_lineage(last)
+    return _apply(nu, last, users.columns) if last is not None else users

@@ -110,7 +110,8 @@ def insert_employees(employees: DataFrame, workers: DataFrame, titles: DataFrame
     """Snapshot workers with a known title whose aoid is new."""
     emp = conform(employees, "employees")
     new = anti_join(_with_title_key(workers, titles).withColumn("job_title_id", F.col("__title_id")), emp, "aoid")
-    new = (conform(new, "employees")
+    # A worker listed twice (or with two rows of one title) is inserted once, as the update takes one row.
+    new = (_one_per_aoid(conform(new, "employees"), [("id", "asc"), ("job_title_id", "asc")])
            .withColumn("inserted_at", F.lit(as_of).cast("timestamp"))
            .withColumn("is_deleted", F.lit(False)).withColumn("deleted_at", F.lit(None).cast("timestamp")))
     return emp.unionByName(new.select(*emp.columns))
@@ -126,7 +127,7 @@ def upsert_employee_info(info: DataFrame, workers: DataFrame) -> DataFrame:
     inf = conform(info, "employee_info")
     src = _one_per_aoid(conform(workers, "employee_info").select("aoid", *INFO_SET))
     upd = join_update(inf, src, "aoid", {c: sref(c) for c in INFO_SET})
-    new = anti_join(conform(workers, "employee_info"), inf, "aoid").select(*inf.columns)
+    new = _one_per_aoid(anti_join(conform(workers, "employee_info"), inf, "aoid")).select(*inf.columns)
     return upd.unionByName(new)
 
 

@@ -52,18 +52,24 @@ def _best_per_key(keys: DataFrame) -> DataFrame:
 def link_employees(network_users: DataFrame, employees: DataFrame, workforce_map: DataFrame) -> DataFrame:
     """New (network_id, employee_id) links between unmapped primary real-user
     accounts and unmapped employees whose work e-mail equals one of the
-    account's e-mails. One link per employee (its smallest account id), then
-    one per account (its smallest employee id)."""
+    account's e-mails: every matched employee with its smallest account id, and
+    every matched account with its smallest employee id. That is at most one row per
+    employee plus one per account, and no matched side is left out."""
     wm = conform(workforce_map, "workforce_map")
     nu = conform(network_users, "network_users")
     users = anti_join(nu.filter((F.col("is_non_user") == F.lit(False)) & (F.col("is_primary_acct") == F.lit(True))),
                       wm, "id", "network_id")
     emps = anti_join(employees, wm, "id", "employee_id")
-    ukeys = _best_per_key(_email_keys(users, "id"))
+    ukeys = _email_keys(users, "id")
     ekeys = _keys(emps, "id", [("email", norm_key("work_email"), None)])
-    per_emp = (ekeys.join(ukeys, ["kind", "k1", "k2"])
-               .groupBy(F.col("__id").alias("employee_id")).agg(F.min("__cand").alias("network_id")))
-    return per_emp.groupBy("network_id").agg(F.min("employee_id").alias("employee_id"))
+
+    def best(rows: DataFrame, others: DataFrame, row_id: str, other_id: str) -> DataFrame:
+        return (rows.join(_best_per_key(others), ["kind", "k1", "k2"])
+                .groupBy(F.col("__id").alias(row_id)).agg(F.min("__cand").alias(other_id))
+                .select("network_id", "employee_id"))
+
+    return best(ekeys, ukeys, "employee_id", "network_id").union(
+        best(ukeys, ekeys, "network_id", "employee_id")).distinct()
 
 
 def link_analytics(analytics_users: DataFrame, network_users: DataFrame, workforce_map: DataFrame) -> DataFrame:

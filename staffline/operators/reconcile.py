@@ -67,24 +67,19 @@ def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str |
     return left.join(right.select(F.col(rk).alias("__k")), F.col(left_key) == F.col("__k"), "left_semi")
 
 
-def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Keep one row per key: the first by ``order`` (a total order).
-
-    Uses ``min_by`` over a struct: a partial aggregate, so a hot key never
-    lands whole in one task before it is reduced.
-    """
-    cols = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(c) for c in cols])
-    ordering = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)])
-    return (df.groupBy(*keys).agg(F.min_by(packed, ordering).alias("__row"))
-            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in cols]))
+def spread_nulls(key: str | Column) -> Column:
+    """A non-negative integer key for the left side of a left join: NULLs
+    become distinct negative numbers, which match nothing and spread over all tasks
+    instead of meeting in one."""
+    col = F.col(key) if isinstance(key, str) else key
+    return F.coalesce(col.cast("long"), -F.monotonically_increasing_id() - 1)
 
 
 def join_update(target: DataFrame, source: DataFrame, on, set_cols: dict[str, Column],
                 where: Column | None = None, matched_flag: str | None = None) -> DataFrame:
     """``UPDATE target SET c = expr FROM source WHERE target.key = source.key [AND where]``.
 
-    ``source`` must be unique on ``on`` (use ``one_per_key`` first: an UPDATE
+    ``source`` must be unique on ``on`` (use ``first_by`` first: an UPDATE
     FROM with several matches is non-deterministic). Source columns are
     visible as ``s.<name>``, target columns as ``t.<name>``.
     """
@@ -176,10 +171,6 @@ def assign_ids(df: DataFrame, order_by: list[str], id_col: str = "id", start_aft
 def cascade_key(child: DataFrame, fk: str, id_changes: DataFrame, old: str = "old_id", new: str = "new_id") -> DataFrame:
     """Re-key a child table after parent ids changed (``ON UPDATE CASCADE``)."""
     ch = id_changes.select(F.col(old).alias("__old"), F.col(new).alias("__new"))
-    return (child.join(ch, F.col(fk) == F.col("__old"), "left")
+    return (child.withColumn("__fk", spread_nulls(fk)).join(ch, F.col("__fk") == F.col("__old"), "left")
             .withColumn(fk, F.coalesce(F.col("__new"), F.col(fk)))
-            .drop("__old", "__new"))
-
-
-def key_present(df: DataFrame, cols: list[str]) -> Column:
-    return reduce(and_, [F.col(c).isNotNull() for c in cols])
+            .drop("__old", "__new", "__fk"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from staffline.functions import (clip_end, clip_start, full_name_with_initial, in_year, looks_like_person,
                                  overlaps_year, round2, tsql_concat, year_fraction)
 from staffline.operators import hours as H
+from staffline.operators.reconcile import spread_nulls
 from staffline.params import Params
 from staffline.schemas import conform
 
@@ -278,7 +279,8 @@ def view_contractors(t: dict, params: Params) -> DataFrame:
     div = params.pooled_divisors
     return (con.alias("c")
             .join(wm, F.col("c.id") == F.col("_map_c"), "left")
-            .join(_network(t["network_users"]), F.col("network_id") == F.col("nu_id"), "left")
+            .withColumn("_net_key", spread_nulls("network_id"))
+            .join(_network(t["network_users"]), F.col("_net_key") == F.col("nu_id"), "left")
             .join(dates.withColumnRenamed("contractor_id", "_d_id"), F.col("c.id") == F.col("_d_id"), "left")
             .join(cur, F.col("c.id") == F.col("_cur_id"), "left")
             .join(prev, F.col("c.id") == F.col("_prev_id"), "left")
@@ -304,7 +306,8 @@ def view_learners(t: dict, params: Params) -> DataFrame:
     wm = conform(t["workforce_map"], "workforce_map").select(F.col("id").alias("map_id"), F.col("learner_id").alias("_map_l"), "network_id")
     return (lrn.alias("l")
             .join(wm, F.col("l.id") == F.col("_map_l"), "left")
-            .join(_network(t["network_users"]), F.col("network_id") == F.col("nu_id"), "left")
+            .withColumn("_net_key", spread_nulls("network_id"))
+            .join(_network(t["network_users"]), F.col("_net_key") == F.col("nu_id"), "left")
             .join(_learner_rows(ljh, params), F.col("l.id") == F.col("_h_l"), "left")
             .select(F.col("map_id").alias("id"), F.col("l.id").alias("learner_id"),
                     F.concat_ws(" ", "l.first_name", "l.last_name").alias("full_name"),
@@ -343,7 +346,8 @@ def view_volunteers(t: dict, params: Params) -> DataFrame:
                       F.when(ok, F.col("hours").cast("double")).alias("current_year_hours"))
     return (vol.alias("v")
             .join(wm, F.col("v.id") == F.col("_map_v"), "left")
-            .join(_network(t["network_users"]), F.col("network_id") == F.col("nu_id"), "left")
+            .withColumn("_net_key", spread_nulls("network_id"))
+            .join(_network(t["network_users"]), F.col("_net_key") == F.col("nu_id"), "left")
             .join(rows, (F.col("v.id") == F.col("_h_v")) & (F.col("v.job_title") == F.col("_h_t")), "left")
             .select(F.col("map_id").alias("id"), F.col("v.id").alias("volunteer_id"),
                     F.concat_ws(" ", "v.first_name", "v.last_name").alias("full_name"),

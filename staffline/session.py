@@ -43,8 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage; only when it is
-    unset (tests, local runs) do we pick a scratch folder of our own.
+    On a cluster the launcher sets it to shared storage, and an error is raised
+    if it does not; only a local master (tests) gets a scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="staffline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:

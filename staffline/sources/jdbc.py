@@ -20,6 +20,8 @@ def read_table(spark: SparkSession, url: str, table: str, columns: list[str] | N
     ``num_partitions`` parallel range queries; pass bounds from the caller's
     own metadata rather than a driver-side ``MIN/MAX`` scan.
     """
+    if (partition_column is None) != (bounds is None):
+        raise ValueError("partition_column and bounds go together: one without the other would read in one task")
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("fetchsize", str(fetch_size)))
     if partition_column and bounds:
@@ -32,11 +34,11 @@ def read_table(spark: SparkSession, url: str, table: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def analytics_users(spark: SparkSession, url: str, **options) -> DataFrame:
-    """The seven user columns the analytics link needs (SRC-5)."""
+def analytics_users(spark: SparkSession, url: str, bounds: tuple[int, int], **options) -> DataFrame:
+    """The seven user columns the analytics link needs (SRC-5), read in ranges of ``id`` between ``bounds``."""
     return read_table(spark, url, "rdm.users",
                       ["id", "first_name", "last_name", "email", "created_at", "updated_at", "active"],
-                      partition_column="id", **options)
+                      partition_column="id", bounds=bounds, **options)
 
 
 def write_table(df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 10000,

@@ -163,3 +163,19 @@ def test_employee_and_hours_runs_idempotent(spark):
     changed = {(r[0], r[1]) for r in set(_rows(h1)) ^ set(_rows(h2))}
     assert changed  # only titles of rows inserted by the first run moved
     assert h1.count() == h2.count()
+
+
+def test_guid_on_both_servers_is_inserted_once(spark):
+    from staffline.operators import accounts as A
+    snap = spark.sql("SELECT 'g1' AS guid, 'server1' AS source, TIMESTAMP'2020-01-01' AS created_at, false AS is_disabled "
+                     "UNION ALL SELECT 'g1', 'server2', TIMESTAMP'2021-01-01', false")
+    users = spark.createDataFrame([], "id int, guid string")
+    out = A.reconcile_accounts(users, snap, dt.datetime(2024, 1, 1)).collect()
+    assert [(r.id, r.guid, r.source) for r in out] == [(1, "g1", "server2")]
+
+
+def test_null_keys_of_left_joins_are_spread(spark):
+    from staffline.operators.reconcile import spread_nulls
+    df = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN id END AS k").repartition(4)
+    keys = [r[0] for r in df.select(spread_nulls("k")).collect()]
+    assert len(set(keys)) == 1000 and sum(k < 0 for k in keys) == 500

@@ -31,7 +31,8 @@ def test_hot_email_link_is_linear(spark):
     t0 = time.time()
     links = LK.link_employees(users, emps, wm)
     n = links.count()
-    assert n == 1  # one account and one employee per link, not N/3 x N/3 pairs
+    assert n == 2 * (N // 3) - 1  # every employee and every account once, not N/3 x N/3 pairs
+    assert links.select("employee_id").distinct().count() == links.select("network_id").distinct().count() == N // 3
     # Plan never joins the hot key's rows pairwise: the account side is reduced per key first.
     plan = links._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
