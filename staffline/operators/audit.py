@@ -41,9 +41,15 @@ def orphan_ids(workforce_map: DataFrame, entities: DataFrame, kind: str) -> Data
     return wm.filter(F.col(col).isNotNull()).select(col).subtract(entities.select(F.col("id").alias(col)))
 
 
-def unmapped_ehr(providers: DataFrame, workforce_map: DataFrame, encounters: DataFrame | None = None) -> DataFrame:
-    """EHR user ids of providers (that have encounters, when given) not in the map."""
+def unmapped_ehr(providers: DataFrame, workforce_map: DataFrame, encounters: DataFrame | None = None,
+                 service_area=None, service_accounts: tuple = ()) -> DataFrame:
+    """EHR user ids of providers (that have encounters, when given) not in the
+    map; of one service area if it is given, without the named service accounts."""
     p = providers.filter(F.col("user_id").isNotNull())
+    if service_area is not None:
+        p = p.filter(F.col("serv_area_id") == F.lit(service_area))
+    if service_accounts:
+        p = p.filter(~F.col("user_id").isin(*service_accounts))
     if encounters is not None:
         p = p.join(encounters.select(F.col("visit_prov_id").alias("__v")), F.col("prov_id") == F.col("__v"), "left_semi")
     users = p.select(F.col("user_id").cast("string").alias("user_id")).distinct()

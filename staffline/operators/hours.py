@@ -98,11 +98,21 @@ def workforce_hours(workforce_map: DataFrame, employees: DataFrame, employee_hou
     return out.distinct() if params.dedupe_hours else out
 
 
+def sources_text(rows: DataFrame, out: str, *sums) -> DataFrame:
+    """Per ``id``: the sources of its rows, sorted and ' | '-joined, and sums. Rows
+    are counted per (id, source) first, so that what is gathered per id is one
+    element for each kind of source."""
+    per = rows.groupBy("id", "source").agg(F.count(F.lit(1)).cast("int").alias("_n"), *sums)
+    names = [c for c in per.columns if c not in ("id", "source", "_n")]
+    kinds = F.array_sort(F.collect_list(F.struct("source", "_n")))
+    text = F.array_join(F.flatten(F.transform("_k", lambda k: F.array_repeat(k["source"], k["_n"]))), " | ")
+    return (per.groupBy("id").agg(kinds.alias("_k"), *(F.sum(c).alias(c) for c in names))
+            .select("id", text.alias(out), *names))
+
+
 def calendar_year_ftes(hours_rows: DataFrame, params: Params) -> DataFrame:
     """Per person: sources (sorted, ' | '-joined), hours and FTE (AGG-7, AGG-4)."""
-    return (hours_rows.groupBy("id").agg(
-        F.array_join(F.array_sort(F.collect_list("source")), " | ").alias("calendar_year_hours_source"),
-        F.sum("hours").alias("_h"))
+    return (sources_text(hours_rows, "calendar_year_hours_source", F.sum("hours").alias("_h"))
         .select("id", "calendar_year_hours_source",
                 round2(F.col("_h")).alias("calendar_year_hours"),
                 round2(F.col("_h") / F.lit(float(params.fte_year_hours))).alias("calendar_year_ftes")))

@@ -88,6 +88,12 @@ def link_analytics(analytics_users: DataFrame, network_users: DataFrame, workfor
     return join_update(wm, upd, "id", {"analytics_id": sref("analytics_id")})
 
 
+def join_ehr_users(users: DataFrame, demographics: DataFrame) -> DataFrame:
+    """The EHR's user rows with the e-mail of their demographic row (users
+    without one are left out)."""
+    return users.join(demographics.select("user_id", "email"), "user_id")
+
+
 def ehr_names(ehr_users: DataFrame) -> DataFrame:
     """Adds lower-cased first / last name from ``"Last, First"`` and the
     ``"first last"`` form."""

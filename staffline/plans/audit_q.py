@@ -48,12 +48,13 @@ def _encounters(t):
 
 @query("aud_unmapped_ehr", """
 SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS user_id FROM fx_clinical_providers p
-WHERE p.user_id IS NOT NULL AND p.prov_id IN (SELECT concat('P', CAST(o_custkey AS VARCHAR)) FROM orders)
+WHERE p.user_id IS NOT NULL AND p.serv_area_id = 1 AND p.user_id NOT IN ('1', '721') AND p.prov_id IN (SELECT concat('P', CAST(o_custkey AS VARCHAR)) FROM orders)
 EXCEPT SELECT CAST(epic_id AS VARCHAR) FROM fx_workforce_map WHERE epic_id IS NOT NULL
 """)
 def q_aud_unmapped_ehr(t):
     """AUD-9: EHR providers with encounters whose user id is not mapped."""
-    return AU.unmapped_ehr(t["clinical_providers"], t["workforce_map"], _encounters(t))
+    return AU.unmapped_ehr(t["clinical_providers"], t["workforce_map"], _encounters(t), service_area=1,
+                           service_accounts=("1", "721"))
 
 
 @query("aud_orphan_ehr", """

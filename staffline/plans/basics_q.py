@@ -250,7 +250,7 @@ def q_agg_string(t):
                              conform(t["contractor_job_hours"], "contractor_job_hours"),
                              conform(t["learner_job_hours"], "learner_job_hours"),
                              conform(t["volunteer_job_hours"], "volunteer_job_hours"), P2000)
-    return rows.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("source")), " | ").alias("sources"))
+    return H.sources_text(rows, "sources")
 
 
 @query("agg_distinct", "SELECT DISTINCT department_id, department FROM fx_worker_staging")

@@ -117,6 +117,11 @@ def q_analytics_link(t):
     return LK.link_analytics(t["analytics_users"], t["network_users"], t["workforce_map"])
 
 
+def _ehr_users(t):
+    """The EHR's two user tables (user rows, e-mails), joined as the linkage reads them."""
+    return LK.join_ehr_users(t["ehr_users"].drop("email"), t["ehr_users"])
+
+
 _EHR_ROWS = """
 e AS (SELECT *, CASE WHEN strpos(name, ',') > 0 THEN lower(trim(substr(name, strpos(name, ',') + 1))) END AS first_name,
              CASE WHEN strpos(name, ',') > 0 THEN lower(left(name, strpos(name, ',') - 1)) END AS last_name
@@ -129,7 +134,7 @@ best AS (SELECT * FROM e2 QUALIFY ROW_NUMBER() OVER (PARTITION BY name ORDER BY
 @query("ehr_best_row", f"WITH {_EHR_ROWS}\nSELECT * FROM best")
 def q_ehr_best_row(t):
     """WIN-2 / SRT-2: one EHR row per name (e-mail first, status, latest password change)."""
-    return LK.best_ehr_rows(t["ehr_users"])
+    return LK.best_ehr_rows(_ehr_users(t)).select(*t["ehr_users"].columns, "first_name", "last_name", "reformatted_name")
 
 
 _FULL = f"({_n('c.reformatted_name')} <> '' AND {_n('c.reformatted_name')} = {_n('u.common_name')})"
@@ -150,4 +155,4 @@ FROM fx_workforce_map m LEFT JOIN upd ON m.id = upd.id
 """)
 def q_ehr_link(t):
     """DML-32 / JOIN-7b: EHR user id set on map rows matched by e-mail, full name or first + last."""
-    return LK.link_ehr(t["ehr_users"], t["network_users"], t["workforce_map"])
+    return LK.link_ehr(_ehr_users(t), t["network_users"], t["workforce_map"])

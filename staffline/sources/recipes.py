@@ -75,7 +75,8 @@ RECIPES: dict[str, str] = {
 RECIPES.update({
     # EHR provider table keyed by the EHR user id (epic ids of fx_workforce_map are 0..699).
     "fx_clinical_providers": (
-        "SELECT CAST(c_custkey AS STRING) AS user_id, concat('P', CAST(c_custkey AS STRING)) AS prov_id "
+        "SELECT CAST(c_custkey AS STRING) AS user_id, concat('P', CAST(c_custkey AS STRING)) AS prov_id, "
+        "CAST(c_custkey % 4 AS INT) AS serv_area_id "
         "FROM customer"
     ),
 })

@@ -22,10 +22,10 @@ def test_no_nested_loop_or_cartesian(spark, key):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in plan
-    # The only nested-loop joins allowed are against one-row frames (counts, NULL checks).
+    # The only nested-loop joins allowed are cross joins with one-row frames (counts, NULL checks).
     for line in plan.splitlines():
         if "BroadcastNestedLoopJoin" in line:
-            assert "Cross" in line or "Inner" in line, line
+            assert "Cross" in line, line
 
 
 def test_no_null_aware_anti_join(spark):
@@ -37,7 +37,17 @@ def test_no_null_aware_anti_join(spark):
 def test_year_filter_pushed_to_scan(spark):
     df = E.queries()["fil_1"](spark, SF)
     text = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in text and "GreaterThanOrEqual(o_orderdate" in text or "o_orderdate" in text
+    assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
+
+
+def test_rows_without_a_key_stay_out_of_the_resolver_join(spark):
+    """The key's NULL check reaches the scan side of both inputs of the inner join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()["dup_primary_email"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [__key" in plan and "Inner" in plan
 
 
 def test_assign_ids_has_no_single_partition_exchange(spark):
