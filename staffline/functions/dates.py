@@ -49,6 +49,6 @@ def iso_duration_minutes(x) -> Column:
     """
     pattern = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?"
     c = _c(x)
-    h = F.coalesce(F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast("int"), F.lit(0))
-    m = F.coalesce(F.nullif(F.regexp_extract(c, pattern, 2), F.lit("")).try_cast("int"), F.lit(0))
+    h = F.coalesce(F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast("bigint"), F.lit(0))
+    m = F.coalesce(F.nullif(F.regexp_extract(c, pattern, 2), F.lit("")).try_cast("bigint"), F.lit(0))
     return h * 60 + m

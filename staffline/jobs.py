@@ -178,7 +178,7 @@ def linkage_run(spark: SparkSession, root: str, run_id: str, analytics_users: Da
     links = LK.link_employees(users, employees, wm)
     base = wm.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(links.crossJoin(F.broadcast(base)), ["network_id", "employee_id"], start_after=F.col("__base"))
-    new = conform(new.withColumn("id", F.col("id").cast("int")).drop("__base"), "workforce_map").select(*wm.columns)
+    new = conform(new.drop("__base"), "workforce_map").select(*wm.columns)
     wm = cut_lineage(wm.unionByName(new))
     wm = cut_lineage(LK.link_analytics(analytics_users, users, wm))
     _write(spark, LK.link_ehr(ehr_users, users, wm), root, "workforce_map", run_id)

@@ -81,8 +81,7 @@ def insert_accounts(users: DataFrame, diff: DataFrame, as_of: dt.datetime) -> Da
     base = nu.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(new.crossJoin(F.broadcast(base)), ["guid"], start_after=F.col("__base"))
     ts = F.lit(as_of).cast("timestamp")
-    new = (new.withColumn("id", F.col("id").cast("int"))
-           .withColumn("primary_guid", F.col("guid"))
+    new = (new.withColumn("primary_guid", F.col("guid"))
            .withColumn("disabled_at", F.when(F.col("is_disabled") == F.lit(True), ts))
            .withColumn("inserted_at", ts)
            .withColumn("is_primary_acct", F.lit(True)).withColumn("is_non_user", F.lit(False))

@@ -52,7 +52,7 @@ def new_job_titles(workers: DataFrame, titles: DataFrame, as_of: dt.datetime) ->
     new = snapshot_diff(pairs, t, ["job_title_id", "job_title"])
     base = t.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(new.crossJoin(F.broadcast(base)), ["job_title_id", "job_title"], start_after=F.col("__base"))
-    new = new.select(F.col("id").cast("int").alias("id"), "job_title_id", "job_title",
+    new = new.select("id", "job_title_id", "job_title",
                      F.lit(as_of).cast("timestamp").alias("inserted_at"))
     return t.unionByName(new, allowMissingColumns=True)
 

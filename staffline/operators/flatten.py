@@ -42,7 +42,7 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
     person = _w("person")
     site = pa["homeWorkLocation"]["nameCode"]["codeValue"]
     position = F.get(pa["reportsTo"], 0)["positionID"]
-    reports = F.nullif(F.regexp_extract(position, position_prefix + r"(\d+)", 1), F.lit("")).try_cast("int")
+    reports = F.nullif(F.regexp_extract(position, position_prefix + r"(\d+)", 1), F.lit("")).try_cast("bigint")
 
     def unread(text: Column, kind: str) -> Column:
         return text.isNotNull() & text.try_cast(kind).isNull()
@@ -53,15 +53,15 @@ def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = PO
     seniority = _date(pa["seniorityDate"])
     original = _date(_w("workerDates.originalHireDate"))
     return [
-        ("id", pa["payrollFileNumber"].try_cast("int"), "R"),
+        ("id", pa["payrollFileNumber"].try_cast("bigint"), "R"),
         ("aoid", _w("associateOID"), "R"),
-        ("location_id", F.coalesce(site.try_cast("int"), F.lit(0)), "D", unread(site, "int")),
+        ("location_id", F.coalesce(site.try_cast("bigint"), F.lit(0)), "D", unread(site, "bigint")),
         ("location", F.coalesce(pa["homeWorkLocation"]["nameCode"]["shortName"], F.lit("Unassigned")), "D"),
-        ("department_id", F.coalesce(unit["codeValue"].try_cast("int"), F.lit(0)), "D", unread(unit["codeValue"], "int")),
+        ("department_id", F.coalesce(unit["codeValue"].try_cast("bigint"), F.lit(0)), "D", unread(unit["codeValue"], "bigint")),
         ("department", F.coalesce(F.regexp_replace(F.coalesce(unit["shortName"], unit["longName"]), r"\d+ - (.*)", "$1"),
                                   F.lit("Unassigned")), "D"),
         ("reports_to_id", reports, "N", position.isNotNull() & reports.isNull()),
-        ("job_title_id", pa["jobCode"]["codeValue"].try_cast("int"), "R"),
+        ("job_title_id", pa["jobCode"]["codeValue"].try_cast("bigint"), "R"),
         ("job_title", F.coalesce(pa["jobCode"]["longName"], pa["jobCode"]["shortName"]), "R"),
         ("legal_first_name", person["legalName"]["givenName"], "R"),
         ("legal_middle_name", person["legalName"]["middleName"], "N"),

@@ -30,7 +30,7 @@ def insert_positions(history: DataFrame, employees: DataFrame, as_of: dt.datetim
     base = hist.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = new.crossJoin(F.broadcast(base))  # one row
     new = assign_ids(new, ["start_date", "employee_id", "job_title_id"], start_after=F.col("__base"))
-    new = new.select(F.col("id").cast("int").alias("id"), "employee_id", "job_title_id", "start_date",
+    new = new.select("id", "employee_id", "job_title_id", "start_date",
                      F.lit(None).cast("date").alias("end_date"), F.lit(as_of).cast("timestamp").alias("inserted_at"))
     return hist.select(*new.columns).unionByName(new)
 

@@ -16,7 +16,7 @@ def run_log_row(counts: DataFrame, query_type: str, as_of: dt.datetime, query_co
     def pick(c):
         return F.col(c).cast("long") if c else F.lit(None).cast("long")
     return counts.select(
-        F.lit(None).cast("int").alias("id"), F.lit(query_type).alias("query_type"),
+        F.lit(None).cast("long").alias("id"), F.lit(query_type).alias("query_type"),
         F.lit(as_of).cast("timestamp").alias("logged_at"),
         pick(query_count).alias("query_count"), pick(update_count).alias("update_count"),
         pick(insert_count).alias("insert_count"),

@@ -111,9 +111,9 @@ def per_day(timecards: DataFrame) -> DataFrame:
     """One row per (employee, date): minutes summed over periods and titles;
     the title of the latest period (then the smallest title id) is kept."""
     sums = timecards.groupBy("employee_id", "date").agg(
-        F.sum("work_minutes").cast("int").alias("work_minutes"),
-        F.sum("paid_minutes").cast("int").alias("paid_minutes"),
-        F.sum("regular_minutes").cast("int").alias("regular_minutes"),
+        F.sum("work_minutes").alias("work_minutes"),
+        F.sum("paid_minutes").alias("paid_minutes"),
+        F.sum("regular_minutes").alias("regular_minutes"),
         F.min_by("job_title_id", F.struct(-F.unix_date("period_start"), F.col("job_title_id"))).alias("job_title_id"))
     return sums
 

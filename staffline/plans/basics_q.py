@@ -330,8 +330,8 @@ def q_fn_name_split(t):
 
 
 @query("fn_duration", """SELECT DISTINCT time_duration,
-  COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, '^PT(?:([0-9]+)H)?(?:([0-9]+)M)?', 1), '') AS INTEGER), 0) * 60
-  + COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, '^PT(?:([0-9]+)H)?(?:([0-9]+)M)?', 2), '') AS INTEGER), 0) AS minutes
+  COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, '^PT(?:([0-9]+)H)?(?:([0-9]+)M)?', 1), '') AS BIGINT), 0) * 60
+  + COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, '^PT(?:([0-9]+)H)?(?:([0-9]+)M)?', 2), '') AS BIGINT), 0) AS minutes
 FROM fx_raw_timecards""")
 def q_fn_duration(t):
     """SCA-9: distinct durations and their minutes."""

@@ -24,7 +24,7 @@ new AS (SELECT id AS employee_id, job_title_id, start_date FROM emp
         EXCEPT SELECT employee_id, job_title_id, start_date FROM jh),
 h1 AS (SELECT {_HIST} FROM jh
        UNION ALL
-       SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS INTEGER),
+       SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS BIGINT),
               employee_id, job_title_id, start_date, CAST(NULL AS DATE), {TS} FROM new),
 last AS (SELECT employee_id, MAX(inserted_at) AS m FROM h1 GROUP BY employee_id),
 h2 AS (SELECT h.id, h.employee_id, h.job_title_id, h.start_date,
@@ -82,7 +82,7 @@ def _net_chain(short_circuit: bool = False) -> str:
     new = []
     for c in all_cols:
         if c == "id":
-            new.append("CAST((SELECT MAX(id) FROM s3) + ROW_NUMBER() OVER (ORDER BY n.guid) AS INTEGER)")
+            new.append("CAST((SELECT MAX(id) FROM s3) + ROW_NUMBER() OVER (ORDER BY n.guid) AS BIGINT)")
         elif c in A.AD_COLUMNS:
             new.append(f"n.{c}")
         else:

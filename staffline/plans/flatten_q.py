@@ -31,11 +31,11 @@ _SENIOR = f"CASE WHEN {_K} % 5 <> 0 THEN DATE '1994-06-01' + CAST({_K} % 1400 AS
 _ORIGINAL = f"CASE WHEN {_K} % 4 <> 0 THEN DATE '1993-01-01' + CAST({_K} % 1100 AS INTEGER) END"
 WORKER_SQL = f"""
 WITH jt AS (SELECT job_title_id, MIN(job_title) AS title FROM fx_job_titles GROUP BY job_title_id)
-SELECT CAST({_K} AS INTEGER) AS id, concat('G', printf('%015d', {_K})) AS aoid,
-  c.c_nationkey AS location_id, concat('Site ', CAST(c.c_nationkey AS VARCHAR)) AS location,
-  CAST({_K} % 12 AS INTEGER) AS department_id, concat('Department ', CAST({_K} % 12 AS VARCHAR)) AS department,
-  CASE WHEN {_K} % 9 <> 0 THEN CAST({_K} % 50 AS INTEGER) END AS reports_to_id,
-  CAST({_K} % 50 AS INTEGER) AS job_title_id, COALESCE(jt.title, concat('Title ', CAST({_K} % 50 AS VARCHAR))) AS job_title,
+SELECT CAST({_K} AS BIGINT) AS id, concat('G', printf('%015d', {_K})) AS aoid,
+  CAST(c.c_nationkey AS BIGINT) AS location_id, concat('Site ', CAST(c.c_nationkey AS VARCHAR)) AS location,
+  CAST({_K} % 12 AS BIGINT) AS department_id, concat('Department ', CAST({_K} % 12 AS VARCHAR)) AS department,
+  CASE WHEN {_K} % 9 <> 0 THEN CAST({_K} % 50 AS BIGINT) END AS reports_to_id,
+  CAST({_K} % 50 AS BIGINT) AS job_title_id, COALESCE(jt.title, concat('Title ', CAST({_K} % 50 AS VARCHAR))) AS job_title,
   c.c_mktsegment AS legal_first_name, CASE WHEN {_K} % 3 <> 0 THEN 'Quinn' END AS legal_middle_name,
   concat('Name', CAST({_K} AS VARCHAR)) AS legal_last_name,
   CASE WHEN {_K} % 6 = 0 THEN concat('Pref', CAST({_K} AS VARCHAR)) END AS preferred_first_name,

@@ -85,7 +85,7 @@ WITH new AS (SELECT job_title_id, job_title FROM fx_worker_staging
              EXCEPT SELECT job_title_id, job_title FROM fx_job_titles)
 SELECT {conformed_sql('fx_job_titles', 'employee_job_titles')} FROM fx_job_titles x
 UNION ALL
-SELECT CAST((SELECT MAX(id) FROM fx_job_titles) + ROW_NUMBER() OVER (ORDER BY job_title_id, job_title) AS INTEGER),
+SELECT CAST((SELECT MAX(id) FROM fx_job_titles) + ROW_NUMBER() OVER (ORDER BY job_title_id, job_title) AS BIGINT),
        job_title_id, job_title, NULL, NULL, NULL, {TS} FROM new
 """)
 def q_dim_job_titles(t):
@@ -244,7 +244,7 @@ new AS (SELECT id AS employee_id, job_title_id, start_date FROM emp
         EXCEPT SELECT employee_id, job_title_id, start_date FROM jh)
 SELECT {_HIST} FROM jh
 UNION ALL
-SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS INTEGER),
+SELECT CAST((SELECT MAX(id) FROM fx_job_history) + ROW_NUMBER() OVER (ORDER BY start_date, employee_id, job_title_id) AS BIGINT),
        employee_id, job_title_id, start_date, CAST(NULL AS DATE), {TS} FROM new
 """)
 def q_hist_insert(t):
@@ -402,7 +402,7 @@ def _net_insert_sql() -> str:
     new = []
     for c in cols("network_users"):
         if c == "id":
-            new.append("CAST((SELECT MAX(id) FROM fx_network_users) + ROW_NUMBER() OVER (ORDER BY d.guid) AS INTEGER)")
+            new.append("CAST((SELECT MAX(id) FROM fx_network_users) + ROW_NUMBER() OVER (ORDER BY d.guid) AS BIGINT)")
         elif c in A.AD_COLUMNS:
             new.append(f"d.{c}")
         else:
@@ -444,7 +444,7 @@ def q_emp_upsert(t):
 @query("run_log", f"""
 WITH d AS ({_DIFF_SQL}),
 c AS ({_net_count_sql()})
-SELECT CAST(NULL AS INTEGER) AS id, 'directory' AS query_type, {TS} AS logged_at,
+SELECT CAST(NULL AS BIGINT) AS id, 'directory' AS query_type, {TS} AS logged_at,
   (SELECT COUNT(*) FROM d) AS query_count, c.changed_reference AS update_count,
   (SELECT COUNT(*) FROM d WHERE guid IS NOT NULL AND guid NOT IN (SELECT guid FROM fx_network_users WHERE guid IS NOT NULL)) AS insert_count,
   CAST(NULL AS VARCHAR) AS failure_step, CAST(NULL AS VARCHAR) AS warnings, TRUE AS is_success

@@ -14,7 +14,7 @@ from staffline.plans.timecard_q import _CLASSIFIED, _DAILY, _daily, _rows
 
 @query("run_log_workers", f"""
 WITH c AS ({_emp_count_sql()})
-SELECT CAST(NULL AS INTEGER) AS id, 'workers' AS query_type, {TS} AS logged_at,
+SELECT CAST(NULL AS BIGINT) AS id, 'workers' AS query_type, {TS} AS logged_at,
   (SELECT COUNT(*) FROM fx_worker_staging) AS query_count, c.changed_reference AS update_count,
   (SELECT COUNT(*) FROM (SELECT aoid FROM fx_worker_staging EXCEPT SELECT aoid FROM fx_employees)) AS insert_count,
   CAST(NULL AS VARCHAR) AS failure_step, CAST(NULL AS VARCHAR) AS warnings, TRUE AS is_success
@@ -36,7 +36,7 @@ c AS (SELECT COUNT(CASE WHEN d.work_minutes != h.work_minutes OR d.paid_minutes
                          OR d.regular_minutes != h.regular_minutes THEN 1 END) AS changed_reference
       FROM d JOIN fx_employee_hours h ON d.employee_id = h.employee_id AND d.date = h.date),
 u AS (SELECT string_agg(DISTINCT pay_code, ', ' ORDER BY pay_code) AS codes FROM ({_CLASSIFIED}) WHERE unmapped)
-SELECT CAST(NULL AS INTEGER) AS id, 'timecards' AS query_type, {TS} AS logged_at,
+SELECT CAST(NULL AS BIGINT) AS id, 'timecards' AS query_type, {TS} AS logged_at,
   (SELECT COUNT(*) FROM d) AS query_count, c.changed_reference AS update_count,
   (SELECT COUNT(*) FROM d LEFT JOIN fx_employee_hours h ON d.employee_id = h.employee_id AND d.date = h.date
    WHERE h.employee_id IS NULL) AS insert_count,

@@ -20,8 +20,8 @@ _WORK = _in(REGULAR_CODES + WORK_EXTRA_CODES)
 _PAID = _in(REGULAR_CODES + WORK_EXTRA_CODES + PAID_EXTRA_CODES)
 _KNOWN = _in(REGULAR_CODES + WORK_EXTRA_CODES + PAID_EXTRA_CODES + UNPAID_CODES)
 _PAT = "'^PT(?:([0-9]+)H)?(?:([0-9]+)M)?'"
-_MIN = (f"(COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, {_PAT}, 1), '') AS INTEGER), 0) * 60 + "
-        f"COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, {_PAT}, 2), '') AS INTEGER), 0))")
+_MIN = (f"(COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, {_PAT}, 1), '') AS BIGINT), 0) * 60 + "
+        f"COALESCE(TRY_CAST(NULLIF(regexp_extract(time_duration, {_PAT}, 2), '') AS BIGINT), 0))")
 
 _CLASSIFIED = f"""SELECT associate_oid, period_start, entry_date, pay_code, time_duration, {_MIN} AS minutes,
   CASE WHEN pay_code IN {_REG} THEN {_MIN} ELSE 0 END AS regular_minutes,
@@ -123,8 +123,8 @@ def q_hours_change_count(t):
     return TC.hours_change_count(_daily(t), t["employee_hours"])
 
 
-_PER_DAY = f"""SELECT employee_id, date, CAST(SUM(work_minutes) AS INTEGER) AS work_minutes,
-  CAST(SUM(paid_minutes) AS INTEGER) AS paid_minutes, CAST(SUM(regular_minutes) AS INTEGER) AS regular_minutes,
+_PER_DAY = f"""SELECT employee_id, date, CAST(SUM(work_minutes) AS BIGINT) AS work_minutes,
+  CAST(SUM(paid_minutes) AS BIGINT) AS paid_minutes, CAST(SUM(regular_minutes) AS BIGINT) AS regular_minutes,
   first(job_title_id ORDER BY period_start DESC, job_title_id ASC) AS job_title_id
 FROM ({_DAILY}) GROUP BY employee_id, date"""
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, LongType,
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, LongType,
                                StringType, StructField, StructType, TimestampType)
 
-S, I, L, B, D, TS = StringType(), IntegerType(), LongType(), BooleanType(), DateType(), TimestampType()
+# Ids and minutes are 64-bit throughout.
+S, I, L, B, D, TS = StringType(), LongType(), LongType(), BooleanType(), DateType(), TimestampType()
 DEC62 = DecimalType(6, 2)
 
 
