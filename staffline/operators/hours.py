@@ -98,6 +98,33 @@ def workforce_hours(workforce_map: DataFrame, employees: DataFrame, employee_hou
     return out.distinct() if params.dedupe_hours else out
 
 
+def hours_by_owner(employees: DataFrame, employee_hours: DataFrame, job_titles: DataFrame,
+                   contractor_job_hours: DataFrame, learner_job_hours: DataFrame,
+                   volunteer_job_hours: DataFrame, params: Params) -> DataFrame:
+    """(kind, key, h_rows, h_hours): how many hour rows ``workforce_hours`` has for
+    each owner of hours and their sum, before any person is looked up. Kinds: e, c, l, v."""
+    y = params.reporting_year
+    emp = (employees.select(F.col("id").alias("employee_id"), "job_title_id")
+           .join(job_titles.select(F.col("id").alias("job_title_id")), "job_title_id")
+           .join(employee_minutes(employee_hours, y), "employee_id")
+           .select(F.lit("e").alias("kind"), F.col("employee_id").alias("key"),
+                   (F.col("paid_minutes") / F.lit(60.0)).cast("double").alias("hours")))
+    con = contractor_hours(contractor_job_hours, y).select(
+        F.lit("c").alias("kind"), F.col("contractor_id").alias("key"),
+        pooled_hours(F.col("contractor_id"), F.col("hours").cast("double"), params.pooled_divisors).alias("hours"))
+    lrn = prorated_rows(learner_job_hours.select("learner_id", "start_date", "end_date", "hours"), y).select(
+        F.lit("l").alias("kind"), F.col("learner_id").alias("key"), F.col("year_hours").alias("hours"))
+    vol = overlapping_rows(volunteer_job_hours.select("volunteer_id", "start_date", "end_date", "hours"), y).select(
+        F.lit("v").alias("kind"), F.col("volunteer_id").alias("key"), F.col("hours").cast("double").alias("hours"))
+    rows = lrn.unionByName(vol)
+    if params.dedupe_hours:
+        rows = rows.distinct()
+    # Employees and contractors have one row each by now.
+    summed = rows.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("h_rows"), F.sum("hours").alias("h_hours"))
+    single = emp.unionByName(con).select("kind", "key", F.lit(1).cast("long").alias("h_rows"), F.col("hours").alias("h_hours"))
+    return summed.unionByName(single).withColumn("key", F.col("key").cast("string"))
+
+
 def sources_text(rows: DataFrame, out: str, *sums) -> DataFrame:
     """Per ``id``: the sources of its rows, sorted and ' | '-joined, and sums. Rows
     are counted per (id, source) first, so that what is gathered per id is one

@@ -34,58 +34,72 @@ def _email_chain(*cols):
     return F.coalesce("nu_primary_email", "nu_email", "nu_network_email", *cols)
 
 
-def _by_map_id(wm: DataFrame, key: str, entity: DataFrame, entity_key: str = "id") -> DataFrame:
-    """Entity columns keyed by map ``id``: the narrow (id, key) pairs of the
-    map rows that have the key, joined to the entity. NULL keys never enter the
-    join (no hot NULL partition), and only the narrow attribute rows are
-    shuffled back to the map's partitioning on ``id``."""
-    pairs = wm.filter(F.col(key).isNotNull()).select(F.col("id").alias("__mid"), F.col(key).alias("__k"))
-    return (pairs.join(entity.withColumnRenamed(entity_key, "__k"), "__k")
-            .drop("__k").withColumnRenamed("__mid", "id"))
-
-
-def _identity_frames(t: dict, with_titles: bool) -> tuple[DataFrame, list[DataFrame]]:
-    """The map and, keyed by map id, the account / employee / contractor /
-    learner / volunteer columns used by the people views."""
-    wm = conform(t["workforce_map"], "workforce_map")
-    emp = conform(t["employees"], "employees")
-    con = conform(t["contractors"], "contractors")
-    lrn = conform(t["learners"], "learners")
-    vol = conform(t["volunteers"], "volunteers")
-    base = ["first_name", "last_name", "email"]
+#: Kind of key -> map column that holds it.
+_KEYS = {"n": "network_id", "e": "employee_id", "c": "contractor_id", "l": "learner_id", "v": "volunteer_id",
+         "x": "epic_id"}
+
+
+def _keyed(kind: str, df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows of one kind of entity or fact under the key (kind, key) that the map refers to."""
+    return df.withColumn("key", F.col(key).cast("string")).withColumn("kind", F.lit(kind)).drop(key)
+
+
+def _map_keys(wm: DataFrame, kinds: str) -> DataFrame:
+    """(id, kind, key) of every id that a map row refers to; NULL ids give no row."""
+    refs = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(_KEYS[k]).cast("string").alias("key")) for k in kinds))
+    return (wm.select("id", F.explode(F.filter(refs, lambda r: r["key"].isNotNull())).alias("r"))
+            .select("id", "r.kind", "r.key"))
+
+
+def _per_person(wm: DataFrame, parts: list[DataFrame], aggs: list, kinds: str) -> DataFrame:
+    """One row per map row: the columns of all parts (rows keyed by (kind, key))
+    that it refers to, by one join and one aggregate. A column comes from one
+    kind, so its value is the only one there is; ``aggs`` sum up the others."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    summed = {name for _, name, used in aggs for name in used}
+    plain = [c for c in rows.columns if c not in ("kind", "key") and c not in summed]
+    own = [c for c in wm.columns if c != "id"]
+    found = _map_keys(wm, kinds).join(rows, ["kind", "key"]).drop("key")
+    return (found.unionByName(wm, allowMissingColumns=True).groupBy("id")
+            .agg(*(F.max(c).alias(c) for c in own + plain), *(expr.alias(name) for expr, name, _ in aggs)))
+
+
+def _identity_parts(t: dict, with_titles: bool) -> list[DataFrame]:
+    """The account / employee / contractor / learner / volunteer columns of the
+    people views, as rows keyed by (kind, key)."""
+    base = ["id", "first_name", "last_name", "email"]
     extra = ["job_title", "uds_line", "hcai_line"] if with_titles else []
     e_cols = ["id", "legal_first_name", "legal_last_name", "work_email"]
     if with_titles:
         e_cols += ["job_title_id", "status", "hire_date", "start_date", "termination_date"]
-    e = _pref(emp, "e_", e_cols).withColumnRenamed("e_id", "id")
-    c = _pref(con, "c_", ["id"] + base + extra).withColumnRenamed("c_id", "id")
-    lr = _pref(lrn, "l_", ["id"] + base + extra).withColumnRenamed("l_id", "id")
-    v = _pref(vol, "v_", ["id"] + base + extra).withColumnRenamed("v_id", "id")
+    e = _pref(conform(t["employees"], "employees"), "e_", e_cols)
+    entities = {k: conform(t[name], name).select(*base, *extra)
+                for k, name in (("c", "contractors"), ("l", "learners"), ("v", "volunteers"))}
     if with_titles:
-        titles = conform(t["employee_job_titles"], "employee_job_titles")
-        jt = _pref(titles, "t_", ["id", "job_title", "uds_line", "hcai_line"])
-        e = e.join(jt, F.col("e_job_title_id") == F.col("t_id"), "left").drop("t_id")
-        for df_name, hours_name, pfx in (("c", "contractor_job_hours", "c"), ("l", "learner_job_hours", "l"),
-                                          ("v", "volunteer_job_hours", "v")):
-            key = {"c": "contractor_id", "l": "learner_id", "v": "volunteer_id"}[pfx]
-            h = conform(t[hours_name], hours_name)
-            first = (h.groupBy(F.col(key).alias(f"_{pfx}d_id"), F.col("job_title").alias(f"_{pfx}d_t"))
-                     .agg(F.min("start_date").alias(f"{pfx}_start")))
-            frame = {"c": c, "l": lr, "v": v}[df_name]
-            frame = (frame.join(first, (F.col("id") == F.col(f"_{pfx}d_id"))
-                                & (F.col(f"{pfx}_job_title") == F.col(f"_{pfx}d_t")), "left")
-                     .drop(f"_{pfx}d_id", f"_{pfx}d_t"))
-            if df_name == "c":
-                c = frame
-            elif df_name == "l":
-                lr = frame
-            else:
-                v = frame
-    nu = _network(t["network_users"]).withColumnRenamed("nu_id", "id")
-    frames = [_by_map_id(wm, "network_id", nu), _by_map_id(wm, "employee_id", e),
-              _by_map_id(wm, "contractor_id", c), _by_map_id(wm, "learner_id", lr),
-              _by_map_id(wm, "volunteer_id", v)]
-    return wm, frames
+        jt = _pref(conform(t["employee_job_titles"], "employee_job_titles"), "t_", ["id", "job_title", "uds_line", "hcai_line"])
+        e = (e.withColumn("__title", spread_nulls("e_job_title_id"))
+             .join(jt, F.col("__title") == F.col("t_id"), "left").drop("t_id", "__title", "e_job_title_id"))
+        # Earliest start of each (person, title), of all three kinds in one aggregate and one join.
+        hours = {"c": "contractor", "l": "learner", "v": "volunteer"}
+        starts, people = None, None
+        for k, kind in hours.items():
+            rows = conform(t[f"{kind}_job_hours"], f"{kind}_job_hours").select(
+                F.lit(k).alias("kind"), F.col(f"{kind}_id").alias("id"), "job_title", "start_date")
+            one = entities[k].withColumn("kind", F.lit(k))
+            starts = rows if starts is None else starts.unionByName(rows)
+            people = one if people is None else people.unionByName(one)
+        starts = starts.groupBy("kind", "id", "job_title").agg(F.min("start_date").alias("start"))
+        people = people.join(starts, ["kind", "id", "job_title"], "left")
+        entities = {k: people.filter(F.col("kind") == k).drop("kind") for k in hours}
+        extra = extra + ["start"]
+        people = people.select(F.col("id").cast("string").alias("key"), "kind", *(
+            F.when(F.col("kind") == k, F.col(c)).alias(f"{k}_{c}") for k in hours for c in base[1:] + extra))
+        kept = [people]
+    else:
+        kept = [_keyed(k, _pref(df, f"{k}_", df.columns), f"{k}_id") for k, df in entities.items()]
+    return [_keyed("n", _network(t["network_users"]), "nu_id"), _keyed("e", e, "e_id"), *kept]
 
 
 def _staff_name():
@@ -99,26 +113,32 @@ def _staff_name():
 def view_people(t: dict, params: Params) -> DataFrame:
     """One row per mapped person (VW-1).
 
-    Every lookup is joined on the map's unique ``id`` (see ``_by_map_id``), so
-    the map is partitioned once. Learner / volunteer hour rows are collapsed
+    Every lookup and every sum of hours is a row keyed by (kind, key); the map is
+    turned once into the keys it refers to, joined to them and aggregated by its
+    unique ``id`` (see ``_per_person``). Learner / volunteer hour rows are collapsed
     to the earliest start date per (person, title) instead of fanning out one
     row per hour row (VW-l re-aimed).
     """
-    wm, frames = _identity_frames(t, with_titles=True)
-    emp = conform(t["employees"], "employees")
-    titles = conform(t["employee_job_titles"], "employee_job_titles")
-    cjh = conform(t["contractor_job_hours"], "contractor_job_hours")
-    ljh = conform(t["learner_job_hours"], "learner_job_hours")
-    vjh = conform(t["volunteer_job_hours"], "volunteer_job_hours")
-    rows = H.workforce_hours(wm, emp, t["employee_hours"], titles, cjh, ljh, vjh, params)
-    ftes = H.calendar_year_ftes(rows, params)
-    clin = _by_map_id(wm.withColumn("epic_id", F.col("epic_id").cast("string")), "epic_id",
-                      t["clinical_providers"].select(F.col("user_id").alias("id"),
-                                                     F.col("prov_id").alias("epic_prov_id")))
-    j = wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
-                  F.col("epic_id").cast("string").alias("epic_id"), "ecw_ids")
-    for f in frames + [ftes, clin]:
-        j = j.join(f, "id", "left")
+    wm = conform(t["workforce_map"], "workforce_map").select(
+        "id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id",
+        F.col("epic_id").cast("string").alias("epic_id"), "ecw_ids")
+    hours = H.hours_by_owner(conform(t["employees"], "employees"), t["employee_hours"],
+                             conform(t["employee_job_titles"], "employee_job_titles"),
+                             conform(t["contractor_job_hours"], "contractor_job_hours"),
+                             conform(t["learner_job_hours"], "learner_job_hours"),
+                             conform(t["volunteer_job_hours"], "volunteer_job_hours"), params)
+    clin = _keyed("x", t["clinical_providers"].select(F.col("user_id").alias("id"),
+                                                      F.col("prov_id").alias("epic_prov_id")))
+    counts = [(F.sum(F.when(F.col("kind") == k, F.col("h_rows"))), f"h_{k}", ("h_rows",)) for k in "clve"]
+    j = _per_person(wm, [*_identity_parts(t, with_titles=True), hours, clin],
+                    [*counts, (F.sum("h_hours"), "h_sum", ("h_hours",))], "neclvx")
+    # Sources in order of name, each as often as it has hour rows.
+    names = {"c": "Contractor", "e": "Employee", "l": "Learner", "v": "Volunteer"}
+    listed = F.flatten(F.array(*(F.array_repeat(F.lit(n), F.coalesce(F.col(f"h_{k}"), F.lit(0)).cast("int"))
+                                 for k, n in names.items())))
+    j = (j.withColumn("calendar_year_hours_source", F.when(F.size(listed) > 0, F.array_join(listed, " | ")))
+         .withColumn("calendar_year_hours", round2(F.col("h_sum")))
+         .withColumn("calendar_year_ftes", round2(F.col("h_sum") / F.lit(float(params.fte_year_hours)))))
 
     staff_type = F.coalesce(
         F.col("calendar_year_hours_source"),
@@ -150,10 +170,9 @@ def view_people(t: dict, params: Params) -> DataFrame:
 
 def _person_names(t: dict) -> DataFrame:
     """id, full_name, email of every mapped person (the inner view of VW-2)."""
-    wm, frames = _identity_frames(t, with_titles=False)
-    j = wm.select("id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id")
-    for f in frames:
-        j = j.join(f, "id", "left")
+    wm = conform(t["workforce_map"], "workforce_map").select(
+        "id", "network_id", "employee_id", "contractor_id", "learner_id", "volunteer_id")
+    j = _per_person(wm, _identity_parts(t, with_titles=False), [], "neclv")
     return j.select("id", _staff_name().alias("full_name"),
                     _email_chain("e_work_email", "c_email", "l_email", "v_email").alias("email"))
 
@@ -174,27 +193,28 @@ def view_hours(t: dict, params: Params, min_rows: int | None = None) -> DataFram
           .agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"),
                F.sum("paid_minutes").alias("paid_minutes")))
     emp = (eh.join(titles.select(F.col("id").alias("job_title_id"), "job_title", "uds_line", "hcai_line"), "job_title_id")
-           .join(wm.select("id", "employee_id"), "employee_id")
-           .groupBy("id", "job_title", "uds_line", "hcai_line")
+           .groupBy("employee_id", "job_title", "uds_line", "hcai_line")
            .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
                 (F.sum("paid_minutes") / F.lit(60.0)).cast("double").alias("hours"))
-           .select("id", F.lit("Employee").alias("source"), *line_cols))
+           .select(F.col("employee_id").alias("id"), F.lit("Employee").alias("source"), *line_cols))
 
     con = (H.contractor_hours(cjh, y, by=("contractor_id", "job_title", "uds_line", "hcai_line"), with_dates=True)
-           .join(wm.select("id", "contractor_id"), "contractor_id")
            .withColumn("hours", H.pooled_hours(F.col("contractor_id"), F.col("hours").cast("double"), params.pooled_divisors))
-           .select("id", F.lit("Contractor").alias("source"), *line_cols))
+           .select(F.col("contractor_id").alias("id"), F.lit("Contractor").alias("source"), *line_cols))
 
-    lrn = (H.prorated_rows(ljh.select("learner_id", "job_title", "uds_line", "hcai_line", "start_date", "end_date", "hours"), y).join(wm.select("id", "learner_id"), "learner_id")
-           .select("id", F.lit("Learner").alias("source"), "job_title", "uds_line", "hcai_line",
+    lrn = (H.prorated_rows(ljh.select("learner_id", "job_title", "uds_line", "hcai_line", "start_date", "end_date", "hours"), y)
+           .select(F.col("learner_id").alias("id"), F.lit("Learner").alias("source"), "job_title", "uds_line", "hcai_line",
                    F.col("adjusted_start_date").alias("start_date"), F.col("adjusted_end_date").alias("end_date"),
                    F.col("year_hours").alias("hours")))
 
-    vol = (H.overlapping_rows(vjh.select("volunteer_id", "job_title", "uds_line", "hcai_line", "start_date", "end_date", "hours"), y).join(wm.select("id", "volunteer_id"), "volunteer_id")
-           .select("id", F.lit("Volunteer").alias("source"), "job_title", "uds_line", "hcai_line",
+    vol = (H.overlapping_rows(vjh.select("volunteer_id", "job_title", "uds_line", "hcai_line", "start_date", "end_date", "hours"), y)
+           .select(F.col("volunteer_id").alias("id"), F.lit("Volunteer").alias("source"), "job_title", "uds_line", "hcai_line",
                    "start_date", "end_date", F.col("hours").cast("double").alias("hours")))
 
-    total = emp.unionByName(con).unionByName(lrn).unionByName(vol)
+    # All sources meet the map in one join on (kind, key).
+    owned = [_keyed(k, df) for k, df in (("e", emp), ("c", con), ("l", lrn), ("v", vol))]
+    total = (_map_keys(wm, "eclv").join(owned[0].unionByName(owned[1]).unionByName(owned[2]).unionByName(owned[3]),
+                                        ["kind", "key"]).select("id", "source", *line_cols))
     if params.dedupe_hours:
         total = total.distinct()
     # One-row frame: its size is fixed, so broadcasting it is always safe.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from staffline.operators import views as V
 from staffline.params import Params
@@ -180,9 +181,9 @@ def _hours_rows_sql(year: int, dedupe: bool) -> str:
   WHERE h.end_date >= {ys} AND h.start_date <= {ye} AND h.hours > 0"""
 
 
-def view_people_sql(year: int) -> str:
+def view_people_sql(year: int, dedupe: bool = False) -> str:
     return f"""
-WITH wh AS ({_hours_rows_sql(year, False)}),
+WITH wh AS ({_hours_rows_sql(year, dedupe)}),
 ftes AS (SELECT id, string_agg(source, ' | ' ORDER BY source) AS src, SUM(hours) AS h FROM wh GROUP BY id),
 cd AS (SELECT contractor_id, job_title, MIN(start_date) AS s FROM fx_contractor_job_hours GROUP BY 1, 2),
 ld AS (SELECT learner_id, job_title, MIN(start_date) AS s FROM fx_learner_job_hours GROUP BY 1, 2),
@@ -234,6 +235,12 @@ def q_view_people_y2024(t):
     return V.view_people(t, P2024)
 
 
+@query("view_people_distinct", view_people_sql(2024, dedupe=True))
+def q_view_people_distinct(t):
+    """VW-1 for 2024 with the reference's UNION of hour rows (equal rows of one person collapse)."""
+    return V.view_people(t, replace(P2024, dedupe_hours=True))
+
+
 def _names_sql() -> str:
     return """
   SELECT m.id,
@@ -305,3 +312,9 @@ def q_view_hours(t):
 def q_view_hours_y2024(t):
     """VW-2 for 2024 (learner and volunteer rows)."""
     return V.view_hours(t, P2024, min_rows=WORKDAY_MIN_ROWS)
+
+
+@query("view_hours_distinct", view_hours_sql(2024, "2024-12-31 12:00:00", WORKDAY_MIN_ROWS, dedupe=True))
+def q_view_hours_distinct(t):
+    """VW-2 for 2024 with the reference's UNION of hour rows."""
+    return V.view_hours(t, replace(P2024, dedupe_hours=True), min_rows=WORKDAY_MIN_ROWS)
