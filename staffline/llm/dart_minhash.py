@@ -10,8 +10,9 @@ their weighted Jaccard similarity.
 Equal texts are merged first. Bands of the signature are joined on equality:
 every member of a band links to one centre, not to every other member. Links
 are settled by the signature where it is decisive and by the exact weighted
-sets where not; bands that still hold several classes afterwards are compared
-across classes, so that no pair goes untested that shares a band. Classes are
+sets where not. Bands that still hold several classes afterwards are compared
+exactly inside tasks, in tiles of bounded size, so that no two texts that share
+a band go untested; only links that join classes leave a task. Classes are
 the connected components of the links.
 """
 
@@ -31,6 +32,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 K = BANDS * ROWS
+#: Members of a band compared at once, a side.
+TILE = 1500
 #: Agreeing coordinates beyond which a link, or below which no link, is certain but for about one pair in 10^5
 #: at the limit: 4.5 standard deviations of K draws around SIMILARITY.
 _SIGMA = (SIMILARITY * (1 - SIMILARITY) / K) ** 0.5
@@ -212,6 +215,70 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return cut_lineage(sure.unionByName(both.mapInArrow(exact, "a binary, b binary")))
 
 
+def joining_pairs(items: list[np.ndarray], label: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of rows that are similar enough and, taken in order, each join two
+    classes (``label``) that were apart: at most one less than there are classes.
+    All similarities come exactly from blocked products of the rows' item matrices; an
+    item that occurs w times in a row is w columns."""
+    size = np.array([len(i) for i in items])
+    row = np.repeat(np.arange(len(items)), size)
+    value = np.concatenate(items).astype(np.uint64) if len(items) else np.zeros(0, np.uint64)
+    new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (value[1:] != value[:-1])]) if len(value) else value
+    copy = np.arange(len(value)) - np.repeat(new, np.diff(np.r_[new, len(value)]))
+    _, column, count = np.unique(value | copy.astype(np.uint64) << np.uint64(32), return_inverse=True,
+                                 return_counts=True)
+    shared = count >= 2
+    number = np.cumsum(shared) - 1
+    on = shared[column]
+    row, column = row[on], number[column[on]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(items), len(items)), np.float32)
+    width = 2048
+    edge = np.searchsorted(column, np.arange(0, int(shared.sum()) + width, width))
+    for k, (a, b) in enumerate(zip(edge, edge[1:])):
+        part = np.zeros((len(items), width), np.float32)
+        part[row[a:b], column[a:b] - k * width] = 1.0
+        common += part @ part.T
+    label = label.copy()
+    out = []
+    for i in range(len(items)):
+        alike = common[i] >= SIMILARITY * (size[i] + size - common[i])
+        near = np.flatnonzero(alike & (label != label[i]))
+        if len(near):
+            joined, first = np.unique(label[near], return_index=True)
+            out += [(i, int(j)) for j in near[first]]
+            label[np.isin(label, joined)] = label[i]
+    return out
+
+
+def _links_across(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between members (band, key, label) of one band that have
+    different labels: enough of them to join all that belong together. A band is
+    compared inside tasks, tile by tile of at most about TILE members a side, and
+    no pair leaves that joins nothing new."""
+    members = cut_lineage(members)
+    sets = _sets(docs, members.select("key").distinct())
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    tiles = (members.join(sizes, "band")
+             .withColumn("parts", F.ceil(F.col("n") / TILE))
+             .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("parts")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+                     "key", "label"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_pylist()
+        _, label = np.unique(np.array([x.hex() for x in table.column("label").to_pylist()]), return_inverse=True)
+        items = [np.frombuffer(x, np.uint32) for x in table.column("items").to_pylist()]
+        pairs = joining_pairs(items, label)
+        return pa.table({"a": pa.array([max(keys[i], keys[j]) for i, j in pairs], pa.binary()),
+                         "b": pa.array([min(keys[i], keys[j]) for i, j in pairs], pa.binary())})
+
+    return (tiles.join(sets, "key").groupBy("band", "low", "high").applyInArrow(compare, "a binary, b binary")
+            .distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """key, label: the least key of the connected component of each linked
     key. Labels spread over the links and jump to their own label's label
@@ -246,17 +313,11 @@ def _classified(slim: DataFrame) -> DataFrame:
                          .select(F.col("key").alias("a"), "b").distinct())
     links = _links(spokes, nodes, slim)
     labels = components(links)
-    # Bands that hold several classes: their members may be alike although neither is like the centre.
-    # Pairs within a class are settled.
+    # Bands that hold several classes: members may be alike although neither is like the centre.
     named = bands.join(labels, "key", "left").select("band", "key", F.coalesce("label", "key").alias("label"))
     mixed = (named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("band"))
-    left = named.join(mixed, "band", "left_semi")
-    other = left.select("band", F.col("key").alias("b"), F.col("label").alias("label_b"))
-    across = (left.join(other, "band").where(F.col("label") < F.col("label_b"))
-              .select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
-              .join(spokes, ["a", "b"], "left_anti"))
-    more = _links(cut_lineage(across), nodes, slim)
+    more = cut_lineage(_links_across(named.join(mixed, "band", "left_semi"), slim))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     classes = (nodes.join(labels, "key", "left")
