@@ -124,9 +124,11 @@ def hours_change_count(timecards: DataFrame, hours: DataFrame) -> DataFrame:
 
 
 def update_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
-    h = conform(hours, "employee_hours")
-    src = per_day(timecards)
-    return join_update(h, src, ["employee_id", "date"],
+    return _updated(conform(hours, "employee_hours"), per_day(timecards))
+
+
+def _updated(h: DataFrame, day: DataFrame) -> DataFrame:
+    return join_update(h, day, ["employee_id", "date"],
                        {c: sref(c) for c in ("work_minutes", "paid_minutes", "regular_minutes")})
 
 
@@ -170,7 +172,10 @@ def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame |
     """Hours rows take the title of the history interval containing their date
     when it differs (see ``containing_interval``)."""
     h = conform(hours, "employee_hours")
-    best = containing_interval(h, history, data_range)
+    return _retitled(h, containing_interval(h, history, data_range))
+
+
+def _retitled(h: DataFrame, best: DataFrame) -> DataFrame:
     t = F.col("history_job_title_id")
     out = (h.join(best, ["employee_id", "date"], "left")
            .withColumn("job_title_id", F.when(t.isNotNull() & (t != F.col("job_title_id")), t)
@@ -181,22 +186,28 @@ def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame |
 def insert_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
     """Days not stored yet; ids continue after the largest id."""
     h = conform(hours, "employee_hours")
-    new = per_day(timecards).join(h.select("employee_id", "date"), ["employee_id", "date"], "left_anti")
+    return h.unionByName(_new_days(h, per_day(timecards)))
+
+
+def _new_days(h: DataFrame, day: DataFrame) -> DataFrame:
+    new = day.join(h.select("employee_id", "date"), ["employee_id", "date"], "left_anti")
     base = h.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
     new = assign_ids(new.crossJoin(F.broadcast(base)), ["employee_id", "date"], start_after=F.col("__base"))
-    return h.unionByName(conform(new, "employee_hours").select(*h.columns))
+    return conform(new, "employee_hours").select(*h.columns)
 
 
-def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame, stage: bool = True) -> DataFrame:
+def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) -> DataFrame:
     """The hours transaction: update, re-title by history, insert.
 
-    The staged timecards feed two statements; they are written once to the
-    checkpoint folder (as the reference stages them in a table) so the pull is
-    not recomputed and a lost executor restarts from the staged rows
-    (``stage=False`` when the caller has staged them already).
+    The sums per day feed two statements; they are written once to the
+    checkpoint folder (as the reference stages them in a table), so the pull is
+    not recomputed and a lost executor restarts from the staged rows. The update
+    changes neither keys nor ids: the containing interval of a stored row and the days
+    that are new come from the stored hours, not from the updated ones.
     """
-    staged = cut_lineage(timecards) if stage else timecards
-    return insert_hours(retitle_hours(update_hours(hours, staged), history), staged)
+    day = cut_lineage(per_day(timecards))
+    h = conform(hours, "employee_hours")
+    return _retitled(_updated(h, day), containing_interval(h, history)).unionByName(_new_days(h, day))
 
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",
