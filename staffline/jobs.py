@@ -137,12 +137,7 @@ def timecard_run(spark: SparkSession, timecard_docs: DataFrame, root: str, run_i
     rows = TC.classify_minutes(TC.flatten_timecards(timecard_docs))
     daily = cut_lineage(TC.daily_minutes_prereduced(rows, TC.eligible_employees(conform(st["employees"], "employees"),
                                                                                   as_of)))
-    codes = (TC.unmapped_paycodes(rows).agg(F.array_join(F.array_sort(F.collect_list("pay_code")), ", ").alias("c"))
-             .select(F.when(F.col("c") != "", F.concat(F.lit("Unmapped paycodes: "), F.col("c"))).alias("warnings")))
-    new_days = (daily.join(st["employee_hours"].select("employee_id", "date"), ["employee_id", "date"], "left_anti")
-                .agg(F.count(F.lit(1)).alias("inserted")))
-    counts = (daily.agg(F.count(F.lit(1)).alias("query_count"))
-              .crossJoin(TC.hours_change_count(daily, st["employee_hours"])).crossJoin(new_days).crossJoin(codes))
+    counts = TC.run_counts(daily, st["employee_hours"]).crossJoin(TC.paycode_warning(rows))
     log = cut_lineage(run_log_row(counts, "timecards", as_of, query_count="query_count",
                                   update_count="changed_reference", insert_count="inserted", warnings="warnings"))
     dates = st["timecard_dates"].select("period_start", "date").unionByName(

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.functions import iso_duration_minutes
+from staffline.functions import changed_null_safe, changed_null_unsafe, iso_duration_minutes
 from staffline.operators.ordering import first_by
 from staffline.operators.reconcile import assign_ids, count_changed, join_update, snapshot_diff, sref
 from staffline.params import (OPEN_END_DATE, PAID_EXTRA_CODES, REGULAR_CODES, UNPAID_CODES,
@@ -102,6 +102,33 @@ def unmapped_paycodes(rows: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows"), F.sum("minutes").alias("minutes")))
 
 
+def paycode_warning(rows: DataFrame, listed: int = 100) -> DataFrame:
+    """One row: the run log's warning about unmapped pay codes (NULL if there
+    are none). It names the first ``listed`` codes and counts the others, so that
+    the row stays small whatever the data hold."""
+    codes = unmapped_paycodes(rows).select("pay_code")
+    first = (codes.orderBy("pay_code").limit(listed)
+             .agg(F.array_join(F.array_sort(F.collect_list("pay_code")), ", ").alias("codes")))
+    more = codes.agg((F.count(F.lit(1)) - listed).alias("more"))
+    text = F.concat(F.lit("Unmapped paycodes: "), F.col("codes"),
+                    F.when(F.col("more") > 0, F.concat(F.lit(" and "), F.col("more").cast("string"), F.lit(" more")))
+                    .otherwise(F.lit("")))
+    return first.crossJoin(more).select(F.when(F.col("codes") != "", text).alias("warnings"))  # one row each
+
+
+def run_counts(daily: DataFrame, hours: DataFrame) -> DataFrame:
+    """One row, by one join of the run's days to the stored hours: query_count,
+    inserted (days not stored yet), changed_reference and changed (see ``count_changed``)."""
+    cols = ["work_minutes", "paid_minutes", "regular_minutes"]
+    stored = hours.select(F.col("employee_id").alias("__e"), F.col("date").alias("__d"),
+                          *(F.col(c).alias(f"__s_{c}") for c in cols))
+    j = daily.join(stored, (F.col("employee_id") == F.col("__e")) & (F.col("date") == F.col("__d")), "left")
+    pairs, hit = [(F.col(c), F.col(f"__s_{c}")) for c in cols], F.col("__e").isNotNull()
+    return j.agg(F.count(F.lit(1)).alias("query_count"), F.count_if(~hit).alias("inserted"),
+                 F.count_if(hit & F.coalesce(changed_null_unsafe(pairs), F.lit(False))).alias("changed_reference"),
+                 F.count_if(hit & changed_null_safe(pairs)).alias("changed"))
+
+
 def new_timecard_dates(timecards: DataFrame, timecard_dates: DataFrame) -> DataFrame:
     """Distinct (period_start, date) pairs not stored yet."""
     return snapshot_diff(timecards.select("period_start", "date"), timecard_dates, ["period_start", "date"])

@@ -46,15 +46,6 @@ FROM c CROSS JOIN u
 """)
 def q_run_log_timecards(t):
     """SNK-2 / TC-9: log row of a timecard run; unmapped pay codes go to ``warnings``, not failure."""
-    daily = _daily(t)
-    hours = t["employee_hours"]
-    codes = (TC.unmapped_paycodes(TC.classify_minutes(_rows(t)))
-             .agg(F.array_join(F.array_sort(F.collect_list("pay_code")), ", ").alias("codes"))
-             .select(F.when(F.col("codes") != "", F.concat(F.lit("Unmapped paycodes: "), F.col("codes")))
-                     .alias("warnings")))
-    new = (daily.join(hours.select("employee_id", "date"), ["employee_id", "date"], "left_anti")
-           .agg(F.count(F.lit(1)).alias("inserted")))
-    counts = (daily.agg(F.count(F.lit(1)).alias("query_count"))
-              .crossJoin(TC.hours_change_count(daily, hours)).crossJoin(new).crossJoin(codes))
+    counts = TC.run_counts(_daily(t), t["employee_hours"]).crossJoin(TC.paycode_warning(TC.classify_minutes(_rows(t))))
     return run_log_row(counts, "timecards", AS_OF, query_count="query_count", update_count="changed_reference",
                        insert_count="inserted", warnings="warnings")
