@@ -96,7 +96,16 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    top = counts.orderBy(F.desc("n"), "word").limit(DIRECT).select("word", "n").toPandas()
+    # At most DIRECT words: all above a frequency, found from a histogram of at most a thousand steps.
+    step = F.floor(F.log2("n") * 16).cast("int")
+    held, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("s")).count().collect(), key=lambda r: -r.s):
+        held += r["count"]
+        if held > DIRECT:
+            break
+        least = r.s
+    top = counts.where(step >= (1 << 30 if least is None else least)).select("word", "n").toPandas()
+    top = top.sort_values(["n", "word"], ascending=[False, True])
     words, n = top["word"].tolist(), top["n"].tolist()
     rare = counts.where(~F.col("word").isin(words[:HEAD])) if words else counts
     by_class = rare.groupBy("tail").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("w")).collect()
