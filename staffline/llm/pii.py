@@ -14,6 +14,7 @@ together by bounded-length dynamic programming. Only windows around digits and
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -267,6 +268,13 @@ def model_spans(text: str, weights: np.ndarray, base: list[Span]) -> list[Span]:
     if not weights.any():
         return base
     out = list(base)
+    covered: list[list[int]] = []  # merged ranges of the base spans
+    for a, _, b in base:
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    starts = [a for a, _ in covered]
     for lo, hi in _windows(text):
         tokens, cands = _candidates(text, lo, hi)
         if not cands:
@@ -276,7 +284,8 @@ def model_spans(text: str, weights: np.ndarray, base: list[Span]) -> list[Span]:
             continue
         for c, y in _best(len(tokens), cands, scores, MARGIN):
             a, b = tokens[cands[c][0]][0], tokens[cands[c][1] - 1][1]
-            if not any(a < s[2] and s[0] < b for s in base):
+            at = bisect.bisect_left(starts, b) - 1
+            if at < 0 or covered[at][1] <= a:
                 out.append((a, y, b))
     return sorted(out)
 
