@@ -120,7 +120,7 @@ def _power(kind: str, n: int) -> np.ndarray:
     have = _powers.get(kind)
     if have is None or len(have) < n:
         base = _ODD if kind == "up" else pow(_ODD, -1, 1 << 64)
-        size = max(n, SLICE_BYTES * 2)
+        size = n + n // 4
         out = np.full(size, np.uint64(base), np.uint64)
         out[0] = 1
         have = _powers[kind] = np.multiply.accumulate(out)

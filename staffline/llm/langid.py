@@ -32,6 +32,8 @@ LEXICON = 400
 BITS = 17
 BLOCK = 64
 UNKNOWN = "und"
+#: Bytes of text that are judged together: features and posteriors take some hundred bytes a letter.
+SLICE = 1 << 19
 
 
 @dataclass
@@ -341,7 +343,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
 
     def scan(batches):
         for batch in batches:
-            for part in text_slices(batch, "__text"):
+            for part in text_slices(batch, "__text", SLICE):
                 lang, score = classify(model, ["" if t is None else t for t in part.column("__text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
@@ -358,7 +360,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: s
 
     def scan(batches):
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            for part in text_slices(batch, text_col, SLICE):
                 lang, score = classify(model, ["" if t is None else t for t in part.column(place).to_pylist()])
                 keep = [a != UNKNOWN and s >= min_score for a, s in zip(lang, score)]
                 yield part.filter(pa.array(keep, pa.bool_()))
