@@ -8,8 +8,9 @@ log-likelihood (forward and backward sums over all segmentations of a window);
 windows around the base finds of a bounded sample are the labelled data, with
 written variants of each find (no plus sign, spelled-out signs, other separators)
 so that the model reaches beyond the patterns. Decoding picks boundaries and types
-together by bounded-length dynamic programming. Only windows around digits and
-``@`` are decoded: a segment without either is no candidate for any type.
+together by bounded-length dynamic programming. Only windows around digits, ``@`` and
+the words ``at`` and ``dot`` are decoded: a segment without a digit, an ``@`` or two such
+words is no candidate for any type.
 """
 
 from __future__ import annotations
@@ -44,7 +45,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-_TRIGGER = re.compile(r"[0-9@]+")
+_SIGN = re.compile(r"[0-9@]")
+_SPELLED = re.compile(r"(?<![^\W\d_])(?:[Aa][Tt]|[Dd][Oo][Tt])(?![^\W\d_])")
+_TRIGGER = re.compile(r"[0-9@]+|" + _SPELLED.pattern)
+#: A spelled-out address as a whole; a host begins with no article.
+_ADDRESS = re.compile(r"{0}(?:\s+dot\s+{0})*\s+at\s+(?!(?:the|an?|this|that)\s){0}(?:\s+dot\s+{0})+".format(
+    r"(?!(?:at|dot)(?![A-Za-z0-9_%+-]))[A-Za-z0-9_%+-]++"), re.IGNORECASE)
 _CUES = {"email": {"mail", "email", "contact"}, "ip": {"ip", "host", "server", "address"},
          "card": {"card", "visa", "credit", "iban"}, "phone": {"tel", "phone", "call", "fax", "mobile"}}
 
@@ -94,11 +100,12 @@ def base_spans(text: str) -> list[Span]:
 
 # -- the semi-Markov field ---------------------------------------------------
 
-FEATURES = 30
+FEATURES = 33
 
 
-def _span_features(text: str, a: int, b: int, tokens: list[str], cues: set[str]) -> list[float]:
-    """Features of the segment text[a:b] as a whole and of its two borders."""
+def _span_features(text: str, a: int, b: int, tokens: list[str], cues: set[str], near: tuple[str, str]) -> list[float]:
+    """Features of the segment text[a:b] as a whole and of its two borders;
+    ``near`` holds the tokens beside it."""
     s = text[a:b]
     d = _digits(s)
     n = len(d)
@@ -109,6 +116,8 @@ def _span_features(text: str, a: int, b: int, tokens: list[str], cues: set[str])
     parts = s.split(".")
     quad = len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
     low = s.lower()
+    spelled = _ADDRESS.fullmatch(s) is not None
+    joined = near[0].lower() in ("at", "dot") or near[1].lower() in ("at", "dot")
     mail = ("@" in s and "." in s[s.index("@"):]) or re.search(r"\W(at|dot)\W.*\w\W+(dot|at)\W", low) is not None
     return [
         1.0, float(n == 0), float(0 < n < 7), float(7 <= n <= 8), float(9 <= n <= 11), float(12 <= n <= 15),
@@ -118,6 +127,7 @@ def _span_features(text: str, a: int, b: int, tokens: list[str], cues: set[str])
         float(tokens[-1].isalnum()), float(left.isalnum() or left in "@_"), float(right.isalnum() or right in "@_"),
         float(right in ".-" and after.isalnum()), float(left in ".-+"),
         *(float(bool(cues & _CUES[k])) for k in KINDS), float(any(c not in "0123456789 ().+-" for c in s)),
+        float(spelled and not joined), float(spelled and joined), float(n == 0 and not spelled),
     ]
 
 
@@ -139,8 +149,9 @@ def _candidates(text: str, lo: int, hi: int):
             seen = seen or t == "@" or "0" <= t[0] <= "9"
             spell += t.lower() in ("at", "dot")
             if (seen or spell >= 2) and t.isalnum():
+                near = (tokens[i - 1][2] if i else "", tokens[j + 1][2] if j + 1 < len(tokens) else "")
                 cands.append((i, j + 1, _span_features(text, a, tokens[j][1],
-                                                       [x[2] for x in tokens[i:j + 1]], cues)))
+                                                       [x[2] for x in tokens[i:j + 1]], cues, near)))
     return tokens, cands
 
 
@@ -195,8 +206,14 @@ def _best(n: int, cands, scores: np.ndarray, margin: float) -> list[tuple[int, i
 
 
 def _windows(text: str) -> Iterator[tuple[int, int]]:
-    """Merged ranges of CONTEXT code points around digits and ``@``, widened to
-    word borders; a spelled-out address is a window of its own."""
+    """Merged ranges of CONTEXT code points around digits, ``@`` and the words
+    ``at`` and ``dot``, widened to word borders; those that hold no candidate are left out."""
+    for lo, hi in _ranges(text):
+        if _SIGN.search(text, lo, hi) or len(_SPELLED.findall(text, lo, hi)) >= 2:
+            yield lo, hi
+
+
+def _ranges(text: str) -> Iterator[tuple[int, int]]:
     lo = hi = -1
     for m in _TRIGGER.finditer(text):
         a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
@@ -211,10 +228,15 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
         yield lo, hi
 
 
+#: Digits as letters, for addresses without digits.
+_LETTERS = str.maketrans("0123456789", "ouwthfxszn")
+
+
 def _variants(kind: int, value: str) -> list[str]:
     """Other spellings of an entity that the base patterns do not match."""
     if kind == 0:
-        return [value.replace("@", " at ").replace(".", " dot "), value.replace("@", " @ ")]
+        spelled = value.replace("@", " at ").replace(".", " dot ")
+        return [spelled, spelled.translate(_LETTERS), value.replace("@", " @ ")]
     if kind == 3:
         d = _digits(value)
         return [f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}", f"{d[-10:-7]}-{d[-7:-4]}-{d[-4:]}"]

@@ -129,3 +129,20 @@ def test_redaction(spark, weights):
     by = {r.doc_id: r.text for r in new.collect()}
     assert by[20] == "mail [EMAIL], ip [IP], again [EMAIL]"
     assert all(by[i] == t for i, t, _ in edge.ROWS)
+
+
+def test_spelled_out_addresses_without_digits_or_signs(spark, weights):
+    far = "plain words go on here " * 9
+    rows = [(1, f"{far}please write to jane at mailhost dot com about it {far}", "en"),
+            (2, "Contact John dot Smith AT mail DOT example dot org", "en"),
+            (3, "we met at noon and left at night, the dot on the wall at the door", "en"),
+            (4, f"{far}page 7 {far}ask bob at corp dot net", "en")]
+    df = edge.documents(spark, rows)
+    text = {i: t for i, t, _ in rows}
+    want = {1: "jane at mailhost dot com", 2: "John dot Smith AT mail DOT example dot org", 4: "bob at corp dot net"}
+    for r in pii.find_pii(df, weights).collect():
+        at = text[r.doc_id].find(want[r.doc_id]) if r.doc_id in want else 0
+        assert r.spans == (f"email:{at}:{at + len(want[r.doc_id])}" if r.doc_id in want else "")
+        assert r.n_email == 0
+    for r in pii.redact_texts(df, weights).collect():
+        assert r.text == (text[r.doc_id].replace(want[r.doc_id], "[EMAIL]") if r.doc_id in want else text[r.doc_id])
