@@ -137,8 +137,8 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_token_counts")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy word-piece counts of every document."""
-    automaton = wordpiece.compile_pieces(wordpiece.read_pieces(PIECE_MODEL))
+    """Greedy word-piece counts of every document, words of any length."""
+    automaton = wordpiece.compile_pieces(wordpiece.read_pieces(PIECE_MODEL), max_chars=None)
     return wordpiece.count_tokens(read(spark, sf_dir, "documents"), automaton)
 
 

@@ -5,7 +5,8 @@ Every node holds a failure link to the node that matching goes on from once its
 longest pieces are taken off, and the number of pieces taken off on the way.
 One pass over the letters of a word then gives the number of its pieces without
 building any of them. All words of a slice of texts step through the automaton
-together, one letter position at a time, with numpy.
+together, one letter position at a time, with numpy; very long words, of which few
+would step together, go through it one by one.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from staffline.llm.common import Table, code_point_class, text_slices
 from staffline.llm.spm_fst import load_model
 
-#: Words longer than this are one unknown token (the usual rule of word-piece models).
+#: The usual limit of word-piece models, for ``max_chars``: longer words are one unknown token.
 MAX_CHARS = 100
+#: Longer words are matched one by one.
+LONG = 256
 
 ROOT, INNER, DEAD = 0, 1, -1
 
@@ -32,7 +35,8 @@ class Automaton:
     edges: Table            # node << 21 | code point -> node
     fail: np.ndarray        # failure link, DEAD if none
     pops: np.ndarray        # pieces taken off along the failure link
-    max_chars: int
+    max_chars: int | None   # longer words are one unknown token; None: words of any length are matched
+    plain: tuple[dict[int, int], list[int], list[int]] | None = None  # the same for one word; made where it is used
 
 
 def read_pieces(path: str) -> list[str]:
@@ -46,8 +50,9 @@ def read_pieces(path: str) -> list[str]:
     return out
 
 
-def compile_pieces(pieces: Iterable[str], max_chars: int = MAX_CHARS) -> Automaton:
-    """The automaton of a vocabulary of word starts and ``##`` continuations."""
+def compile_pieces(pieces: Iterable[str], max_chars: int | None = MAX_CHARS) -> Automaton:
+    """The automaton of a vocabulary of word starts and ``##`` continuations;
+    without ``max_chars``, words of any length are matched."""
     edges: list[dict[int, int]] = [{}, {}]
     final = [False, False]
 
@@ -88,15 +93,41 @@ def compile_pieces(pieces: Iterable[str], max_chars: int = MAX_CHARS) -> Automat
     return Automaton(Table(key, to), np.array(fail, np.int32), np.array(pops, np.int32), max_chars)
 
 
+def _count_long(a: Automaton, word: list[int]) -> int:
+    """Pieces of one word, -1 if it cannot be split into pieces."""
+    if a.plain is None:
+        on = a.edges.key != -1
+        a.plain = dict(zip(a.edges.key[on].tolist(), a.edges.value[on].tolist())), a.fail.tolist(), a.pops.tolist()
+    edges, fail, pops = a.plain
+    node = count = 0
+    for c in word:
+        while (nxt := edges.get(node << 21 | c)) is None:
+            count += pops[node]
+            node = fail[node]
+            if node == DEAD:
+                return -1
+        node = nxt
+    while node != INNER:
+        count += pops[node]
+        node = fail[node]
+        if node == DEAD:
+            return -1
+    return count
+
+
 def count_words(a: Automaton, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Pieces of each word code[start:end]; a word that cannot be split into
-    pieces, or is longer than the limit, is one unknown token."""
+    pieces, or is longer than the limit if there is one, is one unknown token."""
     size = end - start
     count = np.zeros(len(start), np.int32)
     node = np.zeros(len(start), np.int32)
-    unknown = size > a.max_chars
+    unknown = size > a.max_chars if a.max_chars is not None else np.zeros(len(start), bool)
     order = np.argsort(size, kind="stable")
     order = order[~unknown[order]]
+    for i in order[size[order] > LONG].tolist():
+        n = _count_long(a, code[start[i]:end[i]].tolist())
+        count[i], unknown[i] = n, n < 0
+    order = order[size[order] <= LONG]
     sizes = size[order]
     for t in range(int(sizes[-1]) if len(sizes) else 0):
         on = order[np.searchsorted(sizes, t, side="right"):]

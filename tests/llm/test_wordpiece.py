@@ -53,3 +53,42 @@ def test_edges(spark, pieces):
     assert by[1] == by[2] == by[3] == (0, 0) and by[8] == (1, 1)
     assert wordpiece.count_tokens(edge.empty(spark), a).collect() == []
     assert wordpiece.count_texts(wordpiece.compile_pieces([]), ["a b", ""])[1].tolist() == [2, 0]
+
+
+def greedy(pieces, word):
+    """Longest match first over the whole word; 1 if some letter is in no piece."""
+    start, inner = ({p for p in pieces if not p.startswith("##")}, {p[2:] for p in pieces if p.startswith("##")})
+    most = max(map(len, start | inner))
+    at = n = 0
+    while at < len(word):
+        held = inner if at else start
+        size = next((k for k in range(min(most, len(word) - at), 0, -1) if word[at:at + k] in held), 0)
+        if not size:
+            return 1
+        at, n = at + size, n + 1
+    return n
+
+
+def test_words_of_any_length_in_the_query(spark, pieces, tmp_path):
+    rng = random.Random(4)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz/") for _ in range(n)) for n in (90, 101, 256, 257, 5000)]
+    texts = [*letters, "的" * 3000, " ".join(letters), "a" * 400 + "\U0010fffd"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in QUERIES["op8_token_counts"](spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == (len(text.split()), sum(greedy(pieces, w) for w in text.split()))
+    assert got[4][1] > 1000 and got[7] == (1, 1)
+    limited = wordpiece.count_texts(wordpiece.compile_pieces(pieces, max_chars=100), texts)[1].tolist()
+    assert limited[1:6] == [1] * 5 and limited[0] == got[0][1]
+
+
+def test_long_and_short_words_are_counted_alike(monkeypatch):
+    rng = random.Random(1)
+    for _ in range(30):
+        vocab = sorted({rng.choice(["", "##"]) + "".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(25)})
+        a = wordpiece.compile_pieces(vocab, max_chars=None)
+        texts = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 40))) for _ in range(40)]
+        want = [greedy(vocab, t) for t in texts]
+        for limit in (0, 20, 256):
+            monkeypatch.setattr(wordpiece, "LONG", limit)
+            assert wordpiece.count_texts(a, texts)[1].tolist() == want
