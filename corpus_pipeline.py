@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from staffline.llm import dart_minhash, langid, packing, pii
 from staffline.llm.common import bound_batches, crc_remainder, ensure_checkpoint_dir, read
 
-#: A text goes if no language has this mean posterior over its words.
+#: A text goes if no language has this mean posterior over its words and the words, each for itself, are
+#: not sure of a language either (langid.MIN_SURE): a text evenly of several languages stays.
 MIN_LANGUAGE_SCORE = 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; the field is learned from the
+    """Documents in one or several of the learned languages; the field is learned from the
     labelled documents that are not held out."""
     bound_batches(spark)
     learn = docs.where(~F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)))

@@ -32,6 +32,8 @@ LEXICON = 400
 BITS = 17
 BLOCK = 64
 UNKNOWN = "und"
+#: Mean of the words' greatest posteriors from which a text of several languages counts as identified.
+MIN_SURE = 0.7
 #: Bytes of text that are judged together: features and posteriors take some hundred bytes a letter.
 SLICE = 1 << 19
 
@@ -309,13 +311,20 @@ def training_sample(docs: DataFrame, lang_col: str = "lang", text_col: str = "te
 
 def classify(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     """Language and score (mean posterior of that language) of each text."""
+    return judge(model, texts)[:2]
+
+
+def judge(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+    """Language and score of each text, and how sure its words are: the mean
+    of each word's greatest posterior, whichever language has it."""
     n = len(texts)
     w = find_words(texts)
     has = np.bincount(w.row, minlength=n)[:n] if len(w.row) else np.zeros(n, np.int64)
     if not model.langs:
-        return [UNKNOWN] * n, [0.0] * n
+        return [UNKNOWN] * n, [0.0] * n, [0.0] * n
     if len(model.langs) == 1:
-        return ([model.langs[0] if h else UNKNOWN for h in has], [1.0 if h else 0.0 for h in has])
+        one = [1.0 if h else 0.0 for h in has]
+        return [model.langs[0] if h else UNKNOWN for h in has], one, one
     post = posteriors(emissions(model, features(w)), model.transition, w.row, n)
     total = np.zeros((n, len(model.langs)))
     if len(w.row):
@@ -323,8 +332,9 @@ def classify(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
         total[w.row[at]] = np.add.reduceat(post, at, axis=0)
     best = total.argmax(1)
     score = total[np.arange(n), best] / np.maximum(has, 1)
+    sure = np.bincount(w.row, weights=post.max(1), minlength=n)[:n] / np.maximum(has, 1)
     return ([model.langs[b] if h else UNKNOWN for b, h in zip(best, has)],
-            [float(min(1.0, s)) if h else 0.0 for s, h in zip(score, has)])
+            *([float(min(1.0, s)) if h else 0.0 for s, h in zip(x, has)] for x in (score, sure)))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred",
@@ -352,17 +362,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
     return slim.mapInArrow(scan, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text",
+                    min_sure: float = MIN_SURE) -> DataFrame:
     """The rows of ``docs`` whose text gets a language with at least
-    ``min_score``; all columns stay as they are. Texts that are NULL, empty or without a
-    letter go."""
+    ``min_score``, or, as in texts of several languages, whose words are each sure of
+    theirs by ``min_sure`` in the mean; all columns stay as they are. Texts that are
+    NULL, empty or without a letter go."""
     place = docs.columns.index(text_col)
 
     def scan(batches):
         for batch in batches:
             for part in text_slices(batch, text_col, SLICE):
-                lang, score = classify(model, ["" if t is None else t for t in part.column(place).to_pylist()])
-                keep = [a != UNKNOWN and s >= min_score for a, s in zip(lang, score)]
+                found = judge(model, ["" if t is None else t for t in part.column(place).to_pylist()])
+                keep = [a != UNKNOWN and (s >= min_score or c >= min_sure) for a, s, c in zip(*found)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)

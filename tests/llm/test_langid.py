@@ -81,3 +81,13 @@ def test_held_out_accuracy(spark):
     assert all(got.held_out[i] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in docs.index)
     held = got[got.held_out]
     assert (held.lang_pred == docs.lang[held.index]).mean() > 0.98
+
+
+def test_evenly_mixed_text_stays_and_unsure_text_goes(spark, model):
+    mixed = " ".join(["kakako takko kaka koko kake tako", "rosirru risris sursur ruris suru riru",
+                      "melelle lemmel mammam ellemel memmam lemlem"])
+    rows = [(1, mixed, None), (2, "kakako takko kaka", None), (3, "yd", None)]
+    _, score, sure = langid.judge(model, [t for _, t, _ in rows])
+    assert score[0] < 0.4 and sure[0] > 0.9 and sure[2] < 0.7
+    kept = langid.keep_identified(edge.documents(spark, rows), model, 0.6)
+    assert {r.doc_id for r in kept.collect()} == {1, 2}

@@ -64,3 +64,14 @@ def test_stages_on_edge_cases(spark):
             assert i == 3 or out.columns == df.columns
             assert (out.count() == 0) == (df.count() == 0)
     assert langid.UNKNOWN and pii.KINDS
+
+
+def test_language_stage_keeps_evenly_mixed_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.where("lang is not null").collect()
+    words = {lang: [w for r in rows if r.lang == lang for w in r.text.split() if w.isalpha()][:400] for lang in {r.lang for r in rows}}
+    assert len(words) == 4
+    text = "\n".join(" ".join(w[i:i + 40]) for i in (0, 40, 80) for w in words.values())
+    extra = spark.createDataFrame([(9002, text, "en", "s", len(text))], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(extra), SF)
+    assert kept.where("doc_id = 9002").count() == 1
