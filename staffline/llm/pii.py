@@ -313,17 +313,18 @@ def model_spans(text: str, weights: np.ndarray, base: list[Span]) -> list[Span]:
 
 
 def training_texts(docs: DataFrame, text_col: str = "text", limit: int = SAMPLE_DOCS) -> list[str]:
-    """At most ``limit`` texts with a digit or an ``@`` and of bounded length,
-    the least by hash: the labelled sample of the classifier. Texts are first counted and
-    thinned by their hash to about twice the limit, so that what the tasks send
-    does not grow with their number."""
+    """At most ``limit`` distinct texts with a digit or an ``@`` and of bounded
+    length, the least by hash: the labelled sample of the classifier. Distinct hashes are
+    counted and the least found; texts are fetched for those only."""
     text = F.col(text_col)
     rows = (docs.where(text.rlike("[0-9@]") & (F.length(text) < 20_000))
             .select(text.alias("text"), F.xxhash64(text).alias("h")))
-    n = rows.count()
-    if n > 2 * limit:
-        rows = rows.where(F.col("h") < F.lit(int(-2**63 + 2**64 * (2 * limit / n))))
-    return [r.text for r in rows.orderBy("h", "text").limit(limit).collect()]
+    least = [r.h for r in rows.select("h").distinct().orderBy("h").limit(limit).collect()]
+    if not least:
+        return []
+    wanted = docs.sparkSession.createDataFrame([(h,) for h in least], "h long")
+    texts = rows.join(F.broadcast(wanted), "h").groupBy("h").agg(F.min("text").alias("text"))
+    return [r.text for r in sorted(texts.collect(), key=lambda r: r.h)]
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -146,3 +146,12 @@ def test_spelled_out_addresses_without_digits_or_signs(spark, weights):
         assert r.n_email == 0
     for r in pii.redact_texts(df, weights).collect():
         assert r.text == (text[r.doc_id].replace(want[r.doc_id], "[EMAIL]") if r.doc_id in want else text[r.doc_id])
+
+
+def test_sample_takes_distinct_texts(spark):
+    texts = [f"call +1 415 555 {i:04d}" for i in range(12)]
+    once = pii.training_texts(edge.documents(spark, [(i, t, "en") for i, t in enumerate(texts)]), limit=12)
+    # The text of the least hash stands there very often.
+    rows = [(i, t, "en") for i, t in enumerate([*texts, *[once[0]] * 200])]
+    assert pii.training_texts(edge.documents(spark, rows), limit=12) == once and sorted(once) == texts
+    assert pii.training_texts(edge.documents(spark, rows), limit=5) == once[:5]
