@@ -9,16 +9,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
+from staffline.llm import ann, balance, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
 PIECE_MODEL = os.environ.get("STAFFLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: JSON files of public tokenizers, read on the driver only.
+WORD_TOKENIZER = os.environ.get("STAFFLINE_WORD_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+BYTE_TOKENIZER = os.environ.get("STAFFLINE_BYTE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def read_text(path: str) -> str:
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 def query(key: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,3 +177,11 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best documents for every document whose id is divisible by 20."""
     docs = read(spark, sf_dir, "documents")
     return bm25.search(docs, docs.where(F.col("doc_id") % 20 == 0), k=10)
+
+
+@query("op13_balanced_pack")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised, in sequences of 4,096 tokens of balanced cost."""
+    docs = read(spark, sf_dir, "documents")
+    return balance.pack_tokens(docs, read_text(WORD_TOKENIZER), end_id=2).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "cost")
