@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import ann, balance, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
+from staffline.llm import align, ann, balance, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
@@ -27,6 +27,11 @@ def read_text(path: str) -> str:
         return f.read()
 
 
+def read_bytes(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def query(key: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,3 +190,10 @@ def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return balance.pack_tokens(docs, read_text(WORD_TOKENIZER), end_id=2).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "cost")
+
+
+@query("op11_align")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level tokens and pieces of every document, aligned, with corpus-wide link counts."""
+    docs = read(spark, sf_dir, "documents")
+    return align.align_texts(docs, read_text(BYTE_TOKENIZER), read_bytes(PIECE_MODEL))
