@@ -3,12 +3,12 @@
 ``align`` divides and conquers: of the byte offsets where a token of either side ends, a
 common one near the middle is located by bisection, and both halves are aligned by
 themselves; a stretch without a common end inside is a leaf group, whose tokens are linked
-where their bytes overlap.
+where their bytes overlap. The texts of a slice are divided together, one numpy pass for each
+depth of the recursion.
 
-A text is cut first where both tokenizers are known to end a token: before a space that
-follows something else than white space (neither the pattern of the one nor any piece of
-the other reaches across). Between two such cuts stands about one word; a task aligns each
-distinct one once.
+Tokens are made for the stretches between spaces that follow something else than white space:
+there both tokenizers end a token (neither the pattern of the one nor any piece of the other
+reaches across). A task tokenises each distinct stretch, about a word, once.
 
 Counts of linked id pairs over the whole corpus come from the distinct pairs of blocks of
 texts: each block lists its pairs once with their counts, each text holds the numbers of
@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,86 +33,71 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import ensure_checkpoint_dir, text_slices
+from staffline.llm.common import LATIN, TAIL, byte_letters, ensure_checkpoint_dir, latin_ids, text_slices
 
 #: A block of texts ends once it has this many links.
 BLOCK_LINKS = 2_000_000
-#: Longer stretches are aligned each time; what a task holds is dropped when there are as many as this.
-STRETCH_BYTES, STRETCHES_HELD = 64, 300_000
-
-
-def common_end(a: Sequence[int], b: Sequence[int], lo: int, hi: int, b_lo: int, b_hi: int) -> tuple[int, int] | None:
-    """Indexes in ``a`` and ``b`` of a common value near the middle of a[lo:hi], looked for
-    in b[b_lo:b_hi] by bisection and outwards from the middle."""
-    mid = bisect_left(a, (a[lo] + a[hi - 1]) // 2, lo, hi) if hi > lo else lo
-    up, down = mid, mid - 1
-    while up < hi or down >= lo:
-        for i in (up, down):
-            if lo <= i < hi:
-                j = bisect_left(b, a[i], b_lo, b_hi)
-                if j < b_hi and b[j] == a[i]:
-                    return i, j
-        up, down = up + 1, down - 1
-    return None
-
-
-def align(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int, int]]:
-    """Groups (a from, a to, b from, b to) of two ascending lists of token ends with the same
-    last value, in order; the ``to`` are exclusive. Tokens of no bytes share their end with the
-    token before them, and go to its group."""
-    if not a and not b:
-        return []
-    groups = []
-    todo = [(0, len(a), 0, len(b))]
-    while todo:
-        lo, hi, b_lo, b_hi = todo.pop()
-        # The last end is common to both by construction; cuts lie before it.
-        last, b_last = bisect_left(a, a[hi - 1], lo, hi), bisect_left(b, b[b_hi - 1], b_lo, b_hi)
-        cut = common_end(a, b, lo, last, b_lo, b_last)
-        if cut is None:
-            groups.append((lo, hi, b_lo, b_hi))
-            continue
-        i, j = cut
-        end = a[i]
-        while a[i] == end:
-            i += 1
-        while b[j] == end:
-            j += 1
-        todo += [(i, hi, j, b_hi), (lo, i, b_lo, j)]  # the left half is taken next
-    return groups
-
-
-def links(a: Sequence[int], b: Sequence[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Index pairs of the tokens of a group whose byte ranges overlap."""
-    lo, hi, b_lo, b_hi = group
-    out = []
-    i, j = lo, b_lo
-    while i < hi and j < b_hi:
-        start = max(a[i - 1] if i else 0, b[j - 1] if j else 0)
-        if start < min(a[i], b[j]):
-            out.append((i, j))
-        if a[i] <= b[j]:
-            i += 1
-        else:
-            j += 1
+#: Longer stretches are tokenised each time; what a task holds is dropped when there are as many as this.
+STRETCH_BYTES, STRETCHES_HELD = 64, 600_000
+
+
+def common_near(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """For each interval a[lo:hi] the index of a common end near its middle, -1 if there is none
+    (the last end of an interval is common and does not count). Ends about the middle are looked
+    for in ``b`` by bisection, in windows that grow while some interval has found none."""
+    out = np.full(len(lo), -1, np.int64)
+    mid = (lo + hi - 2) // 2
+    open_, width = np.flatnonzero(hi - lo > 1), 1
+    while len(open_):
+        first, last = np.maximum(lo[open_], mid[open_] - width), np.minimum(hi[open_] - 2, mid[open_] + width)
+        n = last - first + 1
+        at = np.cumsum(n) - n
+        i = np.arange(int(n.sum())) - np.repeat(at - first, n)
+        far = np.abs(i - np.repeat(mid[open_], n))
+        best = np.minimum.reduceat(np.where(b[np.searchsorted(b, a[i])] == a[i], 2 * far + (i > np.repeat(mid[open_], n)),
+                                            np.iinfo(np.int64).max), at)
+        hit = best < np.iinfo(np.int64).max
+        out[open_[hit]] = mid[open_[hit]] + np.where(best[hit] & 1, best[hit] >> 1, -(best[hit] >> 1))
+        open_ = open_[~hit & ((first > lo[open_]) | (last < hi[open_] - 2))]
+        width *= 4
     return out
 
 
-def byte_letters() -> dict[str, int]:
-    """Letter -> byte of the byte-level alphabet: printable bytes stand for
-    themselves, the others for the code points from 256 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out = {chr(b): b for b in plain}
-    for b in range(256):
-        if b not in plain:
-            out[chr(256 + len(out) - len(plain))] = b
-    return out
+def align(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of the tokens of many texts that stand end to end: ``a`` and ``b`` are the
+    ascending ends of both sides, ``cuts`` the indexes in ``a`` where texts end (exclusive, ascending;
+    such an end is common). Returns where each group ends in ``a`` and in ``b`` (exclusive).
+
+    All texts are divided at once: each round splits every open interval at its common end."""
+    hi = np.unique(cuts[cuts > 0])
+    lo = np.r_[0, hi[:-1]] if len(hi) else hi
+    leaf = []
+    while len(lo):
+        i = common_near(a, b, lo, hi)
+        leaf.append(hi[i < 0])
+        on = i >= 0
+        lo, hi = np.r_[lo[on], i[on] + 1], np.r_[i[on] + 1, hi[on]]
+    end = np.sort(np.concatenate(leaf)) if leaf else hi
+    return end, np.searchsorted(b, a[end - 1]) + 1 if len(end) else end
+
+
+def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs (i, j) of the tokens whose bytes overlap: each end of either side closes
+    one overlap, ends of both sides only one. The pairs closed by ends of ``a`` come first;
+    the last result says how many these are before each pair of ``b`` (its ``a`` index)."""
+    j = np.searchsorted(b, a)
+    more = np.ones(len(b), bool)
+    more[j[b[j] == a] if len(a) else j] = False
+    extra = np.flatnonzero(more)
+    i = np.searchsorted(a, b[extra])
+    return j, extra, i
 
 
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens: A byte-level, B of pieces."""
 
     def __init__(self, spec: str, model: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer  # the libraries are loaded where they are used
         self.a = Tokenizer.from_str(spec)
@@ -118,11 +105,14 @@ class Tokenizers:
         letter = byte_letters()
         special = {t["id"] for t in json.loads(spec)["added_tokens"]}
         self.a_bytes = {i: bytes(letter[c] for c in t) for t, i in self.a.get_vocab().items() if i not in special}
+        self.a_len = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_len[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.b_len = np.array([len(x) for x in self.b_bytes])
         #: No piece reaches from something else into a following space: a space may be cut off.
         self.cuts = not any("▁" in p.lstrip("▁") for i, p in enumerate(pieces)
                             if not self.b.is_control(i) and not self.b.is_unknown(i))
@@ -143,39 +133,97 @@ class Tokenizers:
             parts = out
         return [" " + p for p in parts]
 
-    def encode(self, part: str) -> tuple[list[int], list[int], list[int], list[int], bool]:
-        """Ids and byte ends of a stretch by A and B, and whether both give its bytes."""
-        a = self.a.encode(part, add_special_tokens=False).ids
-        b = self.b.encode(part[1:])
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        raw = part.encode()
-        return (a, np.cumsum([len(t) for t in x]).tolist(), b, np.cumsum([len(t) for t in y]).tolist(),
-                b"".join(x) == raw and b"".join(y) == raw)
-
 
-class Aligned(dict):
-    """Stretch -> (its groups as text, its links as numbers of id pairs, tokens of A and B, groups);
-    None where the tokens do not give its bytes. ``pairs`` numbers the id pairs."""
+class Held(dict):
+    """Stretch -> its ids by A and by B as 32-bit numbers, or None where they do not give its bytes."""
 
     def __init__(self, tokenizers: Tokenizers):
         super().__init__()
         self.t = tokenizers
-        self.pairs: dict[int, int] = {}
-
-    def __missing__(self, part: str):
-        a, a_end, b, b_end, same = self.t.encode(part)
-        out = None
-        if same:
-            groups = align(a_end, b_end)
-            found = [self.pairs.setdefault(a[i] << 32 | b[j], len(self.pairs))
-                     for g in groups for i, j in links(a_end, b_end, g)]
-            out = (";".join(f"{','.join(map(str, a[g[0]:g[1]]))}|{','.join(map(str, b[g[2]:g[3]]))}" for g in groups).encode(),
-                   np.array(found, np.int32).tobytes(), len(a), len(b), len(groups))
-        if len(part) <= STRETCH_BYTES:
-            self[part] = out
+
+    def learn(self, parts: list[str]) -> None:
+        t = self.t
+        for p, a, b in zip(parts, self.by_a(parts), t.b.encode([p[1:] for p in parts])):
+            raw = p.encode()
+            same = (b"".join(map(t.a_bytes.__getitem__, memoryview(a).cast("I"))) == raw
+                    and b"".join(map(t.b_bytes.__getitem__, b)) == raw)
+            self[p] = (a, array("I", b).tobytes()) if same else None
+
+    def by_a(self, parts: list[str]) -> list[bytes]:
+        """Ids of the parts by A; punctuation after a word of plain letters is made by itself."""
+        split = []
+        for p in parts:
+            m = TAIL.fullmatch(p)
+            split.append((m[1], m[2]) if m else (p,))
+        ids: dict[str, bytes] = {}
+        other, model = [], self.t.a.model
+        for w in {x for s in split for x in s}:
+            if LATIN.fullmatch(w):
+                ids[w] = latin_ids(model, w)
+            else:
+                other.append(w)
+        for w, e in zip(other, self.t.a.encode_batch(other, add_special_tokens=False)):
+            ids[w] = array("I", e.ids).tobytes()
+        return [b"".join(map(ids.__getitem__, s)) for s in split]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of each text by both sides; None where there are no tokens."""
+        split = [self.t.stretches(x) if x else [] for x in texts]
+        new = {p for p in set().union(*split) if p not in self}
+        if len(self) + len(new) > STRETCHES_HELD:
+            self.clear()
+            new = set().union(*split)
+        self.learn(list(new))
+        out = []
+        for parts in split:
+            both = [self[p] for p in parts]
+            out.append(tuple(map(b"".join, zip(*both))) if both and None not in both else None)
+        for p in new:
+            if len(p) > STRETCH_BYTES:
+                del self[p]
         return out
 
 
+@dataclass
+class Texts:
+    """Aligned texts of a slice, those without tokens left out."""
+    no: np.ndarray        # number of each text in the slice
+    a: np.ndarray         # ids of A end to end
+    b: np.ndarray
+    a_cut: np.ndarray     # where texts end in a
+    b_cut: np.ndarray
+    a_end: np.ndarray     # where groups end in a
+    b_end: np.ndarray
+
+
+def align_texts_of(held: Held, texts: list[str | None]) -> Texts:
+    t = held.t
+    ids = [(i, x) for i, x in enumerate(held.encode(texts)) if x]
+    a = np.frombuffer(b"".join(x[0] for _, x in ids), np.uint32).astype(np.int64)
+    b = np.frombuffer(b"".join(x[1] for _, x in ids), np.uint32).astype(np.int64)
+    a_cut = np.cumsum([len(x[0]) >> 2 for _, x in ids], dtype=np.int64)
+    b_cut = np.cumsum([len(x[1]) >> 2 for _, x in ids], dtype=np.int64)
+    out = Texts(np.array([i for i, _ in ids], np.int64), a, b, a_cut, b_cut, a_cut, b_cut)
+    out.a_end, out.b_end = align(np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b]), a_cut)
+    return out
+
+
+def written(x: Texts) -> list[bytes]:
+    """The groups of each text as `a1,a2|b1;a3|b2,b3`."""
+    last_a, last_b = np.zeros(len(x.a), bool), np.zeros(len(x.b), bool)
+    last_a[x.a_end - 1] = last_b[x.b_end - 1] = True
+    # A token of A stands behind all of B in earlier groups, one of B behind all of A up to its own group.
+    g_a, g_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    order = np.empty(len(x.a) + len(x.b), np.int64)
+    order[np.arange(len(x.a)) + np.r_[0, x.b_end][g_a]] = x.a << 2 | last_a
+    order[np.arange(len(x.b)) + x.a_end[g_b]] = x.b << 2 | 2 | last_b
+    end = ((",", "|"), (",", ";"))
+    name = {c: f"{c >> 2}{end[c >> 1 & 1][c & 1]}".encode() for c in np.unique(order).tolist()}
+    cut = (x.a_cut + x.b_cut).tolist()
+    codes = order.tolist()
+    return [b"".join(map(name.__getitem__, codes[i:j]))[:-1] for i, j in zip([0, *cut], cut)]
+
+
 def _small(x: np.ndarray) -> bytes:
     """Non-negative numbers in the least width that holds them, which comes first."""
     kind = np.min_scalar_type(int(x.max()) if len(x) else 0)
@@ -198,66 +246,75 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Aligned(Tokenizers(spec, model))
+        held = Held(Tokenizers(spec, model))
         block = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         names: list[pa.Array] = []
-        rows: list[tuple] = []
-        found: list[np.ndarray] = []
-        size = 0
+        rows: list[np.ndarray] = []     # n_a, n_b, n_groups, n_links of the texts of a slice
+        digests: list[str] = []
+        found: list[np.ndarray] = []    # pairs of the links
+        owner: list[np.ndarray] = []    # and the text of the block that they stand in
+        size = texts = 0
+
+        def take(part: pa.RecordBatch) -> None:
+            nonlocal size, texts
+            x = align_texts_of(held, part.column("text").to_pylist())
+            a_end, b_end = np.cumsum(held.t.a_len[x.a]), np.cumsum(held.t.b_len[x.b])
+            j, extra, i = links(a_end, b_end)
+            # Texts of the links: that of the token whose end closes them.
+            of_a, of_b = np.searchsorted(x.a_cut, np.arange(len(x.a)), side="right"), np.searchsorted(x.b_cut, extra, side="right")
+            row = np.zeros((part.num_rows, 4), np.int64)
+            count = [np.diff(c, prepend=0) for c in (x.a_cut, x.b_cut)]
+            n = len(x.no)
+            row[x.no] = np.stack([*count, np.bincount(np.searchsorted(x.a_cut, x.a_end - 1, side="right"), minlength=n)[:n],
+                                  np.bincount(np.r_[of_a, of_b], minlength=n)[:n]], axis=1)
+            digest = [""] * part.num_rows
+            for no, text in zip(x.no.tolist(), written(x)):
+                digest[no] = hashlib.sha256(text).hexdigest()
+            names.append(part.column("doc_id"))
+            rows.append(row)
+            digests.extend(digest)
+            found.append(np.r_[x.a << 32 | x.b[j], x.a[i] << 32 | x.b[extra]] if len(x.a) else j)
+            owner.append(x.no[np.r_[of_a, of_b]] + texts if n else j)
+            size, texts = size + len(found[-1]), texts + part.num_rows
 
         def flush() -> Iterator[pa.RecordBatch]:
             """Documents of the block with their links as (number, times); its pairs come most frequent
             first, so that numbers and the steps between them are small."""
-            nonlocal block, size
-            count = np.bincount(np.concatenate(found), minlength=1)
-            used = np.flatnonzero(count)
-            used = used[np.argsort(-count[used], kind="stable")]
-            number = np.zeros(len(count), np.int64)
-            number[used] = np.arange(len(used))
-            at, times = [], []
-            for x in found:
-                no, n = np.unique(number[x], return_counts=True)
-                at.append(_small(np.diff(no, prepend=0)))
-                times.append(_small(n))
-            n = len(rows)
-            cols = list(map(list, zip(*rows)))
-            none = pa.nulls(n, pa.list_(pa.int64()))
+            nonlocal block, size, texts
+            pair, inverse, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            by_count = np.argsort(-count, kind="stable")
+            number = np.empty(len(pair), np.int64)
+            number[by_count] = np.arange(len(pair))
+            of, n = np.unique(np.concatenate(owner) << 32 | number[inverse], return_counts=True)
+            cut = np.searchsorted(of >> 32, np.arange(texts + 1)).tolist()
+            of &= (1 << 32) - 1
+            at = [_small(np.diff(of[i:j], prepend=0)) for i, j in zip(cut, cut[1:])]
+            times = [_small(n[i:j]) for i, j in zip(cut, cut[1:])]
+            row = np.concatenate(rows)
+            none = pa.nulls(texts, pa.list_(pa.int64()))
             yield pa.record_batch({
-                "doc_id": pa.concat_arrays(names), **{c: pa.array(v, pa.int64()) for c, v in zip(
-                    ("n_a", "n_b", "n_groups", "n_links"), cols)}, "groups_sha256": pa.array(cols[4], pa.string()),
-                "block": pa.array([block] * n, pa.int64()), "is_doc": pa.array([True] * n),
+                "doc_id": pa.concat_arrays(names), **{c: pa.array(row[:, k]) for k, c in enumerate(
+                    ("n_a", "n_b", "n_groups", "n_links"))}, "groups_sha256": pa.array(digests, pa.string()),
+                "block": pa.array([block] * texts, pa.int64()), "is_doc": pa.array([True] * texts),
                 "at": pa.array(at, pa.binary()), "times": pa.array(times, pa.binary()), "pairs": none, "counts": none})
-            if len(used):
-                code = np.fromiter(held.pairs, np.int64, len(held.pairs))[used]
+            if len(pair):
                 empty = pa.nulls(1, pa.int64())
                 yield pa.record_batch({
                     "doc_id": pa.nulls(1, names[0].type), "n_a": empty, "n_b": empty, "n_groups": empty, "n_links": empty,
                     "groups_sha256": pa.nulls(1, pa.string()), "block": pa.array([block], pa.int64()),
                     "is_doc": pa.array([False]), "at": pa.nulls(1, pa.binary()), "times": pa.nulls(1, pa.binary()),
-                    "pairs": pa.array([code.tolist()], pa.list_(pa.int64())),
-                    "counts": pa.array([count[used].tolist()], pa.list_(pa.int64()))})
-            block, size = block + 1, 0
-            names.clear(), rows.clear(), found.clear()
-            if len(held) > STRETCHES_HELD:
-                held.clear(), held.pairs.clear()
-
-        none = np.zeros(0, np.int32)
+                    "pairs": pa.array([pair[by_count]], pa.list_(pa.int64())),
+                    "counts": pa.array([count[by_count]], pa.list_(pa.int64()))})
+            block, size, texts = block + 1, 0, 0
+            for x in (names, rows, digests, found, owner):
+                x.clear()
+
         for batch in batches:
             for part in text_slices(batch, "text"):
-                names.append(part.column("doc_id"))
-                for text in part.column("text").to_pylist():
-                    parts = [held[p] for p in held.t.stretches(text)] if text else []
-                    if not parts or None in parts:
-                        rows.append((0, 0, 0, 0, ""))
-                        found.append(none)
-                        continue
-                    groups, numbers, a, b, n = zip(*parts)
-                    found.append(np.frombuffer(b"".join(numbers), np.int32))
-                    rows.append((sum(a), sum(b), sum(n), len(found[-1]), hashlib.sha256(b";".join(groups)).hexdigest()))
-                    size += len(found[-1]) + 1
-                if size >= block_links or len(held) > 2 * STRETCHES_HELD:
+                take(part)
+                if size >= block_links:
                     yield from flush()
-        if rows:
+        if texts:
             yield from flush()
 
     return slim.mapInArrow(scan, f"doc_id {kind}, {_COLUMNS}")
@@ -316,12 +373,8 @@ def align_texts(docs: DataFrame, spec: str, model: bytes, id_col: str = "doc_id"
         add_up, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
-def align_text(tokenizers: Tokenizers, text: str) -> list[tuple[list[int], list[int]]]:
+def align_text(held: Held, text: str) -> list[tuple[list[int], list[int]]]:
     """Groups (ids of A, ids of B) of one text, for looking at; none where there are no tokens."""
-    out = []
-    for part in tokenizers.stretches(text) if text else []:
-        a, a_end, b, b_end, same = tokenizers.encode(part)
-        if not same:
-            return []
-        out += [(a[g[0]:g[1]], b[g[2]:g[3]]) for g in align(a_end, b_end)]
-    return out
+    x = align_texts_of(held, [text])
+    return [(x.a[i:j].tolist(), x.b[k:m].tolist()) for i, j, k, m in
+            zip(np.r_[0, x.a_end[:-1]], x.a_end, np.r_[0, x.b_end[:-1]], x.b_end)] if len(x.a) else []

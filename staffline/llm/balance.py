@@ -17,8 +17,10 @@ tokenizer never matches any), so a word is tokenised once per task and then look
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import text_slices
+from staffline.llm.common import LATIN, TAIL, latin_ids, text_slices
 
 CAPACITY = 4096
 #: Cost of a token, and of a pair of tokens of one piece: for a model of width d, about 1 to 6 d (here 2,048).
@@ -35,7 +37,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / (6 * 2048)
 #: A group is packed once it has this many tokens (1,024 sequences, 16 MB of ids).
 GROUP_TOKENS = 1 << 22
 #: Longer words are tokenised each time; the words held by a task are dropped when there are as many as this.
-WORD_BYTES, WORDS_HELD = 64, 400_000
+WORD_BYTES, WORDS_HELD = 64, 1_000_000
 
 
 def balance(lengths: Sequence[int], capacity: int = CAPACITY, linear: float = LINEAR,
@@ -89,23 +91,48 @@ class Words(dict):
     """Word -> its ids as little-endian 32-bit numbers, made by a tokenizer at first use."""
 
     def __init__(self, tokenizer: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer  # the library is loaded where it is used
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], "<u4").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        out = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= WORD_BYTES:
-            if len(self) >= WORDS_HELD:
-                self.clear()
-            self[word] = out
+    def learn(self, words: Iterable[bytes]) -> None:
+        parts, new = {}, set()
+        for w in words:
+            m = TAIL.fullmatch(w.decode())
+            if m and not any(t in w for t in self.special):
+                parts[w] = stem, tail = m[1].encode(), m[2].encode()
+                new.update(x for x in (stem, tail) if x not in self)
+            else:
+                new.add(w)
+        other, model = [], self.tokenizer.model
+        for w in new:
+            text = w.decode()
+            if LATIN.fullmatch(text):
+                self[w] = latin_ids(model, text.lower())
+            else:
+                other.append(text)
+        for text, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self[text.encode()] = array("I", e.ids).tobytes()
+        for w, (stem, tail) in parts.items():
+            self[w] = self[stem] + self[tail]
+
+    def ids(self, texts: Sequence[bytes]) -> list[bytes]:
+        """The ids and the end of each text."""
+        split = [t.split() for t in texts]
+        new = {w for w in set().union(*split) if w not in self}
+        if len(self) + len(new) > WORDS_HELD:
+            self.clear()
+            new = set().union(*split)
+        self.learn(new)
+        out = [b"".join(map(self.__getitem__, w)) + self.end for w in split]
+        for w in new:
+            if len(w) > WORD_BYTES:
+                del self[w]
         return out
 
-    def ids(self, text: bytes) -> bytes:
-        """The ids of a text and the end."""
-        return b"".join(map(self.__getitem__, text.split())) + self.end
-
 
 def splits_at_space(tokenizer: str) -> None:
     """Refuse a tokenizer whose tokens might depend on what stands across white space."""
@@ -167,9 +194,9 @@ def pack_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
         for batch in batches:
             for part in text_slices(batch, "text"):
                 names.append(part.column("doc_id"))
-                for text in pc.fill_null(part.column("text"), "").cast(pa.binary()).to_pylist():
-                    ids.append(words.ids(text))
-                    held += len(ids[-1]) >> 2
+                new = words.ids(pc.fill_null(part.column("text"), "").cast(pa.binary()).to_pylist())
+                ids += new
+                held += sum(map(len, new)) >> 2
                 if held >= group_tokens:
                     yield from flush()
         if ids:

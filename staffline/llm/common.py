@@ -4,7 +4,9 @@ text column, word boundaries and hashes computed with numpy over a whole slice.
 
 from __future__ import annotations
 
+import re
 import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,6 +176,30 @@ def in_bloom(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
+def byte_letters() -> dict[str, int]:
+    """Letter -> byte of the alphabet of byte-level tokenizers: printable bytes stand
+    for themselves, the others for the code points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {chr(b): b for b in plain}
+    for b in range(256):
+        if b not in plain:
+            out[chr(256 + len(out) - len(plain))] = b
+    return out
+
+
+_LETTER_OF = {b: c for c, b in byte_letters().items()}
+#: Words of plain Latin letters, which no normaliser composes and every pattern takes as one token to split.
+LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Something that ends in an ASCII letter, and punctuation after it: a pattern of letters, digits and others
+#: ends a token in between (an apostrophe may begin a contraction and stays out).
+TAIL = re.compile(r"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+
+
+def latin_ids(model, word: str) -> bytes:
+    """Ids, as 32-bit numbers, of a word that LATIN matches, straight from the model of a byte-level tokenizer."""
+    return array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_LETTER_OF))]).tobytes()
+
+
 class Table:
     """A hash table of non-negative int64 keys and int32 values, looked up and
     filled whole arrays at a time (open addressing, linear probing)."""

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -17,7 +18,7 @@ SPEC, MODEL = read_text(BYTE_TOKENIZER), read_bytes(PIECE_MODEL)
 
 @pytest.fixture(scope="module")
 def both():
-    return align.Tokenizers(SPEC, MODEL)
+    return align.Held(align.Tokenizers(SPEC, MODEL))
 
 
 @functools.cache
@@ -87,23 +88,35 @@ def plain(texts):
 def test_division_equals_all_common_ends(seed):
     rng = random.Random(seed)
     for _ in range(200):
-        n = rng.randint(1, 60)
-        a = sorted({n, *(rng.randint(1, n) for _ in range(rng.randint(0, 30)))})
-        b = sorted({n, *(rng.randint(1, n) for _ in range(rng.randint(0, 30)))})
-        groups = align.align(a, b)
-        assert [a[g[1] - 1] for g in groups] == [b[g[3] - 1] for g in groups] == sorted(set(a) & set(b))
-        assert [g[0] for g in groups] == [0] + [g[1] for g in groups[:-1]]
-        assert [g[2] for g in groups] == [0] + [g[3] for g in groups[:-1]]
-        want = [(i, j) for i in range(len(a)) for j in range(len(b))
-                if max(a[i - 1] if i else 0, b[j - 1] if j else 0) < min(a[i], b[j])]
-        assert [p for g in groups for p in align.links(a, b, g)] == want
-    assert align.align([], []) == []
+        a, b, cuts, at = [], [], [], 0
+        for _ in range(rng.randint(1, 4)):  # texts end to end
+            n = rng.randint(1, 60)
+            a += sorted({at + n, *(at + rng.randint(1, n) for _ in range(rng.randint(0, 30)))})
+            b += sorted({at + n, *(at + rng.randint(1, n) for _ in range(rng.randint(0, 30)))})
+            cuts.append(len(a))
+            at += n
+        x, y = np.array(a), np.array(b)
+        a_end, b_end = align.align(x, y, np.array(cuts))
+        assert x[a_end - 1].tolist() == y[b_end - 1].tolist() == sorted(set(a) & set(b))
+        want = {(i, j) for i in range(len(a)) for j in range(len(b))
+                if max(a[i - 1] if i else 0, b[j - 1] if j else 0) < min(a[i], b[j])}
+        j, extra, i = align.links(x, y)
+        got = [*enumerate(j.tolist()), *zip(i.tolist(), extra.tolist())]
+        assert len(got) == len(want) and set(got) == want
+    none = np.zeros(0, np.int64)
+    assert len(align.align(none, none, none)[0]) == 0
+
+
+def test_a_long_stretch_without_common_ends_is_one_group():
+    n = 200_000
+    a_end, b_end = align.align(np.r_[np.arange(2, 2 * n, 2), 2 * n + 1], np.r_[np.arange(1, 2 * n, 2), 2 * n + 1], np.array([n]))
+    assert a_end.tolist() == [n] and b_end.tolist() == [n + 1]
 
 
 def test_stretches_equal_whole_texts(both):
     rng = random.Random(7)
     parts = ["a", "The", "thentien", "é", "́", "'s", "9", "12345", "ß", "日本", "😀", "<|endoftext|>", "<s>", "<unk>", "<0x41>",
-             "--", "\x1c", "\x85", "　", " ", "​", "\x00", "▁", ".", "x" * 70, "﻿", "\r"]
+             "--", "Größe,", "don't.", "é!", "a'", "\x1c", "\x85", "　", " ", "​", "\x00", "▁", ".", "x" * 70, "﻿", "\r"]
     gaps = ["", "", " ", " ", "  ", "   ", "\n", "\t", "\n ", " \n"]
     for _ in range(1500):
         text = "".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(0, 12)))

@@ -107,8 +107,9 @@ def test_words_equal_whole_texts():
              "\x1c", "\x85", "　", " ", "​", "\x00", "'", ".", "x" * 90]
     gaps = ["", "", " ", "  ", "\n", "\t\r\n", "\x0b", "\f"]
     texts = ["".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(0, 30))) for _ in range(600)]
-    for text in texts:
-        assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [2]
+    texts += ["a,b,.c.", "don't,", "<|endoftext|>,", "a<|endoftext|>!", "x'r,e", "Größe;", "a" * 70 + "!?"]
+    for text, ids in zip(texts, words.ids([x.encode() for x in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [2]
 
 
 def test_other_tokenizers_are_refused():
