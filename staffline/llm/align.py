@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import LATIN, TAIL, byte_letters, ensure_checkpoint_dir, latin_ids, text_slices
+from staffline.llm.common import LATIN, TAIL, byte_letters, ensure_checkpoint_dir, latin_ids, text_slices, without_gc
 
 #: A block of texts ends once it has this many links.
 BLOCK_LINKS = 2_000_000
@@ -317,7 +317,7 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
         if texts:
             yield from flush()
 
-    return slim.mapInArrow(scan, f"doc_id {kind}, {_COLUMNS}")
+    return slim.mapInArrow(without_gc(scan), f"doc_id {kind}, {_COLUMNS}")
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:

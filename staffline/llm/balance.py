@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import LATIN, TAIL, latin_ids, text_slices
+from staffline.llm.common import LATIN, TAIL, latin_ids, text_slices, without_gc
 
 CAPACITY = 4096
 #: Cost of a token, and of a pair of tokens of one piece: for a model of width d, about 1 to 6 d (here 2,048).
@@ -202,5 +202,5 @@ def pack_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
         if ids:
             yield from flush()
 
-    return slim.mapInArrow(scan, f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return slim.mapInArrow(without_gc(scan), f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
                                  "sequence_id long, offset long, capacity long, cost double")

@@ -4,6 +4,7 @@ text column, word boundaries and hashes computed with numpy over a whole slice.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 from array import array
@@ -176,6 +177,18 @@ def in_bloom(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
+def without_gc(scan):
+    """``scan`` with the cycle collector off while it runs: it would walk over the millions of
+    words that a slice is split into, again and again."""
+    def run(batches):
+        gc.disable()
+        try:
+            yield from scan(batches)
+        finally:
+            gc.enable()
+    return run
+
+
 def byte_letters() -> dict[str, int]:
     """Letter -> byte of the alphabet of byte-level tokenizers: printable bytes stand
     for themselves, the others for the code points from 256 on, in order."""

@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffline.llm import align, ann, balance, bm25, credentials, dart_minhash, langid, lbl, packing, pii, spm_fst, wordpiece
+from staffline.llm import (align, ann, balance, bm25, collocations, credentials, dart_minhash, langid, lbl, packing, pii,
+                           spm_fst, wordpiece)
 from staffline.llm.common import bound_batches, crc_remainder, read
 
 #: Vocabulary file of a public tokenizer (SentencePiece model), read on the driver only.
@@ -197,3 +198,9 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level tokens and pieces of every document, aligned, with corpus-wide link counts."""
     docs = read(spark, sf_dir, "documents")
     return align.align_texts(docs, read_text(BYTE_TOKENIZER), read_bytes(PIECE_MODEL))
+
+
+@query("op12_collocations")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of 2 to 5 words of each language."""
+    return collocations.mine(read(spark, sf_dir, "documents"))
