@@ -105,6 +105,32 @@ def account_counts(users: DataFrame, snapshot: DataFrame) -> DataFrame:
     return changed.crossJoin(state).crossJoin(inserted).crossJoin(diff_n)
 
 
+#: A run may soft-delete this share of the accounts that are not deleted yet.
+MAX_DELETED = 0.5
+
+
+class TooManyDeletions(RuntimeError):
+    """A snapshot would delete more accounts than a run may."""
+
+
+def deletion_share(users: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """One row: accounts not deleted (``live``) and those of them that the snapshot lacks (``gone``)."""
+    nu = conform(users, "network_users").where(~F.coalesce(F.col("is_deleted"), F.lit(False))).select("guid")
+    keys = snapshot.select(F.col("guid").alias("__g")).where(F.col("__g").isNotNull()).distinct()
+    return (nu.join(keys, F.col("guid") == F.col("__g"), "left")
+            .agg(F.count(F.lit(1)).alias("live"), F.count_if(F.col("__g").isNull()).alias("gone")))
+
+
+def check_deletions(users: DataFrame, snapshot: DataFrame, max_deleted: float | None = MAX_DELETED) -> None:
+    """End the run if ``snapshot`` lacks more than the share ``max_deleted`` of the accounts (None: no
+    limit): an export that was cut short looks like a mass leaving."""
+    if max_deleted is None:
+        return
+    row = deletion_share(users, snapshot).first()
+    if row.gone > max_deleted * row.live:
+        raise TooManyDeletions(f"the snapshot would delete {row.gone} of {row.live} accounts")
+
+
 def reconcile_accounts(users: DataFrame, snapshot: DataFrame, as_of: dt.datetime,
                        short_circuit: bool = False, clear_disabled_at: bool = False) -> DataFrame:
     """Update, undelete, soft delete, insert, in that order.

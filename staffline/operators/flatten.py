@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from staffline.functions import dn_group, manager_cn, primary_email, strip, strip_lower, title_case
 from staffline.params import DN_GROUP_OFFSET, ENABLED_UAC, HIRE_SENTINEL, POSITION_PREFIX
-from staffline.sources.documents import unparsed
+from staffline.sources.documents import CORRUPT, unparsed
 
 W = "w"  # struct column holding one worker document
 
@@ -135,8 +135,29 @@ def flatten_workers(docs: DataFrame, mode: str = "failfast", **kw):
     return flat.filter(counted & ok).drop("__errors", "__row")
 
 
-def flatten_directory(entries: DataFrame, source_col: str = "source", offsets: dict | None = None) -> DataFrame:
-    """Directory entries (any number of servers, tagged by ``source``) -> network_users columns."""
+def flatten_directory(entries: DataFrame, source_col: str = "source", offsets: dict | None = None,
+                      mode: str = "failfast"):
+    """Directory entries (any number of servers, tagged by ``source``) -> network_users columns.
+
+    An entry that does not parse or has no objectGUID ends the run: as a row of NULLs it would
+    delete its account. With ``mode="quarantine"`` the result is (rows, bad): bad entries with
+    their source, error, account name and text, beside the others."""
+    text = F.col(CORRUPT) if CORRUPT in entries.columns else F.lit(None).cast("string")
+    error = (F.when(text.isNotNull(), F.lit("entry does not parse"))
+             .when(F.coalesce(F.col("objectGUID"), F.lit("")) == "", F.lit("no objectGUID")))
+    if mode == "quarantine":
+        marked = entries.withColumn("__error", error)
+        bad = marked.where(F.col("__error").isNotNull()).select(
+            F.col(source_col).alias("source"), F.col("__error").alias("error"),
+            F.when(text.isNull(), F.col("sAMAccountName")).alias("account_name"), text.alias("entry"))
+        return _directory_columns(marked.where(F.col("__error").isNull()), source_col, offsets), bad
+    # A filter predicate (not a column, which the optimizer would prune) so every entry is checked.
+    said = F.when(error.isNotNull(), F.raise_error(F.concat(F.lit("directory entry of "), F.coalesce(F.col(source_col), F.lit("?")),
+                                                            F.lit(": "), error)).cast("boolean")).otherwise(F.lit(True))
+    return _directory_columns(entries.where(said), source_col, offsets)
+
+
+def _directory_columns(entries: DataFrame, source_col: str, offsets: dict | None) -> DataFrame:
     offsets = offsets or DN_GROUP_OFFSET
     off = None
     for src, n in offsets.items():

@@ -210,21 +210,43 @@ def _retitled(h: DataFrame, best: DataFrame) -> DataFrame:
     return out.select(*h.columns)
 
 
+def month_of(date: str):
+    return F.date_format(date, "yyyy-MM").alias("month")
+
+
+def months_of_changed_positions(before: DataFrame, after: DataFrame, first: str, last: str) -> DataFrame:
+    """The months (``yyyy-MM``) from ``first`` to ``last`` in which a position lies that is in one of two
+    states of the job history only: no other month's hours can take another title."""
+    cols = ["id", "employee_id", "job_title_id", "start_date", "end_date"]
+    old, new = (conform(h, "employee_job_history").select(*cols) for h in (before, after))
+    changed = old.exceptAll(new).unionByName(new.exceptAll(old))
+    low, high = F.lit(f"{first}-01").cast("date"), F.lit(f"{last}-01").cast("date")
+    span = changed.select(F.greatest(F.trunc("start_date", "month"), low).alias("a"),
+                          F.least(F.trunc(F.coalesce("end_date", high), "month"), high).alias("b")).distinct()
+    return (span.where(F.col("a") <= F.col("b")).select(F.explode(F.expr("sequence(a, b, INTERVAL 1 MONTH)")).alias("m"))
+            .select(month_of("m")).distinct())
+
+
 def insert_hours(hours: DataFrame, timecards: DataFrame) -> DataFrame:
     """Days not stored yet; ids continue after the largest id."""
     h = conform(hours, "employee_hours")
     return h.unionByName(_new_days(h, per_day(timecards)))
 
 
-def _new_days(h: DataFrame, day: DataFrame) -> DataFrame:
+def _new_days(h: DataFrame, day: DataFrame, last_id: int | None = None) -> DataFrame:
     new = day.join(h.select("employee_id", "date"), ["employee_id", "date"], "left_anti")
-    base = h.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
-    new = assign_ids(new.crossJoin(F.broadcast(base)), ["employee_id", "date"], start_after=F.col("__base"))
+    if last_id is None:
+        base = h.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__base"))
+        new, start = new.crossJoin(F.broadcast(base)), F.col("__base")
+    else:
+        start = F.lit(last_id)
+    new = assign_ids(new, ["employee_id", "date"], start_after=start)
     return conform(new, "employee_hours").select(*h.columns)
 
 
-def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) -> DataFrame:
-    """The hours transaction: update, re-title by history, insert.
+def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame, last_id: int | None = None) -> DataFrame:
+    """The hours transaction: update, re-title by history, insert. ``hours`` may be the months only
+    that the pull can change; ``last_id`` is then the greatest id of all hours.
 
     The sums per day feed two statements; they are written once to the
     checkpoint folder (as the reference stages them in a table), so the pull is
@@ -234,7 +256,7 @@ def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame) ->
     """
     day = cut_lineage(per_day(timecards))
     h = conform(hours, "employee_hours")
-    return _retitled(_updated(h, day), containing_interval(h, history)).unionByName(_new_days(h, day))
+    return _retitled(_updated(h, day), containing_interval(h, history)).unionByName(_new_days(h, day, last_id))
 
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",

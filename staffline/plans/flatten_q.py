@@ -139,3 +139,23 @@ def q_worker_quarantine(t):
     docs = DOC.parse(docs, "doc", DOC.WORKER_PAGE_SCHEMA)
     good, bad = FL.flatten_workers(docs, mode="quarantine")
     return bad.select("aoid", F.array_join("errors", ", ").alias("errors"))
+
+
+@query("directory_quarantine", """
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'server1' ELSE 'server2' END AS source,
+  CASE WHEN c_custkey % 10 < 2 THEN 'entry does not parse' ELSE 'no objectGUID' END AS error,
+  CASE WHEN c_custkey % 10 >= 2 THEN concat('ACC', c_custkey) END AS account_name
+FROM customer WHERE c_custkey % 10 IN (0, 1, 6, 7)
+""")
+def q_directory_quarantine(t):
+    """2.1 SRC-3 quarantine mode: entries that are cut off or have no (or an empty) objectGUID."""
+    entries = DOC.directory_entries_from_tables(t["customer"])
+    lines = entries.select("source", F.to_json(F.struct(*[c for c in entries.columns if c != "source"])).alias("line"))
+    # Damage by the last digit of the account's number.
+    last = F.regexp_extract("line", r'"sAMAccountName":"ACC\d*(\d)"', 1)
+    lines = lines.withColumn("line", F.when(last.isin("0", "1"), F.left("line", F.lit(60)))
+                             .when(last == "6", F.replace("line", F.lit('"objectGUID"'), F.lit('"gone"')))
+                             .when(last == "7", F.regexp_replace("line", r'"objectGUID":"[^"]*"', '"objectGUID":""'))
+                             .otherwise(F.col("line")))
+    _, bad = FL.flatten_directory(DOC.parse(lines, "line", DOC.DIRECTORY_SCHEMA, keep=["source"]), mode="quarantine")
+    return bad.select("source", "error", "account_name")

@@ -92,23 +92,15 @@ DEFAULTS: dict[str, dict] = {
 }
 
 
-_CONFORMED: dict[tuple, tuple] = {}
-
-
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Add declared columns missing from ``df`` (their DDL default, else a
     typed NULL; existing columns keep their type); extra columns are kept at
-    the end. Memoized per input DataFrame (plans are immutable), which keeps
-    driver-side plan construction cheap when a table feeds many operators."""
-    key = (id(df), table)
-    hit = _CONFORMED.get(key)
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    out = _conform(df, table)
-    if len(_CONFORMED) > 4096:
-        _CONFORMED.clear()
-    _CONFORMED[key] = (df, out)
-    return out
+    the end. Remembered on the input DataFrame itself (plans are immutable), which keeps
+    driver-side plan construction cheap when a table feeds many operators and ends with the input."""
+    memo = df.__dict__.setdefault("_conformed", {})
+    if table not in memo:
+        memo[table] = _conform(df, table)
+    return memo[table]
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:

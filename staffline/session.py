@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import itertools
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,11 +71,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Folder of the run's staging tables, and how many it holds.
+_STAGE: contextvars.ContextVar[tuple[str, Iterator[int]] | None] = contextvars.ContextVar("stage", default=None)
+
+
+@contextlib.contextmanager
+def staged(folder: str):
+    """Within the block ``cut_lineage`` writes to ``folder`` (shared storage), which the caller takes away
+    when the run is over: what a run stages does not outlive it, whatever still refers to it."""
+    token = _STAGE.set((folder, itertools.count()))
+    try:
+        yield
+    finally:
+        _STAGE.reset(token)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """The frame written out and read back: a reliable checkpoint into the shared
+    checkpoint folder, or within a run a table of its staging folder.
 
     Used between chained reconciliation passes so a lost executor
     recomputes from the last written state, not from the raw snapshot.
     """
+    stage = _STAGE.get()
+    if stage is not None:
+        path = f"{stage[0]}/{next(stage[1])}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

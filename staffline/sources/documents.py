@@ -49,7 +49,7 @@ DIRECTORY_SCHEMA = (
 
 
 def _with_corrupt(struct_type: str) -> StructType:
-    """The fixed schema plus the column for text that does not parse."""
+    """The fixed schema (a struct, or a list of columns) plus the column for text that does not parse."""
     return DataType.fromDDL(struct_type).add(CORRUPT, "string")
 
 
@@ -70,19 +70,20 @@ def read_timecards(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def read_directory(spark: SparkSession, paths: dict) -> DataFrame:
-    """Directory exports of several servers, tagged with their ``source``."""
+    """Directory exports of several servers, one entry per line, tagged with their ``source``. An
+    entry that does not parse keeps its text in ``_corrupt_record``."""
     out = None
     for source, path in paths.items():
-        df = spark.read.schema(DIRECTORY_SCHEMA).json(path).withColumn("source", F.lit(source))
+        df = _read(spark, path, DIRECTORY_SCHEMA, False).withColumn("source", F.lit(source))
         out = df if out is None else out.unionByName(df)
     return out
 
 
-def parse(docs: DataFrame, text_col: str, schema: str) -> DataFrame:
+def parse(docs: DataFrame, text_col: str, schema: str, keep: list[str] | None = None) -> DataFrame:
     """Parse JSON text (one document per row) with a fixed schema; text that
-    does not parse is kept in ``_corrupt_record``."""
+    does not parse is kept in ``_corrupt_record``. Columns named in ``keep`` stay."""
     parsed = F.from_json(text_col, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    return docs.select(parsed.alias("__d")).select("__d.*")
+    return docs.select(parsed.alias("__d"), *(keep or [])).select("__d.*", *(keep or []))
 
 
 def unparsed(docs: DataFrame, list_col: str):

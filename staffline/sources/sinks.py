@@ -24,7 +24,7 @@ class NoState(FileNotFoundError):
     """A table has no complete state (before the run asked about)."""
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """File system and path object, for any store that Spark reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -32,7 +32,7 @@ def _files(spark: SparkSession, path: str):
 
 def runs_of(spark: SparkSession, table_path: str) -> list[str]:
     """Run ids of a table's complete states, in the order they were written."""
-    fs, p = _files(spark, f"{table_path}/_runs")
+    fs, p = files_of(spark, f"{table_path}/_runs")
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -49,7 +49,7 @@ def write_state(df: DataFrame, table_path: str, run_id: str) -> None:
     known = runs_of(spark, table_path)
     df.write.mode("overwrite").parquet(f"{table_path}/run={run_id}")
     if run_id not in known:
-        fs, p = _files(spark, f"{table_path}/_runs/{len(known):012d}.{run_id}")
+        fs, p = files_of(spark, f"{table_path}/_runs/{len(known):012d}.{run_id}")
         fs.create(p, False).close()
 
 
@@ -62,13 +62,12 @@ def read_run(spark: SparkSession, table_path: str, run_id: str) -> DataFrame:
 
 def read_runs(spark: SparkSession, table_path: str) -> DataFrame:
     """All complete states of a table, with their ``run`` id as text."""
-    out = None
-    for run_id in runs_of(spark, table_path):
-        one = read_run(spark, table_path, run_id).withColumn("run", F.lit(run_id))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    if out is None:
+    runs = runs_of(spark, table_path)
+    if not runs:
         raise NoState(f"no complete state of {table_path}")
-    return out
+    # One scan over the folders of all runs; the id is taken from the path, since a partition column would become a number.
+    states = spark.read.option("mergeSchema", True).parquet(*(f"{table_path}/run={r}" for r in runs))
+    return states.withColumn("run", F.regexp_extract("_metadata.file_path", "/run=([^/]+)/[^/]+$", 1))
 
 
 def read_latest(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
