@@ -140,10 +140,11 @@ class Held(dict):
     def __init__(self, tokenizers: Tokenizers):
         super().__init__()
         self.t = tokenizers
+        self.a_ids: dict[str, bytes] = {}
 
     def learn(self, parts: list[str]) -> None:
         t = self.t
-        for p, a, b in zip(parts, self.by_a(parts), t.b.encode([p[1:] for p in parts])):
+        for p, a, b in zip(parts, self.by_a(parts), t.b.encode([p[1:] for p in parts], num_threads=1)):
             raw = p.encode()
             same = (b"".join(map(t.a_bytes.__getitem__, memoryview(a).cast("I"))) == raw
                     and b"".join(map(t.b_bytes.__getitem__, b)) == raw)
@@ -155,23 +156,27 @@ class Held(dict):
         for p in parts:
             m = TAIL.fullmatch(p)
             split.append((m[1], m[2]) if m else (p,))
-        ids: dict[str, bytes] = {}
+        ids = self.a_ids
         other, model = [], self.t.a.model
-        for w in {x for s in split for x in s}:
+        for w in {x for s in split for x in s if x not in ids}:
             if LATIN.fullmatch(w):
                 ids[w] = latin_ids(model, w)
             else:
                 other.append(w)
         for w, e in zip(other, self.t.a.encode_batch(other, add_special_tokens=False)):
             ids[w] = array("I", e.ids).tobytes()
-        return [b"".join(map(ids.__getitem__, s)) for s in split]
+        out = [b"".join(map(ids.__getitem__, s)) for s in split]
+        for w in other:
+            if len(w) > STRETCH_BYTES:
+                del ids[w]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
         """Ids of each text by both sides; None where there are no tokens."""
         split = [self.t.stretches(x) if x else [] for x in texts]
         new = {p for p in set().union(*split) if p not in self}
         if len(self) + len(new) > STRETCHES_HELD:
-            self.clear()
+            self.clear(), self.a_ids.clear()
             new = set().union(*split)
         self.learn(list(new))
         out = []
