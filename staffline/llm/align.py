@@ -38,7 +38,7 @@ from staffline.llm.common import LATIN, TAIL, byte_letters, ensure_checkpoint_di
 #: A block of texts ends once it has this many links.
 BLOCK_LINKS = 2_000_000
 #: Longer stretches are tokenised each time; what a task holds is dropped when there are as many as this.
-STRETCH_BYTES, STRETCHES_HELD = 64, 600_000
+STRETCH_BYTES, STRETCHES_HELD = 64, 1_200_000
 
 
 def common_near(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -118,9 +118,10 @@ class Tokenizers:
                             if not self.b.is_control(i) and not self.b.is_unknown(i))
 
     def stretches(self, text: str) -> list[str]:
-        """Parts of the spaced text (" " and the text) between known common ends."""
+        """Parts of the spaced text (" " and the text) between known common ends, each
+        without the space that it begins with."""
         if not self.cuts:
-            return [" " + text]
+            return [text]
         parts = text.split(" ")
         if "" in parts or any(p[-1].isspace() for p in parts):  # more than single spaces: join what must not be cut
             out = [parts[0]]
@@ -131,7 +132,7 @@ class Tokenizers:
                 else:
                     out.append(parts[i])
             parts = out
-        return [" " + p for p in parts]
+        return parts
 
 
 class Held(dict):
@@ -144,8 +145,8 @@ class Held(dict):
 
     def learn(self, parts: list[str]) -> None:
         t = self.t
-        for p, a, b in zip(parts, self.by_a(parts), t.b.encode([p[1:] for p in parts], num_threads=1)):
-            raw = p.encode()
+        for p, a, b in zip(parts, self.by_a([" " + p for p in parts]), t.b.encode(parts, num_threads=1)):
+            raw = b" " + p.encode()
             same = (b"".join(map(t.a_bytes.__getitem__, memoryview(a).cast("I"))) == raw
                     and b"".join(map(t.b_bytes.__getitem__, b)) == raw)
             self[p] = (a, array("I", b).tobytes()) if same else None
@@ -199,6 +200,8 @@ class Texts:
     b_cut: np.ndarray
     a_end: np.ndarray     # where groups end in a
     b_end: np.ndarray
+    a_byte: np.ndarray    # where tokens end in the bytes
+    b_byte: np.ndarray
 
 
 def align_texts_of(held: Held, texts: list[str | None]) -> Texts:
@@ -208,12 +211,19 @@ def align_texts_of(held: Held, texts: list[str | None]) -> Texts:
     b = np.frombuffer(b"".join(x[1] for _, x in ids), np.uint32).astype(np.int64)
     a_cut = np.cumsum([len(x[0]) >> 2 for _, x in ids], dtype=np.int64)
     b_cut = np.cumsum([len(x[1]) >> 2 for _, x in ids], dtype=np.int64)
-    out = Texts(np.array([i for i, _ in ids], np.int64), a, b, a_cut, b_cut, a_cut, b_cut)
-    out.a_end, out.b_end = align(np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b]), a_cut)
-    return out
+    a_byte, b_byte = np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b])
+    return Texts(np.array([i for i, _ in ids], np.int64), a, b, a_cut, b_cut, *align(a_byte, b_byte, a_cut), a_byte, b_byte)
+
+
+class Names(dict):
+    """A token of A (id << 2) or B (id << 2 | 2), the last of its group (| 1) or not, as it is written."""
+
+    def __missing__(self, code: int) -> bytes:
+        self[code] = out = f"{code >> 2}{((',', '|'), (',', ';'))[code >> 1 & 1][code & 1]}".encode()
+        return out
 
 
-def written(x: Texts) -> list[bytes]:
+def written(x: Texts, name: Names) -> list[bytes]:
     """The groups of each text as `a1,a2|b1;a3|b2,b3`."""
     last_a, last_b = np.zeros(len(x.a), bool), np.zeros(len(x.b), bool)
     last_a[x.a_end - 1] = last_b[x.b_end - 1] = True
@@ -222,8 +232,6 @@ def written(x: Texts) -> list[bytes]:
     order = np.empty(len(x.a) + len(x.b), np.int64)
     order[np.arange(len(x.a)) + np.r_[0, x.b_end][g_a]] = x.a << 2 | last_a
     order[np.arange(len(x.b)) + x.a_end[g_b]] = x.b << 2 | 2 | last_b
-    end = ((",", "|"), (",", ";"))
-    name = {c: f"{c >> 2}{end[c >> 1 & 1][c & 1]}".encode() for c in np.unique(order).tolist()}
     cut = (x.a_cut + x.b_cut).tolist()
     codes = order.tolist()
     return [b"".join(map(name.__getitem__, codes[i:j]))[:-1] for i, j in zip([0, *cut], cut)]
@@ -251,7 +259,7 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(Tokenizers(spec, model))
+        held, name = Held(Tokenizers(spec, model)), Names()
         block = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         names: list[pa.Array] = []
         rows: list[np.ndarray] = []     # n_a, n_b, n_groups, n_links of the texts of a slice
@@ -263,8 +271,7 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
         def take(part: pa.RecordBatch) -> None:
             nonlocal size, texts
             x = align_texts_of(held, part.column("text").to_pylist())
-            a_end, b_end = np.cumsum(held.t.a_len[x.a]), np.cumsum(held.t.b_len[x.b])
-            j, extra, i = links(a_end, b_end)
+            j, extra, i = links(x.a_byte, x.b_byte)
             # Texts of the links: that of the token whose end closes them.
             of_a, of_b = np.searchsorted(x.a_cut, np.arange(len(x.a)), side="right"), np.searchsorted(x.b_cut, extra, side="right")
             row = np.zeros((part.num_rows, 4), np.int64)
@@ -273,7 +280,7 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
             row[x.no] = np.stack([*count, np.bincount(np.searchsorted(x.a_cut, x.a_end - 1, side="right"), minlength=n)[:n],
                                   np.bincount(np.r_[of_a, of_b], minlength=n)[:n]], axis=1)
             digest = [""] * part.num_rows
-            for no, text in zip(x.no.tolist(), written(x)):
+            for no, text in zip(x.no.tolist(), written(x, name)):
                 digest[no] = hashlib.sha256(text).hexdigest()
             names.append(part.column("doc_id"))
             rows.append(row)
@@ -286,7 +293,10 @@ def align_blocks(docs: DataFrame, spec: str, model: bytes, id_col: str, text_col
             """Documents of the block with their links as (number, times); its pairs come most frequent
             first, so that numbers and the steps between them are small."""
             nonlocal block, size, texts
-            pair, inverse, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            codes = np.concatenate(found)
+            pair = np.unique(codes)
+            inverse = np.searchsorted(pair, codes)
+            count = np.bincount(inverse, minlength=len(pair))
             by_count = np.argsort(-count, kind="stable")
             number = np.empty(len(pair), np.int64)
             number[by_count] = np.arange(len(pair))
