@@ -179,6 +179,14 @@ def q_not_in_null(t):
     return not_in(t["network_users"], t["workforce_map"], "id", "network_id", sql_null_semantics=True).select("id")
 
 
+@query("not_in_no_null", """SELECT id FROM fx_network_users
+WHERE id NOT IN (SELECT network_id FROM fx_workforce_map WHERE network_id IS NOT NULL)""")
+def q_not_in_no_null(t):
+    """JOIN-8: exact SQL NOT IN over a subquery without NULLs."""
+    links = t["workforce_map"].where(F.col("network_id").isNotNull())
+    return not_in(t["network_users"], links, "id", "network_id", sql_null_semantics=True).select("id")
+
+
 @query("semi_join", "SELECT id FROM fx_contractors WHERE id IN (SELECT contractor_id FROM fx_contractor_job_hours)")
 def q_semi_join(t):
     """JOIN-9: IN (subquery) as left semi join."""

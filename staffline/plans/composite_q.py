@@ -119,10 +119,14 @@ def _dup_chain() -> str:
     return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {src}"
 
 
+_PART = "(SELECT * FROM fx_network_users WHERE id % 3 <> 0)"
+
 ORACLES.update({
     "hist_update": with_fixtures(_hist_chain()),
     "emp_upsert": with_fixtures(_emp_chain()),
     "net_reconcile": with_fixtures(_net_chain()),
     "net_reconcile_short_circuit": with_fixtures(_net_chain(short_circuit=True)),
+    "net_reconcile_no_diff": with_fixtures(_net_chain(short_circuit=True).replace("fx_network_snapshot", _PART)),
+    "net_reconcile_no_diff_full": with_fixtures(_net_chain().replace("fx_network_snapshot", _PART)),
     "dup_all": with_fixtures(_dup_chain()),
 })

@@ -82,10 +82,11 @@ SELECT concat('g-', CAST({_K} AS VARCHAR)) AS guid,
   CASE WHEN {_K} % 4 <> 0 THEN concat('u', CAST({_K} % 97 AS VARCHAR), '@example.org') END AS email,
   {_SEG} AS job_title, concat('acc', CAST({_K} AS VARCHAR)) AS account_name,
   concat('Group', CAST({_K} % 7 AS VARCHAR)) AS active_dir_group,
-  'Dept' AS department, CAST(NULL AS VARCHAR) AS location,
+  'Dept' AS department, CASE WHEN {_K} % 2 = 0 THEN concat('Site ', CAST({_K} % 25 AS VARCHAR)) END AS location,
   CASE WHEN {_K} % 3 = 0 THEN concat('Boss ', CAST({_K} % 11 AS VARCHAR)) END AS manager,
-  CAST(NULL AS VARCHAR) AS user_description, CAST(NULL AS VARCHAR) AS phone_extension,
-  CAST(NULL AS VARCHAR) AS mobile_phone,
+  CASE WHEN {_K} % 7 <> 0 THEN concat(' Staff ', CAST({_K} AS VARCHAR)) END AS user_description,
+  CASE WHEN {_K} % 8 <> 0 THEN concat('x', CAST({_K} % 1000 AS VARCHAR)) END AS phone_extension,
+  CASE WHEN {_K} % 9 = 0 THEN concat('(530) 555-', lpad(CAST({_K} % 10000 AS VARCHAR), 4, '0')) END AS mobile_phone,
   TIMESTAMP '2000-01-01 00:00:00' + to_seconds(CAST({_K} % 3600 AS BIGINT)) AS created_at,
   {_K} % 3 = 2 AS is_disabled
 FROM customer c

@@ -18,6 +18,7 @@ from staffline.operators.reconcile import assign_ids
 from staffline.operators.runlog import run_log_row
 from staffline.plans.registry import query
 from staffline.schemas import TABLES, sql_default
+from staffline.schemas import conform
 from staffline.session import cut_lineage
 
 AS_OF = dt.datetime(2000, 7, 15, 10, 30, 0)
@@ -434,6 +435,24 @@ def q_net_reconcile_short_circuit(t):
     return A.reconcile_accounts(t["network_users"], t["network_snapshot"], AS_OF, short_circuit=True)
 
 
+def _unchanged_part(t):
+    """A snapshot of two thirds of the stored accounts, exactly as they are stored."""
+    users = conform(t["network_users"], "network_users")
+    return users.where(F.col("id") % 3 != 0).select(*A.AD_COLUMNS)
+
+
+@query("net_reconcile_no_diff", None)
+def q_net_reconcile_no_diff(t):
+    """DML-19: no diff, so that the early exit leaves the accounts that the snapshot lacks."""
+    return A.reconcile_accounts(t["network_users"], _unchanged_part(t), AS_OF, short_circuit=True)
+
+
+@query("net_reconcile_no_diff_full", None)
+def q_net_reconcile_no_diff_full(t):
+    """DML-20 to 23 on the same snapshot without the early exit: accounts that it lacks are deleted."""
+    return A.reconcile_accounts(t["network_users"], _unchanged_part(t), AS_OF)
+
+
 @query("emp_upsert", None)
 def q_emp_upsert(t):
     """DML-5..9 chained: update, insert, soft delete of employees in one run."""

@@ -196,10 +196,11 @@ def directory_entries_from_tables(customer: DataFrame) -> DataFrame:
         F.concat(F.lit("ACC"), k.cast("string")).alias("sAMAccountName"),
         ou.alias("distinguishedName"),
         F.lit(" Dept ").alias("department"),
-        F.lit(None).cast("string").alias("physicalDeliveryOfficeName"),
+        F.when(k % 2 == 0, F.concat(F.lit(" Site "), (k % 25).cast("string"))).alias("physicalDeliveryOfficeName"),
         F.when(k % 3 == 0, F.concat(F.lit("CN=Boss "), (k % 11).cast("string"), F.lit(",OU=Users,DC=org"))).alias("manager"),
-        F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("telephoneNumber"),
-        F.lit(None).cast("string").alias("mobile"),
+        F.when(k % 7 != 0, F.concat(F.lit(" Staff "), k.cast("string"))).alias("description"),
+        F.when(k % 8 != 0, F.concat(F.lit("x"), (k % 1000).cast("string"))).alias("telephoneNumber"),
+        F.when(k % 9 == 0, F.concat(F.lit("(530) 555-"), F.lpad((k % 10000).cast("string"), 4, "0"))).alias("mobile"),
         F.when(k % 6 != 0, F.array(F.concat(F.lit("smtp:alias"), k.cast("string"), F.lit("@x.org")),
                                    F.concat(F.lit("SMTP:Primary."), k.cast("string"), F.lit("@Example.org"))))
         .alias("proxyAddresses"),
