@@ -200,7 +200,35 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_texts(docs, read_text(BYTE_TOKENIZER), read_bytes(PIECE_MODEL))
 
 
-@query("op12_collocations")
+@query("op12_collocations", oracle=r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE k >= 2 AND a >= 100),
+inside AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM c, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS i) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE inside.most IS NULL OR 100 * inside.most < 100 * c.a),
+cut AS (
+  SELECT lang, k, phrase, a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') AS tail
+  FROM kept, (SELECT unnest(range(1, 5)) AS j) WHERE j < k),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, l.a AS l, r.a AS r, n.n, j,
+         ((1000::HUGEINT * cut.a * n.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = head JOIN f r ON r.lang = cut.lang AND r.phrase = tail
+  JOIN n ON n.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000""")
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 strongest phrases of 2 to 5 words of each language."""
     return collocations.mine(read(spark, sf_dir, "documents"))
