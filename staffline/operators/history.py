@@ -76,13 +76,32 @@ def drop_realignments(history: DataFrame) -> DataFrame:
     return hist.join(keep.select(F.col("id").alias("__keep")), F.col("id") == F.col("__keep"), "left_semi")
 
 
+def close_and_realign(history: DataFrame, employees: DataFrame) -> DataFrame:
+    """``close_terminated``, ``close_previous`` and ``drop_realignments`` in one pass.
+
+    All three look at the positions of one employee, latest first: one shuffle on the employee
+    serves the join to ``employees`` and both windows, and no row is joined back on its id."""
+    hist = conform(history, "employee_job_history")
+    term = employees.select(F.col("id").alias("__eid"), F.col("termination_date").alias("__term"))
+    order = [F.col("inserted_at").desc(), F.col("id").desc()]
+    latest = Window.partitionBy("employee_id").orderBy(*order)
+    known = F.col("employee_id").isNotNull()
+    j = (hist.join(term, F.col("employee_id") == F.col("__eid"), "left")
+         .withColumn("__rn", F.row_number().over(latest))
+         .withColumn("__last", F.first("inserted_at").over(latest))
+         .withColumn("__end", F.date_sub(F.first("start_date").over(latest), 1))
+         .withColumn("__keep", F.row_number().over(Window.partitionBy("employee_id", "start_date").orderBy(*order))))
+    previous = known & (F.col("__rn") == 2) & (F.col("start_date") < F.col("__end"))
+    left = known & (F.col("inserted_at") == F.col("__last")) & F.col("__term").isNotNull() & F.col("end_date").isNull()
+    return (j.where(F.col("__keep") == 1)
+            .withColumn("end_date", F.when(previous, F.col("__end")).when(left, F.col("__term")).otherwise(F.col("end_date")))
+            .select(*hist.columns))
+
+
 def update_history(history: DataFrame, employees: DataFrame, as_of: dt.datetime) -> DataFrame:
     """One history run: insert, close terminated, close previous, drop realignments.
 
     The table after the insert is written to the checkpoint folder once; the
-    three updates then read it instead of recomputing the insert.
+    updates read it in one pass.
     """
-    h = cut_lineage(insert_positions(history, employees, as_of))
-    h = close_terminated(h, employees)
-    h = close_previous(h)
-    return drop_realignments(h)
+    return close_and_realign(cut_lineage(insert_positions(history, employees, as_of)), employees)
