@@ -54,6 +54,35 @@ def bound_batches(spark: SparkSession, rows: int = 2000, size: int = 4 << 20) ->
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def least_hashes(rows: DataFrame, limit: int) -> list[tuple[str, int]]:
+    """(of, h) of the ``limit`` least distinct hashes ``h`` of every ``of``, in order.
+
+    Rows are thinned first: a group of n distinct hashes (counted roughly) keeps those below the
+    point under which 4 * limit are expected, and is asked again with a higher point in the rare
+    case that fewer than ``limit`` are left. So a group sends a few times ``limit`` rows, however
+    many rows and tasks it has.
+    """
+    spark = rows.sparkSession
+    asked = {r.of: min(1.0, 4 * limit / max(1, r.n))
+             for r in rows.groupBy("of").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    out: list[tuple[str, int]] = []
+    while asked:
+        points = spark.createDataFrame([(of, int(min((1 << 63) - 1, (share - 0.5) * (1 << 64)))) for of, share in asked.items()],
+                                       "of string, point long")
+        left = rows.join(F.broadcast(points), "of").where(F.col("h") <= F.col("point")).select("of", "h").distinct()
+        found: dict[str, list[int]] = {of: [] for of in asked}
+        for r in left.collect():
+            found[r.of].append(r.h)
+        again = {}
+        for of, share in asked.items():
+            if len(found[of]) < limit and share < 1.0:
+                again[of] = min(1.0, 4 * share)
+            else:
+                out += [(of, h) for h in sorted(found[of])[:limit]]
+        asked = again
+    return sorted(out)
+
+
 def crc_remainder(doc_id: str | Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod`` (NULL for a NULL id)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import _power, code_point_class, mix, text_slices
+from staffline.llm.common import _power, code_point_class, least_hashes, mix, text_slices
 
 #: Training documents per language (the bound of the fitting sample), words per spliced training text,
 #: and how many such texts are made.
@@ -293,12 +293,11 @@ def _marginals(emit: np.ndarray, transition: np.ndarray, chain: np.ndarray) -> t
 def training_sample(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
                     per_lang: int = DOCS_PER_LANG) -> list[tuple[str, str]]:
     """At most ``per_lang`` (language, text) pairs of each language, the least
-    by hash of the text: only hashes are ranked, texts are fetched for the chosen."""
+    by hash of the text: only hashes are ranked, thinned for each language before, so that
+    a language with a third of all rows does not meet in one task; texts are fetched for the chosen."""
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-            .select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h")).distinct())
-    least = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= per_lang).drop("n")
-    keys = {(r.lang, r.h) for r in chosen.collect()}
+            .select(F.col(lang_col).cast("string").alias("of"), F.xxhash64(text_col).alias("h")))
+    keys = set(least_hashes(rows, per_lang))
     if not keys:
         return []
     spark = docs.sparkSession
@@ -340,21 +339,22 @@ def judge(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred",
              score_out: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1) in place of
-    the text column; all other columns pass through.
+    the text column; all other columns pass through. A column of ``docs`` that is named like one
+    of these two is replaced.
 
     A text that is NULL, empty or without a letter is ``und`` with score 0, as is
-    every text if nothing was learned. Rows are judged one by one, so repeated
+    every text if nothing was learned. Very long texts are labelled whole. Rows are judged one by one, so repeated
     rows repeat the result; ties go to the language first in order; an empty
     table gives no rows.
     """
-    rest = [c for c in docs.columns if c != text_col]
-    slim = docs.select(*rest, F.col(text_col).alias("__text"))
+    rest = [c for c in docs.columns if c not in (text_col, lang_out, score_out)]
+    slim = docs.select(*rest, text_col)
     schema = ", ".join([*(f"`{c}` {t}" for c, t in slim.dtypes[:-1]), f"`{lang_out}` string", f"`{score_out}` double"])
 
     def scan(batches):
         for batch in batches:
-            for part in text_slices(batch, "__text", SLICE):
-                lang, score = classify(model, ["" if t is None else t for t in part.column("__text").to_pylist()])
+            for part in text_slices(batch, text_col, SLICE):
+                lang, score = classify(model, ["" if t is None else t for t in part.column(len(rest)).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     names=[*rest, lang_out, score_out])

@@ -17,14 +17,16 @@ from __future__ import annotations
 
 import bisect
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import text_slices
+from staffline.llm.common import least_hashes, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 14
@@ -33,6 +35,8 @@ CONTEXT = 40
 #: Documents of the training sample, and windows taken from them.
 SAMPLE_DOCS = 2000
 SAMPLE_WINDOWS = 400
+#: Tokens whose candidates are scored together.
+CHUNK = 512
 #: Log-odds that a segment must have over leaving its tokens outside.
 MARGIN = 2.0
 
@@ -135,8 +139,14 @@ def _candidates(text: str, lo: int, hi: int):
     """Tokens of a window and its candidate segments (i, j, features): every
     run of up to MAX_TOKENS tokens that has a digit or an ``@``, or a spelled-out one."""
     tokens = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text, lo, hi)]
+    return tokens, _segments(text, tokens, 0, len(tokens))
+
+
+def _segments(text: str, tokens: list[tuple[int, int, str]], start: int, stop: int):
+    """The candidates (``_candidates``) whose first token is one of ``start`` to ``stop``."""
     cands = []
-    for i, (a, _, first) in enumerate(tokens):
+    for i in range(start, stop):
+        a, _, first = tokens[i]
         if not (first.isalnum() or first in "+("):
             continue
         cues = {t[2].lower() for t in tokens[max(0, i - 4):i]}
@@ -152,7 +162,7 @@ def _candidates(text: str, lo: int, hi: int):
                 near = (tokens[i - 1][2] if i else "", tokens[j + 1][2] if j + 1 < len(tokens) else "")
                 cands.append((i, j + 1, _span_features(text, a, tokens[j][1],
                                                        [x[2] for x in tokens[i:j + 1]], cues, near)))
-    return tokens, cands
+    return cands
 
 
 def _lattice(n: int, cands, scores: np.ndarray):
@@ -185,31 +195,90 @@ def _expected(n: int, cands, scores: np.ndarray) -> tuple[float, np.ndarray]:
 
 
 def _best(n: int, cands, scores: np.ndarray, margin: float) -> list[tuple[int, int]]:
-    """The best segmentation, as (candidate, type) pairs: dynamic programming
-    over segment ends, each segment at most MAX_TOKENS long."""
-    arcs = _lattice(n, cands, scores - margin)
-    best = np.zeros(n + 1)
-    back: list[tuple[int, int, int] | None] = [None] * (n + 1)
-    for j in range(1, n + 1):
-        best[j] = best[j - 1]
-        for i, c, y, s in arcs[j]:
-            if best[i] + s > best[j]:
-                best[j], back[j] = best[i] + s, (i, c, y)
-    out, j = [], n
-    while j:
-        if back[j] is None:
-            j -= 1
+    """The best segmentation of a window, as (candidate, type) pairs."""
+    path = _Path()
+    for arcs in _lattice(n, cands, scores - margin)[1:]:
+        path.step((i, y, s) for i, _, y, s in arcs)
+    place = {(i, j): c for c, (i, j, _) in enumerate(cands)}
+    return [(place[i, j], y) for i, j, y in path.segments()]
+
+
+class _Path:
+    """Dynamic programming over segment ends, each segment at most MAX_TOKENS
+    long; a token left outside scores 0. Ten bytes a token."""
+
+    def __init__(self):
+        self.best, self.length, self.kind = array("d", [0.0]), array("b", [0]), array("b", [0])
+
+    def step(self, arcs) -> None:
+        """The next token, and the segments (start, type, score) that end with it."""
+        j = len(self.best)
+        best, length, kind = self.best[-1], 0, 0
+        for i, y, s in arcs:
+            if self.best[i] + s > best:
+                best, length, kind = self.best[i] + s, j - i, y
+        self.best.append(best)
+        self.length.append(length)
+        self.kind.append(kind)
+
+    def segments(self) -> list[tuple[int, int, int]]:
+        """(start, end, type) of the best segmentation."""
+        out, j = [], len(self.best) - 1
+        while j:
+            n = self.length[j]
+            if n:
+                out.append((j - n, j, self.kind[j]))
+            j -= n or 1
+        return out[::-1]
+
+
+def _decode(text: str, lo: int, hi: int, weights: np.ndarray) -> Iterator[Span]:
+    """The segments of the best segmentation of a window. CHUNK tokens and
+    their candidates are held at a time. Only segments that score above MARGIN can be in it;
+    where none of those crosses, what lies before is decided and let go, so a
+    window takes some bytes a token at most."""
+    source = _TOKEN.finditer(text, lo, hi)
+    tokens: list[tuple[int, int, str]] = []  # those held; the first has number ``number``
+    number = first = 0
+    arcs: dict[int, list[tuple[int, int, float]]] = {}  # by end: start, type, score
+    reach = 0
+    path, origin, edges = _Path(), 0, array("q")
+    while True:
+        tokens += [(m.start(), m.end(), m[0]) for m in islice(source, first + CHUNK + MAX_TOKENS + 1 - len(tokens))]
+        done = len(tokens) < first + CHUNK + MAX_TOKENS + 1
+        stop = len(tokens) if done else first + CHUNK
+        cands = _segments(text, tokens, first, stop)
+        until: dict[int, int] = {}
+        if cands:
+            scores = np.array([c[2] for c in cands]) @ weights - MARGIN
+            for c, y in zip(*np.nonzero(scores > 0)):
+                i, j = number + cands[c][0], number + cands[c][1]
+                arcs.setdefault(j, []).append((i, int(y), float(scores[c, y])))
+                until[i] = max(until.get(i, 0), j)
+        if until or arcs:
+            for at in range(first, stop):
+                reach = max(reach, until.get(number + at, 0))
+                end = number + at + 1
+                path.step((i - origin, y, s) for i, y, s in arcs.pop(end, ()))
+                edges.extend(tokens[at][:2])
+                if reach <= end:
+                    if path.best[-1]:
+                        yield from ((edges[2 * i], y, edges[2 * j - 1]) for i, j, y in path.segments())
+                    path, origin, edges = _Path(), end, array("q")
         else:
-            j, c, y = back[j]
-            out.append((c, y))
-    return out[::-1]
+            origin = number + stop
+        if done:
+            return
+        drop = max(0, stop - 4)
+        del tokens[:drop]
+        number, first = number + drop, stop - drop
 
 
 def _windows(text: str) -> Iterator[tuple[int, int]]:
     """Merged ranges of CONTEXT code points around digits, ``@`` and the words
     ``at`` and ``dot``, widened to word borders; those that hold no candidate are left out."""
     for lo, hi in _ranges(text):
-        if _SIGN.search(text, lo, hi) or len(_SPELLED.findall(text, lo, hi)) >= 2:
+        if _SIGN.search(text, lo, hi) or sum(1 for _ in islice(_SPELLED.finditer(text, lo, hi), 2)) == 2:
             yield lo, hi
 
 
@@ -298,14 +367,7 @@ def model_spans(text: str, weights: np.ndarray, base: list[Span]) -> list[Span]:
             covered.append([a, b])
     starts = [a for a, _ in covered]
     for lo, hi in _windows(text):
-        tokens, cands = _candidates(text, lo, hi)
-        if not cands:
-            continue
-        scores = np.array([c[2] for c in cands]) @ weights
-        if scores.max() <= MARGIN:
-            continue
-        for c, y in _best(len(tokens), cands, scores, MARGIN):
-            a, b = tokens[cands[c][0]][0], tokens[cands[c][1] - 1][1]
+        for a, y, b in _decode(text, lo, hi, weights):
             at = bisect.bisect_left(starts, b) - 1
             if at < 0 or covered[at][1] <= a:
                 out.append((a, y, b))
@@ -314,12 +376,12 @@ def model_spans(text: str, weights: np.ndarray, base: list[Span]) -> list[Span]:
 
 def training_texts(docs: DataFrame, text_col: str = "text", limit: int = SAMPLE_DOCS) -> list[str]:
     """At most ``limit`` distinct texts with a digit or an ``@`` and of bounded
-    length, the least by hash: the labelled sample of the classifier. Distinct hashes are
-    counted and the least found; texts are fetched for those only."""
+    length, the least by hash: the labelled sample of the classifier. Hashes are thinned
+    before the least are found, so that few reach one place; texts are fetched for those only."""
     text = F.col(text_col)
     rows = (docs.where(text.rlike("[0-9@]") & (F.length(text) < 20_000))
             .select(text.alias("text"), F.xxhash64(text).alias("h")))
-    least = [r.h for r in rows.select("h").distinct().orderBy("h").limit(limit).collect()]
+    least = [h for _, h in least_hashes(rows.select(F.lit("").alias("of"), "h"), limit)]
     if not least:
         return []
     wanted = docs.sparkSession.createDataFrame([(h,) for h in least], "h long")
@@ -390,7 +452,12 @@ def redact(text: str | None, weights: np.ndarray) -> str | None:
 
 
 def redact_texts(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """``docs`` with personal data replaced in the text column; all other columns and rows stay."""
+    """``docs`` with personal data replaced in the text column; all other columns and rows stay.
+
+    A NULL text stays NULL and an empty one empty; a text is decoded whole, however long, CHUNK
+    tokens at a time. Each row is redacted by itself, so repeated rows give the same result;
+    an empty table gives no rows; no column is added, so no name can clash.
+    """
     place = docs.columns.index(text_col)
 
     def scan(batches):

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from staffline.llm import langid
 from staffline.llm.queries import QUERIES
@@ -62,6 +63,14 @@ def test_edges(spark, model):
     assert langid.classify(langid.train([("aa", "ka ko")]), ["ka", "1"]) == (["aa", "und"], [1.0, 0.0])
 
 
+def test_columns_named_like_the_outputs_are_replaced(spark, model):
+    df = edge.documents(spark).withColumns({"lang_pred": F.lit(1), "score": F.lit("old")})
+    got = langid.identify(df.select("score", "doc_id", "text", "lang_pred", "row"), model)
+    assert got.columns == ["doc_id", "row", "lang_pred", "score"] and dict(got.dtypes)["score"] == "double"
+    plain = langid.identify(df.select("doc_id", "row", "text"), model)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_training_sample_ignores_null_languages(spark):
     got = langid.training_sample(edge.documents(spark))
     assert {lang for lang, _ in got} == {"en", "fr"} and len(got) == len(set(got))

@@ -1,12 +1,17 @@
 import hashlib
 import itertools
+import pathlib
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from staffline.llm import pii
+from staffline.llm.common import least_hashes
 from staffline.llm.queries import QUERIES
 from tests.llm import edge
 
@@ -155,3 +160,46 @@ def test_sample_takes_distinct_texts(spark):
     rows = [(i, t, "en") for i, t in enumerate([*texts, *[once[0]] * 200])]
     assert pii.training_texts(edge.documents(spark, rows), limit=12) == once and sorted(once) == texts
     assert pii.training_texts(edge.documents(spark, rows), limit=5) == once[:5]
+
+
+def _whole_window(text, weights):
+    """The field's spans with every window decoded in one piece."""
+    out = []
+    for lo, hi in pii._windows(text):
+        tokens, cands = pii._candidates(text, lo, hi)
+        if cands:
+            scores = np.array([c[2] for c in cands]) @ weights
+            out += [(tokens[cands[c][0]][0], y, tokens[cands[c][1] - 1][1])
+                    for c, y in pii._best(len(tokens), cands, scores, pii.MARGIN)]
+    return out
+
+
+def test_pieces_decode_as_whole_windows(weights, monkeypatch):
+    docs = [f"{i}, 415-555-{1000 + i}, (030) 123-4567, ann at host dot com, 7.{i}, +1 415 555 {i:04d}\n" for i in range(40)]
+    texts = ["".join(docs), " ".join(docs).replace("\n", ";"), "1,2 " * 900, "415-555-0123, " * 200]
+    for chunk in (1, 3, 50, 512):
+        monkeypatch.setattr(pii, "CHUNK", chunk)
+        for text in texts:
+            assert pii.model_spans(text, weights, []) == _whole_window(text, weights)
+
+
+def test_memory_does_not_grow_with_a_table_of_numbers(tmp_path, weights):
+    # One million code points of numbers, in a process of its own: what decoding adds to its peak, in MB.
+    np.save(tmp_path / "w.npy", weights)
+    code = ("import resource, sys, numpy as np\nfrom staffline.llm import pii\nw = np.load(sys.argv[1])\n"
+            "text = ''.join(f'{i * 7919 % 99991},' for i in range(170_000))\npii._all_spans(text[:2000], w)\n"
+            "peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024\nbefore = peak()\n"
+            "pii.redact(text, w)\nprint(len(text), peak() - before)")
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "w.npy")], capture_output=True, text=True, check=True,
+                          cwd=pathlib.Path(__file__).parents[2])
+    size, added = map(int, done.stdout.split())
+    assert size > 900_000 and added < 60
+
+
+def test_sample_is_thinned_before_it_is_collected(spark):
+    rows = spark.range(200_000, numPartitions=50).select(F.lit("a").alias("of"), F.xxhash64("id").alias("h"))
+    few = spark.range(3).select(F.lit("b").alias("of"), F.xxhash64("id").alias("h"))
+    got = least_hashes(rows.unionByName(few), 300)
+    every = sorted(r.h for r in rows.collect())
+    assert [h for of, h in got if of == "a"] == every[:300]
+    assert [h for of, h in got if of == "b"] == sorted(r.h for r in few.collect())
