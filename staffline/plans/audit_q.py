@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from staffline.operators import audit as AU
 from staffline.plans.reconcile_q import col_sql
-from staffline.plans.registry import query
+from staffline.plans.registry import ORACLES, query
 
 _ENTITY = {"employee": "fx_employees", "contractor": "fx_contractors", "learner": "fx_learners",
            "volunteer": "fx_volunteers"}
@@ -114,6 +114,37 @@ for _name, _col in [("employee", "employee_id"), ("contractor", "contractor_id")
     _register_dup(_name, _col)
 
 
+def _all_sql() -> str:
+    def part(finding: str, kind: str, key: str, people: str, rows: str) -> str:
+        return f"SELECT '{finding}' AS finding, '{kind}' AS kind, CAST({key} AS VARCHAR) AS key, CAST({people} AS BIGINT) AS people FROM ({rows})"
+
+    parts = []
+    for kind, table in _ENTITY.items():
+        col = AU.MAP_COLUMNS[kind]
+        due = " WHERE termination_date IS NULL OR YEAR(termination_date) >= 2023" if kind == "employee" else ""
+        parts.append(part("unmapped", kind, "id", "0", f"SELECT id FROM {table}{due} EXCEPT SELECT {col} FROM fx_workforce_map"))
+        parts.append(part("orphan", kind, col, "n", f"SELECT {col}, COUNT(*) AS n FROM fx_workforce_map WHERE {col} IS NOT NULL "
+                                                    f"AND {col} NOT IN (SELECT id FROM {table}) GROUP BY {col}"))
+    parts.append(part("unmapped", "epic", "user_id", "0", ORACLES["aud_unmapped_ehr"]))
+    parts.append(part("orphan", "epic", "epic_id", "n", "SELECT epic_id, COUNT(*) AS n FROM fx_workforce_map WHERE epic_id IS NOT NULL AND "
+                      "CAST(epic_id AS VARCHAR) NOT IN (SELECT CAST(user_id AS VARCHAR) FROM fx_ehr_users WHERE user_id IS NOT NULL) GROUP BY epic_id"))
+    for kind, col in AU.AUDITED.items():
+        parts.append(part("duplicate", kind, col, "count", ORACLES[f"aud_dup_{kind}"]))
+    return " UNION ALL ".join(parts)
+
+
+@query("audit_all", _all_sql())
+def q_audit_all(t):
+    """AUD-1..10, 12..18: unmapped, orphan and duplicate findings of all kinds from one pass over the map."""
+    there, due = F.lit(True).alias("exists"), F.lit(True).alias("expected")
+    entities = {kind: t[table].select("id", there, due if kind != "employee" else AU.expected_employee(2023).alias("expected"))
+                for kind, table in _TABLE.items()}
+    ehr = AU.expected_ehr(t["clinical_providers"], _encounters(t), service_area=1, service_accounts=("1", "721"))
+    users = t["ehr_users"].select(F.col("user_id").cast("string").alias("id"), there, F.lit(False).alias("expected"))
+    entities["epic"] = users.unionByName(ehr.select(F.col("user_id").alias("id"), F.lit(False).alias("exists"), due))
+    return AU.audit_all(t["workforce_map"], entities)
+
+
 def _json_sql(inst: str, extra: str = "") -> str:
     return (f"SELECT id, {extra}'{inst}' AS source, unnest(CAST(json_extract(ecw_ids, '$.\"{inst}\"') AS VARCHAR[])) AS ecw_id "
             "FROM fx_workforce_map")
