@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffline.functions import changed_null_safe, changed_null_unsafe, iso_duration_minutes
@@ -159,54 +159,108 @@ def _updated(h: DataFrame, day: DataFrame) -> DataFrame:
                        {c: sref(c) for c in ("work_minutes", "paid_minutes", "regular_minutes")})
 
 
-def containing_interval(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None,
-                        bucket: str = "year") -> DataFrame:
-    """(employee_id, date, history_id, history_job_title_id): for each hours
-    row, the history interval containing its date (latest start wins, then
-    the larger history id); rows inside no interval are absent.
+#: (employee, date) ranges of ``position_spans``, in order; at most one row per employee and first day.
+_SPANS = "employee_id long, __from date, __to date, __hid long, __tid long"
 
-    Range join as an equi-join on (employee, bucket): each history interval is
-    expanded to the buckets (``year`` or ``month``) it covers, clipped to the
-    buckets the hours rows span (a one-row aggregate), so only rows of the
-    same employee and bucket are compared; the best interval per row is a
-    partial aggregate. Years suit long positions (few buckets per interval,
-    few intervals per bucket); months suit short ones.
+
+def position_spans(history: DataFrame) -> DataFrame:
+    """Who holds which title from which day on: (employee_id, __from, __to, __hid, __tid), one row for every
+    day on which the position in force changes. ``__to`` is the end of the position itself; the next row
+    of the employee takes over before that if it begins earlier.
+
+    Positions may overlap and nest: on a day the one with the latest start is in force, then the larger
+    id; when it ends, the latest of those still open is in force again. Which one that is depends on
+    all positions before, so the rows, sorted by employee and start, go through one pass
+    with a stack of the open positions. A position that a later one outlasts leaves the stack, so it holds at most
+    one position for each end date, whatever the number of rows; nothing is grouped in memory.
+    Positions without an employee or a start, or that end before they start, are in force on no day.
     """
-    step = F.expr("INTERVAL 1 YEAR") if bucket == "year" else F.expr("INTERVAL 1 MONTH")
-    unit = "year" if bucket == "year" else "month"
-    h = hours.select("employee_id", "date")
-    hist = conform(history, "employee_job_history").select(
-        F.col("id").alias("__hid"), F.col("employee_id").alias("__eid"), F.col("job_title_id").alias("__tid"),
-        F.col("start_date").alias("__s"), F.coalesce("end_date", F.lit(dt.date.fromisoformat(OPEN_END_DATE))).alias("__e"))
-    span = data_range if data_range is not None else h.agg(
-        F.trunc(F.min("date"), unit).alias("__lo"), F.trunc(F.max("date"), unit).alias("__hi"))
-    months = (hist.crossJoin(F.broadcast(span))  # one row
-              .withColumn("__m0", F.greatest(F.trunc("__s", unit), F.col("__lo")))
-              .withColumn("__m1", F.least(F.trunc("__e", unit), F.col("__hi")))
-              .filter(F.col("__m0") <= F.col("__m1"))
-              .withColumn("__month", F.explode(F.sequence("__m0", "__m1", step)))
-              .drop("__lo", "__hi", "__m0", "__m1"))
-    cand = (h.withColumn("__hm", F.trunc("date", unit))
-            .join(months, (F.col("employee_id") == F.col("__eid")) & (F.col("__hm") == F.col("__month")))
-            .filter((F.col("date") >= F.col("__s")) & (F.col("date") <= F.col("__e"))))
-    best = first_by(cand.select("employee_id", "date", "__s", "__hid", "__tid"), ["employee_id", "date"],
-                    [("__s", "desc"), ("__hid", "desc")], cols=["__hid", "__tid"])
-    return best.select("employee_id", "date", F.col("__hid").alias("history_id"),
-                       F.col("__tid").alias("history_job_title_id"))
-
-
-def retitle_hours(hours: DataFrame, history: DataFrame, data_range: DataFrame | None = None) -> DataFrame:
+    h = conform(history, "employee_job_history").select(
+        F.col("employee_id").cast("long").alias("e"), F.unix_date("start_date").cast("long").alias("s"),
+        F.unix_date(F.coalesce("end_date", F.lit(dt.date.fromisoformat(OPEN_END_DATE)))).cast("long").alias("t"),
+        F.col("id").cast("long").alias("h"), F.col("job_title_id").cast("long").alias("j"))
+    h = h.where(F.col("e").isNotNull() & F.col("s").isNotNull() & (F.col("s") <= F.col("t")))
+
+    def sweep(batches):
+        import pyarrow as pa
+        days, ids = pa.date32(), pa.int64()
+        employee, stack, begun, out = None, [], None, []  # begun: the row of the latest start, replaced by another of that day
+
+        def close(before):
+            """Positions that end before a day leave; the next open one is in force from the day after."""
+            while stack and stack[-1][0] < before:
+                last = stack.pop()[0]
+                if stack and last + 1 < before:
+                    out.append((employee, last + 1, *stack[-1]))
+
+        def table():
+            cols = list(zip(*out)) or [()] * 5
+            types = (ids, days, days, ids, ids)
+            arrays = [pa.array(c, ids if t is ids else pa.int32()).cast(t) for c, t in zip(cols, types)]
+            return pa.RecordBatch.from_arrays(arrays, names=["employee_id", "__from", "__to", "__hid", "__tid"])
+
+        for batch in batches:
+            for e, s, t, h, j in zip(*(c.to_pylist() for c in batch.columns)):
+                if begun and (e, s) != begun[:2]:
+                    out.append(begun)
+                    begun = None
+                if e != employee:
+                    close(float("inf"))
+                    employee = e
+                close(s)
+                while stack and stack[-1][0] <= t:
+                    stack.pop()
+                stack.append((t, h, j))
+                begun = (e, s, t, h, j)
+            yield table()
+            out.clear()
+        if begun:
+            out.append(begun)
+        close(float("inf"))
+        yield table()
+
+    # Ids without a value come first in the order, as in a descending order they come last.
+    return h.repartition("e").sortWithinPartitions("e", "s", "h").mapInArrow(sweep, _SPANS)
+
+
+def _in_force(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """``rows`` (employee_id, date, ...) with ``__hid`` and ``__tid`` of the position in force on the date, NULL without one.
+
+    One shuffle on the employee for rows and spans together, then the latest span is carried along the
+    dates. No row is copied or compared with several positions. A group is an employee's days: (employee_id,
+    date) is the key of the stored hours, and the window streams."""
+    kept = rows.select("*", F.lit(1).alias("__kind"),
+                       # rows without an employee match nothing and need not meet in one task
+                       F.when(F.col("employee_id").isNull(), F.monotonically_increasing_id()).alias("__alone"))
+    spans = position_spans(history)
+    events = spans.select(F.col("employee_id").cast(rows.schema["employee_id"].dataType).alias("employee_id"),
+                          F.col("__from").alias("date"), F.lit(0).alias("__kind"), F.lit(None).cast("long").alias("__alone"),
+                          F.struct("__to", "__hid", "__tid").alias("__span"))
+    along = Window.partitionBy("employee_id", "__alone").orderBy("date", "__kind")
+    carried = (kept.unionByName(events, allowMissingColumns=True)
+               .withColumn("__now", F.last("__span", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+               .where(F.col("__kind") == 1))
+    holds = F.col("__now.__to") >= F.col("date")
+    return carried.select(*rows.columns, F.when(holds, F.col("__now.__hid")).alias("__hid"),
+                          F.when(holds, F.col("__now.__tid")).alias("__tid"), F.coalesce(holds, F.lit(False)).alias("__held"))
+
+
+def containing_interval(hours: DataFrame, history: DataFrame) -> DataFrame:
+    """(employee_id, date, history_id, history_job_title_id): for each employee and date of the hours,
+    the history interval containing the date (latest start wins, then the larger history id); dates inside no
+    interval are absent. A sweep along the dates of each employee (see ``_in_force``)."""
+    held = _in_force(hours.select("employee_id", "date"), history).where("__held")
+    return (held.select("employee_id", "date", F.col("__hid").alias("history_id"), F.col("__tid").alias("history_job_title_id"))
+            .dropDuplicates(["employee_id", "date"]))
+
+
+def retitle_hours(hours: DataFrame, history: DataFrame) -> DataFrame:
     """Hours rows take the title of the history interval containing their date
-    when it differs (see ``containing_interval``)."""
+    when it differs (see ``containing_interval``); all rows are kept."""
     h = conform(hours, "employee_hours")
-    return _retitled(h, containing_interval(h, history, data_range))
-
-
-def _retitled(h: DataFrame, best: DataFrame) -> DataFrame:
-    t = F.col("history_job_title_id")
-    out = (h.join(best, ["employee_id", "date"], "left")
-           .withColumn("job_title_id", F.when(t.isNotNull() & (t != F.col("job_title_id")), t)
-                       .otherwise(F.col("job_title_id"))))
+    t = F.col("__tid")
+    out = _in_force(h, history).withColumn(
+        "job_title_id", F.when(t.isNotNull() & (t != F.col("job_title_id")), t).otherwise(F.col("job_title_id")))
     return out.select(*h.columns)
 
 
@@ -251,14 +305,14 @@ def upsert_hours(hours: DataFrame, timecards: DataFrame, history: DataFrame, las
     The sums per day feed two statements; they are written once to the
     checkpoint folder (as the reference stages them in a table), so the pull is
     not recomputed and a lost executor restarts from the staged rows. The update
-    changes neither keys nor ids: the containing interval of a stored row and the days
-    that are new come from the stored hours, not from the updated ones.
+    changes neither keys nor ids: the days that are new come from the stored hours, not
+    from the updated ones.
     """
     day = cut_lineage(per_day(timecards))
     h = conform(hours, "employee_hours")
-    return _retitled(_updated(h, day), containing_interval(h, history)).unionByName(_new_days(h, day, last_id))
+    return retitle_hours(_updated(h, day), history).unionByName(_new_days(h, day, last_id))
 
 
 __all__ = ["eligible_employees", "flatten_timecards", "classify_minutes", "lookup_employees",
            "daily_minutes", "daily_minutes_prereduced", "unmapped_paycodes", "new_timecard_dates", "per_day", "hours_change_count",
-           "update_hours", "containing_interval", "retitle_hours", "insert_hours", "upsert_hours"]
+           "update_hours", "position_spans", "containing_interval", "retitle_hours", "insert_hours", "upsert_hours"]
