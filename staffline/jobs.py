@@ -67,10 +67,10 @@ def _logged(job: str):
             steps: list[str] = ["start"]
             token, run_token = _STEPS.set(steps), None
             try:
-                with Run(spark, root, run_id, job) as run:
+                with Run(spark, root, run_id, job, constraints=True) as run:
                     run_token = _RUN.set(run)
                     row = job_fn(spark, *args, **kw)
-                    _step("commit")
+                    _step("check constraints and commit")
                     run.commit()
                     if row is not None:
                         _log(row, root, run_id, job)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staffline.schemas import TABLES
 from staffline.session import staged
+from staffline.sources import constraints as C
 from staffline.sources.sinks import NoState, files_of, read_latest
 
 _NAME = re.compile(r"(\d{12})\.(.+)\.json")
@@ -80,9 +81,10 @@ class Run:
     """The tables of one attempt of a run; leave the ``with`` block after ``commit``.
 
     Leaving it takes away the staging folder of the attempt, and without a commit the
-    folders of its tables too."""
+    folders of its tables too. ``constraints``: check the declared keys, NOT NULL columns and
+    references (``sources.constraints``) before the commit; the four scheduled runs do."""
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str, job: str):
+    def __init__(self, spark: SparkSession, root: str, run_id: str, job: str, constraints: bool = False):
         if not _ID.fullmatch(run_id):
             raise ValueError(f"run id {run_id!r}: letters, digits, '.', '_' and '-' only")
         self.spark, self.root, self.key = spark, root, f"{run_id}.{job}"
@@ -95,6 +97,8 @@ class Run:
             self.base = next((_load(spark, root, seq, key) for seq, key in known if seq == before), NOTHING)
         self.attempt = f"{self.key}.{uuid.uuid4().hex[:8]}"
         self.tables: dict[str, dict] = {}
+        self.given: dict[str, DataFrame] = {}
+        self.constraints = constraints
         self.done = False
         self._check(last)
 
@@ -116,6 +120,8 @@ class Run:
 
     def read(self, table: str, initial: DataFrame | None = None) -> DataFrame:
         """What this attempt wrote, else the state that the run starts from."""
+        if initial is not None:
+            self.given[table] = initial
         if table in self.tables:
             return _read(self.spark, self.root, table, self.tables[table])
         return state(self.spark, self.root, table, initial, self.base)
@@ -161,8 +167,60 @@ class Run:
             if by not in (self.entry(table).get("by"), *self.own):
                 raise Conflict(f"{table}: another run has written it since the state before {self.key}")
 
+    def _before(self, table: str) -> DataFrame | None:
+        """The state that the run starts from; None where there is none."""
+        if table in self.base["tables"]:
+            return _read(self.spark, self.root, table, self.entry(table))
+        try:
+            return read_latest(self.spark, f"{self.root}/{table}")
+        except NoState:
+            return self.given.get(table)
+
+    def _now(self, table: str) -> DataFrame | None:
+        return self.read(table) if table in self.tables else self._before(table)
+
+    def _counts(self, table: str, rows: DataFrame, of, lacking: bool = False) -> dict[str, int]:
+        """How many of the rows break which constraint; ``of`` gives the table that a reference names."""
+        found = C.broken_rows(rows, table, lacking)
+        for column, name in C.REFERENCES.get(table, {}).items():
+            parent = of(name)
+            if parent is not None and column in rows.columns and "id" in parent.columns:
+                found |= C.dangling(rows, column, parent, name)
+        return found
+
+    def broken(self) -> list[str]:
+        """The constraints that more rows break than before the run: keys, required columns and references of what it
+        wrote, and references of other rows to ids that it took out. A reference to a table
+        that has no state at all is not checked."""
+        out = []
+        for table, entry in self.tables.items():
+            found = self._counts(table, self.written(table) if "parts" in entry else self.read(table), self._now)
+            before = self._before(table) if found else None
+            if before is not None and "parts" in entry and "parts" in self.entry(table):  # the same parts
+                mine = {k for k, p in entry["parts"].items() if f"/run={self.attempt}/" in p}
+                before = self.read_parts(table, mine)
+            known = self._counts(table, before, self._before, lacking=True) if before is not None else {}
+            out += [f"{table}: {n} {why}" + (f" ({known[why]} before)" if why in known else "")
+                    for why, n in found.items() if n > known.get(why, 0)]
+        for name in self.tables:
+            children = [(t, c) for t, refs in C.REFERENCES.items() for c, p in refs.items()
+                        if p == name and (t not in self.tables or "parts" in self.tables[t])]
+            before = self._before(name) if children else None
+            if before is None or "id" not in before.columns:
+                continue
+            removed = C.removed_ids(before, self.read(name))
+            if removed.isEmpty():  # the usual case: rows are flagged deleted, not taken out
+                continue
+            for table, column in children:
+                rows = self._now(table)
+                if rows is not None and column in rows.columns:
+                    out += C.orphaned(rows, table, column, removed, name)
+        return out
+
     def commit(self) -> None:
         """Name the tables of the run, together with those of all other runs."""
+        if self.constraints and (broken := self.broken()):
+            raise C.BrokenConstraint("; ".join(broken))
         last = newest(self.spark, self.root)
         self._check(last)
         seq = last["seq"] + 1
