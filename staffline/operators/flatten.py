@@ -34,6 +34,7 @@ def _date(c: Column) -> Column:
 
 
 PA = "__pa"  # the primary assignment, extracted once per row
+LOST = "__lost"  # whether the row stands for a page that does not parse
 
 
 def worker_columns(hire_sentinel: str = HIRE_SENTINEL, position_prefix: str = POSITION_PREFIX) -> list[tuple]:
@@ -107,32 +108,34 @@ def flatten_workers(docs: DataFrame, mode: str = "failfast", **kw):
             # Inside the exploded expression: a filter before it would come after the NULL check that Spark infers.
             workers = F.when(bad_page, F.raise_error(F.lit("worker page does not parse"))).otherwise(workers)
         else:
-            workers = F.when(~bad_page, workers)
-        rows = pages.select(F.explode(workers).alias(W))
+            # A lost page goes on as one row without a worker: a filter of its own for such pages would make
+            # and parse every document again, once for each mention of it.
+            workers = F.when(bad_page, F.array(F.lit(None).cast(pages.schema["workers"].dataType.elementType))).otherwise(workers)
+        rows = pages.select(F.explode(workers).alias(W), (bad_page if mode == "quarantine" else F.lit(False)).alias(LOST))
     else:
-        rows = docs
-    rows = rows.select(W, primary_assignment().alias(PA))
+        rows = docs.select(W, F.lit(False).alias(LOST))
+    rows = rows.select(W, primary_assignment().alias(PA), LOST)
     spec = worker_columns(**kw)
-    errors = F.array_compact(F.array(
+    errors = F.when(F.col(LOST), F.array(F.lit("page does not parse"))).otherwise(F.array_compact(F.array(
         F.when(F.col(PA).isNull(), F.lit("no primary assignment")),
         *[F.when(expr.isNull(), F.lit(name)) for name, expr, policy, *_ in spec if policy == "R"],
-        *[F.when(unread[0], F.lit(name)) for name, _, _, *unread in spec if unread]))
+        *[F.when(unread[0], F.lit(name)) for name, _, _, *unread in spec if unread])))
     # The row number keeps the optimizer from copying the long error expression into a filter further down
     # (and from there into every constraint it infers): predicates are not moved below it.
-    flat = rows.select(*[expr.alias(name) for name, expr, *_ in spec], errors.alias("__errors"),
+    flat = rows.select(*[expr.alias(name) for name, expr, *_ in spec], errors.alias("__errors"), LOST,
                        F.monotonically_increasing_id().alias("__row"))
     counted = F.col("__row") >= 0
     if mode == "quarantine":
-        bad = flat.filter(counted & (F.size("__errors") > 0)).withColumnRenamed("__errors", "errors").drop("__row")
-        if pages is not None:
-            lost = pages.filter(bad_page).select(F.array(F.lit("page does not parse")).alias("errors"))
-            bad = bad.unionByName(lost, allowMissingColumns=True)
-        return flat.filter(counted & (F.size("__errors") == 0)).drop("__errors", "__row"), bad
+        bad = flat.filter(counted & (F.size("__errors") > 0))
+        # Of a lost page nothing is known: no defaults either.
+        bad = bad.select(*[(F.when(~F.col(LOST), F.col(name)) if policy == "D" else F.col(name)).alias(name)
+                           for name, _, policy, *_ in spec], F.col("__errors").alias("errors"))
+        return flat.filter(counted & (F.size("__errors") == 0)).drop("__errors", "__row", LOST), bad
     # A filter predicate (not a dropped column, which the optimizer would prune) so every row is checked.
     said = F.filter(F.array(F.array_join("__errors", ", ")), lambda e: e != "")
     ok = F.forall(said, lambda e: F.raise_error(F.concat(F.lit("worker document error: "),
                                                          F.coalesce(F.col("aoid"), F.lit("?")), F.lit(": "), e)).isNull())
-    return flat.filter(counted & ok).drop("__errors", "__row")
+    return flat.filter(counted & ok).drop("__errors", "__row", LOST)
 
 
 def flatten_directory(entries: DataFrame, source_col: str = "source", offsets: dict | None = None,

@@ -96,8 +96,12 @@ def worker_documents_from_tables(customer: DataFrame, job_titles: DataFrame) ->
     """One worker JSON document per customer (column ``doc``)."""
     k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
-    title = job_titles.groupBy("job_title_id").agg(F.min("job_title").alias("__title"))
+    # A remainder by 50 meets no other titles.
+    title = (job_titles.where(F.col("job_title_id").between(-49, 49))
+             .groupBy("job_title_id").agg(F.min("job_title").alias("__title")))
     c = customer.join(title, (k % 50).cast("int") == F.col("job_title_id"), "left")
+    # Rows are short and documents long: a small file, or the few keys of the join, would leave all documents to a few tasks.
+    c = c.repartition(int(customer.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def day(first: str, spread: int):
         return F.date_format(F.date_add(F.lit(first).cast("date"), (k % spread).cast("int")), "yyyy-MM-dd")

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from staffline.operators.flatten import flatten_workers
-from staffline.sources.documents import WORKER_PAGE_SCHEMA
+from staffline.sources.documents import WORKER_PAGE_SCHEMA, parse, worker_documents_from_tables
 
 REQUIRED_PERSON = {"legalName": {"givenName": "Ann", "familyName1": "Lee"}, "birthDate": "1980-02-03",
                    "legalAddress": {"lineOne": "1 Main", "cityName": "Davis",
@@ -69,3 +69,43 @@ def test_quarantine_splits_bad_rows(spark):
     assert good.count() == 1
     errs = sorted(r.errors[0] for r in bad.collect())
     assert errs == ["city", "id"]
+
+
+def _pages(spark, texts):
+    return parse(spark.createDataFrame([(t,) for t in texts], "doc string"), "doc", WORKER_PAGE_SCHEMA)
+
+
+def test_quarantine_of_lost_pages(spark):
+    """A page cut off, one without a list, an empty one, and an entry that is null: only the first two are lost pages."""
+    texts = [json.dumps({"workers": [_doc()]})[:50], "{}", json.dumps({"workers": []}),
+             json.dumps({"workers": [None, _doc(), _doc(associateOID=None)]})]
+    good, bad = flatten_workers(_pages(spark, texts), mode="quarantine")
+    assert [r.aoid for r in good.collect()] == ["G1"]
+    rows = sorted(bad.collect(), key=lambda r: r.errors)
+    assert [r.errors[0] for r in rows] == ["aoid", "no primary assignment", "page does not parse", "page does not parse"]
+    assert bad.columns == [*good.columns, "errors"]
+    assert all(v is None for r in rows[2:] for v in r[:-1])
+    # A null entry of a page that parses still gets the defaults.
+    assert (rows[1].location_id, rows[1].location) == (0, "Unassigned")
+
+
+def test_quarantine_makes_and_parses_a_page_once(spark):
+    """The optimizer must not copy the text of a page into a filter for lost pages."""
+    marked = spark.range(3).select(F.concat(F.lit('{"mark'), F.col("id").cast("string")).alias("doc"))
+    marked = marked.withColumn("doc", F.when(F.col("doc") == "x", F.lit("y")).otherwise(F.col("doc")))
+    bad = flatten_workers(parse(marked, "doc", WORKER_PAGE_SCHEMA), mode="quarantine")[1].select("aoid", "errors")
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('{"mark') == 1 and plan.count("from_json(") == 1
+    assert [r.errors for r in bad.collect()] == [["page does not parse"]] * 3
+
+
+def test_worker_documents_spread_over_tasks(spark):
+    """Two keys of the title join, from one partition: documents are made by as many tasks as a shuffle has."""
+    customer = spark.createDataFrame([(50 * i + i % 2, 1, 2.0, "S") for i in range(400)],
+                                     "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1)
+    titles = spark.createDataFrame([(0, "B"), (0, "A"), (51, "C")], "job_title_id long, job_title string")
+    docs = worker_documents_from_tables(customer, titles)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert docs.rdd.getNumPartitions() == n and docs.count() == 400
+    assert docs.where(F.col("doc").contains('"longName":"A"')).count() == 200
+    assert docs.where(F.col("doc").contains('"longName":"Title 1"')).count() == 200
