@@ -25,6 +25,7 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,10 @@ BLOCK_LINKS = 2_000_000
 STRETCH_BYTES, STRETCHES_HELD = 64, 1_200_000
 
 
-def common_near(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """For each interval a[lo:hi] the index of a common end near its middle, -1 if there is none
-    (the last end of an interval is common and does not count). Ends about the middle are looked
-    for in ``b`` by bisection, in windows that grow while some interval has found none."""
+def common_near(common: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """For each interval lo:hi of the ends of A the index of a common end near its middle, -1 if there is
+    none (the last end of an interval is common and does not count). Ends about the middle are
+    looked at in windows that grow while some interval has found none."""
     out = np.full(len(lo), -1, np.int64)
     mid = (lo + hi - 2) // 2
     open_, width = np.flatnonzero(hi - lo > 1), 1
@@ -54,7 +55,7 @@ def common_near(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) ->
         at = np.cumsum(n) - n
         i = np.arange(int(n.sum())) - np.repeat(at - first, n)
         far = np.abs(i - np.repeat(mid[open_], n))
-        best = np.minimum.reduceat(np.where(b[np.searchsorted(b, a[i])] == a[i], 2 * far + (i > np.repeat(mid[open_], n)),
+        best = np.minimum.reduceat(np.where(common[i], 2 * far + (i > np.repeat(mid[open_], n)),
                                             np.iinfo(np.int64).max), at)
         hit = best < np.iinfo(np.int64).max
         out[open_[hit]] = mid[open_[hit]] + np.where(best[hit] & 1, best[hit] >> 1, -(best[hit] >> 1))
@@ -68,12 +69,14 @@ def align(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, n
     ascending ends of both sides, ``cuts`` the indexes in ``a`` where texts end (exclusive, ascending;
     such an end is common). Returns where each group ends in ``a`` and in ``b`` (exclusive).
 
-    All texts are divided at once: each round splits every open interval at its common end."""
+    Each end of ``a`` is looked for in ``b`` by bisection, once. All texts are divided at once: each
+    round splits every open interval at its common end."""
     hi = np.unique(cuts[cuts > 0])
     lo = np.r_[0, hi[:-1]] if len(hi) else hi
     leaf = []
+    common = b[np.searchsorted(b, a)] == a if len(hi) else hi
     while len(lo):
-        i = common_near(a, b, lo, hi)
+        i = common_near(common, lo, hi)
         leaf.append(hi[i < 0])
         on = i >= 0
         lo, hi = np.r_[lo[on], i[on] + 1], np.r_[i[on] + 1, hi[on]]
@@ -81,6 +84,12 @@ def align(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, n
     return end, np.searchsorted(b, a[end - 1]) + 1 if len(end) else end
 
 
+def runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each run, end to end."""
+    before = np.cumsum(n) - n
+    return np.repeat(start - before, n) + np.arange(int(n.sum()))
+
+
 def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs (i, j) of the tokens whose bytes overlap: each end of either side closes
     one overlap, ends of both sides only one. The pairs closed by ends of ``a`` come first;
@@ -93,6 +102,25 @@ def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return j, extra, i
 
 
+class Bytes:
+    """The bytes of the tokens of one side, end to end by id."""
+
+    def __init__(self, of: list[bytes]):
+        self.raw = np.frombuffer(b"".join(of), np.uint8)
+        self.size = np.array([len(x) for x in of], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def give_back(self, ids: np.ndarray, n: np.ndarray, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each stretch (``n`` of ``ids`` each) are byte by byte its ``size`` bytes of ``raw``."""
+        ends, last = np.r_[0, np.cumsum(self.size[ids])], np.cumsum(n)
+        same = ends[last] - ends[last - n] == size
+        ids = ids[np.repeat(same, n)]
+        odd = np.r_[0, np.cumsum(self.raw[runs(self.start[ids], self.size[ids])] != raw[np.repeat(same, size)])]
+        last = np.cumsum(size[same])
+        same[same] = odd[last] == odd[last - size[same]]
+        return same
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens: A byte-level, B of pieces."""
 
@@ -104,15 +132,13 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         letter = byte_letters()
         special = {t["id"] for t in json.loads(spec)["added_tokens"]}
-        self.a_bytes = {i: bytes(letter[c] for c in t) for t, i in self.a.get_vocab().items() if i not in special}
-        self.a_len = np.zeros(max(self.a_bytes) + 1, np.int64)
-        self.a_len[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        of = {i: b"" if i in special else bytes(letter[c] for c in t) for t, i in self.a.get_vocab().items()}
+        self.a_bytes = Bytes([of.get(i, b"") for i in range(max(of) + 1)])
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
-        self.b_len = np.array([len(x) for x in self.b_bytes])
+        self.b_bytes = Bytes([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                              for i, p in enumerate(pieces)])
         #: No piece reaches from something else into a following space: a space may be cut off.
         self.cuts = not any("▁" in p.lstrip("▁") for i, p in enumerate(pieces)
                             if not self.b.is_control(i) and not self.b.is_unknown(i))
@@ -135,21 +161,51 @@ class Tokenizers:
         return parts
 
 
+class Ids:
+    """Token ids of numbered stretches by one side, end to end."""
+
+    def __init__(self):
+        self.ids, self.edge, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def add(self, ids: np.ndarray, n: np.ndarray) -> None:
+        used = int(self.edge[self.n])
+        for name, least in (("ids", used + len(ids)), ("edge", self.n + len(n) + 1)):
+            if least > len(held := getattr(self, name)):
+                setattr(self, name, np.r_[held, np.zeros(max(least, 2 * len(held)) - len(held), held.dtype)])
+        self.ids[used:used + len(ids)] = ids
+        self.edge[self.n + 1:self.n + 1 + len(n)] = used + np.cumsum(n)
+        self.n += len(n)
+
+    def of(self, no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the stretches ``no`` end to end, and how many of them each stretch has."""
+        n = self.edge[no + 1] - self.edge[no]
+        return self.ids[runs(self.edge[no], n)].astype(np.int64), n
+
+
 class Held(dict):
-    """Stretch -> its ids by A and by B as 32-bit numbers, or None where they do not give its bytes."""
+    """Stretch -> its number in ``a`` and ``b``, which have its ids by A and by B, or -1 where they do not
+    give its bytes."""
 
     def __init__(self, tokenizers: Tokenizers):
         super().__init__()
         self.t = tokenizers
         self.a_ids: dict[str, bytes] = {}
+        self.a, self.b = Ids(), Ids()
 
     def learn(self, parts: list[str]) -> None:
+        if not parts:
+            return
         t = self.t
-        for p, a, b in zip(parts, self.by_a([" " + p for p in parts]), t.b.encode(parts, num_threads=1)):
-            raw = b" " + p.encode()
-            same = (b"".join(map(t.a_bytes.__getitem__, memoryview(a).cast("I"))) == raw
-                    and b"".join(map(t.b_bytes.__getitem__, b)) == raw)
-            self[p] = (a, array("I", b).tobytes()) if same else None
+        by_a, by_b = self.by_a([" " + p for p in parts]), t.b.encode(parts, num_threads=1)
+        a, n_a = np.frombuffer(b"".join(by_a), np.uint32), np.fromiter(map(len, by_a), np.int64, len(parts)) >> 2
+        n_b = np.fromiter(map(len, by_b), np.int64, len(parts))
+        b = np.fromiter(chain.from_iterable(by_b), np.uint32, int(n_b.sum()))
+        raw = np.frombuffer((" " + " ".join(parts)).encode(), np.uint8)
+        size = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in parts), np.int64, len(parts)) + 1
+        same = t.a_bytes.give_back(a, n_a, raw, size) & t.b_bytes.give_back(b, n_b, raw, size)
+        self.update(zip(parts, np.where(same, self.a.n + np.arange(len(parts)), -1).tolist()))
+        self.a.add(a, n_a)
+        self.b.add(b, n_b)
 
     def by_a(self, parts: list[str]) -> list[bytes]:
         """Ids of the parts by A; punctuation after a word of plain letters is made by itself."""
@@ -172,22 +228,28 @@ class Held(dict):
                 del ids[w]
         return out
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of each text by both sides; None where there are no tokens."""
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """Which texts have tokens, their ids by A and by B end to end, and where each text ends in both."""
         split = [self.t.stretches(x) if x else [] for x in texts]
         new = {p for p in set().union(*split) if p not in self}
         if len(self) + len(new) > STRETCHES_HELD:
             self.clear(), self.a_ids.clear()
+            self.a, self.b = Ids(), Ids()
             new = set().union(*split)
-        self.learn(list(new))
-        out = []
-        for parts in split:
-            both = [self[p] for p in parts]
-            out.append(tuple(map(b"".join, zip(*both))) if both and None not in both else None)
-        for p in new:
-            if len(p) > STRETCH_BYTES:
-                del self[p]
-        return out
+        long = [p for p in new if len(p) > STRETCH_BYTES]
+        self.learn([p for p in new if len(p) <= STRETCH_BYTES])
+        kept = self.a.n
+        self.learn(long)
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        no = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        odd, last = np.r_[0, np.cumsum(no < 0)], np.cumsum(n)
+        on = (n > 0) & (odd[last] == odd[last - n])
+        no, last = no[np.repeat(on, n)], np.cumsum(n[on])
+        (a, n_a), (b, n_b) = self.a.of(no), self.b.of(no)
+        for p in long:
+            del self[p]
+        self.a.n = self.b.n = kept
+        return np.flatnonzero(on), a, b, *(np.r_[0, np.cumsum(x)][last] for x in (n_a, n_b))
 
 
 @dataclass
@@ -205,14 +267,9 @@ class Texts:
 
 
 def align_texts_of(held: Held, texts: list[str | None]) -> Texts:
-    t = held.t
-    ids = [(i, x) for i, x in enumerate(held.encode(texts)) if x]
-    a = np.frombuffer(b"".join(x[0] for _, x in ids), np.uint32).astype(np.int64)
-    b = np.frombuffer(b"".join(x[1] for _, x in ids), np.uint32).astype(np.int64)
-    a_cut = np.cumsum([len(x[0]) >> 2 for _, x in ids], dtype=np.int64)
-    b_cut = np.cumsum([len(x[1]) >> 2 for _, x in ids], dtype=np.int64)
-    a_byte, b_byte = np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b])
-    return Texts(np.array([i for i, _ in ids], np.int64), a, b, a_cut, b_cut, *align(a_byte, b_byte, a_cut), a_byte, b_byte)
+    no, a, b, a_cut, b_cut = held.encode(texts)
+    a_byte, b_byte = np.cumsum(held.t.a_bytes.size[a]), np.cumsum(held.t.b_bytes.size[b])
+    return Texts(no, a, b, a_cut, b_cut, *align(a_byte, b_byte, a_cut), a_byte, b_byte)
 
 
 class Names(dict):

@@ -151,3 +151,22 @@ def test_query(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     got = rows_of(QUERIES["op11_align"](spark, "/root/testdata/sf0.001"))
     assert got == want_of([(r.doc_id, r.text) for r in docs])
+
+
+def test_tokens_that_do_not_give_back_their_bytes_are_told_apart():
+    of = align.Bytes([b"a", b"bc", b"", b"\xc3", b"\xa9"])
+    raw = [b"abc", b"a", b"acb", "é".encode(), b"bc"]  # given back, too long, as long but other bytes, given back, empty
+    ids = [[0, 1], [0, 0], [0, 1], [3, 4], [2]]
+    flat = np.array([i for x in ids for i in x], np.uint32)
+    n, size = np.array([len(x) for x in ids]), np.array([len(x) for x in raw])
+    same = of.give_back(flat, n, np.frombuffer(b"".join(raw), np.uint8), size)
+    assert same.tolist() == [True, False, False, True, False]
+
+
+def test_what_a_task_holds_is_numbered_anew_once_dropped(monkeypatch):
+    monkeypatch.setattr(align, "STRETCHES_HELD", 5)
+    held = align.Held(align.Tokenizers(SPEC, MODEL))
+    long = "x" * (align.STRETCH_BYTES + 1)
+    for text in ("one two three", f"two {long} four", "five six seven one", f"{long} two\x00 é one", "one two three"):
+        assert align.align_text(held, text) == whole(text)[0], text
+        assert long not in held and held.a.n == held.b.n >= len(held)
