@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffline.llm.common import LATIN, TAIL, latin_ids, text_slices, without_gc
+from staffline.llm.common import LATIN, latin_ids, text_slices, without_gc
 
 CAPACITY = 4096
 #: Cost of a token, and of a pair of tokens of one piece: for a model of width d, about 1 to 6 d (here 2,048).
@@ -38,6 +38,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / (6 * 2048)
 GROUP_TOKENS = 1 << 22
 #: Longer words are tokenised each time; the words held by a task are dropped when there are as many as this.
 WORD_BYTES, WORDS_HELD = 64, 1_000_000
+#: What TAIL takes as the punctuation after a letter: ASCII, without the apostrophe.
+PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 
 
 def balance(lengths: Sequence[int], capacity: int = CAPACITY, linear: float = LINEAR,
@@ -95,43 +97,30 @@ class Words(dict):
         from tokenizers import Tokenizer  # the library is loaded where it is used
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], "<u4").tobytes()
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        parts, new = {}, set()
-        for w in words:
-            m = TAIL.fullmatch(w.decode())
-            if m and not any(t in w for t in self.special):
-                parts[w] = stem, tail = m[1].encode(), m[2].encode()
-                new.update(x for x in (stem, tail) if x not in self)
-            else:
-                new.add(w)
-        other, model = [], self.tokenizer.model
-        for w in new:
-            text = w.decode()
-            if LATIN.fullmatch(text):
-                self[w] = latin_ids(model, text.lower())
-            else:
-                other.append(text)
-        for text, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self[text.encode()] = array("I", e.ids).tobytes()
-        for w, (stem, tail) in parts.items():
-            self[w] = self[stem] + self[tail]
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(PUNCTUATION)
+        if word.isalpha():  # ASCII letters, which stand for themselves in a byte-level alphabet
+            low = word.lower()
+            ids = array("I", [t.id for t in self.model.tokenize(low.decode())]).tobytes() if low == word else self[low]
+        elif len(stem) < len(word) and stem[-1:].isalpha() and not any(t in word for t in self.special):
+            ids = self[stem] + self[word[len(stem):]]  # as TAIL
+        elif LATIN.fullmatch(text := word.decode()):
+            ids = latin_ids(self.model, text.lower())
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORDS_HELD:
+                self.clear()
+            self[word] = ids
+        return ids
 
     def ids(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids and the end of each text."""
-        split = [t.split() for t in texts]
-        new = {w for w in set().union(*split) if w not in self}
-        if len(self) + len(new) > WORDS_HELD:
-            self.clear()
-            new = set().union(*split)
-        self.learn(new)
-        out = [b"".join(map(self.__getitem__, w)) + self.end for w in split]
-        for w in new:
-            if len(w) > WORD_BYTES:
-                del self[w]
-        return out
+        return [b"".join(map(self.__getitem__, t.split())) + self.end for t in texts]
 
 
 def splits_at_space(tokenizer: str) -> None:

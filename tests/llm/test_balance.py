@@ -112,6 +112,27 @@ def test_words_equal_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_a_word_is_tokenised_once_in_any_case_and_held_within_bounds(monkeypatch):
+    t = Tokenizer.from_str(SPEC)
+    words, asked = balance.Words(SPEC, 2), []
+    real = words.model
+
+    class Model:
+        def tokenize(self, text):
+            asked.append(text)
+            return real.tokenize(text)
+
+    words.model = Model()
+    text = "Thing thing THING, thing. (thing) thing's"
+    assert np.frombuffer(words.ids([text.encode()] * 3)[2], "<u4").tolist() == t.encode(text).ids + [2]
+    assert asked == ["thing"]
+    monkeypatch.setattr(balance, "WORDS_HELD", 5)
+    words = balance.Words(SPEC, 2)
+    text = " ".join(f"word{i}, a{'b' * i}." for i in range(100))
+    assert np.frombuffer(words.ids([text.encode()])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [2]
+    assert len(words) <= 5
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         balance.splits_at_space('{"added_tokens": [], "pre_tokenizer": {"type": "ByteLevel"}}')
