@@ -71,6 +71,24 @@ def test_equals_plain_counts(spark, texts, ranked):
     assert got(collocations.mine(df, min_count=6, top=40, ranked=ranked)) == plain(texts, 6, 40)
 
 
+@pytest.mark.parametrize("longer", [12, 5, 0])
+def test_phrases_without_an_id_go_by_the_ids_of_their_words(spark, texts, longer, monkeypatch):
+    """None is taken up as text where all frequent words have ids."""
+    def never(*_):
+        raise AssertionError("a phrase was taken up as text")
+
+    monkeypatch.setattr(collocations, "_passes", never)
+    df = spark.createDataFrame(texts, "text string, lang string").repartition(3)
+    assert got(collocations.mine(df, min_count=6, top=40, longer=longer)) == plain(texts, 6, 40)
+
+
+@pytest.mark.parametrize("size", [2, 3, 5])
+def test_rows_of_word_ids_are_counted(size):
+    grams = np.random.default_rng(size).integers(0, 3, (400, size), np.int32)
+    rows, n = collocations.count_grams(grams)
+    assert dict(zip(map(tuple, rows.tolist()), n.tolist())) == Counter(map(tuple, grams.tolist()))
+
+
 def test_edges(spark):
     rows = [(t, lang) for _, t, lang in edge.ROWS]
     df = edge.documents(spark)
